@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Batch keys up to this size are broadcast to the target scan.
+# Sets of keys up to this measured size are broadcast.
 BROADCAST_LIMIT = 32 * 1024 * 1024
 
 RANGE_TYPES = (T.IntegralType, T.DecimalType, T.DateType, T.StringType)
@@ -47,29 +49,33 @@ class KeyStats:
     """Size and range of a batch's keys, measured by one narrow scan."""
 
     n_rows: int
+    n_null: int
     n_bytes: int
     low: object = None
     high: object = None
 
 
-def key_stats(batch: DataFrame, key: Sequence[str]) -> KeyStats:
+def key_bytes(df: DataFrame, key: Sequence[str]) -> Column:
+    """Memory one key takes in a broadcast: its values and a row's overhead."""
     sizes = [
-        F.octet_length(c)
-        if isinstance(batch.schema[c].dataType, (T.StringType, T.BinaryType))
+        F.coalesce(F.octet_length(c), F.lit(0))
+        if isinstance(df.schema[c].dataType, (T.StringType, T.BinaryType))
         else F.lit(8)
         for c in key
     ]
-    width = sizes[0]
-    for size in sizes[1:]:
-        width = width + size
+    return (reduce(add, sizes) + F.lit(16)).cast("bigint")
+
+
+def key_stats(batch: DataFrame, key: Sequence[str]) -> KeyStats:
     ranged = len(key) == 1 and isinstance(batch.schema[key[0]].dataType, RANGE_TYPES)
     bounds = [F.min(key[0]).alias("low"), F.max(key[0]).alias("high")] if ranged else []
     row = batch.agg(
         F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum((width + 16).cast("bigint")), F.lit(0)).alias("bytes"),
+        F.count_if(reduce(or_, [F.col(c).isNull() for c in key])).alias("n_null"),
+        F.coalesce(F.sum(key_bytes(batch, key)), F.lit(0)).alias("bytes"),
         *bounds,
     ).first()
-    return KeyStats(row["n"], row["bytes"], *(row["low"], row["high"]) if ranged else ())
+    return KeyStats(*row)
 
 
 def in_range(target: DataFrame, key: Sequence[str], stats: KeyStats | None) -> DataFrame:
@@ -95,34 +101,15 @@ def known_keys(
     """Keys of the batch that the target already holds.
 
     The big side is the target, so it is the one that should not move: when the
-    batch's distinct keys are measured to be small they are broadcast to the
-    target scan. Otherwise both sides shuffle on the key.
+    batch's keys are measured to be small they are broadcast to the target scan.
+    Otherwise both sides shuffle on the key.
     """
     keys = batch.select(*key).distinct()
-    if _small(stats, broadcast_limit):
+    if stats is not None and stats.n_bytes <= broadcast_limit:
         keys = F.broadcast(keys)
     return in_range(target.select(*key), key, stats).join(keys, list(key), "left_semi")
 
 
-def _small(stats: KeyStats | None, limit: int) -> bool:
-    return stats is not None and stats.n_bytes <= limit
-
-
-def new_rows(
-    batch: DataFrame,
-    target: DataFrame,
-    key: Sequence[str],
-    stats: KeyStats | None = None,
-    broadcast_limit: int = BROADCAST_LIMIT,
-) -> DataFrame:
-    """Rows of a de-duplicated batch whose key the target does not hold."""
-    found = known_keys(batch, target, key, stats, broadcast_limit).distinct()
-    if _small(stats, broadcast_limit):
-        # At most the batch's own keys, so under the same measured size.
-        found = F.broadcast(found)
-    return batch.join(found, list(key), "left_anti")
-
-
 def duplicate_report(
     batch: DataFrame,
     target: DataFrame,
@@ -132,7 +119,8 @@ def duplicate_report(
 ) -> DataFrame:
     """Keys that repeat in the batch or already exist in the target.
 
-    Columns: the key, ``n_in_batch`` (rows of the batch) and ``in_target``.
+    Columns: the key, ``n_in_batch`` (rows of the batch) and ``in_target``. Only key
+    columns are read and shuffled, counted per task first.
     """
     found = known_keys(batch, target, key, stats, broadcast_limit)
     found = found.distinct().withColumn("in_target", F.lit(True))
@@ -143,3 +131,27 @@ def duplicate_report(
         .withColumn("in_target", F.coalesce("in_target", F.lit(False)))
         .where("n_in_batch > 1 or in_target")
     )
+
+
+def new_rows(
+    batch: DataFrame,
+    duplicates: DataFrame,
+    key: Sequence[str],
+    order_by: Sequence[str] = (),
+    small: bool = False,
+) -> DataFrame:
+    """One row per key of the batch, leaving out keys the target holds.
+
+    ``duplicates`` is the stored ``duplicate_report`` of the batch. If it is
+    ``small`` it is broadcast: rows whose key is unique pass straight through, and
+    only repeated ones are shuffled to find the first. Otherwise every row is
+    shuffled by key once, for the ranking and the join alike.
+    """
+    loaded = duplicates.where("in_target").select(*key)
+    if not small:
+        return first_per_key(batch, key, order_by).join(loaded, list(key), "left_anti")
+    known = F.broadcast(duplicates.select(*key))
+    repeated = F.broadcast(duplicates.where("not in_target").select(*key))
+    unique = batch.join(known, list(key), "left_anti")
+    first = first_per_key(batch.join(repeated, list(key), "left_semi"), key, order_by)
+    return unique.unionByName(first)

@@ -67,7 +67,11 @@ class InSet(Rule):
 
 @dataclass(frozen=True)
 class WellFormed(Rule):
-    """The line must have exactly the declared number of fields."""
+    """The line must have exactly the declared number of fields.
+
+    Spark refuses a query of a text file that uses the raw line and no other
+    column, so a bare count of these violations needs a declared column beside it.
+    """
 
     column: str = CORRUPT
 

@@ -7,12 +7,15 @@ counts) reads those two columns, so the rules are evaluated once per row.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from intake.contracts import TableContract
 from intake.functions.casts import typed_value
-from intake.operators.rules import CORRUPT, References
+from intake.operators.rules import CORRUPT, References, Rule
 
 REASONS = "reasons"
 VERDICT = "verdict"
@@ -30,15 +33,40 @@ def _with_lookups(df: DataFrame, contract: TableContract) -> DataFrame:
     return df
 
 
+def _flag(rule: Rule) -> str:
+    return f"_broken_{rule.reason}"
+
+
+def flags(contract: TableContract) -> list[str]:
+    """Names of the boolean helper columns of ``annotate``, one per rule."""
+    return [_flag(r) for r in contract.rules]
+
+
 def annotate(df: DataFrame, contract: TableContract) -> DataFrame:
-    """Add ``reasons`` (array of string) and ``verdict`` to every row."""
-    found = [F.when(r.violated(), F.lit(r.reason)) for r in contract.rules]
-    reasons = F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
-    out = _with_lookups(df, contract).withColumn(REASONS, reasons)
+    """Add to every row ``reasons`` (array of string), ``verdict`` and the flags.
+
+    Each rule is tested once, into its flag; reasons, verdict and counts are made of
+    flags. Only conditionals and ``concat``, which Spark compiles: a higher-order
+    function such as ``array_compact`` would take the row out of generated code.
+    """
+    nothing = F.array().cast("array<string>")
+    broken = [F.col(f"`{_flag(r)}`") for r in contract.rules]
+    any_broken = reduce(or_, broken, F.lit(False))
+    found = [
+        F.when(b, F.array(F.lit(r.reason))).otherwise(nothing)
+        for b, r in zip(broken, contract.rules, strict=True)
+    ]
+    out = _with_lookups(df, contract).withColumns(
+        {_flag(r): r.violated() for r in contract.rules}
+    )
     for rule in _references(contract):
         out = rule.detach(out)
-    clean = F.size(REASONS) == 0
-    return out.withColumn(VERDICT, F.when(clean, F.lit(ACCEPTED)).otherwise(F.lit(REJECTED)))
+    return out.withColumns(
+        {
+            REASONS: F.when(any_broken, F.concat(nothing, *found)).otherwise(nothing),
+            VERDICT: F.when(any_broken, F.lit(REJECTED)).otherwise(F.lit(ACCEPTED)),
+        }
+    )
 
 
 def accepted(df: DataFrame, contract: TableContract) -> DataFrame:
@@ -54,7 +82,8 @@ def accepted(df: DataFrame, contract: TableContract) -> DataFrame:
 
 def rejected(df: DataFrame, contract: TableContract) -> DataFrame:
     """The rows that break a rule, with their reasons."""
-    return annotate(df, contract).where(F.size(REASONS) > 0).drop(VERDICT, CORRUPT)
+    bad = annotate(df, contract).where(F.col(VERDICT) == REJECTED)
+    return bad.drop(VERDICT, CORRUPT, *flags(contract))
 
 
 def by_reason(quarantine: DataFrame) -> DataFrame:
@@ -65,15 +94,11 @@ def by_reason(quarantine: DataFrame) -> DataFrame:
 
 def count_columns(contract: TableContract) -> list[Column]:
     """Aggregates over an annotated frame: totals and one count per rule."""
-    clean = F.size(REASONS) == 0
     return [
         F.count(F.lit(1)).alias("scanned"),
-        F.count_if(clean).alias("accepted"),
-        F.count_if(~clean).alias("rejected"),
-        *[
-            F.count_if(F.array_contains(REASONS, r.reason)).alias(r.reason)
-            for r in contract.rules
-        ],
+        F.count_if(F.col(VERDICT) == ACCEPTED).alias("accepted"),
+        F.count_if(F.col(VERDICT) == REJECTED).alias("rejected"),
+        *[F.count_if(F.col(f"`{_flag(r)}`")).alias(r.reason) for r in contract.rules],
     ]
 
 

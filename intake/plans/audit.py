@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from intake.sources.files import exists
+from intake.sources.local import rows_frame
 
 SCHEMA = T.StructType(
     [
@@ -45,12 +46,11 @@ class AuditLog:
         self.path = path
 
     def append(self, spark: SparkSession, row: dict) -> None:
-        one = spark.createDataFrame([tuple(row.get(c) for c in SCHEMA.names)], SCHEMA)
-        one.coalesce(1).write.mode("append").parquet(self.path)
+        rows_frame(spark, [row], SCHEMA).write.mode("append").parquet(self.path)
 
     def read(self, spark: SparkSession) -> DataFrame:
         if not exists(spark, self.path):
-            return spark.createDataFrame([], SCHEMA)
+            return rows_frame(spark, [], SCHEMA)
         return spark.read.schema(SCHEMA).parquet(self.path)
 
     @contextmanager

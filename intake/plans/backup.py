@@ -18,6 +18,7 @@ from intake.contracts import TableContract
 from intake.functions.checksum import SUM_TYPE, checksum
 from intake.plans.load import load
 from intake.sources.files import delete, exists
+from intake.sources.local import rows_frame
 from intake.sources.tables import Table
 
 LATEST = "latest"
@@ -80,26 +81,34 @@ def backup(
     if exists(spark, _published(root, snapshot)):
         raise ValueError(f"snapshot {snapshot} already exists under {root}")
 
-    def write(name: str) -> tuple:
+    def write(name: str) -> dict:
         df = _frame(spark, sources[name])
         seen = Observation()
         path = f"{_data(root, snapshot)}/{name}"
         counted = df.observe(seen, F.count(F.lit(1)).alias("n"), checksum(df).alias("sum"))
         counted.write.format(fmt).mode("overwrite").save(path)
         got = seen.get
-        return (snapshot, name, path, fmt, got["n"], got["sum"], df.schema.json(), created)
+        return {
+            "snapshot_id": snapshot,
+            "table_name": name,
+            "path": path,
+            "format": fmt,
+            "n_rows": got["n"],
+            "checksum": got["sum"],
+            "schema_json": df.schema.json(),
+            "created_at": created,
+        }
 
     with ThreadPoolExecutor(max_workers=parallel) as pool:
         rows = list(pool.map(inheritable_thread_target(spark)(write), names))
-    manifest = spark.createDataFrame(rows, MANIFEST)
-    published = manifest.drop("snapshot_id").coalesce(1)
-    published.write.mode("overwrite").parquet(_published(root, snapshot))
+    manifest = rows_frame(spark, rows, MANIFEST)
+    manifest.drop("snapshot_id").write.mode("overwrite").parquet(_published(root, snapshot))
     return manifest
 
 
 def read_manifest(spark: SparkSession, root: str) -> DataFrame:
     if not exists(spark, _manifest_path(root)):
-        return spark.createDataFrame([], MANIFEST)
+        return rows_frame(spark, [], MANIFEST)
     return spark.read.schema(MANIFEST).parquet(_manifest_path(root))
 
 

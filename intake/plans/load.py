@@ -11,11 +11,12 @@ from intake.contracts import TableContract
 from intake.operators.dedupe import (
     BROADCAST_LIMIT,
     duplicate_report,
-    first_per_key,
+    key_bytes,
     key_stats,
     new_rows,
 )
 from intake.sources.tables import Table
+from intake.workspace import run_dir
 
 
 @dataclass(frozen=True)
@@ -40,28 +41,46 @@ def load(
 ) -> LoadResult:
     """Append the rows of ``batch`` whose key is new; the first row of a key wins.
 
-    ``batch`` is read several times (key range, known keys, rows) and should be a
-    stored table such as the staged Parquet. A contract without a key appends
-    every row. ``on_duplicate`` decides about repeated keys: ``skip`` leaves them
-    out, ``report`` also returns them, ``error`` refuses the whole batch.
+    Keys are settled before any row moves: a report of the keys that repeat or are
+    already loaded is written to the shared folder. Its measured size then decides
+    how rows are picked; a batch without such keys is appended as it is. ``batch``
+    is read several times, so it should be a stored table (the staged Parquet).
+
+    ``on_duplicate``: ``skip`` leaves repeated keys out, ``report`` also returns
+    them, ``error`` refuses the whole batch. A contract without a key appends
+    every row.
     """
     if not contract.key:
-        return LoadResult(*(_append(batch, target, batch_id),) * 2)
+        n = _append(batch, target, batch_id)
+        return LoadResult(n, n)
 
     key = contract.key
     stats = key_stats(batch, key)
+    if stats.n_null:
+        raise ValueError(f"{contract.name}: {stats.n_null} rows without a key")
     existing = target.rows(spark, except_batch=batch_id)
-    duplicates = None
-    if contract.on_duplicate != "skip":
-        duplicates = duplicate_report(batch, existing, key, stats, broadcast_limit)
-    if contract.on_duplicate == "error":
-        n = duplicates.count()
-        if n:
-            raise ValueError(f"{contract.name}: {n} keys repeat or are already loaded")
-    unique = first_per_key(batch, key, contract.order_by)
-    fresh = new_rows(unique, existing, key, stats, broadcast_limit)
+    report = duplicate_report(batch, existing, key, stats, broadcast_limit)
+    path = run_dir(spark, f"duplicates-{contract.name}")
+    seen = Observation()
+    size = F.coalesce(F.sum(key_bytes(report, key)), F.lit(0))
+    counted = report.observe(seen, F.count(F.lit(1)).alias("n"), size.alias("bytes"))
+    counted.write.parquet(path)
+    n_duplicates, n_bytes = seen.get["n"], seen.get["bytes"]
+
+    if n_duplicates and contract.on_duplicate == "error":
+        raise ValueError(
+            f"{contract.name}: {n_duplicates} keys repeat or are already loaded, see {path}"
+        )
+    duplicates = spark.read.schema(report.schema).parquet(path)
+    fresh = batch
+    if n_duplicates:
+        # Few repeated keys: leave all other rows where they are. A hot key is one
+        # key here, however many rows it has.
+        small = n_bytes <= broadcast_limit and n_duplicates * 10 <= stats.n_rows
+        fresh = new_rows(batch, duplicates, key, contract.order_by, small)
     loaded = _append(fresh, target, batch_id)
-    return LoadResult(stats.n_rows, loaded, duplicates)
+    wanted = contract.on_duplicate == "report"
+    return LoadResult(stats.n_rows, loaded, duplicates if wanted else None)
 
 
 def _append(df: DataFrame, target: Table, batch_id: str) -> int:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from intake.sources.files import exists
+from intake.sources.local import rows_frame
 
 BATCH = "batch_id"
 
@@ -40,7 +41,7 @@ class ParquetTable:
     def read(self, spark: SparkSession) -> DataFrame:
         schema = T.StructType(list(self.schema.fields)).add(BATCH, T.StringType())
         if not exists(spark, self.path):
-            return spark.createDataFrame([], schema)
+            return rows_frame(spark, [], schema)
         return spark.read.schema(schema).parquet(self.path)
 
     def rows(self, spark: SparkSession, except_batch: str | None = None) -> DataFrame:

@@ -193,7 +193,9 @@ lists AS (
 vals AS (
   SELECT o_orderkey, CAST(i AS INTEGER) AS form, vs[i + 1] AS v
   FROM lists, range(16) AS r(i))
-SELECT o_orderkey, form, {lenient('v')} AS lenient, {strict('v')} AS strict FROM vals""",
+SELECT o_orderkey, form,
+  ({lenient('v')}) IS NOT NULL AS lenient_ok, coalesce({lenient('v')}, 0) AS lenient,
+  ({strict('v')}) IS NOT NULL AS strict_ok, coalesce({strict('v')}, 0) AS strict FROM vals""",
     "q26_ingest_file": TYPED,
     "q27_ingest_many_tables": f"WITH {LANDING} "
     + _union(

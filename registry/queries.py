@@ -153,8 +153,10 @@ def lenient_cast(spark, sf_dir):
     return values.select(
         "o_orderkey",
         "form",
-        int_lenient("v").alias("lenient"),
-        int_strict("v").alias("strict"),
+        int_lenient("v").isNotNull().alias("lenient_ok"),
+        F.coalesce(int_lenient("v"), F.lit(0)).alias("lenient"),
+        int_strict("v").isNotNull().alias("strict_ok"),
+        F.coalesce(int_strict("v"), F.lit(0)).alias("strict"),
     )
 
 
