@@ -1,0 +1,207 @@
+"""Duplicates and loading, against brute force and under skew."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from intake.contracts import Field, TableContract
+from intake.operators.dedupe import duplicate_report, first_per_key, key_stats, new_rows
+from intake.operators.rules import NotNull
+from intake.plans.load import load
+from intake.sources.tables import JdbcTable, ParquetTable, batch_path
+
+T2 = TableContract(
+    "t2",
+    (Field("id", "int"), Field("name"), Field("rank", "int")),
+    rules=(NotNull("id"),),
+    key=("id",),
+    order_by=("rank",),
+)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, T2.table_schema)
+
+
+def table_at(folder):
+    return ParquetTable(f"{folder}/t2", T2.table_schema)
+
+
+def content(spark, target):
+    return sorted(tuple(r) for r in target.rows(spark).collect())
+
+
+def hot_rows(n=3000, keys=200, seed=7):
+    """A third of all rows share one key."""
+    rng = random.Random(seed)
+    return [
+        (0 if i % 3 == 0 else rng.randrange(1, keys), f"n{rng.randrange(50)}", rng.randrange(40))
+        for i in range(n)
+    ]
+
+
+def brute_first(rows):
+    best = {}
+    for row in rows:
+        order = (row[2], row[1])
+        if row[0] not in best or order < best[row[0]][0]:
+            best[row[0]] = (order, row)
+    return sorted(r for _, r in best.values())
+
+
+def test_first_per_key_under_skew(spark):
+    rows = hot_rows()
+    got = first_per_key(frame(spark, rows).repartition(6), ["id"], ["rank"])
+    assert sorted(tuple(r) for r in got.collect()) == brute_first(rows)
+
+
+def test_hot_key_is_cut_before_the_shuffle(spark, plan):
+    tree = plan(first_per_key(frame(spark, hot_rows()), ["id"], ["rank"])).split("\n\n")[0]
+    lines = [line for line in tree.splitlines() if "WindowGroupLimit" in line or "Exchange" in line]
+    assert [line.strip(" +-:").split(" ")[0] for line in lines] == [
+        "WindowGroupLimit",
+        "Exchange",
+        "WindowGroupLimit",
+    ]
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 25])
+def test_report_and_new_rows_equal_brute_force(spark, limit):
+    rows, held = hot_rows(), [(k, "old", 0) for k in range(0, 400, 5)]
+    batch, target = frame(spark, rows), frame(spark, held)
+    report = duplicate_report(batch, target, ["id"], key_stats(batch, ["id"]), limit)
+    counts = {}
+    for row in rows:
+        counts[row[0]] = counts.get(row[0], 0) + 1
+    known = {k for k, _, _ in held}
+    want = {k: (n, k in known) for k, n in counts.items() if n > 1 or k in known}
+    assert {r.id: (r.n_in_batch, r.in_target) for r in report.collect()} == want
+    fresh = new_rows(batch, report, ["id"], ["rank"], small=limit > 0)
+    assert sorted(tuple(r) for r in fresh.collect()) == [
+        r for r in brute_first(rows) if r[0] not in known
+    ]
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 25])
+def test_existing_rows_win_and_a_repeat_adds_nothing(spark, folder, limit):
+    target = table_at(folder)
+    load(spark, frame(spark, [(2, "old", 0)]), target, T2, "before")
+    batch = frame(spark, [(i, "new", 0) for i in range(8)] + [(3, "late", 9)])
+    for _ in range(2):
+        done = load(spark, batch, target, T2, "now", limit)
+        assert (done.read, done.loaded, done.skipped) == (9, 7, 2)
+    again = load(spark, batch, target, T2, "next", limit)
+    assert (again.loaded, again.skipped) == (0, 9)
+    assert content(spark, target) == [(i, "old" if i == 2 else "new", 0) for i in range(8)]
+
+
+def test_clean_batch_is_appended_without_shuffle_of_rows(spark, folder):
+    done = load(spark, frame(spark, [(i, "n", i) for i in range(50)]), table_at(folder), T2, "b")
+    assert (done.loaded, done.skipped) == (50, 0)
+
+
+def test_report_and_error_modes(spark, folder):
+    target = table_at(folder)
+    load(spark, frame(spark, [(1, "a", 0)]), target, T2, "b1")
+    batch = frame(spark, [(1, "b", 0), (2, "c", 0), (2, "d", 1)])
+    with pytest.raises(ValueError, match="2 keys repeat"):
+        load(spark, batch, target, T2.but(on_duplicate="error"), "b2")
+    assert content(spark, target) == [(1, "a", 0)]
+    done = load(spark, batch, target, T2.but(on_duplicate="report"), "b2")
+    assert sorted(tuple(r) for r in done.duplicates.collect()) == [(1, 1, True), (2, 2, False)]
+    assert content(spark, target) == [(1, "a", 0), (2, "c", 0)]
+
+
+def test_null_keys_are_refused(spark, folder):
+    with pytest.raises(ValueError, match="1 rows without a key"):
+        load(spark, frame(spark, [(None, "a", 0), (1, "b", 0)]), table_at(folder), T2, "b")
+
+
+def test_no_key_appends_everything(spark, folder):
+    contract, target = T2.but(key=()), table_at(folder)
+    for batch_id in ("b1", "b2"):
+        assert load(spark, frame(spark, [(1, "a", 0)] * 2), target, contract, batch_id).loaded == 2
+    assert len(content(spark, target)) == 4
+
+
+def test_target_scan_reads_only_keys_in_range(spark, folder, plan):
+    target = table_at(folder)
+    target.append(frame(spark, [(i, "n", 0) for i in range(100)]), "b1")
+    batch = frame(spark, [(5, "x", 0), (9, "y", 0)])
+    stats = key_stats(batch, ["id"])
+    assert (stats.n_rows, stats.low, stats.high) == (2, 5, 9)
+    report = duplicate_report(batch, target.rows(spark, "b2"), ["id"], stats)
+    text = plan(report)
+    scan = text[text.index("Scan parquet") :]
+    assert "ReadSchema: struct<id:int>" in scan
+    assert "GreaterThanOrEqual(id,5)" in scan and "LessThanOrEqual(id,9)" in scan
+    assert "NOT (batch_id" in scan
+    # Beyond the broadcast limit both sides are shuffled on the key instead.
+    wide = plan(duplicate_report(batch.hint("merge"), target.rows(spark), ["id"], stats, 0))
+    assert "Exchange" in wide
+
+
+def test_composite_keys_and_text_keys(spark, folder):
+    contract = TableContract(
+        "c",
+        (Field("a"), Field("b", "int"), Field("v")),
+        rules=(NotNull("a"), NotNull("b")),
+        key=("a", "b"),
+    )
+    target = ParquetTable(f"{folder}/c", contract.table_schema)
+    rows = [("x", 1, "p"), ("x", 2, "q"), ("y", 1, "r"), ("x", 1, "s")]
+    batch = spark.createDataFrame(rows, contract.table_schema)
+    assert load(spark, batch, target, contract, "b1").loaded == 3
+    assert load(spark, batch, target, contract, "b2").loaded == 0
+    assert content(spark, target) == [("x", 1, "p"), ("x", 2, "q"), ("y", 1, "r")]
+
+
+def test_failed_write_is_repaired_by_a_repeat(spark, folder):
+    target = table_at(folder)
+    bad = frame(spark, [(1, "a", 0), (2, "b", 0)]).withColumn(
+        "name", F.when(F.col("id") == 2, F.raise_error(F.lit("lost"))).otherwise(F.col("name"))
+    )
+    with pytest.raises(Exception, match="lost"):
+        load(spark, bad, target, T2, "b1")
+    load(spark, frame(spark, [(1, "a", 0), (2, "b", 0)]), target, T2, "b1")
+    assert content(spark, target) == [(1, "a", 0), (2, "b", 0)]
+
+
+def test_batch_ids_are_plain():
+    assert batch_path("/t", "b-1.x") == "/t/batch_id=b-1.x"
+    for bad in ("", "../x", "a/b", "a b", ".hidden"):
+        with pytest.raises(ValueError, match="batch id"):
+            batch_path("/t", bad)
+
+
+def test_jdbc_options():
+    """What Spark's JDBC source is told. No database is at hand to run it."""
+    table = JdbcTable(
+        "jdbc:mysql://db/app",
+        "orders",
+        T2.table_schema,
+        {"user": "u", "driver": "d"},
+        partition_column="id",
+        num_partitions=4,
+    )
+    assert table.bounds_query() == (
+        "SELECT MIN(id) AS low_key, MAX(id) AS high_key FROM orders"
+    )
+    assert table.read_options(1, 9) == {
+        "url": "jdbc:mysql://db/app",
+        "user": "u",
+        "driver": "d",
+        "dbtable": "orders",
+        "fetchsize": "10000",
+        "partitionColumn": "id",
+        "lowerBound": "1",
+        "upperBound": "9",
+        "numPartitions": "4",
+    }
+    assert "partitionColumn" not in table.read_options()  # an empty table has no bounds
+    assert table.write_options()["batchsize"] == "10000"
+    assert "truncate" not in table.write_options()
+    assert table.write_options(truncate=True)["truncate"] == "true"
+    with pytest.raises(ValueError, match="plain identifier"):
+        JdbcTable("jdbc:x", "t; DROP TABLE t", T2.table_schema)
