@@ -21,7 +21,6 @@ SCHEMA = T.StructType(
         T.StructField("table_name", T.StringType()),
         T.StructField("batch_id", T.StringType()),
         T.StructField("status", T.StringType()),
-        T.StructField("day", T.StringType()),
         T.StructField("started_at", T.TimestampType()),
         T.StructField("finished_at", T.TimestampType()),
         T.StructField("scanned", T.LongType()),
@@ -32,6 +31,7 @@ SCHEMA = T.StructType(
         T.StructField("violations", T.MapType(T.StringType(), T.LongType())),
         T.StructField("schema_json", T.StringType()),
         T.StructField("error", T.StringType()),
+        T.StructField("day", T.StringType()),
     ]
 )
 
@@ -40,13 +40,14 @@ FAILED = "failed"
 
 
 class AuditLog:
-    """Append-only Parquet log. Rows are never changed, attempts add up."""
+    """Append-only Parquet log, by day. Rows are never changed, attempts add up."""
 
     def __init__(self, path: str):
         self.path = path
 
     def append(self, spark: SparkSession, row: dict) -> None:
-        rows_frame(spark, [row], SCHEMA).write.mode("append").parquet(self.path)
+        one = rows_frame(spark, [row], SCHEMA)
+        one.write.mode("append").partitionBy("day").parquet(self.path)
 
     def read(self, spark: SparkSession) -> DataFrame:
         if not exists(spark, self.path):

@@ -10,7 +10,7 @@ from datetime import UTC, datetime
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -112,7 +112,7 @@ def read_manifest(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(MANIFEST).parquet(_manifest_path(root))
 
 
-def _entry(spark: SparkSession, root: str, table: str, snapshot_id: str):
+def _entry(spark: SparkSession, root: str, table: str, snapshot_id: str) -> Row:
     entries = read_manifest(spark, root).where(F.col("table_name") == table)
     if snapshot_id != LATEST:
         entries = entries.where(F.col("snapshot_id") == snapshot_id)
@@ -125,7 +125,10 @@ def _entry(spark: SparkSession, root: str, table: str, snapshot_id: str):
 def read_snapshot(
     spark: SparkSession, root: str, table: str, snapshot_id: str = LATEST
 ) -> DataFrame:
-    entry = _entry(spark, root, table, snapshot_id)
+    return _load(spark, _entry(spark, root, table, snapshot_id))
+
+
+def _load(spark: SparkSession, entry: Row) -> DataFrame:
     schema = T.StructType.fromJson(json.loads(entry["schema_json"]))
     return spark.read.format(entry["format"]).schema(schema).load(entry["path"])
 
@@ -133,12 +136,11 @@ def read_snapshot(
 def verify(spark: SparkSession, root: str, snapshot_id: str) -> DataFrame:
     """Read a snapshot back: rows and checksum found against those recorded."""
     entries = read_manifest(spark, root).where(F.col("snapshot_id") == snapshot_id)
-    names = [r["table_name"] for r in entries.select("table_name").collect()]
-    if not names:
+    tables = entries.collect()
+    if not tables:
         raise ValueError(f"no snapshot {snapshot_id!r} under {root}")
     found = reduce(
-        DataFrame.unionByName,
-        (_measure(read_snapshot(spark, root, n, snapshot_id), n) for n in names),
+        DataFrame.unionByName, (_measure(_load(spark, t), t["table_name"]) for t in tables)
     )
     same = (F.col("n_rows") == F.col("rows_found")) & (F.col("checksum") == F.col("sum_found"))
     return entries.join(found, "table_name").select(
@@ -168,7 +170,7 @@ def restore(
     failure: the snapshot itself is never touched.
     """
     entry = _entry(spark, root, table, snapshot_id)
-    rows = read_snapshot(spark, root, table, entry["snapshot_id"])
+    rows = _load(spark, entry)
     if mode == "append":
         if contract is None or not contract.key:
             raise ValueError("restore by append needs a contract with a key")

@@ -9,6 +9,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Staging writes a file or two per input split; larger splits, fewer small files.
+    "spark.sql.files.maxPartitionBytes": "256m",
     # A staging task writes accepted and rejected rows side by side, with no sort.
     "spark.sql.maxConcurrentOutputFileWriters": "8",
     "spark.ui.enabled": "false",

@@ -13,24 +13,22 @@ from intake.functions.keys import PASS, UNKNOWN_TABLE, WRONG_TYPE, key_verdict,
 from intake.operators.rules import CORRUPT, WellFormed
 
 
+def _wants_raw_line(contract: TableContract) -> bool:
+    return any(isinstance(r, WellFormed) for r in contract.rules)
+
+
 def _schema(contract: TableContract) -> T.StructType:
     """The declared columns, plus the raw line where a rule asks for it."""
     schema = contract.landing_schema
-    if any(isinstance(r, WellFormed) for r in contract.rules):
-        schema = schema.add(CORRUPT, T.StringType())
-    return schema
+    return schema.add(CORRUPT, T.StringType()) if _wants_raw_line(contract) else schema
 
 
 def _options(contract: TableContract) -> dict[str, str]:
-    # Without column pruning Spark sees every field of a line, so a short or
-    # long line is noticed whichever columns the query goes on to use.
-    return {
-        "sep": contract.delimiter,
-        "header": "false",
-        "mode": "PERMISSIVE",
-        "columnNameOfCorruptRecord": CORRUPT,
-        "columnPruning": "false",
-    }
+    options = {"sep": contract.delimiter, "header": "false", "mode": "PERMISSIVE"}
+    if _wants_raw_line(contract):
+        # A pruned scan cannot see that a line is short or long.
+        options |= {"columnNameOfCorruptRecord": CORRUPT, "columnPruning": "false"}
+    return options
 
 
 def read_landing(

@@ -1,14 +1,17 @@
 """Duplicates and loading, against brute force and under skew."""
 
 import random
+from dataclasses import dataclass
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from intake.contracts import Field, TableContract
 from intake.operators.dedupe import duplicate_report, first_per_key, key_stats, new_rows
 from intake.operators.rules import NotNull
 from intake.plans.load import load
+from intake.sources.files import exists
 from intake.sources.tables import JdbcTable, ParquetTable, batch_path
 
 T2 = TableContract(
@@ -168,6 +171,42 @@ def test_failed_write_is_repaired_by_a_repeat(spark, folder):
     assert content(spark, target) == [(1, "a", 0), (2, "b", 0)]
 
 
+@dataclass(frozen=True)
+class KeyedTable:
+    """Stands in for a database table: no batches, and a key that may not repeat."""
+
+    path: str
+    schema: T.StructType
+    lose_after: int | None = None
+
+    def rows(self, spark, except_batch=None):
+        if not exists(spark, self.path):
+            return spark.createDataFrame([], self.schema)
+        return spark.read.schema(self.schema).parquet(self.path)
+
+    def append(self, df, batch_id):
+        spark = df.sparkSession
+        rows = df.select(*self.schema.fieldNames())
+        assert rows.join(self.rows(spark), "id", "left_semi").isEmpty(), "key exists"
+        assert rows.count() == rows.select("id").distinct().count(), "key repeats"
+        if self.lose_after is not None:
+            rows.where(F.col("id") < self.lose_after).write.mode("append").parquet(self.path)
+            raise ConnectionError("connection lost")
+        rows.write.mode("append").parquet(self.path)
+
+
+def test_half_written_table_without_batches_converges(spark, folder):
+    """As with a database: each partition commits by itself, then one fails."""
+    path = f"{folder}/t2"
+    batch = frame(spark, [(i, "new", 0) for i in range(8)] + [(3, "late", 9)])
+    with pytest.raises(ConnectionError):
+        load(spark, batch, KeyedTable(path, T2.table_schema, lose_after=5), T2, "b1")
+    target = KeyedTable(path, T2.table_schema)
+    assert target.rows(spark).count() == 5
+    load(spark, batch, target, T2, "b1")
+    assert content(spark, target) == [(i, "new", 0) for i in range(8)]
+
+
 def test_batch_ids_are_plain():
     assert batch_path("/t", "b-1.x") == "/t/batch_id=b-1.x"
     for bad in ("", "../x", "a/b", "a b", ".hidden"):

@@ -163,5 +163,34 @@ def test_one_scan_in_generated_code(spark, scan, plan):
     assert "* Project" in tree  # the star marks whole-stage code generation
 
 
+def test_hot_value_of_a_large_reference_is_split(spark, plan):
+    """A third of the rows refer to one key, a third to none; no side is broadcast."""
+    session = spark.newSession()
+    for name, value in {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4096",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4096",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }.items():
+        session.conf.set(name, value)
+    n = 60_000
+    k = F.when(F.col("id") % 3 == 0, "7").when(F.col("id") % 3 == 1, F.col("id").cast("string"))
+    rows = session.range(0, n, 1, 8).select(k.alias("k"), F.col("id").cast("string").alias("v"))
+    dim = session.range(0, n, 1, 8).where("id % 2 = 1")
+    contract = TableContract(
+        "t",
+        (Field("k"), Field("v")),
+        rules=(References("k", dimension=dim, key="id", data_type="bigint"),),
+    )
+    found = annotate(rows, contract).select("verdict", "v")
+    got = {r.verdict: r["count"] for r in found.groupBy("verdict").count().collect()}
+    bad = sum(1 for i in range(n) if i % 3 == 1 and i % 2 == 0)
+    assert got == {"accepted": n - bad, "rejected": bad}
+    found.collect()
+    assert "skew=true" in plan(found).replace(" ", "").lower()
+
+
 def test_fixture_without_csv_gives_the_same_rows(spark, scan):
     assert same_rows(landing(spark, SF_DIR), scan)
