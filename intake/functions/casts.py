@@ -18,42 +18,44 @@ INT_DIGITS = rf"^{BLANKS}([+-]?[0-9]+)"
 INT_CONTENT = r"[0-9.]"
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def quoted(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
 
 
-def int_strict(c: Column | str) -> Column:
+def int_strict(column: str) -> Column:
     """``try_cast`` to int: whole numbers in range, else null."""
-    return _col(c).try_cast("int")
+    return F.expr(f"try_cast({quoted(column)} AS INT)")
 
 
-def int_lenient(c: Column | str) -> Column:
+def int_lenient(column: str) -> Column:
     """The classic cast to int: a fraction is cut off, a bad string is null.
 
     The strict cast answers for well-formed numbers; only the strings it
     refuses reach the patterns, so clean data pays for one parse.
     """
-    c = _col(c)
-    digits = F.nullif(F.regexp_extract(c, INT_DIGITS, 1), F.lit(""))
-    fraction = F.when(
-        c.rlike(INT_SHAPE) & c.rlike(INT_CONTENT),
-        F.coalesce(digits, F.lit("0")).try_cast("int"),
+    c = quoted(column)
+    return F.expr(
+        f"""coalesce(
+          try_cast({c} AS INT),
+          CASE WHEN {c} RLIKE r'{INT_SHAPE}' AND {c} RLIKE r'{INT_CONTENT}'
+               THEN try_cast(
+                 coalesce(nullif(regexp_extract({c}, r'{INT_DIGITS}', 1), ''), '0') AS INT)
+          END)"""
     )
-    return F.coalesce(int_strict(c), fraction)
 
 
-def int_cast(c: Column | str, mode: str = "lenient") -> Column:
+def int_cast(column: str, mode: str = "lenient") -> Column:
     if mode == "lenient":
-        return int_lenient(c)
+        return int_lenient(column)
     if mode == "strict":
-        return int_strict(c)
+        return int_strict(column)
     raise ValueError(f"unknown cast mode {mode!r}: use 'lenient' or 'strict'")
 
 
-def typed_value(c: Column | str, data_type: str, mode: str = "lenient") -> Column:
+def typed_value(column: str, data_type: str, mode: str = "lenient") -> Column:
     """A landing string as a value of ``data_type``; null where it does not fit."""
     if data_type == "string":
-        return _col(c)
+        return F.col(quoted(column))
     if data_type == "int":
-        return int_cast(c, mode)
-    return _col(c).try_cast(data_type)
+        return int_cast(column, mode)
+    return F.expr(f"try_cast({quoted(column)} AS {data_type})")

@@ -15,7 +15,7 @@ SF_DIR = "/root/testdata/sf0.001"
 def spark(tmp_path_factory):
     session = (
         builder("tests")
-        .master("local[8]")
+        .master("local[8,2]")  # a task may fail once and is run again
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .config("spark.ui.showConsoleProgress", "false")

@@ -104,6 +104,18 @@ def test_clean_batch_is_appended_without_shuffle_of_rows(spark, folder):
     assert (done.loaded, done.skipped) == (50, 0)
 
 
+def test_few_duplicates_leave_unique_rows_in_place(spark, folder, plan):
+    rows = [(i, "n", 0) for i in range(2000)] + [(7, "m", 1)]
+    frame(spark, rows).write.parquet(f"{folder}/batch")
+    batch = spark.read.schema(T2.table_schema).parquet(f"{folder}/batch")
+    report = spark.createDataFrame([(7, 2, False), (9, 1, True)], "id int, n int, in_target boolean")
+    fresh = new_rows(batch, report, ["id"], ["rank"], small=True)
+    assert fresh.count() == 1999
+    unique, repeated = plan(fresh).split("\n\n")[0].split("Window (")
+    assert "BroadcastHashJoin LeftAnti" in unique and "- Exchange" not in unique
+    assert repeated.count("- Exchange") == 1 and "WindowGroupLimit" in repeated
+
+
 def test_report_and_error_modes(spark, folder):
     target = table_at(folder)
     load(spark, frame(spark, [(1, "a", 0)]), target, T2, "b1")

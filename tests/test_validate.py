@@ -1,6 +1,7 @@
 """Rules, reasons, counts, staging: one scan, nothing lost."""
 
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from intake.contracts import Field, TableContract, contract_for, landing_contract
@@ -194,3 +195,30 @@ def test_hot_value_of_a_large_reference_is_split(spark, plan):
 
 def test_fixture_without_csv_gives_the_same_rows(spark, scan):
     assert same_rows(landing(spark, SF_DIR), scan)
+
+
+def lose_first_attempts(df):
+    """Every task of ``df`` fails at its end, once, after giving out all rows."""
+
+    def run(batches):
+        yield from batches
+        if TaskContext.get().attemptNumber() == 0:
+            raise RuntimeError("executor lost")
+
+    return df.mapInPandas(run, df.schema)
+
+
+def test_rows_and_counts_survive_lost_tasks(spark, scan, folder):
+    counts = validate(lose_first_attempts(scan.repartition(4)), ORDERS, folder, "b1")
+    assert (counts.scanned, counts.accepted, counts.rejected) == (SCANNED, ACCEPTED, 123)
+    assert counts.violations == BROKEN
+    assert same_rows(read_staged(spark, folder, ORDERS), accepted(scan, ORDERS))
+
+
+def test_counts_survive_lost_tasks_behind_a_join(spark, scan, folder):
+    dim = spark.range(0, 6).withColumnRenamed("id", "key")
+    rule = References("department_id", dimension=dim, key="key", data_type="int")
+    contract = ORDERS.but(rules=(*ORDERS.rules, rule))
+    want = {r.reason: r.n_violations for r in violation_counts(scan, contract).collect()}
+    counts = validate(lose_first_attempts(scan.repartition(4)), contract, folder, "b1")
+    assert counts.violations == want and counts.scanned == SCANNED
