@@ -91,25 +91,6 @@ def in_range(target: DataFrame, key: Sequence[str], stats: KeyStats | None) -> D
     return target.where(F.col(key[0]).between(low, high))
 
 
-def known_keys(
-    batch: DataFrame,
-    target: DataFrame,
-    key: Sequence[str],
-    stats: KeyStats | None = None,
-    broadcast_limit: int = BROADCAST_LIMIT,
-) -> DataFrame:
-    """Keys of the batch that the target already holds.
-
-    The big side is the target, so it is the one that should not move: when the
-    batch's keys are measured to be small they are broadcast to the target scan.
-    Otherwise both sides shuffle on the key.
-    """
-    keys = batch.select(*key).distinct()
-    if stats is not None and stats.n_bytes <= broadcast_limit:
-        keys = F.broadcast(keys)
-    return in_range(target.select(*key), key, stats).join(keys, list(key), "left_semi")
-
-
 def duplicate_report(
     batch: DataFrame,
     target: DataFrame,
@@ -120,14 +101,20 @@ def duplicate_report(
     """Keys that repeat in the batch or already exist in the target.
 
     Columns: the key, ``n_in_batch`` (rows of the batch) and ``in_target``. Only key
-    columns are read and shuffled, counted per task first.
+    columns are read and shuffled, each side reduced to its keys per task first.
+
+    The target is the big side, so it should not move: when the batch's keys are
+    measured to be small they are broadcast to the target scan and only matches go
+    on. Otherwise the two sets of keys meet by a shuffle, or where a bucketed target
+    has them already.
     """
-    found = known_keys(batch, target, key, stats, broadcast_limit)
-    found = found.distinct().withColumn("in_target", F.lit(True))
+    counts = batch.groupBy(*key).agg(F.count(F.lit(1)).alias("n_in_batch"))
+    held = in_range(target.select(*key), key, stats)
+    if stats is not None and stats.n_bytes <= broadcast_limit:
+        held = held.join(F.broadcast(counts.select(*key)), list(key), "left_semi")
+    held = held.distinct().withColumn("in_target", F.lit(True))
     return (
-        batch.groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("n_in_batch"))
-        .join(found, list(key), "left")
+        counts.join(held, list(key), "left")
         .withColumn("in_target", F.coalesce("in_target", F.lit(False)))
         .where("n_in_batch > 1 or in_target")
     )

@@ -51,7 +51,7 @@ def load(
     every row.
     """
     if not contract.key:
-        n = _append(batch, target, batch_id)
+        n = target.append(batch, batch_id)
         return LoadResult(n, n)
 
     key = contract.key
@@ -78,12 +78,7 @@ def load(
         # key here, however many rows it has.
         small = n_bytes <= broadcast_limit and n_duplicates * 10 <= stats.n_rows
         fresh = new_rows(batch, duplicates, key, contract.order_by, small)
-    loaded = _append(fresh, target, batch_id)
+    loaded = target.append(fresh, batch_id)
     wanted = contract.on_duplicate == "report"
     return LoadResult(stats.n_rows, loaded, duplicates if wanted else None)
 
-
-def _append(df: DataFrame, target: Table, batch_id: str) -> int:
-    seen = Observation()
-    target.append(df.observe(seen, F.count(F.lit(1)).alias("n")), batch_id)
-    return seen.get["n"]

@@ -1,7 +1,8 @@
-"""Serving tables: a Parquet folder or a JDBC table.
+"""Serving tables: a Parquet folder, a bucketed catalog table or a JDBC table.
 
-Both offer the same four steps: ``read`` (everything, for a backup), ``rows``
-(the declared columns), ``append`` one batch and ``replace`` the content.
+All offer the same four steps: ``read`` (everything, for a backup), ``rows``
+(the declared columns), ``append`` one batch and ``replace`` the content. An
+append returns the number of rows written.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +27,16 @@ def batch_path(root: str, batch_id: str) -> str:
     return f"{root}/{BATCH}={batch_id}"
 
 
+def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """Count rows on their way to a writer.
+
+    To be the last step before it: no shuffle may follow, since a task that feeds a
+    shuffle is counted again if it is run again.
+    """
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
+
+
 @dataclass(frozen=True)
 class ParquetTable:
     """A folder with one partition per loaded batch.
@@ -50,9 +61,10 @@ class ParquetTable:
             df = df.where(F.col(BATCH) != except_batch)
         return df.select(*self.schema.fieldNames())
 
-    def append(self, df: DataFrame, batch_id: str) -> None:
-        rows = df.select(*self.schema.fieldNames())
+    def append(self, df: DataFrame, batch_id: str) -> int:
+        rows, seen = _counted(df.select(*self.schema.fieldNames()))
         rows.write.mode("overwrite").parquet(batch_path(self.path, batch_id))
+        return seen.get["n"]
 
     def replace(self, df: DataFrame) -> None:
         """Set the whole content; ``df`` must not read from this table."""
@@ -62,6 +74,47 @@ class ParquetTable:
         rows.write.mode("overwrite").partitionBy(BATCH).parquet(self.path)
 
 
+@dataclass(frozen=True)
+class BucketedTable:
+    """A catalog table with its files bucketed by key, for very large targets.
+
+    A load that is too big to broadcast its keys must match them with all keys of
+    the target. Here the target is already divided by key: only the batch is
+    shuffled, to the table's buckets. Choose at least as many ``buckets`` as
+    ``spark.sql.shuffle.partitions``, otherwise Spark shuffles the table after all.
+    """
+
+    name: str
+    path: str
+    schema: T.StructType
+    key: tuple[str, ...]
+    buckets: int
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        if not spark.catalog.tableExists(self.name):
+            return rows_frame(spark, [], self.schema)
+        return spark.table(self.name).select(*self.schema.fieldNames())
+
+    def rows(self, spark: SparkSession, except_batch: str | None = None) -> DataFrame:
+        """Rows already there. They carry no batch id: a repeated load skips them."""
+        return self.read(spark)
+
+    def _write(self, df: DataFrame, mode: str) -> int:
+        # One task per bucket, so that a write adds one file to each.
+        rows = df.select(*self.schema.fieldNames()).repartition(self.buckets, *self.key)
+        rows, seen = _counted(rows)
+        writer = rows.write.mode(mode).format("parquet").option("path", self.path)
+        writer.bucketBy(self.buckets, *self.key).sortBy(*self.key).saveAsTable(self.name)
+        return seen.get["n"]
+
+    def append(self, df: DataFrame, batch_id: str) -> int:
+        return self._write(df, "append")
+
+    def replace(self, df: DataFrame) -> None:
+        """Set the whole content; ``df`` must not read from this table."""
+        self._write(df, "overwrite")
+
+
 @dataclass(frozen=True)
 class JdbcTable:
     """A database table. The driver's jar must be on Spark's class path.
@@ -130,9 +183,10 @@ class JdbcTable:
         effect: a repeated load skips the keys its first attempt left behind."""
         return self.read(spark).select(*self.schema.fieldNames())
 
-    def append(self, df: DataFrame, batch_id: str) -> None:
-        rows = df.select(*self.schema.fieldNames())
+    def append(self, df: DataFrame, batch_id: str) -> int:
+        rows, seen = _counted(df.select(*self.schema.fieldNames()))
         rows.write.format("jdbc").mode("append").options(**self.write_options()).save()
+        return seen.get["n"]
 
     def replace(self, df: DataFrame) -> None:
         rows = df.select(*self.schema.fieldNames())
@@ -140,7 +194,7 @@ class JdbcTable:
         rows.write.format("jdbc").mode("overwrite").options(**options).save()
 
 
-Table = ParquetTable | JdbcTable
+Table = ParquetTable | BucketedTable | JdbcTable
 
 
 def parquet_tables(

@@ -68,6 +68,11 @@ FIRST_LINES = f"""SELECT * FROM lineitem QUALIFY row_number() OVER (
   PARTITION BY l_orderkey, l_linenumber ORDER BY {LINE_ORDER}) = 1"""
 
 
+LOADED_BEFORE = """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+  CASE WHEN o_orderstatus = 'F' THEN 'loaded before' ELSE o_orderpriority END AS o_orderpriority
+FROM orders"""
+
+
 def _union(selects) -> str:
     return " UNION ALL ".join(selects)
 
@@ -126,9 +131,7 @@ SELECT key, table_name, {_verdict("lower(key) LIKE '%.csv'")} AS verdict,
        {_verdict("key LIKE '%csv'")} AS parity_verdict FROM named""",
     "q09_stage_roundtrip": VALIDATED,
     "q10_batch_dedupe": FIRST_LINES,
-    "q11_load_skip_existing": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
-  o_orderdate, CASE WHEN o_orderstatus = 'F' THEN 'loaded before' ELSE o_orderpriority END
-  AS o_orderpriority FROM orders""",
+    "q11_load_skip_existing": LOADED_BEFORE,
     "q12_load_duplicates_report": """SELECT l_orderkey, l_linenumber, count(*) AS n_in_batch,
   bool_or(l_returnflag = 'R') AS in_target FROM lineitem GROUP BY l_orderkey, l_linenumber
   HAVING count(*) > 1 OR bool_or(l_returnflag = 'R')""",
@@ -210,4 +213,5 @@ SELECT o_orderkey, form,
   PARTITION BY l_returnflag ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey,
   l_quantity, l_extendedprice, l_discount, l_tax, l_linestatus) = 1""",
     "q30_load_twice": FIRST_LINES,
+    "q31_load_bucketed": LOADED_BEFORE,
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,7 @@ from intake.plans.load import load
 from intake.plans.requests import handle, route
 from intake.sources.landing import read_landing, write_landing
 from intake.sources.staged import read_quarantine, read_staged
-from intake.sources.tables import ParquetTable, parquet_tables
+from intake.sources.tables import BucketedTable, ParquetTable, parquet_tables
 from intake.streaming import ingest_stream
 from intake.workspace import run_dir
 from registry.fixtures import (
@@ -269,6 +270,23 @@ def load_skip_existing(spark, sf_dir):
     return target.rows(spark)
 
 
+def load_bucketed(spark, sf_dir):
+    """As above, with the keys matched in the buckets of a catalog table."""
+    orders = table(spark, sf_dir, "orders")
+    folder = run_dir(spark, "load")
+    target = BucketedTable(
+        name=f"orders_{uuid.uuid4().hex[:12]}",
+        path=f"{folder}/orders",
+        schema=ORDER_TABLE.table_schema,
+        key=ORDER_TABLE.key,
+        buckets=int(spark.conf.get("spark.sql.shuffle.partitions")),
+    )
+    before = orders.where("o_orderstatus = 'F'")
+    target.append(before.withColumn("o_orderpriority", F.lit("loaded before")), "earlier")
+    load(spark, orders, target, ORDER_TABLE, "now", broadcast_limit=0)
+    return target.rows(spark)
+
+
 def load_twice(spark, sf_dir):
     """A batch that is loaded again, and overlaps the next one, adds nothing."""
     lines = table(spark, sf_dir, "lineitem")
@@ -432,4 +450,5 @@ QUERIES: dict[str, Query] = {
     "q28_stage_dropping": stage_dropping,
     "q29_batch_dedupe_hot_key": batch_dedupe_hot_key,
     "q30_load_twice": load_twice,
+    "q31_load_bucketed": load_bucketed,
 }

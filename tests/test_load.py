@@ -1,6 +1,7 @@
 """Duplicates and loading, against brute force and under skew."""
 
 import random
+import uuid
 from dataclasses import dataclass
 
 import pytest
@@ -12,7 +13,7 @@ from intake.operators.dedupe import duplicate_report, first_per_key, key_stats,
 from intake.operators.rules import NotNull
 from intake.plans.load import load
 from intake.sources.files import exists
-from intake.sources.tables import JdbcTable, ParquetTable, batch_path
+from intake.sources.tables import BucketedTable, JdbcTable, ParquetTable, batch_path
 
 T2 = TableContract(
     "t2",
@@ -183,6 +184,30 @@ def test_failed_write_is_repaired_by_a_repeat(spark, folder):
     assert content(spark, target) == [(1, "a", 0), (2, "b", 0)]
 
 
+def test_bucketed_target_is_not_shuffled(spark, folder, plan):
+    session = spark.newSession()
+    session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    name = f"t{uuid.uuid4().hex[:8]}"
+    target = BucketedTable(name, f"{folder}/t2", T2.table_schema, ("id",), 16)
+    load(session, frame(session, [(i, "old", 0) for i in range(0, 90, 3)]), target, T2, "b1")
+    rows = hot_rows(n=900, keys=90)
+    batch = frame(session, rows)
+    stats = key_stats(batch, ["id"])
+    tree = plan(duplicate_report(batch, target.rows(session), ["id"], stats, 0)).split("\n\n")[0]
+    counts, held = tree.split("Scan ExistingRDD")
+    assert "Exchange" in counts and "Exchange" not in held
+    loaded_before = False
+    for batch_id in ("b2", "b2", "b3"):
+        loaded = load(session, batch, target, T2, batch_id, 0).loaded
+        assert (loaded > 0) == (batch_id == "b2" and not loaded_before)
+        loaded_before = True
+    old = {(i, "old", 0) for i in range(0, 90, 3)}
+    want = sorted(old | {r for r in brute_first(rows) if r[0] % 3})
+    assert content(session, target) == want
+    target.replace(frame(session, [(1, "a", 0)]))
+    assert content(session, target) == [(1, "a", 0)]
+
+
 @dataclass(frozen=True)
 class KeyedTable:
     """Stands in for a database table: no batches, and a key that may not repeat."""
@@ -205,6 +230,7 @@ class KeyedTable:
             rows.where(F.col("id") < self.lose_after).write.mode("append").parquet(self.path)
             raise ConnectionError("connection lost")
         rows.write.mode("append").parquet(self.path)
+        return rows.count()
 
 
 def test_half_written_table_without_batches_converges(spark, folder):
