@@ -120,25 +120,55 @@ def duplicate_report(
     )
 
 
+@dataclass(frozen=True)
+class Duplicates:
+    """A stored ``duplicate_report`` and what was counted while writing it."""
+
+    keys: DataFrame
+    n_keys: int
+    n_bytes: int
+    n_repeated: int  # keys with several rows in the batch
+    n_held: int  # keys the target holds
+
+    @staticmethod
+    def counts(report: DataFrame, key: Sequence[str]) -> list[Column]:
+        """Aggregates over a report, named like the fields."""
+        return [
+            F.count(F.lit(1)).alias("n_keys"),
+            F.coalesce(F.sum(key_bytes(report, key)), F.lit(0)).alias("n_bytes"),
+            F.count_if(F.col("n_in_batch") > 1).alias("n_repeated"),
+            F.count_if("in_target").alias("n_held"),
+        ]
+
+
 def new_rows(
     batch: DataFrame,
-    duplicates: DataFrame,
+    duplicates: Duplicates,
     key: Sequence[str],
     order_by: Sequence[str] = (),
-    small: bool = False,
+    n_rows: int = 0,
+    broadcast_limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """One row per key of the batch, leaving out keys the target holds.
 
-    ``duplicates`` is the stored ``duplicate_report`` of the batch. If it is
-    ``small`` it is broadcast: rows whose key is unique pass straight through, and
-    only repeated ones are shuffled to find the first. Otherwise every row is
-    shuffled by key once, for the ranking and the join alike.
+    Does no more than the counts ask for. Rows are ranked only if a key repeats and
+    matched only if the target holds one. Where few keys are concerned (a hot key is
+    one key, however many rows it has) they are broadcast, rows of other keys pass
+    straight through and only repeated rows are shuffled. Where many are, every row
+    is shuffled by key once, for the ranking and the join alike.
     """
-    loaded = duplicates.where("in_target").select(*key)
-    if not small:
-        return first_per_key(batch, key, order_by).join(loaded, list(key), "left_anti")
-    known = F.broadcast(duplicates.select(*key))
-    repeated = F.broadcast(duplicates.where("not in_target").select(*key))
-    unique = batch.join(known, list(key), "left_anti")
-    first = first_per_key(batch.join(repeated, list(key), "left_semi"), key, order_by)
-    return unique.unionByName(first)
+    key = list(key)
+    broadcastable = duplicates.n_bytes <= broadcast_limit
+    held = duplicates.keys.where("in_target").select(*key)
+    if not duplicates.n_repeated:
+        if not duplicates.n_held:
+            return batch
+        return batch.join(F.broadcast(held) if broadcastable else held, key, "left_anti")
+    if broadcastable and duplicates.n_keys * 10 <= n_rows:
+        concerned = F.broadcast(duplicates.keys.select(*key))
+        repeated = F.broadcast(duplicates.keys.where("not in_target").select(*key))
+        unique = batch.join(concerned, key, "left_anti")
+        first = first_per_key(batch.join(repeated, key, "left_semi"), key, order_by)
+        return unique.unionByName(first)
+    first = first_per_key(batch, key, order_by)
+    return first.join(held, key, "left_anti") if duplicates.n_held else first

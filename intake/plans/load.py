@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
 
 from intake.contracts import TableContract
 from intake.operators.dedupe import (
     BROADCAST_LIMIT,
+    Duplicates,
     duplicate_report,
-    key_bytes,
     key_stats,
     new_rows,
 )
@@ -42,7 +42,7 @@ def load(
     """Append the rows of ``batch`` whose key is new; the first row of a key wins.
 
     Keys are settled before any row moves: a report of the keys that repeat or are
-    already loaded is written to the shared folder. Its measured size then decides
+    already loaded is written to the shared folder. What was counted in it decides
     how rows are picked; a batch without such keys is appended as it is. ``batch``
     is read several times, so it should be a stored table (the staged Parquet).
 
@@ -60,25 +60,21 @@ def load(
         raise ValueError(f"{contract.name}: {stats.n_null} rows without a key")
     existing = target.rows(spark, except_batch=batch_id)
     report = duplicate_report(batch, existing, key, stats, broadcast_limit)
-    path = run_dir(spark, f"duplicates-{contract.name}")
-    seen = Observation()
-    size = F.coalesce(F.sum(key_bytes(report, key)), F.lit(0))
-    counted = report.observe(seen, F.count(F.lit(1)).alias("n"), size.alias("bytes"))
-    counted.write.parquet(path)
-    n_duplicates, n_bytes = seen.get["n"], seen.get["bytes"]
-
-    if n_duplicates and contract.on_duplicate == "error":
+    duplicates = _store(spark, report, key, run_dir(spark, f"duplicates-{contract.name}"))
+    if duplicates.n_keys and contract.on_duplicate == "error":
         raise ValueError(
-            f"{contract.name}: {n_duplicates} keys repeat or are already loaded, see {path}"
+            f"{contract.name}: {duplicates.n_keys} keys repeat or are already loaded"
         )
-    duplicates = spark.read.schema(report.schema).parquet(path)
-    fresh = batch
-    if n_duplicates:
-        # Few repeated keys: leave all other rows where they are. A hot key is one
-        # key here, however many rows it has.
-        small = n_bytes <= broadcast_limit and n_duplicates * 10 <= stats.n_rows
-        fresh = new_rows(batch, duplicates, key, contract.order_by, small)
+    fresh = new_rows(batch, duplicates, key, contract.order_by, stats.n_rows, broadcast_limit)
     loaded = target.append(fresh, batch_id)
     wanted = contract.on_duplicate == "report"
-    return LoadResult(stats.n_rows, loaded, duplicates if wanted else None)
+    return LoadResult(stats.n_rows, loaded, duplicates.keys if wanted else None)
+
+
+def _store(
+    spark: SparkSession, report: DataFrame, key: Sequence[str], path: str
+) -> Duplicates:
+    seen = Observation()
+    report.observe(seen, *Duplicates.counts(report, key)).write.parquet(path)
+    return Duplicates(spark.read.schema(report.schema).parquet(path), **seen.get)
 

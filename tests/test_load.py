@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from intake.contracts import Field, TableContract
-from intake.operators.dedupe import duplicate_report, first_per_key, key_stats, new_rows
+from intake.operators.dedupe import (
+    Duplicates,
+    duplicate_report,
+    first_per_key,
+    key_stats,
+    new_rows,
+)
 from intake.operators.rules import NotNull
 from intake.plans.load import load
 from intake.sources.files import exists
@@ -45,6 +51,10 @@ def hot_rows(n=3000, keys=200, seed=7):
     ]
 
 
+def measured(report):
+    return Duplicates(report, *report.agg(*Duplicates.counts(report, ["id"])).first())
+
+
 def brute_first(rows):
     best = {}
     for row in rows:
@@ -81,7 +91,7 @@ def test_report_and_new_rows_equal_brute_force(spark, limit):
     known = {k for k, _, _ in held}
     want = {k: (n, k in known) for k, n in counts.items() if n > 1 or k in known}
     assert {r.id: (r.n_in_batch, r.in_target) for r in report.collect()} == want
-    fresh = new_rows(batch, report, ["id"], ["rank"], small=limit > 0)
+    fresh = new_rows(batch, measured(report), ["id"], ["rank"], 10**6, limit)
     assert sorted(tuple(r) for r in fresh.collect()) == [
         r for r in brute_first(rows) if r[0] not in known
     ]
@@ -100,6 +110,29 @@ def test_existing_rows_win_and_a_repeat_adds_nothing(spark, folder, limit):
     assert content(spark, target) == [(i, "old" if i == 2 else "new", 0) for i in range(8)]
 
 
+@pytest.mark.parametrize("limit", [0, 1 << 25])
+@pytest.mark.parametrize(
+    ("rows", "held"),
+    [
+        ([(i, "n", 0) for i in range(20)], []),
+        ([(i, "n", 0) for i in range(20)], range(0, 40, 2)),
+        ([(i % 5, "n", i) for i in range(20)], []),
+        ([(i % 5, "n", i) for i in range(20)], [3, 9]),
+        ([(i % 5, "n", i) for i in range(20)] + [(i, "n", 0) for i in range(9, 99)], [3, 9]),
+        ([(i, "n", 0) for i in range(20)], range(20)),
+        ([], [1]),
+    ],
+)
+def test_every_way_of_picking_rows(spark, folder, rows, held, limit):
+    target = table_at(folder)
+    target.append(frame(spark, [(k, "old", 0) for k in held]), "before")
+    batch = frame(spark, rows)
+    want = [r for r in brute_first(rows) if r[0] not in set(held)]
+    done = load(spark, batch, target, T2, "now", limit)
+    assert (done.read, done.loaded) == (len(rows), len(want))
+    assert [r for r in content(spark, target) if r[1] != "old"] == want
+
+
 def test_clean_batch_is_appended_without_shuffle_of_rows(spark, folder):
     done = load(spark, frame(spark, [(i, "n", i) for i in range(50)]), table_at(folder), T2, "b")
     assert (done.loaded, done.skipped) == (50, 0)
@@ -109,8 +142,9 @@ def test_few_duplicates_leave_unique_rows_in_place(spark, folder, plan):
     rows = [(i, "n", 0) for i in range(2000)] + [(7, "m", 1)]
     frame(spark, rows).write.parquet(f"{folder}/batch")
     batch = spark.read.schema(T2.table_schema).parquet(f"{folder}/batch")
-    report = spark.createDataFrame([(7, 2, False), (9, 1, True)], "id int, n int, in_target boolean")
-    fresh = new_rows(batch, report, ["id"], ["rank"], small=True)
+    schema = "id int, n_in_batch bigint, in_target boolean"
+    report = spark.createDataFrame([(7, 2, False), (9, 1, True)], schema)
+    fresh = new_rows(batch, measured(report), ["id"], ["rank"], len(rows))
     assert fresh.count() == 1999
     unique, repeated = plan(fresh).split("\n\n")[0].split("Window (")
     assert "BroadcastHashJoin LeftAnti" in unique and "- Exchange" not in unique
