@@ -171,6 +171,12 @@ def restore(
     """
     entry = _entry(spark, root, table, snapshot_id)
     rows = _load(spark, entry)
+    # Before the table is touched; answered from Parquet footers, without a scan.
+    found = rows.count()
+    if found != entry["n_rows"]:
+        raise ValueError(
+            f"snapshot {entry['snapshot_id']} of {table} has {found} rows, not {entry['n_rows']}"
+        )
     if mode == "append":
         if contract is None or not contract.key:
             raise ValueError("restore by append needs a contract with a key")

@@ -77,6 +77,18 @@ def test_verify_notices_damage(spark, folder):
     assert (got.n_rows, got.rows_found, got.verified) == (2, 2, False)
 
 
+def test_a_snapshot_with_lost_rows_is_not_restored(spark, folder):
+    target = table_at(folder)
+    target.append(frame(spark, [(1, "a"), (2, "b")]), "b1")
+    root = f"{folder}/backup"
+    backup(spark, {"c": target}, root, snapshot_id="s1")
+    lost = frame(spark, [(1, "a")]).withColumn("batch_id", F.lit("b1"))
+    lost.write.mode("overwrite").parquet(f"{root}/snapshots/s1/c")
+    with pytest.raises(ValueError, match="has 1 rows, not 2"):
+        restore(spark, root, "c", target)
+    assert content(spark, target) == [(1, "a"), (2, "b")]
+
+
 def test_failed_backup_leaves_the_last_snapshot(spark, folder):
     good = frame(spark, [(1, "a")])
     bad = good.withColumn("v", F.raise_error(F.lit("lost")).cast("string"))

@@ -123,7 +123,8 @@ def test_a_repeated_micro_batch_changes_nothing(spark, folder):
     for _ in range(2):
         ingest_batch(spark, batch, ORDERS, intake, "orders-0000000001", require_rows=False)
     assert intake.targets["orders"].rows(spark).count() == 1377
-    counts = {r.outcome: (r.n_runs, r.n_rows) for r in load_report(intake.audit.read(spark)).collect()}
+    report = load_report(intake.audit.read(spark)).collect()
+    counts = {r.outcome: (r.n_runs, r.n_rows) for r in report}
     assert counts["loaded"] == (1, 1377)  # only the last attempt is counted
     assert counts["not_int:id"] == (1, 32)
 

@@ -109,7 +109,8 @@ def test_not_empty():
 
 
 def test_in_set_and_references(spark):
-    rows = spark.createDataFrame([("1", "a"), ("2", "b"), ("x", None), (None, "c")], "k string, v string")
+    pairs = [("1", "a"), ("2", "b"), ("x", None), (None, "c")]
+    rows = spark.createDataFrame(pairs, "k string, v string")
     dim = spark.createDataFrame([(1,), (1,), (3,), (None,)], "id int")
     contract = TableContract(
         "t",
