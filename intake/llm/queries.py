@@ -8,24 +8,36 @@ from pyspark.sql import DataFrame, SparkSession
 
 from intake.llm.common import table
 from intake.llm.mixing import mixed
+from intake.llm.packing import packed
+from intake.llm.simhash import near_duplicates
 from intake.llm.warc import parse_records, read_archive, write_archive
 from intake.workspace import run_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "archive")
     write_archive(table(spark, sf_dir, "pages"), path)
     return parse_records(read_archive(spark, path)).drop("target_uri")
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents")).drop("source", "text_key")
 
 
 QUERIES: dict[str, Query] = {
+    "op1_simhash": op1_simhash,
     "op3_warc": op3_warc,
+    "op7_packing": op7_packing,
     "op10_mixing": op10_mixing,
 }
 
