@@ -5,40 +5,74 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from intake.llm import oracles
 from intake.llm.common import table
+from intake.llm.lines import ruled
 from intake.llm.mixing import mixed
 from intake.llm.packing import packed
+from intake.llm.quality import classified
 from intake.llm.simhash import near_duplicates
+from intake.llm.urls import Rule, judged
 from intake.llm.warc import parse_records, read_archive, write_archive
 from intake.workspace import run_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# The rules for hosts and paths.
+URL_RULES = (
+    Rule("block", "net"),
+    Rule("allow", "example.net", "/en/"),
+    Rule("block", "example.com", "/de/"),
+    Rule("allow", "org", "/fr/"),
+)
+
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "archive")
     write_archive(table(spark, sf_dir, "pages"), path)
     return parse_records(read_archive(spark, path)).drop("target_uri")
 
 
+def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Urls that no rule decides are blocked where a page of theirs has under 1000 bytes."""
+    thin = F.coalesce(F.octet_length("html"), F.lit(0)) < 1000
+    return judged(table(spark, sf_dir, "pages"), URL_RULES, thin)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ruled(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents")).drop("source", "text_key")
 
 
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
+    "op2_quality": op2_quality,
     "op3_warc": op3_warc,
+    "op5_urls": op5_urls,
     "op7_packing": op7_packing,
+    "op9_lines": op9_lines,
     "op10_mixing": op10_mixing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_warc": oracles.WARC,
+    "op5_urls": oracles.URL_FILTER,
+    "op9_lines": oracles.QUALITY_RULES,
+}
