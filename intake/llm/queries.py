@@ -13,6 +13,7 @@ from intake.llm.lines import ruled
 from intake.llm.mixing import mixed
 from intake.llm.packing import packed
 from intake.llm.quality import classified
+from intake.llm.secrets import scanned
 from intake.llm.simhash import near_duplicates
 from intake.llm.urls import Rule, judged
 from intake.llm.warc import parse_records, read_archive, write_archive
@@ -43,6 +44,10 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_records(read_archive(spark, path)).drop("target_uri")
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scanned(table(spark, sf_dir, "documents"))
+
+
 def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Urls that no rule decides are blocked where a page of theirs has under 1000 bytes."""
     thin = F.coalesce(F.octet_length("html"), F.lit(0)) < 1000
@@ -65,6 +70,7 @@ QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_quality": op2_quality,
     "op3_warc": op3_warc,
+    "op4_secrets": op4_secrets,
     "op5_urls": op5_urls,
     "op7_packing": op7_packing,
     "op9_lines": op9_lines,
