@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from intake.llm import oracles
+from intake.llm.ann import nearest
 from intake.llm.common import table
 from intake.llm.lines import ruled
 from intake.llm.mixing import mixed
@@ -58,6 +59,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ruled(table(spark, sf_dir, "documents"))
 
@@ -73,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "op4_secrets": op4_secrets,
     "op5_urls": op5_urls,
     "op7_packing": op7_packing,
+    "op8_neighbours": op8_neighbours,
     "op9_lines": op9_lines,
     "op10_mixing": op10_mixing,
 }
