@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,12 +43,10 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def free_name(taken: Iterable[str], name: str) -> str:
-    """``name``, or a variant that no existing column has (in any case)."""
-    used = {c.lower() for c in taken}
-    while name.lower() in used:
-        name = f"_{name}"
-    return name
+def row_key(*parts: Column, text: Column) -> Column:
+    """A digest of a text and of short values beside it, null or not; equal rows have equal ones."""
+    held = [F.coalesce(F.concat(F.octet_length(p.cast("string")).cast("string"), F.lit("="), p.cast("string")), F.lit("~")) for p in parts]
+    return F.sha2(F.concat_ws(";", F.coalesce(F.sha2(text, 256), F.lit("~")), *held), 256)
 
 
 def _sum_of(edges: DataFrame) -> tuple:

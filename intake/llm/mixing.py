@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from intake.llm.common import settled, word_count
+from intake.llm.common import row_key, settled, word_count
 
 #: Candidate quotients that one pass over the shards tries at a time.
 _TRIES = 48
@@ -122,10 +122,10 @@ def apportion(parties: DataFrame, seats: int) -> DataFrame:
 
 
 def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
-    """doc_id, source, text_key, size, source_size, target and taken of each row of ``docs``.
+    """doc_id, ``key``, size, source_size, target and taken of each row of ``docs``.
 
-    Reads doc_id, text and source only, whatever else ``docs`` has; ``text_key`` is a
-    hash of the text. Null texts have size 0; a null source is a source of its own and
+    Reads doc_id, text and source only, whatever else ``docs`` has; ``key`` is a digest
+    of these three. Null texts have size 0; a null source is a source of its own and
     comes last; rows that repeat are separate documents. Without documents, or with
     empty ones only, all sizes, targets and takings are 0. Shards and the order in
     them are seeded by id and text, so reruns over the same files agree.
@@ -133,7 +133,7 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     small = docs.select(
         "doc_id",
         "source",
-        F.xxhash64("text").alias("text_key"),
+        row_key(F.col("doc_id"), F.col("source"), text=F.col("text")).alias("key"),
         word_count(F.col("text")).alias("size"),
         F.monotonically_increasing_id().alias("_row"),
     )
@@ -146,10 +146,10 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
         F.greatest(F.lit(1), F.ceil(F.col("source_size") / mix.shard)).cast("long").alias("_shards"),
     )
     rows = small.join(targets, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-    rows = rows.withColumn("_order", F.xxhash64("doc_id", "text_key", F.lit(mix.seed)))
+    rows = rows.withColumn("_order", F.xxhash64("key", F.lit(mix.seed)))
     dealt = F.pmod(F.xxhash64("_order", "_row", F.lit(mix.seed + 1)), F.col("_shards"))
     rows = rows.withColumn("_shard", dealt)
-    stream = Window.partitionBy("source", "_shard").orderBy("_order", "doc_id", "_row")
+    stream = Window.partitionBy("source", "_shard").orderBy("_order", "key", "_row")
     before = stream.rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("_start", F.coalesce(F.sum("size").over(before), F.lit(0)))
     rows = settled(rows, "shards")
@@ -181,6 +181,22 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     last = F.col("_quota") - rounds * F.col("_words") - F.col("_start")
     part = F.greatest(F.lit(0), F.least(F.col("size"), last))
     taken = F.coalesce(rounds * F.col("size") + part, F.lit(0)).cast("long")
-    return rows.select(
-        "doc_id", "source", "text_key", "size", "source_size", "target", taken.alias("taken")
-    )
+    return rows.select("doc_id", "key", "size", "source_size", "target", taken.alias("taken"))
+
+
+def remixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
+    """``docs``, each row as often as the mix takes it, in whole documents.
+
+    That is the words taken over its size, rounded; rows without words are not taken.
+    Rows that repeat share what is taken of them all.
+    """
+    shares = mixed(docs, mix).where("size > 0").groupBy("key")
+    shares = shares.agg(F.count("*").alias("_rows"), F.sum(F.round(F.col("taken") / F.col("size"))).alias("_times"))
+    shares = settled(shares.select(F.col("key").alias("_key"), "_rows", F.col("_times").cast("long").alias("_times")), "shares")
+    key = row_key(F.col("doc_id"), F.col("source"), text=F.col("text"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), key.alias("_key"))
+    rows = rows.join(shares.where("_times > 0"), "_key")
+    place = F.row_number().over(Window.partitionBy("_key").orderBy("_rows"))
+    times = F.floor(F.col("_times") / F.col("_rows")) + (place <= F.col("_times") % F.col("_rows")).cast("long")
+    rows = rows.withColumn("_copies", times).where("_copies > 0")
+    return rows.select("doc", F.explode(F.array_repeat(F.lit(0), F.col("_copies").cast("int")))).select("doc.*")

@@ -70,6 +70,10 @@ class Encoder:
             "byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
 
+    def plain(self, text: str | None) -> list[int]:
+        """The ids of a text in which the special string is text like any other."""
+        return self._merges.encode_ordinary(text or "")
+
     def ids(self, text: str | None) -> list[int]:
         if not text:
             return []

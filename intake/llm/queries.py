@@ -16,6 +16,7 @@ from intake.llm.packing import packed
 from intake.llm.quality import classified
 from intake.llm.secrets import scanned
 from intake.llm.simhash import near_duplicates
+from intake.llm.tokens import document_tokens
 from intake.llm.urls import Rule, judged
 from intake.llm.warc import parse_records, read_archive, write_archive
 from intake.workspace import run_dir
@@ -55,6 +56,10 @@ def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "pages"), URL_RULES, thin)
 
 
+def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_tokens(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
@@ -68,7 +73,7 @@ def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixed(table(spark, sf_dir, "documents")).drop("source", "text_key")
+    return mixed(table(spark, sf_dir, "documents")).drop("key")
 
 
 QUERIES: dict[str, Query] = {
@@ -77,6 +82,7 @@ QUERIES: dict[str, Query] = {
     "op3_warc": op3_warc,
     "op4_secrets": op4_secrets,
     "op5_urls": op5_urls,
+    "op6_tokens": op6_tokens,
     "op7_packing": op7_packing,
     "op8_neighbours": op8_neighbours,
     "op9_lines": op9_lines,

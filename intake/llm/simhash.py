@@ -21,6 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from intake.llm.common import components, settled
 
@@ -157,3 +158,17 @@ def near_duplicates(docs: DataFrame, how: SimHash = SimHash()) -> DataFrame:
     return rows.join(named, F.col("bits") == F.col("_b")).select(
         "doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def first_of_each(docs: DataFrame, how: SimHash = SimHash()) -> DataFrame:
+    """``docs``, all columns, without near-duplicates: of each component the smallest doc_id stays.
+
+    Of rows that repeat that id one stays. Rows without an id cannot be told apart by
+    it and all stay.
+    """
+    named = docs.where("doc_id is not null")
+    ids = near_duplicates(named, how).where("doc_id = component_id").select("doc_id").distinct()
+    kept = named.join(settled(ids, "kept"), "doc_id", "left_semi").select(*docs.columns)
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))
+    kept = kept.withColumn("_place", place).where("_place = 1").drop("_place")
+    return kept.unionByName(docs.where("doc_id is null"))
