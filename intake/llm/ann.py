@@ -137,21 +137,22 @@ def files_of(vectors: np.ndarray, graph: Graph, how: Lists) -> list[np.ndarray]:
     return out
 
 
-def probes_of(queries: np.ndarray, graph: Graph, how: Lists) -> list[np.ndarray]:
-    """The lists each (unit) query reads, nearest first."""
+def probes_of(queries: np.ndarray, graph: Graph, sizes: np.ndarray, least: int, how: Lists) -> list[np.ndarray]:
+    """The lists each (unit) query reads, nearest first: those within the ratio, and others
+    until they hold ``least`` vectors, by the ``sizes`` of the lists."""
     out = []
     for block in np.array_split(queries, 1 + len(queries) // 256):
         if len(block):
             lists, product = nearest_centroids(block, graph, how.width)
-            near = _distance(product[:, : how.probes])
-            inside = (near <= how.read_ratio * near[:, :1] + 1e-6) & np.isfinite(product[:, : how.probes])
-            out += [lists[i, : how.probes][inside[i]] for i in range(len(block))]
+            lists, product = lists[:, : how.probes], product[:, : how.probes]
+            near = _distance(product)
+            held = np.cumsum(sizes[lists], axis=1) - sizes[lists]
+            inside = (near <= how.read_ratio * near[:, :1] + 1e-6) | (held < least)
+            inside &= np.isfinite(product)
+            out += [lists[i][inside[i]] for i in range(len(block))]
     return out
 
 
-VECTOR = "vec_id long, vector array<double>"
-
-
 def usable(rows: DataFrame, vector: str = "embedding") -> DataFrame:
     """``vec_id`` and ``vector`` of the rows that take part.
 
@@ -218,11 +219,14 @@ def nearest(rows: DataFrame, every: int = 20, best: int = 20, how: Lists = Lists
                 unit = _matrix(part["vector"])
                 unit = unit / np.linalg.norm(unit, axis=1, keepdims=True)
                 unit = np.concatenate([unit, np.zeros((len(unit), 1))], axis=1).astype(np.float32)
-                part["list"] = probes_of(unit, Graph(*sent.value), how)
+                part["list"] = probes_of(unit, Graph(*sent.value), sizes, how.copies * (best + 1), how)
                 yield part[["cls", "vector", "list"]].explode("list")
 
     shape = "cls long, vector array<double>, list long"
     lists = settled(classes.select("cls", "vector").mapInPandas(filed, shape), "lists")
+    sizes = np.zeros(len(graph.centroids), np.int64)
+    for number, n in lists.groupBy("list").count().collect():  # a row for each centroid at most
+        sizes[number] = n
     searching = classes.join(asked.select("cls").distinct(), "cls", "left_semi").select("cls", "vector")
     probes = settled(searching.mapInPandas(probing, shape), "probes")
     # Lists, and the queries at a list, in parts that one task can take.

@@ -43,6 +43,11 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def whole(df: DataFrame) -> Column:
+    """All columns as one, ``doc``, whose fields cannot clash with columns put beside it."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("doc")
+
+
 def row_key(*parts: Column, text: Column) -> Column:
     """A digest of a text and of short values beside it, null or not; equal rows have equal ones."""
     held = [F.coalesce(F.concat(F.octet_length(p.cast("string")).cast("string"), F.lit("="), p.cast("string")), F.lit("~")) for p in parts]

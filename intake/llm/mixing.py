@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from intake.llm.common import row_key, settled, word_count
+from intake.llm.common import row_key, settled, whole, word_count
 
 #: Candidate quotients that one pass over the shards tries at a time.
 _TRIES = 48
@@ -194,7 +194,7 @@ def remixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     shares = shares.agg(F.count("*").alias("_rows"), F.sum(F.round(F.col("taken") / F.col("size"))).alias("_times"))
     shares = settled(shares.select(F.col("key").alias("_key"), "_rows", F.col("_times").cast("long").alias("_times")), "shares")
     key = row_key(F.col("doc_id"), F.col("source"), text=F.col("text"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), key.alias("_key"))
+    rows = docs.select(whole(docs), key.alias("_key"))
     rows = rows.join(shares.where("_times > 0"), "_key")
     place = F.row_number().over(Window.partitionBy("_key").orderBy("_rows"))
     times = F.floor(F.col("_times") / F.col("_rows")) + (place <= F.col("_times") % F.col("_rows")).cast("long")

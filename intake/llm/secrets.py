@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from intake.llm.common import settled
+from intake.llm.common import settled, whole
 
 # The base patterns. A run of 24 or more hexadecimal digits is found by its
 # length at once, as is an access key of 20 or more characters: where a shorter run starts,
@@ -179,12 +179,12 @@ def redacted(docs: DataFrame, mask: str = "[secret]", scope: int = 200) -> DataF
     """
     found = settled(found_in(docs), "matches")
     spans = settled(by_text(linked(settled(spans_of(found), "spans"), scope)), "spans")
-    spans = spans.select(F.col("text_key").alias("_secret_key"), F.col("spans").alias("_secret_spans"))
     key = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)
-    rows = docs.join(spans, key == F.col("_secret_key"), "left")
-    cuts = F.filter("_secret_spans", lambda x: x["s"] >= x["kept"])
-    heads = F.transform(cuts, lambda x: F.substr(F.col("text"), x["kept"] + 1, x["s"] - x["kept"]))
-    tail = F.substr(F.col("text"), F.array_max(F.transform("_secret_spans", lambda x: x["e"])) + 1)
+    rows = docs.select(whole(docs), key.alias("text_key")).join(spans, "text_key", "left")
+    text = F.col("doc.text").cast("string")
+    cuts = F.filter("spans", lambda x: x["s"] >= x["kept"])
+    heads = F.transform(cuts, lambda x: F.substr(text, x["kept"] + 1, x["s"] - x["kept"]))
+    tail = F.substr(text, F.array_max(F.transform("spans", lambda x: x["e"])) + 1)
     clean = F.concat(F.array_join(F.transform(heads, lambda h: F.concat(h, F.lit(mask))), ""), tail)
-    text = F.when(F.col("_secret_spans").isNull(), F.col("text")).otherwise(clean)
-    return rows.withColumn("text", text).select(*docs.columns)
+    text = F.when(F.col("spans").isNull(), text).otherwise(clean)
+    return rows.select(*[(text if c == "text" else F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])

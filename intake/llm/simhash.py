@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from intake.llm.common import components, settled
+from intake.llm.common import components, settled, whole
 
 _ROWS = 4096
 
@@ -166,9 +166,9 @@ def first_of_each(docs: DataFrame, how: SimHash = SimHash()) -> DataFrame:
     Of rows that repeat that id one stays. Rows without an id cannot be told apart by
     it and all stay.
     """
-    named = docs.where("doc_id is not null")
-    ids = near_duplicates(named, how).where("doc_id = component_id").select("doc_id").distinct()
-    kept = named.join(settled(ids, "kept"), "doc_id", "left_semi").select(*docs.columns)
+    ids = near_duplicates(docs.where("doc_id is not null"), how).where("doc_id = component_id").select("doc_id").distinct()
+    rows = docs.select("doc_id", whole(docs))
+    kept = rows.join(settled(ids, "kept"), "doc_id", "left_semi")
     place = F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))
-    kept = kept.withColumn("_place", place).where("_place = 1").drop("_place")
-    return kept.unionByName(docs.where("doc_id is null"))
+    kept = kept.withColumn("place", place).where("place = 1")
+    return kept.select("doc.*").unionByName(docs.where("doc_id is null"))

@@ -80,7 +80,7 @@ LEVELS = "shard int, level int, bits binary"
 
 def _places(h1: np.ndarray, h2: np.ndarray, level: int, hashes: int, size: int) -> np.ndarray:
     """Bit places of keys, a row for each hash, other ones on each level."""
-    a = h1 + np.uint64(0x9E3779B97F4A7C15) * np.uint64(level + 1)
+    a = h1 + np.uint64(0x9E3779B97F4A7C15 * (level + 1) % (1 << 64))
     b = (h2 ^ (h2 >> np.uint64(29))) * np.uint64(2 * level + 0x2545F4914F6CDD1D) | np.uint64(1)
     i = np.arange(hashes, dtype=np.uint64)[:, None]
     mixed = a + i * b
