@@ -1,14 +1,19 @@
 """WARC records in a content-addressed archive.
 
-Payload bytes are stored once, under their SHA-256 and length. Record headers are kept
+Payload bytes are stored once, compressed, under their SHA-256 and length. Record headers are kept
 apart, byte for byte, with the address of their payload. Reading joins the two and gives
 each record's exact bytes; what a reader wants to know is parsed out of these.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 CRLF = "\r\n"
 # Fixed values of the format: names of fields and types.
@@ -18,6 +23,21 @@ RECORD_ID = "urn:intake:page:"
 HTTP_HEAD = f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}"
 
 
+@F.pandas_udf(BinaryType())
+def _packed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Each payload as a zstd frame of its own, as archives compress each record."""
+    pack = zstandard.ZstdCompressor(level=3).compress
+    for batch in batches:
+        yield batch.map(pack)
+
+
+@F.pandas_udf(BinaryType())
+def _unpacked(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    for batch in batches:
+        yield batch.map(unpack, na_action="ignore")
+
+
 def _id(page_id: Column) -> Column:
     return F.concat(F.lit(f"<{RECORD_ID}"), F.coalesce(page_id.cast("string"), F.lit("null")), F.lit(">"))
 
@@ -86,8 +106,8 @@ def write_archive(pages: DataFrame, path: str, smallest_revisit: int = 1000, dat
         F.when(~revisit, F.struct(F.coalesce("clash", "address").alias("address"), "length")).alias("payload"),
     ).write.parquet(f"{path}/heads")
     # Of each payload every task sends one copy at most; equal addresses are equal bytes.
-    kept = rows.select("address", "length", "payload").dropDuplicates(["address", "length"])
-    kept.write.option("compression", "zstd").parquet(f"{path}/payloads")
+    packed = rows.select("address", "length", _packed("payload").alias("packed"))
+    packed.dropDuplicates(["address", "length"]).write.parquet(f"{path}/payloads")
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
@@ -96,10 +116,10 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     A payload that is missing, or whose bytes are not those of its address, is an error.
     """
     heads = spark.read.schema("head binary, payload struct<address: string, length: bigint>").parquet(f"{path}/heads")
-    stored = spark.read.schema("address string, length bigint, payload binary").parquet(f"{path}/payloads")
-    stored = stored.select("address", "length", F.col("payload").alias("bytes"))
+    stored = spark.read.schema("address string, length bigint, packed binary").parquet(f"{path}/payloads")
     heads = heads.select("head", F.col("payload.address").alias("address"), F.col("payload.length").alias("length"))
     joined = heads.join(stored, ["address", "length"], "left")
+    joined = joined.select("head", "address", _unpacked("packed").alias("bytes"))
     sound = F.col("address").isNull() | (F.sha2("bytes", 256).eqNullSafe(F.col("address")))
     payload = F.when(sound, F.col("bytes")).otherwise(
         F.raise_error(F.concat(F.lit("payload lost or changed: "), "address")).cast("binary")
