@@ -5,10 +5,12 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 from pyspark.sql import types as T
 
-from intake.operators.rules import CORRUPT, IntCastable, NotNull, Rule
+from intake.functions.casts import INT_TYPES
+from intake.operators.rules import CORRUPT, Castable, IntCastable, NotNull, Rule, WellFormed
 
 ON_VIOLATION = ("quarantine", "drop", "fail")
 ON_DUPLICATE = ("skip", "report", "error")
@@ -67,6 +69,36 @@ class TableContract:
                 "need a NotNull or IntCastable rule"
             )
 
+    @cached_property
+    def checks(self) -> tuple[tuple[str, Rule], ...]:
+        """Every rule with its reason: those declared, then one for each typed field.
+
+        Rule and projection cast alike, so an accepted value is never loaded as null. A reason
+        that stands twice gets a number.
+        """
+        types = {f.name: f.data_type for f in self.fields}
+        rules = [
+            replace(r, data_type=types[r.column])
+            if isinstance(r, IntCastable) and types[r.column] in INT_TYPES
+            else r
+            for r in self.rules
+        ]
+        cast = {r.column for r in rules if isinstance(r, IntCastable) and types[r.column] in INT_TYPES}
+        rules += [
+            Castable(f.name, f.data_type, self.mode_of(f.name))
+            for f in self.fields
+            if f.data_type != "string" and f.name not in cast
+        ]
+        named, seen = [], {}
+        for rule in rules:
+            seen[rule.reason] = n = seen.get(rule.reason, 0) + 1
+            named.append((rule.reason if n == 1 else f"{rule.reason}#{n}", rule))
+        return tuple(named)
+
+    @property
+    def wants_raw_line(self) -> bool:
+        return any(isinstance(r, WellFormed) for r in self.rules)
+
     @property
     def columns(self) -> tuple[str, ...]:
         return tuple(f.name for f in self.fields)
@@ -99,17 +131,19 @@ class TableContract:
 
 
 def landing_contract(
-    name: str, mode: str = "lenient", typed: bool = False, **options
+    name: str, mode: str = "lenient", typed: bool = False, well_formed: bool = True, **options
 ) -> TableContract:
     """Contract of the classic five-column landing file, keyed by ``id``.
 
-    ``typed=False`` keeps every column as text in the serving table too.
+    ``typed=False`` keeps every column as text in the serving table too. Lines of
+    another width are violations, unless ``well_formed=False`` says otherwise.
     """
     int_type = "int" if typed else "string"
     time_type = "timestamp_ntz" if typed else "string"
     types = {c: int_type for c in LANDING_INT_COLUMNS} | {"datetime": time_type}
     rules = [IntCastable(c, mode) for c in LANDING_INT_COLUMNS]
     rules += [NotNull(c) for c in LANDING_TEXT_COLUMNS]
+    rules += [WellFormed()] if well_formed else []
     defaults = {"rules": tuple(rules), "key": ("id",)}
     return TableContract(
         name=name,

@@ -11,24 +11,30 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# What the classic cast accepts around and inside an integer.
+# What the classic cast accepts around and inside an integer. ``\z`` is the
+# very end; ``$`` would also match before a line terminator.
 BLANKS = r"[\x00-\x20\x7f]*"
-INT_SHAPE = rf"^{BLANKS}[+-]?[0-9]*(\.[0-9]*)?{BLANKS}$"
+INT_SHAPE = rf"^{BLANKS}[+-]?[0-9]*(\.[0-9]*)?{BLANKS}\z"
 INT_DIGITS = rf"^{BLANKS}([+-]?[0-9]+)"
 INT_CONTENT = r"[0-9.]"
+INT_TYPES = ("tinyint", "smallint", "int", "bigint")
+
+# A time of day with a zone behind it, and the zones that are UTC.
+ZONED = r":[0-9.]+\s*[A-Za-z+-]"
+UTC_ZONED = r":[0-9.]+\s*(Z|UTC|GMT|[+-]00:?00)\s*\z"
 
 
 def quoted(column: str) -> str:
     return "`" + column.replace("`", "``") + "`"
 
 
-def int_strict(column: str) -> Column:
-    """``try_cast`` to int: whole numbers in range, else null."""
-    return F.expr(f"try_cast({quoted(column)} AS INT)")
+def int_strict(column: str, data_type: str = "int") -> Column:
+    """``try_cast`` to an integer type: whole numbers in its range, else null."""
+    return F.expr(f"try_cast({quoted(column)} AS {data_type})")
 
 
-def int_lenient(column: str) -> Column:
-    """The classic cast to int: a fraction is cut off, a bad string is null.
+def int_lenient(column: str, data_type: str = "int") -> Column:
+    """The classic cast to an integer type: a fraction is cut off, a bad string is null.
 
     The strict cast answers for well-formed numbers; only the strings it
     refuses reach the patterns, so clean data pays for one parse.
@@ -36,26 +42,35 @@ def int_lenient(column: str) -> Column:
     c = quoted(column)
     return F.expr(
         f"""coalesce(
-          try_cast({c} AS INT),
+          try_cast({c} AS {data_type}),
           CASE WHEN {c} RLIKE r'{INT_SHAPE}' AND {c} RLIKE r'{INT_CONTENT}'
                THEN try_cast(
-                 coalesce(nullif(regexp_extract({c}, r'{INT_DIGITS}', 1), ''), '0') AS INT)
+                 coalesce(nullif(regexp_extract({c}, r'{INT_DIGITS}', 1), ''), '0') AS {data_type})
           END)"""
     )
 
 
-def int_cast(column: str, mode: str = "lenient") -> Column:
+def int_cast(column: str, mode: str = "lenient", data_type: str = "int") -> Column:
     if mode == "lenient":
-        return int_lenient(column)
+        return int_lenient(column, data_type)
     if mode == "strict":
-        return int_strict(column)
+        return int_strict(column, data_type)
     raise ValueError(f"unknown cast mode {mode!r}: use 'lenient' or 'strict'")
 
 
 def typed_value(column: str, data_type: str, mode: str = "lenient") -> Column:
-    """A landing string as a value of ``data_type``; null where it does not fit."""
+    """A landing string as a value of ``data_type``; null where it does not fit.
+
+    All integer types are cast alike, each by its own range. A ``timestamp_ntz`` is a
+    UTC time: an offset from it does not fit, rather than being dropped.
+    """
     if data_type == "string":
         return F.col(quoted(column))
-    if data_type == "int":
-        return int_cast(column, mode)
-    return F.expr(f"try_cast({quoted(column)} AS {data_type})")
+    if data_type in INT_TYPES:
+        return int_cast(column, mode, data_type)
+    c = quoted(column)
+    value = f"try_cast({c} AS {data_type})"
+    if data_type == "timestamp_ntz":
+        offset = f"CAST({c} AS STRING) RLIKE r'{ZONED}' AND NOT CAST({c} AS STRING) RLIKE r'{UTC_ZONED}'"
+        value = f"CASE WHEN NOT ({offset}) THEN {value} END"
+    return F.expr(value)

@@ -20,19 +20,33 @@ def _has_map(data_type: T.DataType) -> bool:
     return False
 
 
+def _null_flags(value: Column, data_type: T.DataType) -> list[Column]:
+    """Hashable marks of every null in a value, at any depth."""
+    flags = [value.isNull()]
+    if isinstance(data_type, T.StructType):
+        for f in data_type.fields:
+            flags += _null_flags(value[f.name], f.dataType)
+    elif isinstance(data_type, T.ArrayType):
+        inner = data_type.elementType
+        flags.append(F.transform(value, lambda x: F.xxhash64(*_null_flags(x, inner))))
+    return flags
+
+
 def row_hash(df: DataFrame) -> Column:
     """64-bit hash of a whole row.
 
-    ``xxhash64`` skips nulls, so each column's null flag is hashed as well;
-    otherwise (null, 'a') and ('a', null) would look the same. Maps cannot be
-    hashed and go in as JSON.
+    ``xxhash64`` skips nulls, so where the nulls are is hashed as well, in nested values
+    too; otherwise (null, 'a') and ('a', null) would look the same. Maps cannot be
+    hashed and go in as JSON, with their nulls.
     """
-    values = [
-        F.to_json(F.struct(df[f.name])) if _has_map(f.dataType) else df[f.name]
-        for f in df.schema.fields
-    ]
-    flags = [df[f.name].isNull() for f in df.schema.fields]
-    return F.xxhash64(*values, *flags)
+    parts = []
+    for f in df.schema.fields:
+        value = df[f.name]
+        if _has_map(f.dataType):
+            parts.append(F.to_json(F.struct(value), {"ignoreNullFields": "false"}))
+        else:
+            parts += [value, *_null_flags(value, f.dataType)]
+    return F.xxhash64(*parts)
 
 
 def checksum(df: DataFrame) -> Column:

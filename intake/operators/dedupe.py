@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 from operator import add, or_
 
@@ -11,22 +11,33 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from intake.functions.checksum import checksum, row_hash
+
 # Sets of keys up to this measured size are broadcast.
 BROADCAST_LIMIT = 32 * 1024 * 1024
 
 RANGE_TYPES = (T.IntegralType, T.DecimalType, T.DateType, T.StringType)
 
 
+def _sortable(data_type: T.DataType) -> bool:
+    if isinstance(data_type, (T.MapType, T.VariantType)):
+        return False
+    if isinstance(data_type, T.ArrayType):
+        return _sortable(data_type.elementType)
+    if isinstance(data_type, T.StructType):
+        return all(_sortable(f.dataType) for f in data_type.fields)
+    return True
+
+
 def _total_order(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> list[Column]:
-    """``order_by``, then every other sortable column, so ties cannot matter."""
-    rest = [
-        f.name
-        for f in df.schema.fields
-        if f.name not in key
-        and f.name not in order_by
-        and not isinstance(f.dataType, (T.MapType, T.VariantType))
-    ]
-    return [F.col(c) for c in (*order_by, *rest)]
+    """``order_by``, then every other column, so ties cannot matter.
+
+    Columns that cannot be sorted, as they hold a map, count by the hash of the row.
+    """
+    rest = [f for f in df.schema.fields if f.name not in key and f.name not in order_by]
+    plain = [F.col(f.name) for f in rest if _sortable(f.dataType)]
+    hashed = [row_hash(df)] if len(plain) < len(rest) else []
+    return [*[F.col(c) for c in order_by], *plain, *hashed]
 
 
 def first_per_key(
@@ -46,59 +57,71 @@ def first_per_key(
 
 @dataclass(frozen=True)
 class KeyStats:
-    """Size and range of a batch's keys, measured by one narrow scan."""
+    """Size and ranges of a batch's keys, and the rows' checksum, measured by one scan."""
 
     n_rows: int
     n_null: int
     n_bytes: int
-    low: object = None
-    high: object = None
+    bounds: dict[str, tuple] = field(default_factory=dict)
+    checksum: int | None = None
+
+
+def _bytes_of(column: str, data_type: T.DataType) -> Column:
+    """What a value takes in memory, or more."""
+    if isinstance(data_type, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(column), F.lit(0))
+    if isinstance(data_type, T.DecimalType):
+        return F.lit(16)
+    if isinstance(data_type, (T.ArrayType, T.StructType, T.MapType)):
+        # Its text, and a header for whatever is in it.
+        return 8 * F.octet_length(F.to_json(F.struct(column), {"ignoreNullFields": "false"}))
+    return F.lit(8)
 
 
 def key_bytes(df: DataFrame, key: Sequence[str]) -> Column:
     """Memory one key takes in a broadcast: its values and a row's overhead."""
-    sizes = [
-        F.coalesce(F.octet_length(c), F.lit(0))
-        if isinstance(df.schema[c].dataType, (T.StringType, T.BinaryType))
-        else F.lit(8)
-        for c in key
-    ]
+    sizes = [_bytes_of(c, df.schema[c].dataType) for c in key]
     return (reduce(add, sizes) + F.lit(16)).cast("bigint")
 
 
-def key_stats(batch: DataFrame, key: Sequence[str]) -> KeyStats:
-    ranged = len(key) == 1 and isinstance(batch.schema[key[0]].dataType, RANGE_TYPES)
-    bounds = [F.min(key[0]).alias("low"), F.max(key[0]).alias("high")] if ranged else []
+def key_stats(batch: DataFrame, key: Sequence[str], identify: bool = False) -> KeyStats:
+    """Measures a batch's keys; with ``identify`` its rows' checksum too, in the same scan."""
+    ranged = [c for c in key if isinstance(batch.schema[c].dataType, RANGE_TYPES)]
+    bounds = [x for i, c in enumerate(ranged) for x in (F.min(c).alias(f"low_{i}"), F.max(c).alias(f"high_{i}"))]
     row = batch.agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(reduce(or_, [F.col(c).isNull() for c in key])).alias("n_null"),
         F.coalesce(F.sum(key_bytes(batch, key)), F.lit(0)).alias("bytes"),
+        (checksum(batch) if identify else F.lit(None)).alias("sum"),
         *bounds,
     ).first()
-    return KeyStats(*row)
+    pairs = {c: (row[f"low_{i}"], row[f"high_{i}"]) for i, c in enumerate(ranged)}
+    return KeyStats(row["n"], row["n_null"], row["bytes"], pairs, row["sum"])
 
 
 def in_range(target: DataFrame, key: Sequence[str], stats: KeyStats | None) -> DataFrame:
-    """Only target keys between the batch's lowest and highest.
+    """Only target keys between the batch's lowest and highest, in every key column.
 
-    Reaches the scan as a pushed filter, so old files and row groups are skipped
+    Reaches the scan as pushed filters, so old files and row groups are skipped
     when keys grow over time.
     """
-    if stats is None or stats.low is None:
-        return target
-    data_type = target.schema[key[0]].dataType
-    low, high = (F.lit(v).cast(data_type) for v in (stats.low, stats.high))
-    return target.where(F.col(key[0]).between(low, high))
+    for column, (low, high) in (stats.bounds if stats else {}).items():
+        if low is not None:
+            data_type = target.schema[column].dataType
+            target = target.where(
+                F.col(column).between(F.lit(low).cast(data_type), F.lit(high).cast(data_type))
+            )
+    return target
 
 
 def duplicate_report(
     batch: DataFrame,
-    target: DataFrame,
+    target: DataFrame | None,
     key: Sequence[str],
     stats: KeyStats | None = None,
     broadcast_limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
-    """Keys that repeat in the batch or already exist in the target.
+    """Keys that repeat in the batch or already exist in the target (None: an empty one).
 
     Columns: the key, ``n_in_batch`` (rows of the batch) and ``in_target``. Only key
     columns are read and shuffled, each side reduced to its keys per task first.
@@ -109,6 +132,8 @@ def duplicate_report(
     has them already.
     """
     counts = batch.groupBy(*key).agg(F.count(F.lit(1)).alias("n_in_batch"))
+    if target is None:
+        return counts.where("n_in_batch > 1").withColumn("in_target", F.lit(False))
     held = in_range(target.select(*key), key, stats)
     if stats is not None and stats.n_bytes <= broadcast_limit:
         held = held.join(F.broadcast(counts.select(*key)), list(key), "left_semi")

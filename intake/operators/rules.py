@@ -1,7 +1,9 @@
 """Validation rules: each one names a column, a reason and a test.
 
-A rule's ``violated()`` is a boolean Column that is never null, so rules can be
-counted, collected into an array of reasons or negated into a filter.
+A rule's ``violated(slot)`` is a boolean Column that is never null, so rules can be
+counted, collected into an array of reasons or negated into a filter. ``slot`` is the
+rule's place in its contract; helper columns are named by it, so that two rules of
+one kind on one column stay apart.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from intake.functions.casts import int_cast, typed_value
+from intake.functions.casts import int_cast, quoted, typed_value
 
 CORRUPT = "_corrupt_record"
 
@@ -26,7 +28,7 @@ class Rule:
     def reason(self) -> str:
         return f"{self.kind}:{self.column}"
 
-    def violated(self) -> Column:
+    def violated(self, slot: int = 0) -> Column:
         raise NotImplementedError
 
 
@@ -36,20 +38,37 @@ class NotNull(Rule):
 
     kind = "null"
 
-    def violated(self) -> Column:
+    def violated(self, slot: int = 0) -> Column:
         return F.col(self.column).isNull()
 
 
 @dataclass(frozen=True)
 class IntCastable(Rule):
-    """The value must be present and an int."""
+    """The value must be present and an int, or of the integer type its field declares."""
 
     mode: str = "lenient"
+    data_type: str = "int"
 
     kind = "not_int"
 
-    def violated(self) -> Column:
-        return int_cast(self.column, self.mode).isNull()
+    def violated(self, slot: int = 0) -> Column:
+        return int_cast(self.column, self.mode, self.data_type).isNull()
+
+
+@dataclass(frozen=True)
+class Castable(Rule):
+    """A present value must fit the type of its field; implied for every typed field."""
+
+    data_type: str = "string"
+    mode: str = "lenient"
+
+    @property
+    def reason(self) -> str:
+        return f"not_{self.data_type}:{self.column}"
+
+    def violated(self, slot: int = 0) -> Column:
+        value = typed_value(self.column, self.data_type, self.mode)
+        return F.col(quoted(self.column)).isNotNull() & value.isNull()
 
 
 @dataclass(frozen=True)
@@ -60,7 +79,7 @@ class InSet(Rule):
 
     kind = "not_in_set"
 
-    def violated(self) -> Column:
+    def violated(self, slot: int = 0) -> Column:
         c = F.col(self.column)
         return c.isNotNull() & ~F.coalesce(c.isin(*self.allowed), F.lit(False))
 
@@ -81,7 +100,7 @@ class WellFormed(Rule):
     def reason(self) -> str:
         return self.kind
 
-    def violated(self) -> Column:
+    def violated(self, slot: int = 0) -> Column:
         return F.col(CORRUPT).isNotNull()
 
 
@@ -101,26 +120,19 @@ class References(Rule):
 
     kind = "no_reference"
 
-    @property
-    def _value(self) -> str:
-        return f"_ref_value_{self.column}"
-
-    @property
-    def _found(self) -> str:
-        return f"_ref_found_{self.column}"
-
-    def attach(self, df: DataFrame) -> DataFrame:
+    def attach(self, df: DataFrame, slot: int = 0) -> DataFrame:
+        key = f"try_cast({quoted(self.key)} AS {self.data_type})"
         keys = (
-            self.dimension.select(F.col(self.key).cast(self.data_type).alias(self._value))
-            .where(F.col(self._value).isNotNull())
+            self.dimension.select(F.expr(key).alias(f"_ref_value_{slot}"))
+            .where(F.col(f"_ref_value_{slot}").isNotNull())
             .distinct()
-            .withColumn(self._found, F.lit(True))
+            .withColumn(f"_ref_found_{slot}", F.lit(True))
         )
         value = typed_value(self.column, self.data_type, self.mode)
-        return df.withColumn(self._value, value).join(keys, self._value, "left")
+        return df.withColumn(f"_ref_value_{slot}", value).join(keys, f"_ref_value_{slot}", "left")
 
-    def detach(self, df: DataFrame) -> DataFrame:
-        return df.drop(self._value, self._found)
+    def detach(self, df: DataFrame, slot: int = 0) -> DataFrame:
+        return df.drop(f"_ref_value_{slot}", f"_ref_found_{slot}")
 
-    def violated(self) -> Column:
-        return F.col(self.column).isNotNull() & F.col(self._found).isNull()
+    def violated(self, slot: int = 0) -> Column:
+        return F.col(self.column).isNotNull() & F.col(f"_ref_found_{slot}").isNull()

@@ -12,55 +12,68 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from intake.contracts import TableContract
 from intake.functions.casts import typed_value
-from intake.operators.rules import CORRUPT, References, Rule
+from intake.operators.rules import CORRUPT, Castable, References, Rule, WellFormed
 
 REASONS = "reasons"
+RAW_LINE = "raw_line"
 VERDICT = "verdict"
 ACCEPTED = "accepted"
 REJECTED = "rejected"
 
 
-def _references(contract: TableContract) -> list[References]:
-    return [r for r in contract.rules if isinstance(r, References)]
+def _checks(df: DataFrame, contract: TableContract) -> list[tuple[int, str, Rule]]:
+    """(slot, reason, rule) of the checks that ``df`` can be put to.
+
+    Rows that are not text have their types already, and rows that do not come from a
+    file have no raw line.
+    """
+    texts = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    return [
+        (slot, reason, rule)
+        for slot, (reason, rule) in enumerate(contract.checks)
+        if not (isinstance(rule, Castable) and rule.column not in texts)
+        and not (isinstance(rule, WellFormed) and CORRUPT not in df.columns)
+    ]
 
 
 def _with_lookups(df: DataFrame, contract: TableContract) -> DataFrame:
-    for rule in _references(contract):
-        df = rule.attach(df)
+    for slot, (_, rule) in enumerate(contract.checks):
+        if isinstance(rule, References):
+            df = rule.attach(df, slot)
     return df
 
 
-def _flag(rule: Rule) -> str:
-    return f"_broken_{rule.reason}"
+def _flag(slot: int) -> str:
+    return f"_broken_{slot}"
 
 
 def flags(contract: TableContract) -> list[str]:
-    """Names of the boolean helper columns of ``annotate``, one per rule."""
-    return [_flag(r) for r in contract.rules]
+    """Names of the boolean helper columns of ``annotate``, one per check."""
+    return [_flag(slot) for slot, _ in enumerate(contract.checks)]
 
 
 def annotate(df: DataFrame, contract: TableContract) -> DataFrame:
     """Add to every row ``reasons`` (array of string), ``verdict`` and the flags.
 
-    Each rule is tested once, into its flag; reasons, verdict and counts are made of
+    Each check is made once, into its flag; reasons, verdict and counts are made of
     flags. Only conditionals and ``concat``, which Spark compiles: a higher-order
     function such as ``array_compact`` would take the row out of generated code.
     """
     nothing = F.array().cast("array<string>")
-    broken = [F.col(f"`{_flag(r)}`") for r in contract.rules]
-    any_broken = reduce(or_, broken, F.lit(False))
-    found = [
-        F.when(b, F.array(F.lit(r.reason))).otherwise(nothing)
-        for b, r in zip(broken, contract.rules, strict=True)
-    ]
+    checks = {slot: rule.violated(slot) for slot, _, rule in _checks(df, contract)}
+    every = [(_flag(slot), reason) for slot, (reason, _) in enumerate(contract.checks)]
+    any_broken = reduce(or_, [F.col(flag) for flag, _ in every], F.lit(False))
+    found = [F.when(F.col(flag), F.array(F.lit(reason))).otherwise(nothing) for flag, reason in every]
     out = _with_lookups(df, contract).withColumns(
-        {_flag(r): r.violated() for r in contract.rules}
+        {_flag(slot): checks.get(slot, F.lit(False)) for slot, _ in enumerate(contract.checks)}
     )
-    for rule in _references(contract):
-        out = rule.detach(out)
+    for slot, (_, rule) in enumerate(contract.checks):
+        if isinstance(rule, References):
+            out = rule.detach(out, slot)
     return out.withColumns(
         {
             REASONS: F.when(any_broken, F.concat(nothing, *found)).otherwise(nothing),
@@ -75,14 +88,17 @@ def accepted(df: DataFrame, contract: TableContract) -> DataFrame:
     A plain filter: a caller who wants no reasons should not pay for the array.
     """
     keep = F.lit(True)
-    for rule in contract.rules:
-        keep = keep & ~rule.violated()
+    for slot, _, rule in _checks(df, contract):
+        keep = keep & ~rule.violated(slot)
     return _with_lookups(df, contract).where(keep).select(*contract.columns)
 
 
 def rejected(df: DataFrame, contract: TableContract) -> DataFrame:
-    """The rows that break a rule, with their reasons."""
+    """The rows that break a rule, with their reasons; with the raw line of those of
+    another width, if the contract has a rule for them."""
     bad = annotate(df, contract).where(F.col(VERDICT) == REJECTED)
+    if contract.wants_raw_line:
+        bad = bad.withColumnRenamed(CORRUPT, RAW_LINE)
     return bad.drop(VERDICT, CORRUPT, *flags(contract))
 
 
@@ -98,18 +114,25 @@ def count_columns(contract: TableContract) -> list[Column]:
         F.count(F.lit(1)).alias("scanned"),
         F.count_if(F.col(VERDICT) == ACCEPTED).alias("accepted"),
         F.count_if(F.col(VERDICT) == REJECTED).alias("rejected"),
-        *[F.count_if(F.col(f"`{_flag(r)}`")).alias(r.reason) for r in contract.rules],
+        *[
+            F.count_if(F.col(_flag(slot))).alias(reason)
+            for slot, (reason, _) in enumerate(contract.checks)
+        ],
     ]
 
 
 def violation_counts(df: DataFrame, contract: TableContract) -> DataFrame:
     """One row per rule: rows seen and rows that break it, in a single scan."""
+    broken = {slot: rule.violated(slot) for slot, _, rule in _checks(df, contract)}
     totals = _with_lookups(df, contract).agg(
         F.count(F.lit(1)).alias("n_rows"),
-        *[F.count_if(r.violated()).alias(r.reason) for r in contract.rules],
+        *[
+            F.count_if(broken.get(slot, F.lit(False))).alias(reason)
+            for slot, (reason, _) in enumerate(contract.checks)
+        ],
     )
     return totals.unpivot(
-        "n_rows", [f"`{r.reason}`" for r in contract.rules], "reason", "n_violations"
+        "n_rows", [f"`{reason}`" for reason, _ in contract.checks], "reason", "n_violations"
     ).select("reason", "n_rows", "n_violations")
 
 
@@ -127,7 +150,7 @@ def assert_not_empty(n_accepted: int, contract: TableContract) -> None:
 
 
 def typed(df: DataFrame, contract: TableContract) -> DataFrame:
-    """Landing text to the contract's types."""
+    """Landing text to the contract's types; a value that was accepted is never lost."""
     return df.select(
         *[
             typed_value(f.name, f.data_type, contract.mode_of(f.name)).alias(f.name)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from intake.sources.files import exists
+from intake.sources.files import delete, exists, names, rename
 from intake.sources.local import rows_frame
 
 SCHEMA = T.StructType(
@@ -40,19 +40,57 @@ FAILED = "failed"
 
 
 class AuditLog:
-    """Append-only Parquet log, by day. Rows are never changed, attempts add up."""
+    """Append-only Parquet log, by day. Rows are never changed, attempts add up.
+
+    Every entry is a folder of its own, so that runs at the same time do not meet.
+    """
 
     def __init__(self, path: str):
         self.path = path
 
     def append(self, spark: SparkSession, row: dict) -> None:
-        one = rows_frame(spark, [row], SCHEMA)
-        one.write.mode("append").partitionBy("day").parquet(self.path)
+        self._write(rows_frame(spark, [row], SCHEMA), row["day"])
+
+    def refusals(self, spark: SparkSession, files: DataFrame, batch_id: str) -> None:
+        """A failed ``gate`` row for each of ``files`` (path, table_name, verdict)."""
+        now = datetime.now(UTC)
+        known = {
+            "run_id": F.expr("uuid()"),
+            "step": F.lit("gate"),
+            "table_name": F.col("table_name"),
+            "batch_id": F.lit(batch_id),
+            "status": F.lit(FAILED),
+            "started_at": F.lit(now),
+            "finished_at": F.lit(now),
+            "error": F.concat("verdict", F.lit(": "), "path"),
+            "day": F.lit(now.strftime("%Y-%m-%d")),
+        }
+        rows = files.select(
+            *[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in SCHEMA]
+        )
+        self._write(rows, now.strftime("%Y-%m-%d"))
+
+    def _write(self, rows: DataFrame, day: str) -> None:
+        rows.drop("day").write.parquet(f"{self.path}/day={day}/entry={uuid.uuid4().hex}")
 
     def read(self, spark: SparkSession) -> DataFrame:
         if not exists(spark, self.path):
             return rows_frame(spark, [], SCHEMA)
-        return spark.read.schema(SCHEMA).parquet(self.path)
+        schema = T.StructType(list(SCHEMA.fields)).add("entry", T.StringType())
+        return spark.read.schema(schema).parquet(self.path).drop("entry")
+
+    def compact(self, spark: SparkSession, day: str) -> None:
+        """Gather a past day's entries, a file each, in one; for a day that is over."""
+        folder = f"{self.path}/day={day}"
+        entries = names(spark, folder)
+        if len(entries) > 1:
+            schema = T.StructType([f for f in SCHEMA if f.name != "day"])
+            rows = spark.read.schema(schema).parquet(*[f"{folder}/{e}" for e in entries])
+            new = f"{self.path}/_compacting-{uuid.uuid4().hex}"
+            rows.coalesce(1).write.parquet(new)
+            rename(spark, new, f"{folder}/entry={uuid.uuid4().hex}")
+            for entry in entries:
+                delete(spark, f"{folder}/{entry}")
 
     @contextmanager
     def run(self, spark: SparkSession, step: str, table: str, batch_id: str) -> Iterator[dict]:
@@ -71,7 +109,7 @@ class AuditLog:
         try:
             yield row
         except Exception as error:
-            row |= {"status": FAILED, "error": f"{type(error).__name__}: {error}"[:4000]}
+            row |= {"status": FAILED, "error": f"{type(error).__name__}: {error}"}
             raise
         finally:
             row["finished_at"] = datetime.now(UTC)

@@ -6,6 +6,7 @@ import json
 import re
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import nullcontext
 from datetime import UTC, datetime
 from functools import reduce
 
@@ -16,10 +17,11 @@ from pyspark.sql import types as T
 
 from intake.contracts import TableContract
 from intake.functions.checksum import SUM_TYPE, checksum
+from intake.plans.audit import AuditLog
 from intake.plans.load import load
-from intake.sources.files import delete, exists
+from intake.sources.files import delete, exists, names
 from intake.sources.local import rows_frame
-from intake.sources.tables import Table
+from intake.sources.tables import Expected, Table
 
 LATEST = "latest"
 
@@ -56,6 +58,10 @@ def _frame(spark: SparkSession, source: Table | DataFrame) -> DataFrame:
     return source if isinstance(source, DataFrame) else source.read(spark)
 
 
+def _recorded(audit: AuditLog | None, spark: SparkSession, step: str, table: str, snapshot: str):
+    return audit.run(spark, step, table, snapshot) if audit else nullcontext({})
+
+
 def backup(
     spark: SparkSession,
     sources: Mapping[str, Table | DataFrame],
@@ -64,13 +70,15 @@ def backup(
     snapshot_id: str | None = None,
     fmt: str = "parquet",
     parallel: int = 4,
+    audit: AuditLog | None = None,
 ) -> DataFrame:
     """Write one snapshot of ``tables`` (all sources if none are named).
 
     Row count and checksum are observed in the same pass that writes. The manifest
     is written after every table is done, so a backup that dies leaves the earlier
     snapshots as they were and no half snapshot to be found. Up to ``parallel``
-    tables are written at once, so small ones do not queue behind each other.
+    tables are written at once, so small ones do not queue behind each other. With
+    ``audit`` each table leaves a row there, failed or not.
     """
     names = list(sources) if not tables else list(tables)
     unknown = sorted(set(names) - set(sources))
@@ -82,6 +90,12 @@ def backup(
         raise ValueError(f"snapshot {snapshot} already exists under {root}")
 
     def write(name: str) -> dict:
+        with _recorded(audit, spark, "backup", name, snapshot) as row:
+            found = copy(name)
+            row |= {"scanned": found["n_rows"], "schema_json": found["schema_json"]}
+            return found
+
+    def copy(name: str) -> dict:
         df = _frame(spark, sources[name])
         seen = Observation()
         path = f"{_data(root, snapshot)}/{name}"
@@ -162,38 +176,53 @@ def restore(
     snapshot_id: str = LATEST,
     mode: str = "replace",
     contract: TableContract | None = None,
+    audit: AuditLog | None = None,
 ) -> int:
     """Put one table back and return the number of rows written.
 
     ``replace`` sets the table to the snapshot's content. ``append`` adds only rows
     whose key is missing, which needs the contract. Either can be repeated after a
-    failure: the snapshot itself is never touched.
+    failure: the snapshot itself is never touched, and a snapshot that has not the rows and
+    the checksum of its manifest is refused before the table changes.
     """
+    with _recorded(audit, spark, "restore", table, snapshot_id) as row:
+        row["loaded"] = done = _restore(spark, root, table, target, snapshot_id, mode, contract)
+    return done
+
+
+def _restore(
+    spark: SparkSession,
+    root: str,
+    table: str,
+    target: Table,
+    snapshot_id: str,
+    mode: str,
+    contract: TableContract | None,
+) -> int:
     entry = _entry(spark, root, table, snapshot_id)
     rows = _load(spark, entry)
-    # Before the table is touched; answered from Parquet footers, without a scan.
-    found = rows.count()
-    if found != entry["n_rows"]:
-        raise ValueError(
-            f"snapshot {entry['snapshot_id']} of {table} has {found} rows, not {entry['n_rows']}"
-        )
+    expected = Expected(entry["n_rows"], entry["checksum"])
     if mode == "append":
         if contract is None or not contract.key:
             raise ValueError("restore by append needs a contract with a key")
+        expected.check(Expected.of(rows), f"snapshot {entry['snapshot_id']} of {table}")
         batch = rows.select(*target.schema.fieldNames())
         batch_id = f"restore-{entry['snapshot_id']}"
-        return load(spark, batch, target, contract, batch_id).loaded
+        source = f"snapshot:{entry['snapshot_id']}:{entry['checksum']}"
+        return load(spark, batch, target, contract, batch_id, source=source).loaded
     if mode != "replace":
         raise ValueError(f"unknown restore mode {mode!r}: use 'replace' or 'append'")
-    target.replace(rows)
+    with target.writing(spark, f"restore-{entry['snapshot_id']}"):
+        target.replace(rows, expected)
     return entry["n_rows"]
 
 
-def expire(spark: SparkSession, root: str, keep: int) -> list[str]:
+def expire(spark: SparkSession, root: str, keep: int, unpublished: bool = False) -> list[str]:
     """Remove all but the newest ``keep`` snapshots and return their ids.
 
     A separate step, never part of a backup: the old set goes only once newer ones
-    are published.
+    are published. ``unpublished`` also removes what backups that failed have left; not
+    while a backup is running.
     """
     if keep < 1:
         raise ValueError("keep at least one snapshot")
@@ -206,6 +235,8 @@ def expire(spark: SparkSession, root: str, keep: int) -> list[str]:
         .collect()
     ]
     old = ids[keep:]
+    if unpublished:
+        old += [n for n in names(spark, f"{root}/snapshots") if n not in ids]
     for snapshot in old:
         delete(spark, _published(root, snapshot))
         delete(spark, _data(root, snapshot))

@@ -3,17 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from intake.contracts import TableContract, by_name, contract_for
 from intake.operators.validate import annotate, assert_clean, assert_not_empty, typed
 from intake.plans.audit import AuditLog
 from intake.plans.load import LoadResult, load
-from intake.sources.landing import check_key, check_width, read_landing
+from intake.sources.landing import (
+    check_key,
+    check_width,
+    list_landing,
+    read_landing,
+    refused,
+    source_of,
+)
 from intake.sources.staged import StageCounts, read_staged, stage
-from intake.sources.tables import Table
+from intake.sources.tables import Expected, Table, claim
 
 
 @dataclass(frozen=True)
@@ -62,10 +71,19 @@ def ingest_batch(
     intake: Intake,
     batch_id: str,
     require_rows: bool = True,
+    source: str | None = None,
 ) -> IngestResult:
-    """Validate, stage and load one batch, and log it. Safe to repeat."""
+    """Validate, stage and load one batch, and log it. Safe to repeat.
+
+    ``source`` says where the rows come from (their checksum, if not given): a batch id
+    that belongs to another source is refused before anything is written.
+    """
     with intake.audit.run(spark, "ingest", contract.name, batch_id) as row:
         row["schema_json"] = contract.table_schema.json()
+        if source is None:
+            found = Expected.of(landing)
+            source = f"rows:{found.n_rows}:{found.checksum}"
+        claim(spark, f"{intake.staged_root}/{contract.name}.meta", batch_id, source)
         counts = validate(landing, contract, intake.staged_root, batch_id)
         row |= {
             "scanned": counts.scanned,
@@ -76,7 +94,7 @@ def ingest_batch(
         if require_rows:
             assert_not_empty(counts.accepted, contract)
         rows = typed(read_staged(spark, intake.staged_root, contract, batch_id), contract)
-        done = load(spark, rows, intake.targets[contract.name], contract, batch_id)
+        done = load(spark, rows, intake.targets[contract.name], contract, batch_id, source=source)
         row |= {"loaded": done.loaded, "skipped": done.skipped}
     return IngestResult(batch_id, counts, done)
 
@@ -86,31 +104,45 @@ def ingest_file(
 ) -> IngestResult:
     """Ingest one landing file; its name says which table it belongs to.
 
-    A refused name or a wrong column count is logged as a failed run, too.
+    A refused name, a missing file or a wrong column count is logged as a failed run, too.
     """
     table = path.rstrip("/").rsplit("/", 1)[-1]
     try:
         table = check_key(spark, path, intake.contracts, parity)
         contract = contract_for(intake.contracts, table)
         check_width(spark, path, contract)
-    except ValueError:
+        source = source_of(list_landing(spark, path))
+    except Exception:
         with intake.audit.run(spark, "gate", table, batch_id):
             raise
-    return ingest_batch(spark, read_landing(spark, path, contract), contract, intake, batch_id)
+    landing = read_landing(spark, path, contract)
+    return ingest_batch(spark, landing, contract, intake, batch_id, source=source)
 
 
 def ingest_folder(
-    spark: SparkSession, folder: str, intake: Intake, batch_id: str
+    spark: SparkSession, folder: str, intake: Intake, batch_id: str, parallel: int = 4
 ) -> dict[str, IngestResult]:
-    """Ingest every declared table's files below a folder, one batch per table."""
-    return {
-        name: ingest_batch(
+    """Ingest every declared table's files below a folder, one batch per table.
+
+    Files that no contract takes are logged as failed runs, one row each. Up to
+    ``parallel`` tables are ingested at once; if one fails, the others still finish.
+    """
+    no = refused(list_landing(spark, folder), intake.contracts, folder)
+    if not no.isEmpty():
+        intake.audit.refusals(spark, no, batch_id)
+
+    def one(contract: TableContract) -> IngestResult:
+        return ingest_batch(
             spark,
             read_landing(spark, folder, contract, contract.glob),
             contract,
             intake,
             batch_id,
             require_rows=False,
+            source=source_of(list_landing(spark, folder, contract.glob)),
         )
-        for name, contract in intake.contracts.items()
-    }
+
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        run = inheritable_thread_target(spark)(one)
+        runs = {name: pool.submit(run, c) for name, c in intake.contracts.items()}
+    return {name: done.result() for name, done in runs.items()}

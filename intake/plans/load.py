@@ -15,7 +15,8 @@ from intake.operators.dedupe import (
     key_stats,
     new_rows,
 )
-from intake.sources.tables import Table
+from intake.sources.files import delete
+from intake.sources.tables import Expected, Table
 from intake.workspace import run_dir
 
 
@@ -38,6 +39,7 @@ def load(
     contract: TableContract,
     batch_id: str,
     broadcast_limit: int = BROADCAST_LIMIT,
+    source: str | None = None,
 ) -> LoadResult:
     """Append the rows of ``batch`` whose key is new; the first row of a key wins.
 
@@ -49,25 +51,52 @@ def load(
     ``on_duplicate``: ``skip`` leaves repeated keys out, ``report`` also returns
     them, ``error`` refuses the whole batch. A contract without a key appends
     every row.
+
+    ``source`` says where the rows come from (their checksum, if not given). A batch id
+    belongs to one source: the same batch may come again and replaces itself, other rows
+    under its id are refused. One load at a time holds the target.
     """
-    if not contract.key:
-        n = target.append(batch, batch_id)
-        return LoadResult(n, n)
+    with target.writing(spark, batch_id):
+        if not contract.key:
+            target.claim(spark, batch_id, source or _rows_source(Expected.of(batch)))
+            n = target.append(batch, batch_id)
+            return LoadResult(n, n)
+        return _load_keyed(spark, batch, target, contract, batch_id, broadcast_limit, source)
+
+
+def _rows_source(found: Expected) -> str:
+    return f"rows:{found.n_rows}:{found.checksum}"
 
+
+def _load_keyed(
+    spark: SparkSession,
+    batch: DataFrame,
+    target: Table,
+    contract: TableContract,
+    batch_id: str,
+    broadcast_limit: int,
+    source: str | None,
+) -> LoadResult:
     key = contract.key
-    stats = key_stats(batch, key)
+    stats = key_stats(batch, key, identify=source is None)
     if stats.n_null:
         raise ValueError(f"{contract.name}: {stats.n_null} rows without a key")
-    existing = target.rows(spark, except_batch=batch_id)
+    target.claim(spark, batch_id, source or _rows_source(Expected(stats.n_rows, stats.checksum)))
+    existing = None if target.empty(spark, batch_id) else target.rows(spark, except_batch=batch_id)
     report = duplicate_report(batch, existing, key, stats, broadcast_limit)
-    duplicates = _store(spark, report, key, run_dir(spark, f"duplicates-{contract.name}"))
-    if duplicates.n_keys and contract.on_duplicate == "error":
-        raise ValueError(
-            f"{contract.name}: {duplicates.n_keys} keys repeat or are already loaded"
-        )
-    fresh = new_rows(batch, duplicates, key, contract.order_by, stats.n_rows, broadcast_limit)
-    loaded = target.append(fresh, batch_id)
+    folder = run_dir(spark, f"duplicates-{contract.name}")
+    duplicates = _store(spark, report, key, folder)
     wanted = contract.on_duplicate == "report"
+    try:
+        if duplicates.n_keys and contract.on_duplicate == "error":
+            raise ValueError(
+                f"{contract.name}: {duplicates.n_keys} keys repeat or are already loaded"
+            )
+        fresh = new_rows(batch, duplicates, key, contract.order_by, stats.n_rows, broadcast_limit)
+        loaded = target.append(fresh, batch_id)
+    finally:
+        if not wanted:
+            delete(spark, folder)
     return LoadResult(stats.n_rows, loaded, duplicates.keys if wanted else None)
 
 

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from intake.plans.audit import AuditLog
 from intake.plans.backup import backup, restore
 from intake.sources.tables import Table
 
@@ -40,13 +41,18 @@ def route(requests: DataFrame, tables: Iterable[str], path: str = "path") -> Dat
 
 
 def handle(
-    spark: SparkSession, path: str, tables: Mapping[str, Table], root: str
+    spark: SparkSession,
+    path: str,
+    tables: Mapping[str, Table],
+    root: str,
+    audit: AuditLog | None = None,
 ) -> DataFrame | int:
     """Carry a request out: the manifest of a backup, or the rows restored."""
     request = spark.sql("SELECT :path AS path", args={"path": path})
     found = route(request, tables).first()
     if found["action"] == BACKUP:
-        return backup(spark, tables, root)
+        return backup(spark, tables, root, audit=audit)
     if found["action"] == RESTORE:
-        return restore(spark, root, found["table_name"], tables[found["table_name"]])
+        table = found["table_name"]
+        return restore(spark, root, table, tables[table], audit=audit)
     raise ValueError(f"{path}: neither a backup nor a restore of a declared table")

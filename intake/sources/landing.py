@@ -2,30 +2,33 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from intake.contracts import TableContract
-from intake.functions.keys import PASS, UNKNOWN_TABLE, WRONG_TYPE, key_verdict, table_name
-from intake.operators.rules import CORRUPT, WellFormed
-
-
-def _wants_raw_line(contract: TableContract) -> bool:
-    return any(isinstance(r, WellFormed) for r in contract.rules)
+from intake.functions.keys import (
+    PASS,
+    UNKNOWN_TABLE,
+    WRONG_TYPE,
+    file_type_ok,
+    key_verdict,
+    table_name,
+)
+from intake.operators.rules import CORRUPT
 
 
 def _schema(contract: TableContract) -> T.StructType:
     """The declared columns, plus the raw line where a rule asks for it."""
     schema = contract.landing_schema
-    return schema.add(CORRUPT, T.StringType()) if _wants_raw_line(contract) else schema
+    return schema.add(CORRUPT, T.StringType()) if contract.wants_raw_line else schema
 
 
 def _options(contract: TableContract) -> dict[str, str]:
     options = {"sep": contract.delimiter, "header": "false", "mode": "PERMISSIVE"}
-    if _wants_raw_line(contract):
+    if contract.wants_raw_line:
         # A pruned scan cannot see that a line is short or long.
         options |= {"columnNameOfCorruptRecord": CORRUPT, "columnPruning": "false"}
     return options
@@ -46,14 +49,21 @@ def stream_landing(
     folder: str,
     contract: TableContract,
     max_files: int | None = None,
+    archive: str | None = None,
 ) -> DataFrame:
-    """The same files as they arrive; each path is read once."""
+    """The same files as they arrive; each path is read once.
+
+    With ``archive`` files that were read move there, so that the folder that every
+    trigger lists does not grow.
+    """
     reader = (
         spark.readStream.schema(_schema(contract))
         .options(**_options(contract))
         .option("pathGlobFilter", contract.glob)
         .option("recursiveFileLookup", "true")
     )
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.csv(folder)
@@ -100,14 +110,38 @@ def check_key(
     return row["name"]
 
 
-def list_landing(spark: SparkSession, folder: str) -> DataFrame:
+def list_landing(spark: SparkSession, folder: str, glob: str | None = None) -> DataFrame:
     """The files below a folder, without reading them."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(folder)
-        .select("path", "modificationTime", "length")
-    )
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.load(folder).select("path", "modificationTime", "length")
+
+
+def stream_listing(spark: SparkSession, folder: str) -> DataFrame:
+    """The same, as files arrive."""
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    reader = spark.readStream.format("binaryFile").schema(schema)
+    return reader.option("recursiveFileLookup", "true").load(folder).drop("content")
+
+
+def source_of(files: DataFrame) -> str:
+    """What says that files are the same ones: their paths, lengths and times, as a digest."""
+    known = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+    n, total = files.agg(F.count(F.lit(1)), F.coalesce(F.sum(known), F.lit(0))).first()
+    return f"files:{n}:{total}"
+
+
+def refused(
+    files: DataFrame, contracts: Mapping[str, TableContract], folder: str, parity: bool = False
+) -> DataFrame:
+    """Of the files below ``folder`` those that no contract takes, with table_name and verdict."""
+    spark = files.sparkSession
+    left = files
+    for contract in contracts.values():
+        left = left.join(list_landing(spark, folder, contract.glob).select("path"), "path", "left_anti")
+    verdict = F.when(~file_type_ok(F.col("path"), parity), F.lit(WRONG_TYPE)).otherwise(F.lit(UNKNOWN_TABLE))
+    return left.select("path", table_name(F.col("path")).alias("table_name"), verdict.alias("verdict"))
 
 
 def gate(

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from intake.contracts import TableContract
 from intake.operators.rules import CORRUPT
-from intake.operators.validate import ACCEPTED, REASONS, REJECTED, VERDICT, count_columns
+from intake.operators.validate import ACCEPTED, RAW_LINE, REASONS, REJECTED, VERDICT, count_columns
 from intake.sources.tables import batch_path
 
 BATCH = "batch_id"
@@ -50,7 +50,7 @@ def stage(
         counts["scanned"],
         counts["accepted"],
         counts["rejected"],
-        {r.reason: counts[r.reason] for r in contract.rules},
+        {reason: counts[reason] for reason, _ in contract.checks},
     )
 
 
@@ -58,7 +58,7 @@ def _read(
     spark: SparkSession, root: str, contract: TableContract, verdict: str, batch_id: str | None
 ) -> DataFrame:
     schema = contract.landing_schema
-    schema = schema.add(REASONS, T.ArrayType(T.StringType()))
+    schema = schema.add(CORRUPT, T.StringType()).add(REASONS, T.ArrayType(T.StringType()))
     schema = schema.add(BATCH, T.StringType()).add(VERDICT, T.StringType())
     base = f"{root}/{contract.name}"
     path = base if batch_id is None else batch_path(base, batch_id)
@@ -76,5 +76,7 @@ def read_staged(
 def read_quarantine(
     spark: SparkSession, root: str, contract: TableContract, batch_id: str | None = None
 ) -> DataFrame:
-    """Rejected rows with their reasons."""
-    return _read(spark, root, contract, REJECTED, batch_id).select(*contract.columns, REASONS)
+    """Rejected rows with their reasons, and the raw line where a rule asked for it."""
+    rows = _read(spark, root, contract, REJECTED, batch_id)
+    raw = [F.col(CORRUPT).alias(RAW_LINE)] if contract.wants_raw_line else []
+    return rows.select(*contract.columns, *raw, REASONS)

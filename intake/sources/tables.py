@@ -1,21 +1,25 @@
 """Serving tables: a Parquet folder, a bucketed catalog table or a JDBC table.
 
-All offer the same four steps: ``read`` (everything, for a backup), ``rows``
-(the declared columns), ``append`` one batch and ``replace`` the content. An
+All offer the same steps: ``read`` (everything, for a backup), ``rows`` (the declared
+columns), ``append`` one batch, ``replace`` the content, and two guards: ``writing``
+holds the table for one writer, ``claim`` ties a batch id to the source of its rows. An
 append returns the number of rows written.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from intake.sources.files import exists
+from intake.functions.checksum import checksum
+from intake.sources.files import create, delete, exists, names, read_text
 from intake.sources.local import rows_frame
 
 BATCH = "batch_id"
@@ -27,6 +31,62 @@ def batch_path(root: str, batch_id: str) -> str:
     return f"{root}/{BATCH}={batch_id}"
 
 
+def claim(spark: SparkSession, folder: str, batch_id: str, source: str) -> None:
+    """Ties a batch id to the source of its rows, for good.
+
+    The same source may come again under its id, after a crash or on purpose, and replaces what it
+    wrote. Another one is refused before anything is written: its rows would take the
+    place of the first one's.
+    """
+    batch_path("", batch_id)
+    note = f"{folder}/batches/{batch_id}"
+    if not create(spark, note, source):
+        held = read_text(spark, note)
+        if held != source:
+            raise ValueError(f"batch id {batch_id!r} belongs to another source: {held}, not {source}")
+
+
+@contextmanager
+def writing(spark: SparkSession, folder: str, holder: str) -> Iterator[None]:
+    """Holds a table for one writer from reading its keys to publishing the rows.
+
+    A second writer is refused and can be run again. A writer that died leaves its
+    note; the same holder may go on, or ``release`` frees the table.
+    """
+    note = f"{folder}/writer"
+    if not create(spark, note, holder):
+        held = read_text(spark, note)
+        if held != holder:
+            raise RuntimeError(f"{folder}: {held!r} is writing; run {holder!r} again later")
+    try:
+        yield
+    finally:
+        delete(spark, note)
+
+
+def release(spark: SparkSession, folder: str) -> None:
+    """Frees a table whose writer died and will not come again."""
+    delete(spark, f"{folder}/writer")
+
+
+@dataclass(frozen=True)
+class Expected:
+    """What a copy has to hold: the number of its rows and their checksum."""
+
+    n_rows: int
+    checksum: int
+
+    @staticmethod
+    def of(df: DataFrame) -> Expected:
+        return Expected(*df.agg(F.count(F.lit(1)), checksum(df)).first())
+
+    def check(self, found: Expected, what: str) -> None:
+        if found.n_rows != self.n_rows:
+            raise ValueError(f"{what} has {found.n_rows} rows, not {self.n_rows}")
+        if found.checksum != self.checksum:
+            raise ValueError(f"{what} has other values than recorded")
+
+
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     """Count rows on their way to a writer.
 
@@ -42,18 +102,30 @@ class ParquetTable:
     """A folder with one partition per loaded batch.
 
     Writing a batch replaces that batch's partition, so a load that died halfway
-    is repaired by running it again. One writer at a time: a Parquet folder has no
-    key constraint that would refuse a second one.
+    is repaired by running it again. Setting the whole content writes a new generation
+    beside the old one and switches to it when it is complete, by a new small file: the
+    table is whole at any time. What is not rows (generations, the current one's
+    name, claims, the writer's note) lies in ``<path>.meta``.
     """
 
     path: str
     schema: T.StructType
 
+    @property
+    def meta(self) -> str:
+        return f"{self.path}.meta"
+
+    def root(self, spark: SparkSession) -> str:
+        """Where the current generation lies."""
+        switches = names(spark, f"{self.meta}/current")
+        return read_text(spark, f"{self.meta}/current/{switches[-1]}") if switches else self.path
+
     def read(self, spark: SparkSession) -> DataFrame:
         schema = T.StructType(list(self.schema.fields)).add(BATCH, T.StringType())
-        if not exists(spark, self.path):
+        root = self.root(spark)
+        if not exists(spark, root):
             return rows_frame(spark, [], schema)
-        return spark.read.schema(schema).parquet(self.path)
+        return spark.read.schema(schema).parquet(root)
 
     def rows(self, spark: SparkSession, except_batch: str | None = None) -> DataFrame:
         df = self.read(spark)
@@ -61,17 +133,70 @@ class ParquetTable:
             df = df.where(F.col(BATCH) != except_batch)
         return df.select(*self.schema.fieldNames())
 
+    def empty(self, spark: SparkSession, except_batch: str) -> bool:
+        """Whether no other batch is there, by the folders alone."""
+        batches = {n for n in names(spark, self.root(spark)) if n.startswith(f"{BATCH}=")}
+        return batches <= {f"{BATCH}={except_batch}"}
+
+    def claim(self, spark: SparkSession, batch_id: str, source: str) -> None:
+        claim(spark, self.meta, batch_id, source)
+
+    def writing(self, spark: SparkSession, holder: str):
+        return writing(spark, self.meta, holder)
+
     def append(self, df: DataFrame, batch_id: str) -> int:
         rows, seen = _counted(df.select(*self.schema.fieldNames()))
-        rows.write.mode("overwrite").parquet(batch_path(self.path, batch_id))
+        rows.write.mode("overwrite").parquet(batch_path(self.root(df.sparkSession), batch_id))
         return seen.get["n"]
 
-    def replace(self, df: DataFrame) -> None:
-        """Set the whole content; ``df`` must not read from this table."""
+    def replace(self, df: DataFrame, expected: Expected | None = None) -> None:
+        """Set the whole content; ``df`` may read from this table.
+
+        With ``expected`` rows and checksum are observed in the write, and the old content stays
+        if they are others.
+        """
+        spark, seen = df.sparkSession, Observation()
+        rows = df.observe(seen, F.count(F.lit(1)).alias("n"), checksum(df).alias("sum"))
         if BATCH not in df.columns:
-            df = df.withColumn(BATCH, F.lit("replaced"))
-        rows = df.select(*self.schema.fieldNames(), BATCH)
-        rows.write.mode("overwrite").partitionBy(BATCH).parquet(self.path)
+            rows = rows.withColumn(BATCH, F.lit("replaced"))
+        new = f"{self.meta}/generations/{uuid.uuid4().hex}"
+        switch = len(names(spark, f"{self.meta}/current"))
+        rows.select(*self.schema.fieldNames(), BATCH).write.partitionBy(BATCH).parquet(new)
+        if expected is not None:
+            try:
+                expected.check(Expected(seen.get["n"], seen.get["sum"]), f"the copy for {self.path}")
+            except ValueError:
+                delete(spark, new)
+                raise
+        if not create(spark, f"{self.meta}/current/{switch:012d}", new):
+            delete(spark, new)
+            raise RuntimeError(f"{self.path}: another writer has replaced the table meanwhile")
+
+    def compact(self, spark: SparkSession, n_files: int = 1) -> None:
+        """Rewrite all batches as one, in ``n_files`` files, and check them.
+
+        A batch that comes again afterwards finds its keys loaded and adds nothing.
+        """
+        before = self.rows(spark)
+        whole = before.repartition(n_files).withColumn(BATCH, F.lit("compacted"))
+        with self.writing(spark, "compact"):
+            expected = Expected.of(before.withColumn(BATCH, F.lit("compacted")))
+            self.replace(whole, expected)
+
+    def vacuum(self, spark: SparkSession) -> list[str]:
+        """Remove all generations but the current one and return their folders.
+
+        A separate step, for a time when no reader is left on an old one.
+        """
+        current = self.root(spark)
+        if current == self.path:
+            return []
+        folder = f"{self.meta}/generations"
+        old = [f"{folder}/{n}" for n in names(spark, folder) if f"{folder}/{n}" != current]
+        old += [self.path] if exists(spark, self.path) else []
+        for generation in old:
+            delete(spark, generation)
+        return old
 
 
 @dataclass(frozen=True)
@@ -90,6 +215,10 @@ class BucketedTable:
     key: tuple[str, ...]
     buckets: int
 
+    @property
+    def meta(self) -> str:
+        return f"{self.path}.meta"
+
     def read(self, spark: SparkSession) -> DataFrame:
         if not spark.catalog.tableExists(self.name):
             return rows_frame(spark, [], self.schema)
@@ -99,20 +228,41 @@ class BucketedTable:
         """Rows already there. They carry no batch id: a repeated load skips them."""
         return self.read(spark)
 
-    def _write(self, df: DataFrame, mode: str) -> int:
+    def empty(self, spark: SparkSession, except_batch: str) -> bool:
+        return not spark.catalog.tableExists(self.name)
+
+    def claim(self, spark: SparkSession, batch_id: str, source: str) -> None:
+        claim(spark, self.meta, batch_id, source)
+
+    def writing(self, spark: SparkSession, holder: str):
+        return writing(spark, self.meta, holder)
+
+    def _write(self, df: DataFrame, mode: str, name: str, path: str) -> int:
         # One task per bucket, so that a write adds one file to each.
         rows = df.select(*self.schema.fieldNames()).repartition(self.buckets, *self.key)
         rows, seen = _counted(rows)
-        writer = rows.write.mode(mode).format("parquet").option("path", self.path)
-        writer.bucketBy(self.buckets, *self.key).sortBy(*self.key).saveAsTable(self.name)
+        writer = rows.write.mode(mode).format("parquet").option("path", path)
+        writer.bucketBy(self.buckets, *self.key).sortBy(*self.key).saveAsTable(name)
         return seen.get["n"]
 
     def append(self, df: DataFrame, batch_id: str) -> int:
-        return self._write(df, "append")
+        return self._write(df, "append", self.name, self.path)
+
+    def replace(self, df: DataFrame, expected: Expected | None = None) -> None:
+        """Set the whole content: a new table is written, checked and given this one's name."""
+        spark = df.sparkSession
+        if expected is not None:
+            expected.check(Expected.of(df), f"the copy for {self.name}")
+        number = uuid.uuid4().hex[:12]
+        new = f"{self.name}_{number}"
+        self._write(df, "error", new, f"{self.path}-{number}")
+        spark.sql(f"DROP TABLE IF EXISTS {self.name}")  # its files stay
+        spark.sql(f"ALTER TABLE {new} RENAME TO {self.name}")
 
-    def replace(self, df: DataFrame) -> None:
-        """Set the whole content; ``df`` must not read from this table."""
-        self._write(df, "overwrite")
+    def compact(self, spark: SparkSession) -> None:
+        """Rewrite the table with one file to a bucket; every append has added one to each."""
+        with self.writing(spark, "compact"):
+            self.replace(self.read(spark), Expected.of(self.read(spark)))
 
 
 @dataclass(frozen=True)
@@ -188,7 +338,20 @@ class JdbcTable:
         rows.write.format("jdbc").mode("append").options(**self.write_options()).save()
         return seen.get["n"]
 
-    def replace(self, df: DataFrame) -> None:
+    def empty(self, spark: SparkSession, except_batch: str) -> bool:
+        return False
+
+    def claim(self, spark: SparkSession, batch_id: str, source: str) -> None:
+        """The database keeps no batches; staging holds the claims of an ingest."""
+
+    def writing(self, spark: SparkSession, holder: str):
+        """The database's own key refuses a second copy of a row."""
+        return nullcontext()
+
+    def replace(self, df: DataFrame, expected: Expected | None = None) -> None:
+        """Set the whole content, in place: checked before, since a database has one copy."""
+        if expected is not None:
+            expected.check(Expected.of(df), f"the copy for {self.table}")
         rows = df.select(*self.schema.fieldNames())
         options = self.write_options(truncate=True)
         rows.write.format("jdbc").mode("overwrite").options(**options).save()

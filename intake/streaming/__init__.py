@@ -1,5 +1,5 @@
-"""The same ingest over files as they arrive."""
+"""Streams over a landing folder."""
 
-from intake.streaming.landing import ingest_stream
+from intake.streaming.landing import ingest_stream, log_refusals
 
-__all__ = ["ingest_stream"]
+__all__ = ["ingest_stream", "log_refusals"]

@@ -11,9 +11,16 @@ from pyspark.sql import functions as F
 
 from intake.contracts import Field, TableContract, landing_contract
 from intake.operators.rules import IntCastable, NotNull
+from intake.sources.files import names, rename
 from intake.sources.landing import write_landing
 from intake.workspace import run_dir
 
+# The tables of a data folder.
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents "
+    "embeddings pages benchmark labels conversations"
+).split()
+
 # Every n-th order gets this fault.
 NULL_ID, LETTER_ID, FRACTION_ID = 97, 89, 83
 NULL_NAME, NULL_TIME = 53, 61
@@ -94,6 +101,77 @@ def landing_file(spark: SparkSession, sf_dir: str) -> str:
     return _written[slot]
 
 
+def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customers in landing form; every 29th has no nation."""
+    key = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").select(
+        key.cast("string"),
+        "c_name",
+        F.when(key % 29 != 0, F.col("c_nationkey").cast("string")).alias("c_nationkey"),
+        "c_mktsegment",
+    )
+
+
+def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All parts in landing form; every 31st has no name."""
+    key = F.col("p_partkey")
+    return table(spark, sf_dir, "part").select(
+        key.cast("string"),
+        F.when(key % 31 != 0, F.col("p_name")).alias("p_name"),
+        "p_brand",
+        F.col("p_size").cast("string"),
+    )
+
+
+def put_files(
+    df: DataFrame, folder: str, contract: TableContract, name: str, n_files: int = 1
+) -> None:
+    """Writes rows as ``n_files`` files ``<name>`` of a flat folder, ``{}`` in it being the number."""
+    spark = df.sparkSession
+    made = f"{run_dir(spark, 'files')}/{contract.name}"
+    write_landing(df.repartition(n_files), made, contract)
+    data = [f for f in names(spark, made) if f.startswith("part-")]
+    for i, file in enumerate(data):
+        rename(spark, f"{made}/{file}", f"{folder}/{name.format(i)}")
+
+
+def typed_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders as text for TYPED_FIELDS, with values that do not fit their types."""
+    k = F.col("o_orderkey")
+    text = k.cast("string")
+
+    def every(n: int):
+        return k % n == 0
+
+    return table(spark, sf_dir, "orders").select(
+        F.when(every(17), F.concat(F.lit("9999999999999999999"), text))
+        .when(every(13), F.concat(text, F.lit(".7")))
+        .when(every(11), (k + 3000000000).cast("string"))
+        .otherwise(text)
+        .alias("id"),
+        F.when(every(7), F.lit("yesterday"))
+        .when(every(19), F.lit("2024-02-30"))
+        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+        .alias("day"),
+        F.when(every(23), F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'+05:00'"))
+        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+        .alias("at"),
+        (k % 40000).cast("string").alias("n"),
+    )
+
+
+TYPED_FIELDS = TableContract(
+    name="typed_orders",
+    fields=(
+        Field("id", "bigint"),
+        Field("day", "date"),
+        Field("at", "timestamp_ntz"),
+        Field("n", "smallint"),
+    ),
+    rules=(IntCastable("id"),),
+)
+
+
 def object_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One object key per order: folders, versions, suffixes and unknown tables."""
     k = F.col("o_orderkey")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from registry.fixtures import TABLES
+
 LANDING = """landing AS (
   SELECT
     CASE WHEN o_orderkey % 97 = 0 THEN NULL
@@ -51,6 +53,7 @@ BROKEN = {
     "not_int:job_id": f"({lenient('job_id')}) IS NULL",
     "null:name": "name IS NULL",
     "null:datetime": "datetime IS NULL",
+    "malformed": "false",
 }
 
 TYPED = f"""WITH {LANDING}
@@ -60,6 +63,19 @@ SELECT {lenient('id')} AS id, name,
        {lenient('job_id')} AS job_id
 FROM landing WHERE {VALID}"""
 
+TYPED_LANDING = """typed AS (
+  SELECT o_orderkey AS k,
+    CASE WHEN o_orderkey % 17 = 0 THEN concat('9999999999999999999', CAST(o_orderkey AS VARCHAR))
+         WHEN o_orderkey % 13 = 0 THEN concat(CAST(o_orderkey AS VARCHAR), '.7')
+         WHEN o_orderkey % 11 = 0 THEN CAST(o_orderkey + 3000000000 AS VARCHAR)
+         ELSE CAST(o_orderkey AS VARCHAR) END AS id,
+    CASE WHEN o_orderkey % 7 = 0 THEN 'yesterday' WHEN o_orderkey % 19 = 0 THEN '2024-02-30'
+         ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day,
+    CASE WHEN o_orderkey % 23 = 0 THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S+05:00')
+         ELSE strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') END AS "at",
+    CAST(o_orderkey % 40000 AS VARCHAR) AS n
+  FROM orders)"""
+
 LINE_ORDER = (
     "l_partkey, l_suppkey, l_shipdate, l_quantity, l_extendedprice, l_discount, l_tax, "
     "l_returnflag, l_linestatus"
@@ -77,11 +93,6 @@ def _union(selects) -> str:
     return " UNION ALL ".join(selects)
 
 
-TABLES = (
-    "region nation customer supplier part orders lineitem events documents "
-    "embeddings pages benchmark labels conversations"
-).split()
-
 
 def _ingest_counts(name: str, source: str, bad: str) -> str:
     return f"""SELECT '{name}' AS table_name, count(*) AS scanned,
@@ -115,7 +126,8 @@ ORACLES: dict[str, str] = {
     ),
     "q07_quarantine": f"WITH {LANDING} "
     + _union(
-        f"SELECT {COLUMNS}, '{reason}' AS reason FROM landing WHERE {broken}"
+        f"SELECT {COLUMNS}, CAST(NULL AS VARCHAR) AS raw_line, '{reason}' AS reason "
+        f"FROM landing WHERE {broken}"
         for reason, broken in BROKEN.items()
     ),
     "q08_key_gate": f"""WITH keys AS (
@@ -186,16 +198,18 @@ WHERE name NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM')""",
                 lambda x: x IS NOT NULL) AS rest
   FROM orders)
 SELECT CAST(k AS VARCHAR) AS id, p AS name, s AS datetime, rest[1] AS department_id,
-       rest[2] AS job_id, 'malformed' AS reason FROM lines WHERE len(rest) <> 2""",
+       rest[2] AS job_id, 'malformed' AS reason,
+       concat_ws(';', CAST(k AS VARCHAR), p, s, array_to_string(rest, ';')) AS raw_line
+FROM lines WHERE len(rest) <> 2""",
     "q25_lenient_cast": f"""WITH forms AS (
   SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS t, o_orderpriority AS p FROM orders),
 lists AS (
   SELECT o_orderkey, [t, '+' || t, '  -' || t || chr(9), '000' || t, t || '.', '.' || t,
     t || '.99', t || '00000', t || 'e2', '0x' || t, t || ',5', t || ' 1', '- ' || t,
-    t || '.1.2', p, ''] AS vs FROM forms),
+    t || '.1.2', p, '', t || chr(8232), t || chr(133)] AS vs FROM forms),
 vals AS (
   SELECT o_orderkey, CAST(i AS INTEGER) AS form, vs[i + 1] AS v
-  FROM lists, range(16) AS r(i))
+  FROM lists, range(18) AS r(i))
 SELECT o_orderkey, form,
   ({lenient('v')}) IS NOT NULL AS lenient_ok, coalesce({lenient('v')}, 0) AS lenient,
   ({strict('v')}) IS NOT NULL AS strict_ok, coalesce({strict('v')}, 0) AS strict FROM vals""",
@@ -214,4 +228,68 @@ SELECT o_orderkey, form,
   l_quantity, l_extendedprice, l_discount, l_tax, l_linestatus) = 1""",
     "q30_load_twice": FIRST_LINES,
     "q31_load_bucketed": LOADED_BEFORE,
+    "q32_two_files_one_day": VALIDATED,
+    "q33_two_streams": VALIDATED,
+    "q34_typed_quarantine": f"WITH {TYPED_LANDING} "
+    + _union(
+        f"SELECT id, day, \"at\", n, '{reason}' AS reason FROM typed WHERE {broken}"
+        for reason, broken in {
+            "not_int:id": "k % 17 = 0",
+            "not_date:day": "k % 7 = 0 OR k % 19 = 0",
+            "not_timestamp_ntz:at": "k % 23 = 0",
+            "not_smallint:n": "k % 40000 > 32767",
+        }.items()
+    ),
+    "q35_mixed_folder": f"WITH {LANDING} "
+    + _union(
+        [
+            *[
+                f"""SELECT '{name}' AS table_name, 'ingest' AS step, 'ok' AS status,
+  CAST(1 AS BIGINT) AS n_runs, count(*) AS scanned, count(*) FILTER (WHERE {good}) AS accepted,
+  count(*) FILTER (WHERE {good}) AS loaded FROM {source}"""
+                for name, source, good in (
+                    ("orders", "landing", VALID),
+                    ("customer", "customer", "c_custkey % 29 <> 0"),
+                    ("part", "part", "p_partkey % 31 <> 0"),
+                )
+            ],
+            *[
+                f"""SELECT '{name}' AS table_name, 'gate' AS step, 'failed' AS status,
+  CAST(1 AS BIGINT) AS n_runs, CAST(0 AS BIGINT) AS scanned, CAST(0 AS BIGINT) AS accepted,
+  CAST(0 AS BIGINT) AS loaded"""
+                for name in ("products", "customer")
+            ],
+        ]
+    ),
+    "q36_two_rules_one_column": f"WITH {LANDING} "
+    + _union(
+        f"SELECT {COLUMNS}, '{reason}' AS reason FROM landing WHERE {broken}"
+        for reason, broken in {
+            "not_in_set:name": "name NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM')",
+            "not_in_set:name#2": "name NOT IN ('2-HIGH', '3-MEDIUM', '5-LOW')",
+            "no_reference:department_id": f"""department_id IS NOT NULL AND NOT EXISTS (
+  SELECT 1 FROM nation JOIN region ON n_regionkey = r_regionkey
+  WHERE r_name <> 'AFRICA' AND n_nationkey = {lenient('department_id')})""",
+            "no_reference:department_id#2": f"""department_id IS NOT NULL AND NOT EXISTS (
+  SELECT 1 FROM region WHERE r_regionkey = {lenient('department_id')})""",
+        }.items()
+    ),
+    "q37_failed_runs": f"""WITH {LANDING}
+SELECT 'ingest' AS step, 'good' AS batch_id, 'ok' AS status, count(*) AS scanned,
+  count(*) FILTER (WHERE {VALID}) AS accepted, count(*) FILTER (WHERE {VALID}) AS loaded
+FROM landing UNION ALL
+SELECT 'ingest', 'bad', 'failed', count(*), 0, -1 FROM landing UNION ALL
+SELECT 'gate', 'missing', 'failed', -1, -1, -1""",
+    "q38_recorded_schema": f"""WITH {LANDING}, n AS (
+  SELECT count(*) FILTER (WHERE {VALID}) AS loaded FROM landing)
+SELECT 'orders' AS table_name, loaded, name, type FROM n, (VALUES
+  ('id', 'integer'), ('name', 'string'), ('datetime', 'timestamp_ntz'),
+  ('department_id', 'integer'), ('job_id', 'integer')) AS f(name, type)""",
+    "q39_expire": _union(
+        f"SELECT '{s}' AS snapshot_id, '{t}' AS table_name, count(*) AS n_rows FROM {t}"
+        for s in ("s2", "s3")
+        for t in TABLES
+    ),
+    "q40_compacted": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+  o_orderpriority FROM orders""",
 }

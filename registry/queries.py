@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from contextlib import suppress
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from intake.operators.dedupe import duplicate_report, first_per_key, key_stats
 from intake.operators.rules import InSet, IntCastable, NotNull, References, WellFormed
 from intake.operators.validate import accepted, by_reason, rejected, typed, violation_counts
 from intake.plans.audit import AuditLog, load_report
-from intake.plans.backup import backup, restore, verify
+from intake.plans.backup import backup, expire, read_manifest, restore, verify
 from intake.plans.ingest import Intake, ingest_file, ingest_folder, validate
 from intake.plans.load import load
 from intake.plans.requests import handle, route
@@ -30,18 +31,19 @@ from registry.fixtures import (
     ORDERS_STRICT,
     ORDERS_TYPED,
     PART,
+    TABLES,
+    TYPED_FIELDS,
+    customers,
     landing,
     landing_file,
     object_keys,
+    parts,
+    put_files,
     request_paths,
     table,
+    typed_landing,
 )
 
-TABLES = (
-    "region nation customer supplier part orders lineitem events documents "
-    "embeddings pages benchmark labels conversations"
-).split()
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -59,7 +61,7 @@ def _intake(spark: SparkSession, label: str, *contracts: TableContract) -> Intak
 
 
 def landing_scan(spark, sf_dir):
-    return _scan(spark, sf_dir)
+    return _scan(spark, sf_dir).select(*ORDERS.columns)
 
 
 def not_null(spark, sf_dir):
@@ -149,6 +151,8 @@ def lenient_cast(spark, sf_dir):
         F.concat(text, F.lit(".1.2")),
         F.col("o_orderpriority"),
         F.lit(""),
+        F.concat(text, F.lit("\u2028")),
+        F.concat(text, F.lit("\x85")),
     )
     values = table(spark, sf_dir, "orders").select(k, F.posexplode(forms).alias("form", "v"))
     return values.select(
@@ -324,21 +328,7 @@ def ingest_many_tables(spark, sf_dir):
     ]
     intake = _intake(spark, "folder", *contracts)
     root = run_dir(spark, "folder-landing")
-    customers = table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").cast("string"),
-        "c_name",
-        F.when(F.col("c_custkey") % 29 != 0, F.col("c_nationkey").cast("string")).alias(
-            "c_nationkey"
-        ),
-        "c_mktsegment",
-    )
-    parts = table(spark, sf_dir, "part").select(
-        F.col("p_partkey").cast("string"),
-        F.when(F.col("p_partkey") % 31 != 0, F.col("p_name")).alias("p_name"),
-        "p_brand",
-        F.col("p_size").cast("string"),
-    )
-    for rows, contract in zip((landing(spark, sf_dir), customers, parts), contracts, strict=True):
+    for rows, contract in zip(_three(spark, sf_dir), contracts, strict=True):
         folder = f"{root}/{contract.name}"
         write_landing(rows, folder, contract)
         one = Intake.of([contract], intake.staged_root, intake.targets, intake.audit.path)
@@ -348,14 +338,105 @@ def ingest_many_tables(spark, sf_dir):
     )
 
 
+def _three(spark, sf_dir):
+    return landing(spark, sf_dir), customers(spark, sf_dir), parts(spark, sf_dir)
+
+
+def mixed_folder(spark, sf_dir):
+    """Three tables, an undeclared one and a wrong type in one folder: the log."""
+    contracts = (ORDERS_TYPED, CUSTOMER, PART)
+    intake = _intake(spark, "mixed", *contracts)
+    folder = f"{run_dir(spark, 'mixed-landing')}/ingestion"
+    for rows, contract in zip(_three(spark, sf_dir), contracts, strict=True):
+        put_files(rows, folder, contract, contract.name + ".{}.csv", n_files=3)
+    put_files(parts(spark, sf_dir), folder, PART, "products.csv")
+    put_files(customers(spark, sf_dir), folder, CUSTOMER, "customer.txt")
+    ingest_folder(spark, folder, intake, "first")
+    log = intake.audit.read(spark).groupBy("table_name", "step", "status")
+    return log.agg(
+        F.count("*").alias("n_runs"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("scanned", "accepted", "loaded")],
+    )
+
+
+def _halves(spark, sf_dir):
+    rows = landing(spark, sf_dir)
+    urgent = F.coalesce(F.col("name") < "3", F.lit(False))
+    return rows.where(urgent), rows.where(~urgent)
+
+
+def two_files_one_day(spark, sf_dir):
+    """Two files ask for one batch id: the second is refused it and comes under another."""
+    intake = _intake(spark, "day", ORDERS)
+    root = run_dir(spark, "day-landing")
+    for i, half in enumerate(_halves(spark, sf_dir)):
+        path = f"{root}/{i}/orders.csv"
+        write_landing(half, path, ORDERS)
+        try:
+            ingest_file(spark, path, intake, "day1")
+        except ValueError:
+            ingest_file(spark, path, intake, "day1-again")
+    return intake.targets["orders"].rows(spark)
+
+
+def two_streams(spark, sf_dir):
+    """Two streams, each with a checkpoint of its own, into one table."""
+    contract = ORDERS.but(file_glob="*.csv")
+    intake = _intake(spark, "streams", contract)
+    root = run_dir(spark, "streams-landing")
+    for i, half in enumerate(_halves(spark, sf_dir)):
+        write_landing(half, f"{root}/{i}", contract)
+        query = ingest_stream(spark, f"{root}/{i}", contract, intake, f"{root}/checkpoint-{i}")
+        query.awaitTermination()
+    return intake.targets["orders"].rows(spark)
+
+
+def typed_quarantine(spark, sf_dir):
+    """Values that do not fit the declared types, by reason."""
+    return by_reason(rejected(typed_landing(spark, sf_dir), TYPED_FIELDS))
+
+
+def two_rules_one_column(spark, sf_dir):
+    """Two lists for one column and two dimensions for another."""
+    rules = (
+        InSet("name", ("1-URGENT", "2-HIGH", "3-MEDIUM")),
+        InSet("name", ("2-HIGH", "3-MEDIUM", "5-LOW")),
+        References("department_id", dimension=_nations_outside_africa(spark, sf_dir), key="n_nationkey"),
+        References("department_id", dimension=table(spark, sf_dir, "region"), key="r_regionkey"),
+    )
+    return by_reason(rejected(_scan(spark, sf_dir), ORDERS.but(rules=rules, key=())))
+
+
+def failed_runs(spark, sf_dir):
+    """A good file, one whose rows are all bad and one that is missing: the log (-1: not counted)."""
+    intake = _intake(spark, "failed", ORDERS)
+    bad = f"{run_dir(spark, 'failed-landing')}/orders.csv"
+    write_landing(landing(spark, sf_dir).withColumn("id", F.lit("none")), bad, ORDERS)
+    paths = {"good": landing_file(spark, sf_dir), "bad": bad, "missing": f"{bad}.not.csv"}
+    for batch_id, path in paths.items():
+        with suppress(Exception):
+            ingest_file(spark, path, intake, batch_id)
+    counts = [F.coalesce(c, F.lit(-1)).alias(c) for c in ("scanned", "accepted", "loaded")]
+    return intake.audit.read(spark).select("step", "batch_id", "status", *counts)
+
+
+def recorded_schema(spark, sf_dir):
+    """The schema that an ingest has recorded, column by column, with its rows."""
+    intake = _intake(spark, "schema", ORDERS_TYPED)
+    ingest_file(spark, landing_file(spark, sf_dir), intake, "first")
+    shape = "fields array<struct<name: string, type: string>>"
+    log = intake.audit.read(spark).withColumn("schema", F.from_json("schema_json", shape))
+    return log.select("table_name", "loaded", F.explode("schema.fields").alias("f")).select(
+        "table_name", "loaded", F.col("f.name").alias("name"), F.col("f.type").alias("type")
+    )
+
+
 def stream_ingest(spark, sf_dir):
     """Files arrive in two uploads; the stream is run once after each."""
     contract = ORDERS.but(file_glob="*.csv")
     intake = _intake(spark, "stream", contract)
     root = run_dir(spark, "stream-landing")
-    rows = landing(spark, sf_dir)
-    urgent = F.coalesce(F.col("name") < "3", F.lit(False))
-    for upload in (rows.where(urgent), rows.where(~urgent)):
+    for upload in _halves(spark, sf_dir):
         write_landing(upload, f"{root}/orders", contract, mode="append")
         query = ingest_stream(spark, f"{root}/orders", contract, intake, f"{root}/checkpoint")
         query.awaitTermination()
@@ -379,6 +460,27 @@ def backup_manifest(spark, sf_dir):
     return verify(spark, root, "all").select("table_name", "n_rows", "verified")
 
 
+def expired(spark, sf_dir):
+    """Three snapshots of all tables, of which two are kept: the manifest."""
+    root = run_dir(spark, "expire")
+    for snapshot in ("s1", "s2", "s3"):
+        backup(spark, parquet_tables(sf_dir, TABLES, spark), root, snapshot_id=snapshot)
+    expire(spark, root, keep=2)
+    return read_manifest(spark, root).select("snapshot_id", "table_name", "n_rows")
+
+
+def compacted(spark, sf_dir):
+    """Orders loaded in eight batches, then gathered in one file."""
+    orders = table(spark, sf_dir, "orders")
+    target = ParquetTable(f"{run_dir(spark, 'compact')}/orders", ORDER_TABLE.table_schema)
+    for i in range(8):
+        load(spark, orders.where(F.col("o_custkey") % 8 == i), target, ORDER_TABLE, f"b{i}")
+    target.compact(spark)
+    target.vacuum(spark)
+    load(spark, orders.where(F.col("o_custkey") % 8 == 3), target, ORDER_TABLE, "b3")
+    return target.rows(spark)
+
+
 SUPPLIER = TableContract(
     name="supplier",
     fields=(
@@ -451,4 +553,13 @@ QUERIES: dict[str, Query] = {
     "q29_batch_dedupe_hot_key": batch_dedupe_hot_key,
     "q30_load_twice": load_twice,
     "q31_load_bucketed": load_bucketed,
+    "q32_two_files_one_day": two_files_one_day,
+    "q33_two_streams": two_streams,
+    "q34_typed_quarantine": typed_quarantine,
+    "q35_mixed_folder": mixed_folder,
+    "q36_two_rules_one_column": two_rules_one_column,
+    "q37_failed_runs": failed_runs,
+    "q38_recorded_schema": recorded_schema,
+    "q39_expire": expired,
+    "q40_compacted": compacted,
 }

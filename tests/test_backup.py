@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 from intake.contracts import Field, TableContract
 from intake.functions.checksum import checksum
 from intake.operators.rules import NotNull
+from intake.plans.audit import AuditLog
 from intake.plans.backup import (
     backup,
     expire,
@@ -89,6 +90,65 @@ def test_a_snapshot_with_lost_rows_is_not_restored(spark, folder):
     assert content(spark, target) == [(1, "a"), (2, "b")]
 
 
+def test_a_snapshot_with_other_values_is_not_restored(spark, folder):
+    target = table_at(folder)
+    target.append(frame(spark, [(1, "a"), (2, "b")]), "b1")
+    root = f"{folder}/backup"
+    backup(spark, {"c": target}, root, snapshot_id="s1")
+    changed = frame(spark, [(1, "a"), (2, "x")]).withColumn("batch_id", F.lit("b1"))
+    changed.write.mode("overwrite").parquet(f"{root}/snapshots/s1/c")
+    with pytest.raises(ValueError, match="other values"):
+        restore(spark, root, "c", target)
+    with pytest.raises(ValueError, match="other values"):
+        restore(spark, root, "c", target, mode="append", contract=C)
+    assert content(spark, target) == [(1, "a"), (2, "b")]
+
+
+def test_checksum_sees_nested_nulls(spark):
+    schema = "a array<string>, s struct<x:string,y:struct<z:string,w:string>>"
+    rows = [
+        [(["p", None], ("q", ("r", None)))],
+        [([None, "p"], ("q", ("r", None)))],
+        [(["p", None], ("q", (None, "r")))],
+        [(["p"], ("q", ("r", None)))],
+        [(["p", None], ("q", None))],
+        [(None, ("q", None))],
+    ]
+    sums = [total(spark.createDataFrame(r, schema)) for r in rows]
+    assert len(set(sums)) == len(rows)
+
+
+def test_backup_and_restore_leave_rows_in_the_log(spark, folder):
+    audit, target, root = AuditLog(f"{folder}/audit"), table_at(folder), f"{folder}/backup"
+    target.append(frame(spark, [(1, "a"), (2, "b")]), "b1")
+    bad = frame(spark, [(1, "a")]).withColumn("v", F.raise_error(F.lit("lost")).cast("string"))
+    handle(spark, "/backup", {"c": target}, root, audit)
+    handle(spark, "/restore/c", {"c": target}, root, audit)
+    with pytest.raises(Exception, match="lost"):
+        backup(spark, {"d": bad}, root, snapshot_id="s2", audit=audit)
+    with pytest.raises(ValueError, match="no snapshot"):
+        restore(spark, root, "d", target, audit=audit)
+    got = [(r.step, r.table_name, r.status, r.scanned, r.loaded) for r in audit.read(spark).orderBy("started_at").collect()]
+    assert got == [
+        ("backup", "c", "ok", 2, None),
+        ("restore", "c", "ok", None, 2),
+        ("backup", "d", "failed", None, None),
+        ("restore", "d", "failed", None, None),
+    ]
+
+
+def test_expire_removes_what_failed_backups_left(spark, folder):
+    good = frame(spark, [(1, "a")])
+    bad = good.withColumn("v", F.raise_error(F.lit("lost")).cast("string"))
+    backup(spark, {"c": good}, folder, snapshot_id="s1")
+    with pytest.raises(Exception, match="lost"):
+        backup(spark, {"c": good, "d": bad}, folder, snapshot_id="s2")
+    assert expire(spark, folder, keep=1) == []
+    assert expire(spark, folder, keep=1, unpublished=True) == ["s2"]
+    assert not exists(spark, f"{folder}/snapshots/s2")
+    assert read_snapshot(spark, folder, "c").collect() == [(1, "a")]
+
+
 def test_failed_backup_leaves_the_last_snapshot(spark, folder):
     good = frame(spark, [(1, "a")])
     bad = good.withColumn("v", F.raise_error(F.lit("lost")).cast("string"))

@@ -40,6 +40,8 @@ CASES = [
     ("", None, None),
     ("   ", None, None),
     (" 12", None, None),
+    ("12\u2028", None, None),
+    ("12\x85", None, None),
     (None, None, None),
 ]
 

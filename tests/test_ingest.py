@@ -10,7 +10,7 @@ from intake.plans.ingest import Intake, ingest_batch, ingest_file, ingest_folder
 from intake.sources.landing import read_landing, write_landing
 from intake.sources.staged import read_quarantine
 from intake.sources.tables import ParquetTable
-from intake.streaming import ingest_stream
+from intake.streaming import ingest_stream, log_refusals
 from intake.workspace import run_dir, shared_dir
 from registry.fixtures import landing, landing_file
 from tests.conftest import SF_DIR
@@ -92,6 +92,96 @@ def test_folder_with_several_tables(spark, folder, tmp_path):
         "orders": (3, 2),
         "people": (1, 1),
     }
+    (row,) = [r for r in log(spark, intake) if r.status == "failed"]
+    assert (row.step, row.table_name, row.batch_id) == ("gate", "other", "b1")
+    assert row.error.startswith("unknown table: ") and row.error.endswith("other.csv")
+
+
+def test_gate_of_a_folder(spark, folder, tmp_path):
+    for name in ("orders.csv", "orders.txt", "x.csv", "sub/orders.v2.CSV", "sub/y.txt"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text("1;a;x;1;2\n2;b;x;1;2;7\n" if name == "orders.csv" else "3;a;x;1;2\n")
+    intake = intake_at(folder)
+    done = ingest_folder(spark, str(tmp_path), intake, "b1")
+    assert done["orders"].staged.violations["malformed"] == 1
+    assert (done["orders"].staged.scanned, done["orders"].load.loaded) == (3, 2)
+    refusals = {(r.table_name, r.error.split(":")[0]) for r in log(spark, intake) if r.step == "gate"}
+    assert refusals == {("orders", "wrong type"), ("x", "unknown table"), ("y", "wrong type")}
+    bad = read_quarantine(spark, f"{folder}/staged", ORDERS).collect()
+    assert [r.raw_line for r in bad] == ["2;b;x;1;2;7"]
+
+
+def test_refused_files_of_a_stream_are_logged_once(spark, folder, tmp_path):
+    intake = intake_at(folder)
+    (tmp_path / "in").mkdir()
+
+    def run():
+        log_refusals(spark, str(tmp_path / "in"), intake, f"{folder}/gate").awaitTermination()
+        return sorted(r.error.rsplit("/", 1)[-1] for r in log(spark, intake))
+
+    (tmp_path / "in/orders.csv").write_text("1;a;x;1;2\n")
+    (tmp_path / "in/other.csv").write_text("1;a;x;1;2\n")
+    assert run() == ["other.csv"]
+    (tmp_path / "in/orders.txt").write_text("1;a;x;1;2\n")
+    assert run() == run() == ["orders.txt", "other.csv"]
+
+
+def test_a_batch_id_belongs_to_its_file(spark, folder, tmp_path):
+    intake = intake_at(folder)
+    for name, i in (("orders.a.csv", 1), ("orders.b.csv", 2)):
+        (tmp_path / name).write_text(f"{i};a;x;1;2\n")
+    ingest_file(spark, str(tmp_path / "orders.a.csv"), intake, "day1")
+    with pytest.raises(ValueError, match="belongs to another source"):
+        ingest_file(spark, str(tmp_path / "orders.b.csv"), intake, "day1")
+    assert [r.id for r in intake.targets["orders"].rows(spark).collect()] == ["1"]
+    assert [r.status for r in log(spark, intake)] == ["ok", "failed"]
+    ingest_file(spark, str(tmp_path / "orders.b.csv"), intake, "day1-b")
+    ingest_file(spark, str(tmp_path / "orders.a.csv"), intake, "day1")
+    assert sorted(r.id for r in intake.targets["orders"].rows(spark).collect()) == ["1", "2"]
+
+
+def test_a_new_checkpoint_takes_nobodys_place(spark, folder, tmp_path):
+    intake = intake_at(folder)
+    for i in (1, 2):
+        (tmp_path / f"in{i}").mkdir()
+        (tmp_path / f"in{i}/orders.csv").write_text(f"{i};a;x;1;2\n")
+        ingest_stream(spark, str(tmp_path / f"in{i}"), ORDERS, intake, f"{folder}/c{i}").awaitTermination()
+    assert sorted(r.id for r in intake.targets["orders"].rows(spark).collect()) == ["1", "2"]
+
+
+def test_read_files_of_a_stream_can_be_archived(spark, folder, tmp_path):
+    intake = intake_at(folder)
+    (tmp_path / "in").mkdir()
+    for i in (1, 2, 3):
+        (tmp_path / f"in/orders.{i}.csv").write_text(f"{i};a;x;1;2\n")
+        query = ingest_stream(
+            spark, str(tmp_path / "in"), ORDERS, intake, f"{folder}/c", archive=str(tmp_path / "done")
+        )
+        query.awaitTermination()
+    assert sorted(r.id for r in intake.targets["orders"].rows(spark).collect()) == ["1", "2", "3"]
+    assert len(list((tmp_path / "done").rglob("orders.*.csv"))) >= 1
+
+
+def test_any_failure_leaves_a_row(spark, folder):
+    intake = intake_at(folder)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        ingest_file(spark, f"{folder}/nowhere/orders.csv", intake, "b1")
+    (row,) = log(spark, intake)
+    assert (row.step, row.table_name, row.status) == ("gate", "orders", "failed")
+    with pytest.raises(RuntimeError), intake.audit.run(spark, "ingest", "t", "b2"):
+        raise RuntimeError("x" * 10000)
+    assert len(log(spark, intake)[1].error) > 10000  # whole, whatever its length
+
+
+def test_a_day_of_the_log_is_gathered(spark, folder):
+    audit = AuditLog(f"{folder}/audit")
+    for i in range(5):
+        with audit.run(spark, "ingest", "t", f"b{i}") as row:
+            row["scanned"] = i
+    before = sorted(tuple(r) for r in audit.read(spark).drop("violations").collect())
+    audit.compact(spark, before[0][-1])
+    assert sorted(tuple(r) for r in audit.read(spark).drop("violations").collect()) == before
+    assert len(audit.read(spark).inputFiles()) == 1
 
 
 def test_stream_equals_batch_and_sees_each_file_once(spark, folder):

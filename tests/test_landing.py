@@ -17,7 +17,7 @@ from intake.sources.landing import (
     write_landing,
 )
 
-ORDERS = landing_contract("orders")
+ORDERS = landing_contract("orders", well_formed=False)
 
 
 def put(folder, content, name="orders.csv"):
@@ -48,6 +48,15 @@ def test_short_and_long_lines(spark, folder):
     assert [r.id for r in accepted(read_landing(spark, path, ORDERS), ORDERS).collect()] == ["6"]
 
 
+def test_the_classic_contract_refuses_lines_of_another_width(spark, folder):
+    contract = landing_contract("orders")
+    landing = read_landing(spark, put(folder, "5;short;x\n6;long;x;1;2;EXTRA\n7;a;x;1;2\n"), contract)
+    assert [r.id for r in accepted(landing, contract).collect()] == ["7"]
+    bad = {r.id: (r.raw_line, r.reasons) for r in rejected(landing, contract).collect()}
+    assert bad["6"] == ("6;long;x;1;2;EXTRA", ["malformed"])
+    assert bad["5"] == ("5;short;x", ["not_int:department_id", "not_int:job_id", "malformed"])
+
+
 def test_malformed_lines_are_seen_by_a_narrow_query(spark, folder):
     contract = landing_contract("orders", rules=(WellFormed(),), key=())
     path = put(folder, "1;a;x;1;2\n5;short;x\n6;long;x;1;2;EXTRA\n")

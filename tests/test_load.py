@@ -2,6 +2,7 @@
 
 import random
 import uuid
+from contextlib import nullcontext
 from dataclasses import dataclass
 
 import pytest
@@ -18,8 +19,16 @@ from intake.operators.dedupe import (
 )
 from intake.operators.rules import NotNull
 from intake.plans.load import load
+from intake.sources import files
 from intake.sources.files import exists
-from intake.sources.tables import BucketedTable, JdbcTable, ParquetTable, batch_path
+from intake.sources.tables import (
+    BucketedTable,
+    Expected,
+    JdbcTable,
+    ParquetTable,
+    batch_path,
+    release,
+)
 
 T2 = TableContract(
     "t2",
@@ -180,7 +189,7 @@ def test_target_scan_reads_only_keys_in_range(spark, folder, plan):
     target.append(frame(spark, [(i, "n", 0) for i in range(100)]), "b1")
     batch = frame(spark, [(5, "x", 0), (9, "y", 0)])
     stats = key_stats(batch, ["id"])
-    assert (stats.n_rows, stats.low, stats.high) == (2, 5, 9)
+    assert (stats.n_rows, stats.bounds) == (2, {"id": (5, 9)})
     report = duplicate_report(batch, target.rows(spark, "b2"), ["id"], stats)
     text = plan(report)
     scan = text[text.index("Scan parquet") :]
@@ -218,6 +227,128 @@ def test_failed_write_is_repaired_by_a_repeat(spark, folder):
     assert content(spark, target) == [(1, "a", 0), (2, "b", 0)]
 
 
+def test_a_batch_id_belongs_to_its_rows(spark, folder):
+    """A delivers key 1 and 2, B 2 and 3; other rows under A's id would take key 2 away."""
+    target = table_at(folder)
+    load(spark, frame(spark, [(1, "a", 0), (2, "a", 0)]), target, T2, "A")
+    load(spark, frame(spark, [(2, "b", 0), (3, "b", 0)]), target, T2, "B")
+    before = content(spark, target)
+    with pytest.raises(ValueError, match="belongs to another source"):
+        load(spark, frame(spark, [(1, "a", 0)]), target, T2, "A")
+    assert content(spark, target) == before == [(1, "a", 0), (2, "a", 0), (3, "b", 0)]
+    load(spark, frame(spark, [(2, "a", 0), (1, "a", 0)]), target, T2, "A")  # the same rows may come again
+    assert content(spark, target) == before
+    for keyless in (T2.but(key=()),):
+        with pytest.raises(ValueError, match="belongs to another source"):
+            load(spark, frame(spark, [(9, "x", 0)]), target, keyless, "A")
+
+
+def test_a_second_writer_is_refused_and_runs_later(spark, folder):
+    """Two loads of overlapping keys, one in the middle of the other."""
+    late = frame(spark, [(2, "late", 0), (3, "late", 0)])
+    errors = []
+
+    class Interrupted(ParquetTable):
+        def append(self, df, batch_id):
+            try:
+                load(spark, late, table_at(folder), T2, "second")
+            except RuntimeError as error:
+                errors.append(str(error))
+            return super().append(df, batch_id)
+
+    load(spark, frame(spark, [(1, "first", 0), (2, "first", 0)]), Interrupted(f"{folder}/t2", T2.table_schema), T2, "first")
+    assert len(errors) == 1 and "'first' is writing" in errors[0]
+    load(spark, late, table_at(folder), T2, "second")
+    assert content(spark, table_at(folder)) == [(1, "first", 0), (2, "first", 0), (3, "late", 0)]
+
+
+def test_a_writer_that_died(spark, folder):
+    target = table_at(folder)
+    files.create(spark, f"{target.meta}/writer", "dead")
+    rows = frame(spark, [(1, "a", 0)])
+    with pytest.raises(RuntimeError, match="'dead' is writing"):
+        load(spark, rows, target, T2, "b1")
+    load(spark, rows, target, T2, "dead")  # it may come again itself
+    files.create(spark, f"{target.meta}/writer", "dead")
+    release(spark, target.meta)
+    assert load(spark, rows, target, T2, "b1").loaded == 0
+
+
+def test_replace_that_fails_leaves_the_old_rows(spark, folder):
+    target = table_at(folder)
+    old = [(i, "old", 0) for i in range(10)]
+    target.append(frame(spark, old), "b1")
+    bad = frame(spark, [(i, "new", 0) for i in range(20)]).repartition(4).withColumn(
+        "name", F.when(F.col("id") == 13, F.raise_error(F.lit("lost"))).otherwise(F.col("name"))
+    )
+    with pytest.raises(Exception, match="lost"):
+        target.replace(bad)
+    assert content(spark, target) == old
+    fewer = target.rows(spark).where("id < 3")  # a table may be set from its own rows
+    with pytest.raises(ValueError, match="has 3 rows, not 9"):
+        target.replace(fewer, Expected(9, 0))
+    with pytest.raises(ValueError, match="other values"):
+        target.replace(fewer, Expected(3, 0))
+    assert content(spark, target) == old
+    target.replace(fewer, Expected.of(fewer))
+    assert content(spark, target) == old[:3]
+    load(spark, frame(spark, [(2, "x", 0), (7, "x", 0)]), target, T2, "b2")
+    assert content(spark, target) == [*old[:3], (7, "x", 0)]
+
+
+def test_compacted_and_vacuumed(spark, folder):
+    target = table_at(folder)
+    batches = {f"b{i}": [(10 * i + k, "n", 0) for k in range(5)] for i in range(6)}
+    for batch_id, rows in batches.items():
+        load(spark, frame(spark, rows), target, T2, batch_id)
+    before, many = content(spark, target), len(target.read(spark).inputFiles())
+    target.compact(spark)
+    assert content(spark, target) == before
+    assert len(target.read(spark).inputFiles()) == 1 < many
+    assert exists(spark, target.path)
+    assert target.vacuum(spark) == [target.path]
+    assert content(spark, target) == before and not exists(spark, target.path)
+    assert load(spark, frame(spark, batches["b3"]), target, T2, "b3").loaded == 0
+    assert content(spark, target) == before
+
+
+def test_bounds_of_composite_keys_reach_the_target_scan(spark, folder, plan):
+    contract = T2.but(key=("id", "rank"), rules=(NotNull("id"), NotNull("rank")))
+    target = table_at(folder)
+    target.append(frame(spark, [(i, "n", i % 7) for i in range(100)]), "b1")
+    batch = frame(spark, [(5, "x", 2), (9, "y", 4)])
+    stats = key_stats(batch, contract.key)
+    assert stats.bounds == {"id": (5, 9), "rank": (2, 4)}
+    text = plan(duplicate_report(batch, target.rows(spark, "b2"), contract.key, stats))
+    scan = text[text.index("Scan parquet") :]
+    for pushed in ("GreaterThanOrEqual(id,5)", "LessThanOrEqual(id,9)", "GreaterThanOrEqual(rank,2)", "LessThanOrEqual(rank,4)"):
+        assert pushed in scan
+
+
+def test_an_empty_target_is_not_scanned(spark, folder, plan):
+    batch = frame(spark, [(1, "a", 0), (1, "b", 0)])
+    target = table_at(folder)
+    assert target.empty(spark, "b1")
+    assert "Join" not in plan(duplicate_report(batch, None, ["id"], key_stats(batch, ["id"])))
+    load(spark, batch, target, T2, "b1")
+    assert target.empty(spark, "b1") and not target.empty(spark, "b2")
+    assert not exists(spark, f"{folder}/duplicates-t2")
+
+
+def test_first_per_key_with_values_that_cannot_be_sorted(spark):
+    schema = "id int, a array<map<string,int>>, m map<string,int>"
+    rows = [(1, [{"x": i}], {"k": i}) for i in range(6)] + [(2, None, None)]
+    df = spark.createDataFrame(rows, schema)
+    first = sorted(first_per_key(df, ["id"]).collect(), key=lambda r: r.id)
+    again = sorted(first_per_key(df.repartition(3), ["id"]).collect(), key=lambda r: r.id)
+    assert [r.id for r in first] == [1, 2] and first == again
+
+
+def test_wide_keys_are_measured(spark):
+    df = spark.createDataFrame([(["x" * 5000], "y" * 100)], "k array<string>, s string")
+    assert key_stats(df, ["k", "s"]).n_bytes > 5000
+
+
 def test_bucketed_target_is_not_shuffled(spark, folder, plan):
     session = spark.newSession()
     session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -255,6 +386,15 @@ class KeyedTable:
             return spark.createDataFrame([], self.schema)
         return spark.read.schema(self.schema).parquet(self.path)
 
+    def empty(self, spark, except_batch):
+        return False
+
+    def claim(self, spark, batch_id, source):
+        pass
+
+    def writing(self, spark, holder):
+        return nullcontext()
+
     def append(self, df, batch_id):
         spark = df.sparkSession
         rows = df.select(*self.schema.fieldNames())
