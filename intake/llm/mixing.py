@@ -101,8 +101,10 @@ def apportion(parties: DataFrame, seats: int) -> DataFrame:
         foot = low[0] or high[0] * 1e-9
         step = (high[0] / foot) ** (1 / (_TRIES + 1))
         tries = [foot * step**i for i in range(_TRIES + 1)]
-        given = parties.agg(*[F.sum(_seats(F.lit(t))).alias(f"t{i}") for i, t in enumerate(tries)]).first()
-        tried = list(zip(tries, given, strict=True))
+        # One row of a party for each candidate, summed at once.
+        each = parties.select("weight", "seats_cap", F.posexplode(F.lit(tries)).alias("i", "rate"))
+        given = dict(each.groupBy("i").agg(F.sum(_seats(F.col("rate")))).collect())
+        tried = [(t, given[i]) for i, t in enumerate(tries)]
         low = max([low, *[x for x in tried if x[1] >= seats]], key=lambda x: x[0])
         high = min([high, *[x for x in tried if x[1] < seats and x[0] > low[0]]], key=lambda x: x[0])
     sure = parties.withColumn("_sure", _seats(F.lit(high[0])))
