@@ -1,0 +1,120 @@
+"""The stages, each on what its predecessor kept, against brute-force versions."""
+
+import re
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from intake.llm.common import settled, table
+from intake.llm.mixing import mixed
+from tests.conftest import SF_DIR
+from tests.llm import test_packing, test_secrets, test_simhash
+from tests.llm.test_queries import slow_quality
+
+NAMES = ["quality", "near-duplicates", "secrets", "mixing", "packing"]
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """What goes into each stage and what comes out last, as frames."""
+    out = [table(spark, SF_DIR, "documents")]
+    for name, stage in corpus_pipeline.STAGES:
+        out.append(settled(stage(spark, out[-1], SF_DIR), f"test-{name}"))
+    return out
+
+
+def rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_names_and_columns(stages):
+    assert [n for n, _ in corpus_pipeline.STAGES] == NAMES
+    assert all(df.columns == stages[0].columns and df.schema == stages[0].schema for df in stages[1:5])
+
+
+def test_quality_stage(spark, stages):
+    docs, labels = stages[0].collect(), spark.read.parquet(f"{SF_DIR}/labels.parquet").collect()
+    want = slow_quality(docs, labels)
+    kept = {r.doc_id for r in stages[1].collect()}
+    assert 0 < len(kept) < len(docs)
+    for i, (entropy, limit, ok) in want.items():
+        assert (i in kept) == ok or abs(entropy - limit) < 2e-3
+    assert rows(stages[1]) == sorted(tuple(r) for r in docs if r.doc_id in kept)
+
+
+def test_near_duplicates_stage(stages):
+    docs = stages[1].collect()
+    root = test_simhash.slow_components([(r.doc_id, test_simhash.slow_fingerprint(r.text)) for r in docs])
+    assert rows(stages[2]) == sorted(tuple(r) for r in docs if root[r.doc_id] == r.doc_id)
+
+
+def test_secrets_stage(stages):
+    got = {r.doc_id: r for r in stages[3].collect()}
+    docs = stages[2].collect()
+    assert len(got) == len(docs)
+    for r in docs:
+        text, at = "", 0
+        for span in filter(None, test_secrets.slow_base(r.text).split(",")):
+            start, end = map(int, span.split(":")[1:])
+            if start >= at:
+                text += r.text[at:start] + "[secret]"
+            at = max(at, end)
+        text += r.text[at:]
+        assert got[r.doc_id].text == text and got[r.doc_id].n_chars == len(text)
+        assert (got[r.doc_id].lang, got[r.doc_id].source) == (r.lang, r.source)
+
+
+def test_mixing_stage(stages):
+    docs = {r.doc_id: tuple(r) for r in stages[3].collect()}
+    times = {r.doc_id: int(np.floor(r.taken / r.size + 0.5)) if r.size else 0 for r in mixed(stages[3]).collect()}
+    got = Counter(tuple(r) for r in stages[4].collect())
+    assert got == Counter({docs[i]: n for i, n in times.items() if n})
+    assert len(got) > 0.5 * len(docs)
+
+
+def test_packing_stage(stages):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    copies = Counter((r.doc_id, r.text) for r in stages[4].collect())
+    # Copies are told apart by numbering the like pieces of a document.
+    seen, pieces = Counter(), []
+    for r in stages[5].collect():
+        seen[r.doc_id, r.piece] += 1
+        pieces.append(r.__class__(**{**r.asDict(), "doc_id": (r.doc_id, seen[r.doc_id, r.piece])}))
+    docs = [((i, k), text) for (i, text), n in copies.items() for k in range(1, n + 1)]
+    n, total = test_packing.check(pieces, docs, tokenizer)
+    assert n <= -(-total // 1024) + 3
+
+
+def test_run_gives_the_last_stages_pieces(spark, stages):
+    got = corpus_pipeline.run(spark, SF_DIR)
+    assert got.columns == stages[5].columns
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    assert rows(got.select(*columns)) == rows(stages[5].select(*columns))
+
+
+def test_no_documents(spark, tmp_path):
+    empty = spark.createDataFrame([], table(spark, SF_DIR, "documents").schema)
+    empty.write.parquet(f"{tmp_path}/documents.parquet")
+    table(spark, SF_DIR, "labels").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_odd_documents(spark, documents, tmp_path):
+    words = " ".join(f"w{i}" for i in range(400))
+    docs = documents(
+        (1, words), (2, words), (3, None), (4, ""), (5, words + " token=abcdefgh", None, None), (None, "x y z"),
+        (7, "a b " * 20000, "fr", "s9"), (7, "a b " * 20000, "fr", "s9"), (8, words[::-1], "en", "é"), extra=True,
+    )
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0), (8, 1, None), (7, None, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    df = table(spark, str(tmp_path), "documents")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        df = settled(stage(spark, df, str(tmp_path)), f"odd-{name}")
+        assert df.columns == docs.columns
+    last = corpus_pipeline.STAGES[-1][1](spark, df, str(tmp_path)).collect()
+    assert {r.doc_id for r in last} <= {r.doc_id for r in df.collect()}
+    assert not any(re.search("token=abcdefgh", r.text) for r in df.collect())
