@@ -426,7 +426,7 @@ def test_batch_ids_are_plain():
             batch_path("/t", bad)
 
 
-def test_jdbc_options():
+def test_jdbc_options(spark):
     """What Spark's JDBC source is told. No database is at hand to run it."""
     table = JdbcTable(
         "jdbc:mysql://db/app",
@@ -454,5 +454,7 @@ def test_jdbc_options():
     assert table.write_options()["batchsize"] == "10000"
     assert "truncate" not in table.write_options()
     assert table.write_options(truncate=True)["truncate"] == "true"
+    with pytest.raises(ValueError, match="not by both"):
+        JdbcTable("jdbc:x", "t", T2.table_schema, partition_column="id", predicates=("id < 5",))
     with pytest.raises(ValueError, match="plain identifier"):
         JdbcTable("jdbc:x", "t; DROP TABLE t", T2.table_schema)
