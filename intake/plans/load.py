@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from intake.contracts import TableContract
+from intake.functions.checksum import SUM_TYPE, row_hash
 from intake.operators.dedupe import (
     BROADCAST_LIMIT,
     Duplicates,
+    KeyStats,
     duplicate_report,
     key_stats,
     new_rows,
@@ -78,14 +83,18 @@ def _load_keyed(
     source: str | None,
 ) -> LoadResult:
     key = contract.key
-    stats = key_stats(batch, key, identify=source is None)
+    folder = run_dir(spark, f"duplicates-{contract.name}")
+    if target.empty(spark, batch_id):
+        # Nothing to compare with: one scan gives the repeated keys and all that is measured.
+        stats, duplicates = _store_repeats(spark, batch, key, folder, source is None)
+    else:
+        stats = key_stats(batch, key, identify=source is None)
+        existing = target.rows(spark, except_batch=batch_id)
+        report = duplicate_report(batch, existing, key, stats, broadcast_limit)
+        duplicates = None if stats.n_null else _store(spark, report, key, folder)
     if stats.n_null:
         raise ValueError(f"{contract.name}: {stats.n_null} rows without a key")
     target.claim(spark, batch_id, source or _rows_source(Expected(stats.n_rows, stats.checksum)))
-    existing = None if target.empty(spark, batch_id) else target.rows(spark, except_batch=batch_id)
-    report = duplicate_report(batch, existing, key, stats, broadcast_limit)
-    folder = run_dir(spark, f"duplicates-{contract.name}")
-    duplicates = _store(spark, report, key, folder)
     wanted = contract.on_duplicate == "report"
     try:
         if duplicates.n_keys and contract.on_duplicate == "error":
@@ -107,3 +116,25 @@ def _store(
     report.observe(seen, *Duplicates.counts(report, key)).write.parquet(path)
     return Duplicates(spark.read.schema(report.schema).parquet(path), **seen.get)
 
+
+def _store_repeats(
+    spark: SparkSession, batch: DataFrame, key: Sequence[str], path: str, identify: bool
+) -> tuple[KeyStats, Duplicates]:
+    """The report of a batch by itself, and its figures, observed behind the shuffle."""
+    total = F.sum(row_hash(batch).cast(SUM_TYPE)) if identify else F.lit(0).cast(SUM_TYPE)
+    counts = batch.groupBy(*key).agg(F.count(F.lit(1)).alias("n_in_batch"), total.alias("_sum"))
+    without = reduce(or_, [F.col(c).isNull() for c in key])
+    every, seen = Observation(), Observation()
+    counts = counts.observe(
+        every,
+        F.coalesce(F.sum("n_in_batch"), F.lit(0)).alias("n"),
+        F.coalesce(F.sum(F.when(without, F.col("n_in_batch"))), F.lit(0)).alias("n_null"),
+        F.coalesce(F.sum("_sum"), F.lit(0).cast(SUM_TYPE)).cast(SUM_TYPE).alias("sum"),
+    )
+    report = counts.where("n_in_batch > 1").select(
+        *key, "n_in_batch", F.lit(False).alias("in_target")
+    )
+    report.observe(seen, *Duplicates.counts(report, key)).write.parquet(path)
+    found = every.get
+    stats = KeyStats(found["n"], found["n_null"], 0, {}, found["sum"] if identify else None)
+    return stats, Duplicates(spark.read.schema(report.schema).parquet(path), **seen.get)
