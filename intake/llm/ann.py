@@ -29,8 +29,8 @@ class Lists:
     """``sample`` vectors at most train up to ``sample // 4`` centroids, one for ``length`` vectors.
 
     A vector is filed in up to ``copies`` lists no farther than ``file_ratio`` times its
-    nearest; a query reads up to ``probes`` lists no farther than ``read_ratio`` times. ``part``
-    is the vectors of a list, and the queries at it, that one task takes at a time.
+    nearest; a query reads up to ``probes`` lists no farther than ``read_ratio`` times. A task
+    takes lists of ``bundle`` vectors together, about, none longer than ``part``, and ``part`` queries.
     ``degree`` and ``width`` are the graph's neighbours and the breadth of its search.
     """
 
@@ -41,6 +41,7 @@ class Lists:
     probes: int = 256
     read_ratio: float = 1.35
     part: int = 1024
+    bundle: int = 8192
     degree: int = 24
     width: int = 288
     rounds: int = 8
@@ -173,6 +174,42 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()) if len(column) else np.zeros((0, 1))
 
 
+def best_of(have: pd.DataFrame, want: pd.DataFrame, n: int) -> pd.DataFrame:
+    """(q, cls, score): of each query (cls, vector, lists) the ``n`` best classes among the
+    members (list, cls, vector) of its lists; equal scores go to the smaller class."""
+    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    if len(have) and len(want):
+        have = have.sort_values("list")
+        members, lists, names = _matrix(have["vector"]), have["list"].to_numpy(), have["cls"].to_numpy()
+        queries, asked = _matrix(want["vector"]), np.concatenate(want["lists"].to_numpy())
+        asker = np.repeat(np.arange(len(want)), want["lists"].map(len))
+        order = np.argsort(asked, kind="stable")
+        asked, asker = asked[order], asker[order]
+        for number in np.unique(lists):
+            at = slice(*np.searchsorted(lists, [number, number + 1]))
+            who = asker[slice(*np.searchsorted(asked, [number, number + 1]))]
+            if len(who):
+                product = np.einsum("qd,vd->qv", queries[who], members[at])
+                least = np.full((len(who), 1), -np.inf)
+                if product.shape[1] > n:
+                    least = np.partition(product, -n, axis=1)[:, -n, None]
+                q, v = np.nonzero(product >= least)  # ties at the end stay for now
+                out.append((who[q], names[at][v], product[q, v]))
+    if not out:
+        return pd.DataFrame({"q": [], "cls": [], "score": []}).astype({"q": int, "cls": int, "score": float})
+    q, cls, score = (np.concatenate(x) for x in zip(*out, strict=True))
+    order = np.lexsort((cls, q))  # a class can be in several lists
+    q, cls, score = q[order], cls[order], score[order]
+    once = np.ones(len(q), bool)
+    once[1:] = (q[1:] != q[:-1]) | (cls[1:] != cls[:-1])
+    q, cls, score = q[once], cls[once], score[once]
+    order = np.lexsort((cls, -score, q))
+    q, cls, score = q[order], cls[order], score[order]
+    rank = np.arange(len(q)) - np.searchsorted(q, q)
+    top = rank < n
+    return pd.DataFrame({"q": want["cls"].to_numpy()[q[top]], "cls": cls[top], "score": score[top]})
+
+
 def nearest(rows: DataFrame, every: int = 20, best: int = 20, how: Lists = Lists(), vector: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the ``best`` largest inner products found for each query.
 
@@ -229,35 +266,28 @@ def nearest(rows: DataFrame, every: int = 20, best: int = 20, how: Lists = Lists
         sizes[number] = n
     searching = classes.join(asked.select("cls").distinct(), "cls", "left_semi").select("cls", "vector")
     probes = settled(searching.mapInPandas(probing, shape), "probes")
-    # Lists, and the queries at a list, in parts that one task can take.
-    parts = lambda df, name: df.groupBy("list").agg(F.ceil(F.count("*") / how.part).alias(name))
-    list_parts, probe_parts = parts(lists, "a"), parts(probes, "b")
-    dealt = list_parts.join(probe_parts, "list")
-    dealt = settled(dealt, "parts")
-    cell = lambda own, other: [
-        F.pmod(F.xxhash64("cls"), F.col(own)).alias(own + "_part"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias(other + "_part"),
-    ]
-    held = lists.join(dealt, "list").select("list", "cls", "vector", *cell("a", "b"))
-    seek = probes.join(dealt, "list").select("list", "cls", "vector", *cell("b", "a"))
+    # Long lists are cut in parts, and parts dealt to bundles that one task can take; a query
+    # goes once to each bundle with a list of its own, queries of a bundle in blocks.
+    cuts = settled(lists.groupBy("list").agg(F.ceil(F.count("*") / how.part).alias("cuts")), "parts")
+    cuts = F.broadcast(cuts)  # a row for each centroid at most
+    bundles = max(1, -(-int(sizes.sum()) // how.bundle))
+    bundle = F.pmod(F.xxhash64("list", "cut"), F.lit(bundles)).alias("bundle")
+    held = lists.join(cuts, "list").withColumn("cut", F.pmod(F.xxhash64("cls"), F.col("cuts")))
+    held = held.select(bundle, "list", "cls", "vector")
+    seek = probes.join(cuts, "list").withColumn("cut", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)))
+    seek = seek.select(bundle, "list", "cls", "vector").groupBy("bundle", "cls")
+    seek = seek.agg(F.first("vector").alias("vector"), F.array_sort(F.collect_set("list")).alias("lists"))
+    seek = settled(seek, "probes")
+    blocks = settled(seek.groupBy("bundle").agg(F.ceil(F.count("*") / how.part).alias("blocks")), "parts")
+    every_block = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
+    held = held.join(blocks, "bundle").select("bundle", every_block, "list", "cls", "vector")
+    own_block = F.pmod(F.xxhash64("cls"), F.col("blocks")).alias("block")
+    seek = seek.join(blocks.toDF("bundle", "blocks"), "bundle").select("bundle", own_block, "cls", "vector", "lists")
 
     def scored(key: tuple, have: pd.DataFrame, want: pd.DataFrame) -> pd.DataFrame:
-        if not len(have) or not len(want):
-            return pd.DataFrame({"q": [], "cls": [], "score": []}).astype({"q": int, "cls": int})
-        product = np.einsum("qd,vd->qv", _matrix(want["vector"]), _matrix(have["vector"]))
-        names = have["cls"].to_numpy()
-        n = min(best + 1, len(names))
-        # Equal scores at the end: the smaller class goes first.
-        order = np.lexsort((np.tile(names, (len(want), 1)), -product), axis=1)[:, :n]
-        return pd.DataFrame(
-            {
-                "q": np.repeat(want["cls"].to_numpy(), n),
-                "cls": names[order].ravel(),
-                "score": np.take_along_axis(product, order, axis=1).ravel(),
-            }
-        )
-
-    by = ["list", "a_part", "b_part"]
+        return best_of(have, want, best + 1)
+
+    by = ["bundle", "block"]
     found = held.groupBy(*by).cogroup(seek.groupBy(*by)).applyInPandas(scored, "q long, cls long, score double")
     # A candidate can come from several lists; its score is the same from each.
     found = found.groupBy("q", "cls").agg(F.max("score").alias("score"))

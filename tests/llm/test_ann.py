@@ -52,7 +52,7 @@ def test_many_lists_of_clustered_vectors_of_any_length(spark):
     x = (centres[rng.integers(0, 60, 6000)] + rng.normal(scale=0.4, size=(6000, 16))) * rng.uniform(0.2, 3, (6000, 1))
     rows = [(i, v.astype(np.float32).tolist()) for i, v in enumerate(x)]
     df = spark.createDataFrame([(*r, 0) for r in rows], SHAPE)
-    how = Lists(sample=2000, length=20, part=50)
+    how = Lists(sample=2000, length=20, part=50, bundle=700)
     got, want = answers(nearest(df, how=how)), slow(rows)
     assert got.keys() == want.keys()
     assert recall(got, want) >= 0.9
