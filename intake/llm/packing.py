@@ -44,12 +44,12 @@ class Packing:
     length: int = 1024
     end: int = 2
     vocabulary: str | None = None
-    cell: int = 2048
+    cell: int = 8192
     islands: int = 2
     epochs: int = 2
     children: int = 6
     population: int = 4
-    open_below: float = 0.995
+    open_below: float = 0.9995
     seed: int = 42
 
 
