@@ -240,7 +240,7 @@ def nearest(rows: DataFrame, every: int = 20, best: int = 20, how: Lists = Lists
     longest = float(np.sqrt(longest))
     # A bounded sample by hash trains the centroids; every vector is filed.
     sample = classes.orderBy(F.xxhash64("cls", F.lit(how.seed))).limit(how.sample).select("vector").toPandas()
-    graph = fit(lifted(_matrix(sample["vector"]), longest), count // how.length, how)
+    graph = fit(lifted(_matrix(sample["vector"]), longest), min(count // how.length, how.sample // 4), how)
     # As plain arrays, which executors can read without this package.
     sent = spark.sparkContext.broadcast((graph.centroids, graph.neighbours, graph.entries))
 
