@@ -3,8 +3,8 @@
 Centroids are fitted on a bounded sample; every vector is filed under its nearest centroid and,
 near a boundary, under others almost as near. Long lists are cut into parts of bounded
 length. Queries find centroids through a graph of their neighbours that every task holds in
-memory; a query reads the lists whose distance is within a ratio of the nearest one's. Lists
-and queries meet in a join, scores are exact.
+memory; a query reads all lists whose distance is within a ratio of the nearest one's, however
+many. Lists and queries meet in a join, scores are exact.
 
 Inner products become distances by one more coordinate: with it all vectors have the
 length of the longest, and a query, which has 0 there, is nearest to the largest product.
@@ -29,16 +29,16 @@ class Lists:
     """``sample`` vectors at most train up to ``sample // 4`` centroids, one for ``length`` vectors.
 
     A vector is filed in up to ``copies`` lists no farther than ``file_ratio`` times its
-    nearest; a query reads up to ``probes`` lists no farther than ``read_ratio`` times. A task
+    nearest; a query reads all lists no farther than ``read_ratio`` times. A task
     takes lists of ``bundle`` vectors together, about, none longer than ``part``, and ``part`` queries.
-    ``degree`` and ``width`` are the graph's neighbours and the breadth of its search.
+    ``degree`` and ``width`` are the graph's neighbours and the breadth of its search; a query
+    whose search ends inside the ratio looks at all centroids.
     """
 
     sample: int = 16_384
     length: int = 64
     copies: int = 2
     file_ratio: float = 1.1
-    probes: int = 256
     read_ratio: float = 1.35
     part: int = 1024
     bundle: int = 8192
@@ -145,15 +145,40 @@ def probes_of(queries: np.ndarray, graph: Graph, sizes: np.ndarray, least: int,
     for block in np.array_split(queries, 1 + len(queries) // 256):
         if len(block):
             lists, product = nearest_centroids(block, graph, how.width)
-            lists, product = lists[:, : how.probes], product[:, : how.probes]
-            near = _distance(product)
-            held = np.cumsum(sizes[lists], axis=1) - sizes[lists]
-            inside = (near <= how.read_ratio * near[:, :1] + 1e-6) | (held < least)
-            inside &= np.isfinite(product)
-            out += [lists[i][inside[i]] for i in range(len(block))]
+            found = [lists[i][row] for i, row in enumerate(_inside(lists, product, sizes, least, how))]
+            # All that was found is inside: there can be more.
+            more = [i for i, own in enumerate(found) if len(own) == lists.shape[1] < len(graph.centroids)]
+            if more:
+                product = block[more] @ graph.centroids.T
+                lists = np.argsort(-product, axis=1, kind="stable")
+                product = np.take_along_axis(product, lists, axis=1)
+                for i, own, row in zip(more, lists, _inside(lists, product, sizes, least, how), strict=True):
+                    found[i] = own[row]
+            out += found
     return out
 
 
+def _inside(lists: np.ndarray, product: np.ndarray, sizes: np.ndarray, least: int, how: Lists) -> np.ndarray:
+    near = _distance(product)
+    held = np.cumsum(sizes[lists], axis=1) - sizes[lists]
+    inside = (near <= how.read_ratio * near[:, :1] + 1e-6) | (held < least)
+    return inside & np.isfinite(product)
+
+
+def bundled(found: list[np.ndarray], first: np.ndarray, bundles: int) -> list[tuple[int, int, np.ndarray]]:
+    """(query, bundle, lists) of the lists each query reads: list l is cut into the parts from
+    ``first[l]`` to ``first[l + 1]``, part p lies in bundle p % ``bundles``."""
+    lists = np.concatenate(found)
+    asker = np.repeat(np.arange(len(found)), [len(x) for x in found])
+    cuts = first[lists + 1] - first[lists]
+    asker, start, lists = (np.repeat(x, cuts) for x in (asker, first[lists], lists))
+    place = np.arange(len(lists)) - np.repeat(np.cumsum(cuts) - cuts, cuts)
+    # A query goes to a bundle once, also with several parts of a list there.
+    rows = np.unique(np.stack([asker, (start + place) % bundles, lists], axis=1), axis=0)
+    ends = np.flatnonzero((rows[1:, :2] != rows[:-1, :2]).any(axis=1)) + 1
+    return [(int(x[0, 0]), int(x[0, 1]), x[:, 2]) for x in np.split(rows, ends) if len(x)]
+
+
 def usable(rows: DataFrame, vector: str = "embedding") -> DataFrame:
     """``vec_id`` and ``vector`` of the rows that take part.
 
@@ -250,34 +275,38 @@ def nearest(rows: DataFrame, every: int = 20, best: int = 20, how: Lists = Lists
                 part["list"] = files_of(lifted(_matrix(part["vector"]), longest), Graph(*sent.value), how)
                 yield part[["cls", "vector", "list"]].explode("list")
 
-    def probing(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            if len(part):
-                unit = _matrix(part["vector"])
-                unit = unit / np.linalg.norm(unit, axis=1, keepdims=True)
-                unit = np.concatenate([unit, np.zeros((len(unit), 1))], axis=1).astype(np.float32)
-                part["list"] = probes_of(unit, Graph(*sent.value), sizes, how.copies * (best + 1), how)
-                yield part[["cls", "vector", "list"]].explode("list")
-
     shape = "cls long, vector array<double>, list long"
     lists = settled(classes.select("cls", "vector").mapInPandas(filed, shape), "lists")
     sizes = np.zeros(len(graph.centroids), np.int64)
     for number, n in lists.groupBy("list").count().collect():  # a row for each centroid at most
         sizes[number] = n
     searching = classes.join(asked.select("cls").distinct(), "cls", "left_semi").select("cls", "vector")
-    probes = settled(searching.mapInPandas(probing, shape), "probes")
     # Long lists are cut in parts, and parts dealt to bundles that one task can take; a query
     # goes once to each bundle with a list of its own, queries of a bundle in blocks.
-    cuts = settled(lists.groupBy("list").agg(F.ceil(F.count("*") / how.part).alias("cuts")), "parts")
-    cuts = F.broadcast(cuts)  # a row for each centroid at most
+    first = np.concatenate([[0], np.cumsum(-(-sizes // how.part))])
     bundles = max(1, -(-int(sizes.sum()) // how.bundle))
-    bundle = F.pmod(F.xxhash64("list", "cut"), F.lit(bundles)).alias("bundle")
-    held = lists.join(cuts, "list").withColumn("cut", F.pmod(F.xxhash64("cls"), F.col("cuts")))
-    held = held.select(bundle, "list", "cls", "vector")
-    seek = probes.join(cuts, "list").withColumn("cut", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)))
-    seek = seek.select(bundle, "list", "cls", "vector").groupBy("bundle", "cls")
-    seek = seek.agg(F.first("vector").alias("vector"), F.array_sort(F.collect_set("list")).alias("lists"))
+
+    def probing(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for whole in parts:
+            for at in range(0, len(whole), 256):
+                part = whole.iloc[at : at + 256]
+                unit = _matrix(part["vector"])
+                unit = unit / np.linalg.norm(unit, axis=1, keepdims=True)
+                unit = np.concatenate([unit, np.zeros((len(unit), 1))], axis=1).astype(np.float32)
+                found = probes_of(unit, Graph(*sent.value), sizes, how.copies * (best + 1), how)
+                who, bundle, own = zip(*bundled(found, first, bundles), strict=True)
+                asking = part.iloc[list(who)]
+                yield pd.DataFrame(
+                    {"bundle": bundle, "cls": asking["cls"].to_numpy(), "vector": asking["vector"].to_numpy(), "lists": own}
+                )
+
+    seek = searching.mapInPandas(probing, "bundle long, cls long, vector array<double>, lists array<long>")
     seek = settled(seek, "probes")
+    # A row for each centroid at most.
+    cuts = [(i, int(first[i]), int(first[i + 1] - first[i])) for i in range(len(sizes)) if sizes[i]]
+    cuts = F.broadcast(spark.createDataFrame(cuts, "list long, first long, cuts long"))
+    held = lists.join(cuts, "list").withColumn("cut", F.pmod(F.xxhash64("cls"), F.col("cuts")))
+    held = held.select(F.pmod(F.col("first") + F.col("cut"), F.lit(bundles)).alias("bundle"), "list", "cls", "vector")
     blocks = settled(seek.groupBy("bundle").agg(F.ceil(F.count("*") / how.part).alias("blocks")), "parts")
     every_block = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
     held = held.join(blocks, "bundle").select("bundle", every_block, "list", "cls", "vector")

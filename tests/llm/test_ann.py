@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from intake.llm.ann import Lists, fit, nearest, nearest_centroids, usable
+from intake.llm.ann import Lists, bundled, fit, nearest, nearest_centroids, probes_of, usable
 from tests.conftest import SF_DIR
 
 SHAPE = "vec_id long, embedding array<float>, label int"
@@ -97,3 +97,23 @@ def test_graph_finds_the_nearest_centroids():
     hits = np.mean([len(set(a[:10]) & set(b)) / 10 for a, b in zip(found, exact, strict=True)])
     assert hits > 0.97
     assert (np.diff(product, axis=1) <= 0).all()
+
+
+def test_the_ratio_alone_chooses_the_lists():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(4000, 32)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    graph, x = fit(x[50:], 1000, Lists()), x[:50]
+    sizes = np.full(1000, 4)
+    far = np.sqrt(np.maximum(2 - 2 * (x @ graph.centroids.T), 0))
+    inside = far <= Lists().read_ratio * far.min(axis=1, keepdims=True)
+    got = probes_of(x, graph, sizes, 0, Lists())
+    assert (inside.sum(axis=1) > 288).any()
+    for own, want in zip(got, inside, strict=True):
+        if want.sum() > 288:
+            assert set(np.flatnonzero(want)) <= set(own) and len(own) <= want.sum() + 1
+
+
+def test_bundles_of_cut_lists():
+    got = bundled([np.array([2, 0]), np.array([], int), np.array([1])], np.array([0, 1, 4, 4, 6]), 2)
+    assert [(q, b, list(x)) for q, b, x in got] == [(0, 0, [0]), (2, 0, [1]), (2, 1, [1])]
