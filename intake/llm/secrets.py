@@ -2,8 +2,8 @@
 
 Three base patterns are reported wherever they match. The parts of a credential are weaker: an
 access identifier, a secret value, an endpoint. Such a part is reported only where the other
-parts it needs stand within its scope, so many code points before or after it. The parts
-of a text meet in an interval join on cells of its length; all but the outermost of a
+parts it needs stand within its scope, so many code points from the end of the one to the start of
+the other. The parts of a text meet in an interval join on cells of its length; all but the outermost of a
 kind in a cell are merged first, so that no pairs are written out. All of it is
 DataFrame expressions.
 """
@@ -114,18 +114,26 @@ def _map(of: dict[str, object]) -> Column:
     return F.create_map(*[F.lit(x) if not isinstance(x, tuple) else F.array(*map(F.lit, x)) for k, v in of.items() for x in (KINDS.index(k), v)])
 
 
-def linked(spans: DataFrame, scope: int) -> DataFrame:
-    """The base spans, and the weak ones that have all they need within ``scope``."""
-    cell = F.floor(F.col("s") / scope)
-    marked = spans.select("text_key", _map(ROLE)[F.col("k")].alias("role"), cell.alias("cell"), "s")
-    # Of the parts of a role in a cell the first and the last decide for all others.
-    marks = marked.groupBy("text_key", "role", "cell").agg(F.min("s").alias("low"), F.max("s").alias("high"))
+def linked(spans: DataFrame, scope: int, gaps: bool = False) -> DataFrame:
+    """The base spans, and the weak ones that have all they need within ``scope``.
+
+    With ``gaps`` the distance is that from the end of one span to the start of the other, 0 where they
+    overlap; else that of their starts.
+    """
+    end = F.col("e") if gaps else F.col("s")
+    first, last = F.floor(F.col("s") / scope), F.floor(end / scope)
+    marked = spans.select("text_key", _map(ROLE)[F.col("k")].alias("role"), "s", end.alias("end"), F.explode(F.sequence(first, last)).alias("cell"))
+    # Of the places that a role takes in a cell the first and the last decide for all others.
+    marks = marked.groupBy("text_key", "role", "cell").agg(
+        F.min(F.greatest("s", F.col("cell") * scope)).alias("low"),
+        F.max(F.least("end", (F.col("cell") + 1) * scope - 1)).alias("high"),
+    )
     weak = spans.where(F.col("k") >= len(BASE)).select(
-        "text_key", "k", "s", "e", cell.alias("at"), F.explode(_map(NEEDS)[F.col("k")]).alias("role")
+        "text_key", "k", "s", "e", F.explode(_map(NEEDS)[F.col("k")]).alias("role")
     )
-    near = weak.select("*", F.explode(F.array(*[F.col("at") + d for d in (-1, 0, 1)])).alias("cell"))
+    near = weak.select("*", end.alias("end"), F.explode(F.sequence(first - 1, last + 1)).alias("cell"))
     met = near.join(marks, ["text_key", "role", "cell"]).where(
-        (F.col("low") <= F.col("s") + scope) & (F.col("high") >= F.col("s") - scope)
+        (F.col("low") <= F.col("end") + scope) & (F.col("high") >= F.col("s") - scope)
     )
     met = met.groupBy("text_key", "k", "s", "e").agg(F.count_distinct("role").alias("n"))
     needed = _map({k: len(v) for k, v in NEEDS.items()})[F.col("k")]
@@ -158,7 +166,7 @@ def scanned(docs: DataFrame, scope: int = 200) -> DataFrame:
     an empty string, an empty string. Texts that repeat have the same spans.
     """
     found = settled(found_in(docs), "matches")
-    spans = settled(by_text(linked(settled(spans_of(found), "spans"), scope)), "spans")
+    spans = settled(by_text(linked(settled(spans_of(found), "spans"), scope, gaps=True)), "spans")
     rows = found.select("doc_id", "text_key").join(spans, "text_key", "left")
     rows = rows.withColumn("spans", F.coalesce("spans", F.array().cast(spans.schema["spans"].dataType)))
     base = F.filter("spans", lambda x: x["k"] < len(BASE))
@@ -178,7 +186,7 @@ def redacted(docs: DataFrame, mask: str = "[secret]", scope: int = 200) -> DataF
     Spans that overlap become one mask. Texts without spans, null ones too, stay as they are.
     """
     found = settled(found_in(docs), "matches")
-    spans = settled(by_text(linked(settled(spans_of(found), "spans"), scope)), "spans")
+    spans = settled(by_text(linked(settled(spans_of(found), "spans"), scope, gaps=True)), "spans")
     key = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)
     rows = docs.select(whole(docs), key.alias("text_key")).join(spans, "text_key", "left")
     text = F.col("doc.text").cast("string")

@@ -83,6 +83,33 @@ def test_links_equal_brute_force(spark):
     assert got == want
 
 
+def test_gaps_equal_brute_force(spark):
+    import random
+
+    rng = random.Random(8)
+    rows = []
+    for text in range(12):
+        for _ in range(rng.choice([3, 30, 60])):
+            s = rng.randrange(0, 30000)
+            rows.append((f"t{text}", rng.randrange(6), s, s + rng.choice([10, 199, 200, 1500])))
+    rows += [("edge", 0, 0, 300), ("edge", 3, 500, 510), ("far", 0, 0, 300), ("far", 3, 501, 511), ("inside", 3, 0, 5000), ("inside", 4, 2000, 2010)]
+    rows = sorted(set(rows))
+    got = {tuple(r) for r in linked(spark.createDataFrame(rows, "text_key string, k int, s int, e int"), 200, gaps=True).collect()}
+    role = [secrets.ROLE[k] for k in secrets.KINDS]
+    want = set()
+    for t, k, s, e in rows:
+        needs = secrets.NEEDS.get(secrets.KINDS[k], ())
+        if all(any(t == u and role[q] == n and max(a - e, s - b) <= 200 for u, q, a, b in rows) for n in needs):
+            want.add((t, k, s, e))
+    assert got == want
+    assert ("edge", 3, 500, 510) in got and ("far", 3, 501, 511) not in got and ("inside", 4, 2000, 2010) in got
+
+
+def test_an_endpoint_behind_a_long_secret_counts(documents):
+    text = f"password={'x' * 300} user = bob1 https://db.example.com:8443"
+    assert [s.split(":")[0] for s in spans_in(documents, text).split(",")] == ["assign", "identifier", "endpoint"]
+
+
 def test_texts_that_repeat_and_no_rows(documents):
     rows = [(i % 40, "x token=abcdefgh y") for i in range(80)] + [(None, "password: abcdefgh")]
     got = scanned(documents(*rows)).collect()
