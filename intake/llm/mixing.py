@@ -110,10 +110,21 @@ def apportion(parties: DataFrame, seats: int) -> DataFrame:
     sure = parties.withColumn("_sure", _seats(F.lit(high[0])))
     sure = sure.withColumn("_most", _seats(F.lit(low[0])) if low[0] else F.col("seats_cap"))
     quotient = F.col("weight") / (2 * F.col("k") + 1)
+    open_seats = sure.where("_most > _sure").select(
+        "party", "weight", F.explode(F.sequence("_sure", F.col("_most") - 1)).alias("k")
+    )
+    open_seats = open_seats.select("party", quotient.alias("_quotient"))
+    # Where many quotients tie, many seats are open: ranked by range partitions, then offsets by part.
+    order = [F.desc("_quotient"), "party"]
+    open_seats = settled(open_seats.orderBy(*order).withColumn("_part", F.spark_partition_id()), "seats")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = open_seats.groupBy("_part").agg(F.count("*").alias("_n")).select(
+        "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
+    )
+    inside = Window.partitionBy("_part").orderBy(*order)
     open_seats = (
-        sure.where("_most > _sure")
-        .select("party", "weight", F.explode(F.sequence("_sure", F.col("_most") - 1)).alias("k"))
-        .withColumn("_rank", F.row_number().over(Window.orderBy(F.desc(quotient), "party")))
+        open_seats.join(offsets, "_part")
+        .withColumn("_rank", F.col("_before") + F.row_number().over(inside))
         .where(F.col("_rank") <= seats - high[1])
         .groupBy("party")
         .agg(F.count("*").alias("_more"))

@@ -53,6 +53,14 @@ def test_many_ties(spark):
     assert {r.seats for r in got.collect()} == {1, 2}
 
 
+def test_ties_are_not_ranked_in_one_task(spark, plan):
+    rows = [(f"{i:05}", 1.0, 1) for i in range(12000)]
+    got = apportion(spark.createDataFrame(rows, "party string, weight double, seats_cap long"), 7000)
+    ranked = [x for x in plan(got).splitlines() if "row_number() windowspecdefinition(" in x]
+    assert ranked and all("row_number() windowspecdefinition(_part" in x for x in ranked)
+    assert {r.party for r in got.where("seats = 1").collect()} == {f"{i:05}" for i in range(7000)}
+
+
 def test_whole_table_comes_near_its_targets(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     rows = mixed(docs).join(docs.select("doc_id", "source", "text"), "doc_id").collect()
