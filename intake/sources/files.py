@@ -30,6 +30,12 @@ def rename(spark: SparkSession, path: str, new: str) -> None:
         raise OSError(f"{path} could not be renamed to {new}")
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path; 0 if there is none."""
+    hadoop_path, fs = _path(spark, path)
+    return fs.getContentSummary(hadoop_path).getLength() if fs.exists(hadoop_path) else 0
+
+
 def names(spark: SparkSession, folder: str) -> list[str]:
     """What lies in a folder, sorted; nothing if there is none."""
     hadoop_path, fs = _path(spark, folder)

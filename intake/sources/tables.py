@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from intake.functions.checksum import checksum
-from intake.sources.files import create, delete, exists, names, read_text
+from intake.sources.files import create, delete, exists, names, read_text, size
 from intake.sources.local import rows_frame
 
 BATCH = "batch_id"
@@ -172,12 +172,14 @@ class ParquetTable:
             delete(spark, new)
             raise RuntimeError(f"{self.path}: another writer has replaced the table meanwhile")
 
-    def compact(self, spark: SparkSession, n_files: int = 1) -> None:
+    def compact(self, spark: SparkSession, n_files: int | None = None, file_bytes: int = 128 << 20) -> None:
         """Rewrite all batches as one, in ``n_files`` files, and check them.
 
+        Without ``n_files`` there is a file for each ``file_bytes`` that the table has, measured.
         A batch that comes again afterwards finds its keys loaded and adds nothing.
         """
         before = self.rows(spark)
+        n_files = n_files or max(1, -(-size(spark, self.root(spark)) // file_bytes))
         whole = before.repartition(n_files).withColumn(BATCH, F.lit("compacted"))
         with self.writing(spark, "compact"):
             expected = Expected.of(before.withColumn(BATCH, F.lit("compacted")))

@@ -20,7 +20,7 @@ from intake.operators.dedupe import (
 from intake.operators.rules import NotNull
 from intake.plans.load import load
 from intake.sources import files
-from intake.sources.files import exists
+from intake.sources.files import exists, size
 from intake.sources.tables import (
     BucketedTable,
     Expected,
@@ -312,6 +312,17 @@ def test_compacted_and_vacuumed(spark, folder):
     assert content(spark, target) == before
 
 
+def test_compacted_in_files_by_the_tables_size(spark, folder):
+    target = table_at(folder)
+    for i in range(4):
+        load(spark, frame(spark, [(1000 * i + k, f"n{k}", 0) for k in range(500)]), target, T2, f"b{i}")
+    before = content(spark, target)
+    n_bytes = size(spark, target.path)
+    target.compact(spark, file_bytes=n_bytes // 3)
+    assert content(spark, target) == before
+    assert len(target.read(spark).inputFiles()) in (3, 4)
+
+
 def test_bounds_of_composite_keys_reach_the_target_scan(spark, folder, plan):
     contract = T2.but(key=("id", "rank"), rules=(NotNull("id"), NotNull("rank")))
     target = table_at(folder)
