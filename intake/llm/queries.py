@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 from intake.llm import oracles
 from intake.llm.ann import nearest
 from intake.llm.common import table
+from intake.llm.jaccard import jaccard_links
 from intake.llm.lines import ruled
 from intake.llm.mixing import mixed
 from intake.llm.packing import packed
+from intake.llm.periods import periodic_runs, stutter
 from intake.llm.quality import classified
 from intake.llm.secrets import scanned
 from intake.llm.simhash import near_duplicates
 from intake.llm.tokens import document_tokens
+from intake.llm.turns import audited_among, damaged
 from intake.llm.urls import Rule, judged
 from intake.llm.warc import parse_records, read_archive, write_archive
 from intake.workspace import run_dir
@@ -76,6 +79,33 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents")).drop("key")
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = periodic_runs(docs.withColumn("text", stutter(F.col("doc_id"), F.col("text"))))
+    # The longest run, then the first one, then the shorter period.
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r.length, -r.start, -r.period)))
+    line = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r.start, r.length, r.period))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.col2")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.col3")).alias("period"),
+        F.expr("1000 * best.length div -best.col3").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_links(table(spark, sf_dir, "documents"))
+
+
+def op13_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return audited_among(damaged(rows), rows)
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_quality": op2_quality,
@@ -87,6 +117,9 @@ QUERIES: dict[str, Query] = {
     "op8_neighbours": op8_neighbours,
     "op9_lines": op9_lines,
     "op10_mixing": op10_mixing,
+    "op11_runs": op11_runs,
+    "op12_jaccard": op12_jaccard,
+    "op13_turns": op13_turns,
 }
 
 ORACLES: dict[str, str] = {

@@ -14,7 +14,7 @@ import __spark_entry__ as entry_points
 from intake.llm import quality as q
 from intake.llm.queries import ORACLES, QUERIES
 from tests.conftest import SF_DIR
-from tests.llm import test_ann, test_mixing, test_packing, test_quality, test_secrets, test_simhash
+from tests.llm import test_ann, test_jaccard, test_mixing, test_packing, test_periods, test_quality, test_secrets, test_simhash, test_turns
 from tests.llm.conftest import by_id
 from tools.check import connect, differs
 
@@ -27,7 +27,7 @@ def docs(spark):
 
 
 def test_all_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry_points.queries())
     assert set(ORACLES) <= set(entry_points.oracle_sql())
 
@@ -141,3 +141,28 @@ def test_op10(spark, docs):
         assert got[r.doc_id][1] == sizes[r.source]
         assert math.isclose(got[r.doc_id][2], want[r.source], rel_tol=1e-9)
     assert all(abs(taken[s] - want[s]) <= 16 for s in want)
+
+
+def test_op11(spark, docs):
+    got = by_id(QUERIES["op11_runs"](spark, SF_DIR), "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+    assert len(got) == len(docs)
+    for r in docs:
+        words = test_periods.slow_stutter(r.doc_id, (r.text or "").encode().split())
+        runs = test_periods.slow_runs(words)
+        best = max(runs, key=lambda x: (x[1], -x[0], -x[2]), default=None)
+        lines = "".join(f"{s},{n},{q}\n" for s, n, q in runs)
+        kept = b" ".join(test_periods.slow_kept(words, runs))
+        want = (len(runs), *(best or [None] * 3), best and 1000 * best[1] // best[2])
+        assert got[r.doc_id] == (*want, hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(kept).hexdigest())
+    assert sum(n > 0 for n, *_ in got.values()) > len(docs) / 20
+
+
+def test_op12(spark, docs):
+    got = by_id(QUERIES["op12_jaccard"](spark, SF_DIR), "n_shingles", "component_id")
+    assert got == test_jaccard.slow([(r.doc_id, r.text) for r in docs])
+
+
+def test_op13(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    got = test_turns.answers(QUERIES["op13_turns"](spark, SF_DIR))
+    assert got == test_turns.slow_audits(test_turns.slow_damage(rows), {r[0] for r in rows})
