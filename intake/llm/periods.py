@@ -20,7 +20,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from intake.llm.common import words
@@ -297,22 +297,19 @@ def periodic_runs(docs: DataFrame, how: Periods = Periods()) -> DataFrame:
     return found.withColumn("collapsed", F.col("collapsed").cast("string"))
 
 
-def stutter(doc_id: Column, text: Column) -> Column:
-    """The text, for one in ten documents with a tail that repeats some of its words.
+def stuttered(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where the texts of one in ten documents repeat some of their words to the end.
 
     With h the CRC-32 of the decimal id and g = h // 10, texts with h % 10 = 0 repeat, from word
     a = g % n on, the words a to a + p - 1, where p = 1 + (n - a) // (3 + g % 8). Other
     texts, those without words or without an id, stay as they are.
     """
-    h = F.crc32(doc_id.cast("string").cast("binary"))
-    g = F.floor(h / 10).cast("long")
-    w = words(text)
-    n = F.size(w).cast("long")
-    a = g % n
-    p = F.floor(1 + (n - a) / (3 + g % 8)).cast("long")
-
-    def repeated(word: Column, i: Column) -> Column:
-        return F.when(i < a, word).otherwise(F.get(w, (a + (i - a) % p).cast("int")))
-
-    damaged = F.array_join(F.transform(w, repeated), " ")
-    return F.when((h % 10 == 0) & (F.coalesce(F.regexp_count(text, F.lit("[^\\x20\\x09-\\x0D]")), F.lit(0)) > 0), damaged).otherwise(text)
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    # The steps are columns of their own, so that a text is split once.
+    cut = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words(F.col("text"))).alias("w"))
+    cut = cut.select("*", F.size("w").cast("long").alias("n"), F.expr("h div 10").alias("g"))
+    cut = cut.select("*", F.expr("CASE WHEN n > 0 THEN g % n END").alias("a"))
+    cut = cut.select("*", F.expr("1 + (n - a) div (3 + g % 8)").alias("p"))
+    tail = "slice(flatten(array_repeat(slice(w, int(a + 1), int(p)), int((n - a + p - 1) div p))), 1, int(n - a))"
+    again = F.array_join(F.expr(f"concat(slice(w, 1, int(a)), {tail})"), " ")
+    return cut.select("doc_id", F.when(F.col("a").isNotNull(), again).otherwise(F.col("text")).alias("text"))

@@ -14,7 +14,7 @@ from intake.llm.jaccard import jaccard_links
 from intake.llm.lines import ruled
 from intake.llm.mixing import mixed
 from intake.llm.packing import packed
-from intake.llm.periods import periodic_runs, stutter
+from intake.llm.periods import periodic_runs, stuttered
 from intake.llm.quality import classified
 from intake.llm.secrets import scanned
 from intake.llm.simhash import near_duplicates
@@ -80,8 +80,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    found = periodic_runs(docs.withColumn("text", stutter(F.col("doc_id"), F.col("text"))))
+    found = periodic_runs(stuttered(table(spark, sf_dir, "documents")))
     # The longest run, then the first one, then the shorter period.
     best = F.array_max(F.transform("runs", lambda r: F.struct(r.length, -r.start, -r.period)))
     line = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r.start, r.length, r.period))

@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 import pytest
 
-from intake.llm.periods import COVER, MODULUS, Extensions, Periods, kept_words, periodic_runs, runs_of, stutter
+from intake.llm.periods import COVER, MODULUS, Extensions, Periods, kept_words, periodic_runs, runs_of, stuttered
 
 
 def slow_runs(words, least=6, exponent=4):
@@ -101,10 +101,11 @@ def test_nothing(spark, documents):
 
 def test_stutter_equals_the_slow_one(spark, documents):
     rows = [(i, " ".join(f"w{k % 17}" for k in range(i % 40))) for i in range(400)] + [(None, "a b c"), (401, None), (402, " ")]
-    docs = documents(*rows)
-    for r in docs.select("doc_id", "text", stutter(docs.doc_id, docs.text).alias("now")).collect():
-        words = (r.text or "").encode().split()
-        want = slow_stutter(r.doc_id, words)
-        assert (r.now or "").encode().split() == want
+    now = {r.doc_id: r.text for r in stuttered(documents(*rows)).collect()}
+    assert len(now) == len(rows)
+    for doc_id, text in rows:
+        words = (text or "").encode().split()
+        want = slow_stutter(doc_id, words)
+        assert (now[doc_id] or "").encode().split() == want
         if want is words:
-            assert r.now == r.text
+            assert now[doc_id] == text
