@@ -5,17 +5,18 @@ all tokens stand in. So a pair is a candidate only if its prefixes meet under *e
 several orders. The orders put widespread tokens last (by a counting sketch over all
 documents, a fixed number of counters) and are seeded hashes otherwise.
 
-The first order's prefixes are an index by token; sets that share no prefix token with another
-are done. For the others, prefixes under the further orders and the sets themselves are stored, and a
-candidate must pass size, parity bits, and the other orders before the sets are intersected.
+The first order's prefixes are an index by token; sets without a partner in any list whose size and
+parity bits allow a link are done. For the others, prefixes under the further orders and the sets
+themselves are stored, and a pair must meet under the other orders before its sets are intersected.
 
-Equal sets are one class throughout, and no pairs within a list are written out: the classes of a
-list are compared with one or two of them first, lists that are left in one component are
+Equal sets are one class throughout, and no pairs within a list are written out: each class is
+first compared with one other of a list or two, lists that are left in one component are then
 done, and only what remains in several is compared in full, between components.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -29,8 +30,12 @@ from pyspark.sql import functions as F
 
 from intake.llm.common import components, settled
 
-_PARITY = ("p0", "p1", "p2", "p3")
+_BITS = 1024
+_PARITY = tuple(f"p{k}" for k in range(_BITS // 64))
+_FOLDED = tuple(f"f{k}" for k in range(4))
 _CHUNK = 4096
+_HELD = 1 << 16
+_CUT = re.compile(rb"[\x20\x09-\x0D]")
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
 
@@ -39,8 +44,8 @@ class Jaccard:
     """Sets of ``words``-word shingles; links from ``percent`` per cent of the union on.
 
     ``orders`` global orders are used, the first for the index. ``counters`` (a power of two) counts
-    how widespread tokens are, in 8 bytes each. ``hubs`` rounds compare each list with single classes
-    before the rest is compared in full.
+    how widespread tokens are, in 8 bytes each. ``hubs`` rounds compare each class with a single one
+    of a list before the rest is compared in full.
     """
 
     words: int = 3
@@ -55,41 +60,82 @@ class Jaccard:
         return size - -(-self.percent * size // 100) + 1 if size else 0
 
 
-class _Hashes(dict):
-    """Hashes of words, kept while they are few."""
-
-    def __init__(self, seed: int) -> None:
-        self.seed = seed
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1 << 18:
-            self.clear()
-        found = self[word] = xxhash.xxh64_intdigest(word, self.seed)
-        return found
-
-
 def _mixed(values: np.ndarray) -> np.ndarray:
     values = (values ^ (values >> np.uint64(32))) * _MIX[0]
     values = (values ^ (values >> np.uint64(29))) * _MIX[1]
     return values ^ (values >> np.uint64(32))
 
 
-def shingle_set(text: bytes | None, how: Jaccard, hashes: _Hashes) -> np.ndarray:
-    """The 64-bit tokens of a text's distinct shingles, ascending; none without words.
+# A number for each byte, none for the blanks (space, tab to carriage return).
+_BLANK = np.isin(np.arange(256), [32, *range(9, 14)])
+_BYTE = np.where(_BLANK, np.uint64(0), np.array([xxhash.xxh64_intdigest(bytes([b]), 1) | 1 for b in range(256)], np.uint64))
+_BASE = np.uint64(0xD6E8FEB86659FD93)
+
+
+def _word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a text start, and their hashes: polynomials of their bytes, mixed."""
+    data = np.frombuffer(text, np.uint8)
+    word = ~_BLANK[data]
+    first = word.copy()
+    first[1:] &= ~word[:-1]
+    starts = np.flatnonzero(first)
+    if not len(starts):
+        return starts, np.zeros(0, np.uint64)
+    place = (np.arange(len(data)) - starts[np.maximum(np.cumsum(first) - 1, 0)]) * word
+    powers = np.full(int(place.max()) + 1, _BASE)
+    powers[0] = 1
+    np.multiply.accumulate(powers, out=powers)
+    return starts, _mixed(np.add.reduceat(_BYTE[data] * powers[place], starts))
+
 
-    A-Z count as a-z; fewer words than a shingle has are one shingle.
+def _pieces(text: bytes, size: int) -> Iterator[bytes]:
+    """A text in pieces of at least ``size`` bytes, cut at blanks."""
+    at = 0
+    while at < len(text):
+        cut = _CUT.search(text, at + size)
+        end = cut.start() if cut else len(text)
+        yield text[at:end]
+        at = end
+
+
+def shingle_sets(texts: pa.Array, how: Jaccard) -> Iterator[np.ndarray]:
+    """For each text the 64-bit tokens of its distinct shingles, ascending; none without words.
+
+    A-Z count as a-z; fewer words than a shingle has are one shingle. Short texts are hashed
+    together, long ones piece by piece.
     """
-    # bytes.lower and bytes.split know A-Z and the six blanks only.
-    parts = (text or b"").lower().split()
-    if not parts:
-        return np.zeros(0, np.uint64)
-    each = np.fromiter(map(hashes.__getitem__, parts), np.uint64, len(parts))
-    width = min(how.words, len(parts))
-    n = len(parts) - width + 1
-    tokens = np.full(n, width, np.uint64)
-    for k in range(width):
-        tokens = _mixed(tokens * _MIX[2] + each[k : k + n])
-    return np.unique(tokens)
+
+    def one(each: np.ndarray) -> np.ndarray:
+        width = min(how.words, len(each))
+        n = len(each) - width + 1 if width else 0
+        tokens = np.full(n, width, np.uint64)
+        for k in range(width):
+            tokens *= _MIX[2]
+            tokens += each[k : k + n]
+        tokens = _mixed(tokens)
+        tokens.sort()
+        return tokens[np.concatenate(([True], tokens[1:] != tokens[:-1]))] if n else tokens
+
+    def together(held: list[bytes]) -> Iterator[np.ndarray]:
+        # bytes.lower knows A-Z only.
+        starts, hashes = _word_hashes(b"\n".join(held).lower())
+        ends = np.cumsum([len(t) + 1 for t in held])
+        cuts = [0, *np.searchsorted(starts, ends)]
+        yield from (one(hashes[a:b]) for a, b in zip(cuts, cuts[1:], strict=False))
+
+    held, size = [], 0
+    for text in texts:
+        now = text.as_py() or b""
+        if size + len(now) > _HELD and held:
+            yield from together(held)
+            held, size = [], 0
+        if len(now) > _HELD:
+            yield one(np.concatenate([_word_hashes(part.lower())[1] for part in _pieces(now, _HELD)]))
+        else:
+            held.append(now)
+            size += len(now)
+    if held:
+        yield from together(held)
 
 
 def _class_of(tokens: np.ndarray, how: Jaccard) -> int:
@@ -98,10 +144,9 @@ def _class_of(tokens: np.ndarray, how: Jaccard) -> int:
 
 
 def _parity(tokens: np.ndarray) -> np.ndarray:
-    """256 bits: of two sets at least as many tokens differ as bits do."""
-    place = (_mixed(tokens + _MIX[1]) >> np.uint64(56)).astype(np.int64)
-    bits = (np.bincount(place, minlength=256) & 1).astype(np.uint8)
-    return np.packbits(bits, bitorder="little").view("<i8")
+    """The parity of the tokens of each of ``_BITS`` places: at least as many tokens of two sets differ as bits do."""
+    place = (tokens & np.uint64(_BITS - 1)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=_BITS) & 1).astype(np.uint8), bitorder="little").view("<i8")
 
 
 def _ordered(tokens: np.ndarray, how: Jaccard, levels: np.ndarray, order: int) -> np.ndarray:
@@ -124,15 +169,13 @@ def _scanned(docs: DataFrame, how: Jaccard) -> DataFrame:
     """doc_id, text_key, class, n and parity of each row; and rows of counters (``chunk`` not null)."""
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes(how.seed)
         shift = np.uint64(64 - how.counters.bit_length() + 1)
         counts = np.zeros(how.counters, np.int64)
         waiting, n_waiting = [], 0
         names = ["doc_id", "text_key", "class", "n", *_PARITY, "chunk", "counts"]
         for part in parts:
             classes, sizes, parity = [], [], []
-            for text in part.column(2):
-                tokens = shingle_set(text.as_py(), how, hashes)
+            for tokens in shingle_sets(part.column(2), how):
                 classes.append(_class_of(tokens, how))
                 sizes.append(len(tokens))
                 parity.append(_parity(tokens))
@@ -141,12 +184,12 @@ def _scanned(docs: DataFrame, how: Jaccard) -> DataFrame:
                 if n_waiting >= how.counters:
                     counts += np.bincount(np.concatenate(waiting), minlength=how.counters)
                     waiting, n_waiting = [], 0
-            bits = np.array(parity, np.int64).reshape(-1, 4)
+            bits = np.array(parity, np.int64).reshape(-1, len(_PARITY))
             rows = part.num_rows
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0), part.column(1), pa.array(np.array(classes, np.uint64).view(np.int64)),
-                    pa.array(np.array(sizes, np.int64)), *[pa.array(np.ascontiguousarray(bits[:, k])) for k in range(4)],
+                    pa.array(np.array(sizes, np.int64)), *[pa.array(np.ascontiguousarray(bits[:, k])) for k in range(len(_PARITY))],
                     pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary()),
                 ],
                 names=names,
@@ -158,7 +201,7 @@ def _scanned(docs: DataFrame, how: Jaccard) -> DataFrame:
         if len(used):
             n = len(used)
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(n, pa.int64())] * 8
+                [pa.nulls(n, pa.int64())] * (4 + len(_PARITY))
                 + [pa.array(used.astype(np.int32)), pa.array([chunks[k].astype("<i8").tobytes() for k in used], pa.binary())],
                 names=names,
             )
@@ -197,25 +240,30 @@ def _levels(scanned: DataFrame, how: Jaccard) -> np.ndarray:
 
 
 def _index(docs: DataFrame, how: Jaccard, levels) -> DataFrame:
-    """token, class of each document's prefix under the first order."""
+    """token, class, n of each document's prefix under the first order; copies in one task at most once."""
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, high = _Hashes(how.seed), levels.value.astype(np.uint64)
+        high = levels.value.astype(np.uint64)
+        seen: set[int] = set()
         for part in parts:
-            firsts, classes, seen = [], [], set()
-            for text in part.column(0):
-                tokens = shingle_set(text.as_py(), how, hashes)
+            firsts, classes = [], []
+            for tokens in shingle_sets(part.column(0), how):
                 number = _class_of(tokens, how)
                 if len(tokens) and number not in seen:
+                    if len(seen) >= 1 << 18:
+                        seen.clear()
                     seen.add(number)
                     firsts.append(_ordered(tokens, how, high, 0))
-                    classes.append(np.full(len(firsts[-1]), number, np.uint64))
+                    classes.append((number, len(tokens)))
             if firsts:
+                times = [len(f) for f in firsts]
+                numbers, sizes = (np.repeat(np.array(c, np.uint64), times).view(np.int64) for c in zip(*classes, strict=True))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c).view(np.int64)) for c in (firsts, classes)], names=["token", "class"]
+                    [pa.array(np.concatenate(firsts).view(np.int64)), pa.array(numbers), pa.array(sizes.astype(np.int32))],
+                    names=["token", "class", "n"],
                 )
 
-    return docs.select(F.col("text").cast("binary")).mapInArrow(batches, "token long, class long")
+    return docs.select(F.col("text").cast("binary")).mapInArrow(batches, "token long, class long, n int")
 
 
 def _sets(docs: DataFrame, how: Jaccard, levels) -> DataFrame:
@@ -223,11 +271,10 @@ def _sets(docs: DataFrame, how: Jaccard, levels) -> DataFrame:
     others = range(1, how.orders)
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, high = _Hashes(how.seed), levels.value.astype(np.uint64)
+        high = levels.value.astype(np.uint64)
         for part in parts:
             rows: dict[int, list[np.ndarray]] = {}
-            for text in part.column(0):
-                tokens = shingle_set(text.as_py(), how, hashes)
+            for tokens in shingle_sets(part.column(0), how):
                 number = _class_of(tokens, how)
                 if number not in rows:
                     rows[number] = [tokens, *[_ordered(tokens, how, high, k) for k in others]]
@@ -242,15 +289,25 @@ def _sets(docs: DataFrame, how: Jaccard, levels) -> DataFrame:
     return found.groupBy("class").agg(*[F.first(c).alias(c) for c in columns])
 
 
-def _possible(a: str, b: str, how: Jaccard) -> Column:
-    """Whether sizes and parity bits leave a pair possible: sizes alike, few tokens in one set only."""
+def _alike(a: str, b: str, how: Jaccard) -> Column:
+    """Whether the sizes of two sets leave a link possible."""
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    differ = reduce(add, [F.bit_count(F.col(f"{a}.{p}").bitwiseXOR(F.col(f"{b}.{p}"))) for p in _PARITY])
+    return 100 * F.least(n, m) >= how.percent * F.greatest(n, m)
+
+
+def _near(a: str, b: str, how: Jaccard, parity: tuple[str, ...]) -> Column:
+    """Whether the parity bits of two sets leave a link possible: few tokens are in one set only."""
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    differ = reduce(add, [F.bit_count(F.col(f"{a}.{p}").bitwiseXOR(F.col(f"{b}.{p}"))) for p in parity])
     # |a & b| >= p (n + m) / (100 + p), so that the others are at most (100 - p) (n + m) / (100 + p).
-    return (
-        (100 * F.least(n, m) >= how.percent * F.greatest(n, m))
-        & ((100 + how.percent) * differ <= (100 - how.percent) * (n + m))
-    )
+    return (100 + how.percent) * differ <= (100 - how.percent) * (n + m)
+
+
+def _with_partner(lists: DataFrame, possible) -> DataFrame:
+    """The rows of the lists that have another class, ``possible`` together, in their list."""
+    a, b = lists.alias("a"), lists.alias("b")
+    met = (F.col("a.token") == F.col("b.token")) & (F.col("a.class") != F.col("b.class")) & possible("a", "b")
+    return a.join(b, met, "left_semi")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, how: Jaccard) -> DataFrame:
@@ -284,41 +341,39 @@ def _merged(parts: DataFrame | None, links: DataFrame) -> DataFrame | None:
 
 
 def _linked(filed: DataFrame, sets: DataFrame, how: Jaccard) -> DataFrame | None:
-    """Components (node, root) of the classes, from the lists (token, class, n, parity)."""
-    parts = None
-
-    def open_lists() -> DataFrame:
-        """The lists with the classes' roots, where there are several."""
-        rows = filed.withColumn("root", F.col("class"))
-        if parts is not None:
-            named = parts.select(F.col("node").alias("class"), F.col("root").alias("_r"))
-            rows = filed.join(named, "class", "left").withColumn("root", F.coalesce("_r", "class")).drop("_r")
-            rows = settled(rows, "lists")
-        several = rows.groupBy("token").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low < _high")
-        return settled(rows.join(several.select("token"), "token"), "lists")
-
-    def links(pairs: DataFrame) -> DataFrame:
-        found = settled(_verified(settled(pairs.distinct(), "pairs"), sets, how), "links")
+    """Components (node, root) of the classes, from the lists (token, class, n, folded parity)."""
+
+    def rooted(rows: DataFrame, parts: DataFrame | None) -> DataFrame:
+        if parts is None:
+            return rows.withColumn("root", F.col("class"))
+        named = parts.select(F.col("node").alias("class"), F.col("root").alias("_r"))
+        return rows.join(named, "class", "left").withColumn("root", F.coalesce("_r", "class")).drop("_r")
+
+    def links(a: DataFrame, b: DataFrame, apart: Column) -> DataFrame:
+        a, b = a.alias("a"), b.alias("b")
+        met = (F.col("a.token") == F.col("b.token")) & apart & _alike("a", "b", how) & _near("a", "b", how, _FOLDED)
+        ends = [F.col(f"{e}.{c}").alias(n) for e, c, n in (("a", "class", "a"), ("b", "class", "b"), ("a", "root", "ra"), ("b", "root", "rb"))]
+        pairs = settled(a.join(b, met).select(*ends).distinct(), "pairs")
+        found = settled(_verified(pairs, sets, how), "links")
         return found.select(F.col("ra").alias("u"), F.col("rb").alias("v"))
 
-    ends = [F.col(f"{e}.{c}").alias(n) for e, c, n in (("a", "class", "a"), ("b", "class", "b"), ("a", "root", "ra"), ("b", "root", "rb"))]
+    parts = None
+    row = F.struct("token", "class", "n", *_FOLDED)
     for turn in range(how.hubs):
-        lists = open_lists()
-        if lists.isEmpty():
-            return parts
-        hub = F.struct(F.xxhash64("class", F.lit(turn)), "class", "n", "root", *_PARITY)
-        hubs = lists.groupBy("token").agg(F.min(hub).alias("hub")).select(F.col("token").alias("_t"), "hub.*")
-        a, b = lists.alias("a"), hubs.alias("b")
-        near = a.join(
-            b, (F.col("a.token") == F.col("b._t")) & (F.col("a.root") != F.col("b.root")) & _possible("a", "b", how)
-        )
-        parts = _merged(parts, links(near.select(*ends)))
-    lists = open_lists()
-    a, b = lists.alias("a"), lists.alias("b")
-    near = a.join(
-        b, (F.col("a.token") == F.col("b.token")) & (F.col("a.root") < F.col("b.root")) & _possible("a", "b", how)
-    )
-    return _merged(parts, links(near.select(*ends)))
+        # One list of each class, and of each list one class that all others are compared with.
+        one = filed.groupBy("class").agg((F.min(row) if turn % 2 == 0 else F.max(row)).alias("r")).select("r.*")
+        one = settled(rooted(one, parts), "lists")
+        hub = F.struct(F.xxhash64("class", F.lit(turn)), "token", "class", "n", "root", *_FOLDED)
+        hubs = one.groupBy("token").agg(F.min(hub).alias("hub")).select("hub.*")
+        parts = _merged(parts, links(one, hubs, F.col("a.root") != F.col("b.root")))
+    lists = filed.select("token", "class", "n", *_FOLDED)
+    if parts is not None:
+        lists = settled(rooted(lists, parts), "lists")
+        several = lists.groupBy("token").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low < _high")
+        lists = settled(lists.join(several.select("token"), "token"), "lists")
+    else:
+        lists = rooted(lists, None)
+    return _merged(parts, links(lists, lists, F.col("a.root") < F.col("b.root")))
 
 
 def jaccard_links(docs: DataFrame, how: Jaccard = Jaccard()) -> DataFrame:
@@ -346,10 +401,14 @@ def jaccard_links(docs: DataFrame, how: Jaccard = Jaccard()) -> DataFrame:
         .select("class", "least", "text_key", "mark.*"),
         "classes",
     )
-    index = settled(_index(texts, how, levels), "index")
-    shared = index.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
-    filed = index.join(settled(shared.select("token"), "shared"), "token", "left_semi").distinct()
-    filed = settled(filed.join(classes.drop("least", "text_key"), "class"), "lists")
+    # Lists are cut down to classes with a partner by size, then by parity bits, before more is read.
+    index = _index(texts, how, levels).repartition("token").distinct()
+    filed = settled(_with_partner(index, lambda a, b: _alike(a, b, how)), "lists")
+    marked = filed.join(classes.drop("least", "text_key", "n"), "class")
+    filed = _with_partner(marked, lambda a, b: _alike(a, b, how) & _near(a, b, how, _PARITY))
+    step = len(_PARITY) // len(_FOLDED)
+    folded = [reduce(Column.bitwiseXOR, [F.col(p) for p in _PARITY[k * step : (k + 1) * step]]).alias(f) for k, f in enumerate(_FOLDED)]
+    filed = settled(filed.select("token", "class", "n", *folded), "lists")
     wanted = settled(filed.select("class").distinct().join(classes.select("class", "text_key"), "class").select("text_key"), "wanted")
     chosen = texts.join(wanted, _text_key() == F.col("text_key"), "left_semi")
     sets = settled(_sets(chosen, how, levels), "sets")

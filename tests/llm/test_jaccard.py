@@ -2,9 +2,11 @@ import random
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from intake.llm.jaccard import Jaccard, _Hashes, _ordered, jaccard_links, shingle_set
+from intake.llm import jaccard
+from intake.llm.jaccard import Jaccard, _ordered, jaccard_links, shingle_sets
 from tests.llm.conftest import by_id
 
 
@@ -73,17 +75,30 @@ def test_prefixes_of_similar_sets_meet_under_every_order():
     rng = random.Random(6)
     how = Jaccard()
     levels = np.array([rng.choice([0, 0, 0, 1, 5]) for _ in range(how.counters)], np.uint64)
-    hashes = _Hashes(how.seed)
     for _ in range(60):
         a = prose(rng, rng.randint(5, 120))
         b = variants(rng, a, 1, (0, 4))[0]
-        x, y = (shingle_set(t.encode(), how, hashes) for t in (a, b))
+        x, y = shingle_sets(pa.array([a.encode(), b.encode()]), how)
         both = len(np.intersect1d(x, y))
         if 100 * both >= 90 * (len(x) + len(y) - both):
             for order in range(how.orders):
                 assert len(np.intersect1d(_ordered(x, how, levels, order), _ordered(y, how, levels, order)))
 
 
+def test_sets_equal_the_slow_ones_however_texts_are_held(monkeypatch):
+    rng = random.Random(9)
+    blanks = [" ", "\t", "\n\n", "\x0b", "\x0c ", "\r\n", "\u00a0", "\x1f", "x" * 300]
+    texts = [None, "", " ", "A", " a", "a ", *["".join(rng.choice(["a", "B", "b", "\u00e9", *blanks]) for _ in range(rng.randrange(60))) for _ in range(80)]]
+    numbers = {}
+    for held in (1, 50, 1 << 18):
+        monkeypatch.setattr(jaccard, "_HELD", held)
+        sets = list(shingle_sets(pa.array([t and t.encode() for t in texts], pa.binary()), Jaccard()))
+        for t, got in zip(texts, sets, strict=True):
+            assert len(got) == len(shingles(t)) == len(set(got.tolist()))
+            assert numbers.setdefault(shingles(t), got.tobytes()) == got.tobytes()
+    assert len(set(numbers.values())) == len(numbers)
+
+
 def test_a_link_at_the_limit_and_one_below(spark, documents):
     # 20 of 22 are 90.9 %, 18 of 20 are 90 %, 16 of 18 are 88.9 %.
     def text(n):
