@@ -143,10 +143,18 @@ def _class_of(tokens: np.ndarray, how: Jaccard) -> int:
     return xxhash.xxh64_intdigest(tokens.tobytes(), how.seed) if len(tokens) else 0
 
 
-def _parity(tokens: np.ndarray) -> np.ndarray:
-    """The parity of the tokens of each of ``_BITS`` places: at least as many tokens of two sets differ as bits do."""
-    place = (tokens & np.uint64(_BITS - 1)).astype(np.int64)
-    return np.packbits((np.bincount(place, minlength=_BITS) & 1).astype(np.uint8), bitorder="little").view("<i8")
+def _parity(tokens: np.ndarray, bits: int = _BITS) -> np.ndarray:
+    """The parity of the tokens of each of ``bits`` places: at least as many tokens of two sets differ as bits do."""
+    place = (tokens & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=bits) & 1).astype(np.uint8), bitorder="little").view("<i8")
+
+
+def _more_parity(tokens: np.ndarray) -> np.ndarray | None:
+    """More such bits for a large set, whose many tokens would fill the first ones: 1 to 4 for each token."""
+    bits = _BITS
+    while bits < len(tokens):
+        bits *= 4
+    return _parity(tokens, bits) if bits > _BITS else None
 
 
 def _ordered(tokens: np.ndarray, how: Jaccard, levels: np.ndarray, order: int) -> np.ndarray:
@@ -172,13 +180,14 @@ def _scanned(docs: DataFrame, how: Jaccard) -> DataFrame:
         shift = np.uint64(64 - how.counters.bit_length() + 1)
         counts = np.zeros(how.counters, np.int64)
         waiting, n_waiting = [], 0
-        names = ["doc_id", "text_key", "class", "n", *_PARITY, "chunk", "counts"]
+        names = ["doc_id", "text_key", "class", "n", *_PARITY, "more", "chunk", "counts"]
         for part in parts:
-            classes, sizes, parity = [], [], []
+            classes, sizes, parity, more = [], [], [], []
             for tokens in shingle_sets(part.column(2), how):
                 classes.append(_class_of(tokens, how))
                 sizes.append(len(tokens))
                 parity.append(_parity(tokens))
+                more.append(_more_parity(tokens))
                 waiting.append((tokens >> shift).astype(np.int64))
                 n_waiting += len(tokens)
                 if n_waiting >= how.counters:
@@ -190,7 +199,7 @@ def _scanned(docs: DataFrame, how: Jaccard) -> DataFrame:
                 [
                     part.column(0), part.column(1), pa.array(np.array(classes, np.uint64).view(np.int64)),
                     pa.array(np.array(sizes, np.int64)), *[pa.array(np.ascontiguousarray(bits[:, k])) for k in range(len(_PARITY))],
-                    pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary()),
+                    pa.array(more, pa.list_(pa.int64())), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary()),
                 ],
                 names=names,
             )
@@ -202,13 +211,13 @@ def _scanned(docs: DataFrame, how: Jaccard) -> DataFrame:
             n = len(used)
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(n, pa.int64())] * (4 + len(_PARITY))
-                + [pa.array(used.astype(np.int32)), pa.array([chunks[k].astype("<i8").tobytes() for k in used], pa.binary())],
+                + [pa.nulls(n, pa.list_(pa.int64())), pa.array(used.astype(np.int32)), pa.array([chunks[k].astype("<i8").tobytes() for k in used], pa.binary())],
                 names=names,
             )
 
     longs = ", ".join(f"{c} long" for c in _PARITY)
     return docs.select("doc_id", _text_key().alias("text_key"), F.col("text").cast("binary")).mapInArrow(
-        batches, f"doc_id long, text_key long, class long, n long, {longs}, chunk int, counts binary"
+        batches, f"doc_id long, text_key long, class long, n long, {longs}, more array<long>, chunk int, counts binary"
     )
 
 
@@ -295,12 +304,20 @@ def _alike(a: str, b: str, how: Jaccard) -> Column:
     return 100 * F.least(n, m) >= how.percent * F.greatest(n, m)
 
 
-def _near(a: str, b: str, how: Jaccard, parity: tuple[str, ...]) -> Column:
+def _near(a: str, b: str, how: Jaccard, parity: tuple[str, ...], more: bool = False) -> Column:
     """Whether the parity bits of two sets leave a link possible: few tokens are in one set only."""
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    differ = reduce(add, [F.bit_count(F.col(f"{a}.{p}").bitwiseXOR(F.col(f"{b}.{p}"))) for p in parity])
-    # |a & b| >= p (n + m) / (100 + p), so that the others are at most (100 - p) (n + m) / (100 + p).
-    return (100 + how.percent) * differ <= (100 - how.percent) * (n + m)
+
+    def few(differ: Column) -> Column:
+        # |a & b| >= p (n + m) / (100 + p), so that the others are at most (100 - p) (n + m) / (100 + p).
+        return (100 + how.percent) * differ <= (100 - how.percent) * (n + m)
+
+    near = few(reduce(add, [F.bit_count(F.col(f"{a}.{p}").bitwiseXOR(F.col(f"{b}.{p}"))) for p in parity]))
+    if not more:
+        return near
+    x, y = F.col(f"{a}.more"), F.col(f"{b}.more")
+    bits = F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, c: s + c)
+    return near & F.when(F.size(x) == F.size(y), few(bits)).otherwise(F.lit(True))
 
 
 def _with_partner(lists: DataFrame, possible) -> DataFrame:
@@ -310,22 +327,30 @@ def _with_partner(lists: DataFrame, possible) -> DataFrame:
     return a.join(b, met, "left_semi")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, how: Jaccard) -> DataFrame:
-    """Of the pairs of classes (a, b) those that are links: prefixes meet under every order, then sets."""
-    others = [f"o{k}" for k in range(1, how.orders)]
+def _beside(pairs: DataFrame, table: DataFrame) -> DataFrame:
+    """The pairs (a, b, ra, rb) with the rows of ``table`` of both classes as ``x`` and ``y``.
+
+    Pairs go to the table, as a broadcast where Spark finds them small; then only rows of
+    classes in pairs move.
+    """
+    columns = F.struct(*[c for c in table.columns if c != "class"])
+    first = table.select(F.col("class").alias("a"), columns.alias("x")).join(pairs, "a")
+    second = table.select(F.col("class").alias("b"), columns.alias("y")).join(pairs.select("b"), "b", "left_semi")
+    return first.join(second, "b")
 
-    def beside(df: DataFrame, columns: list[str]) -> DataFrame:
-        for end in ("a", "b"):
-            named = sets.select(F.col("class").alias(end), *[F.col(c).alias(f"{end}_{c}") for c in columns])
-            df = df.join(named, end)
-        return df
 
-    if others:
-        meet = reduce(and_, [F.arrays_overlap(f"a_{c}", f"b_{c}") for c in others])
-        pairs = beside(pairs, others).where(meet).select(*pairs.columns)
-    common = F.size(F.array_intersect("a_tokens", "b_tokens"))
-    union = F.size("a_tokens") + F.size("b_tokens") - common
-    return beside(pairs, ["tokens"]).where(100 * common >= how.percent * union).select(*pairs.columns)
+def _verified(pairs: DataFrame, marks: DataFrame, sets: DataFrame, how: Jaccard) -> DataFrame:
+    """Of the pairs (a, b, ra, rb) those that are links.
+
+    Parity bits first, then prefixes must meet under every further order, then the sets are intersected.
+    """
+    near = _beside(pairs, marks).where(_near("x", "y", how, _PARITY, more=True)).select("a", "b", "ra", "rb")
+    held = _beside(settled(near, "pairs"), sets)
+    for k in range(1, how.orders):
+        held = held.where(F.arrays_overlap(f"x.o{k}", f"y.o{k}"))
+    common = F.size(F.array_intersect("x.tokens", "y.tokens"))
+    union = F.size("x.tokens") + F.size("y.tokens") - common
+    return held.where(100 * common >= how.percent * union).select("ra", "rb")
 
 
 def _merged(parts: DataFrame | None, links: DataFrame) -> DataFrame | None:
@@ -340,7 +365,7 @@ def _merged(parts: DataFrame | None, links: DataFrame) -> DataFrame | None:
     return settled(every.join(moved, "root", "left").select("node", F.coalesce("_to", "root").alias("root")), "components")
 
 
-def _linked(filed: DataFrame, sets: DataFrame, how: Jaccard) -> DataFrame | None:
+def _linked(filed: DataFrame, marks: DataFrame, sets: DataFrame, how: Jaccard) -> DataFrame | None:
     """Components (node, root) of the classes, from the lists (token, class, n, folded parity)."""
 
     def rooted(rows: DataFrame, parts: DataFrame | None) -> DataFrame:
@@ -354,7 +379,7 @@ def _linked(filed: DataFrame, sets: DataFrame, how: Jaccard) -> DataFrame | None
         met = (F.col("a.token") == F.col("b.token")) & apart & _alike("a", "b", how) & _near("a", "b", how, _FOLDED)
         ends = [F.col(f"{e}.{c}").alias(n) for e, c, n in (("a", "class", "a"), ("b", "class", "b"), ("a", "root", "ra"), ("b", "root", "rb"))]
         pairs = settled(a.join(b, met).select(*ends).distinct(), "pairs")
-        found = settled(_verified(pairs, sets, how), "links")
+        found = settled(_verified(pairs, marks, sets, how), "links")
         return found.select(F.col("ra").alias("u"), F.col("rb").alias("v"))
 
     parts = None
@@ -389,9 +414,9 @@ def jaccard_links(docs: DataFrame, how: Jaccard = Jaccard()) -> DataFrame:
     spark: SparkSession = docs.sparkSession
     texts = _texts(docs)
     scanned = settled(_scanned(texts, how), "scanned")
-    rows = scanned.where("chunk is null").select("doc_id", "text_key", "class", "n", *_PARITY)
+    rows = scanned.where("chunk is null").drop("chunk", "counts")
     levels = spark.sparkContext.broadcast(_levels(scanned, how))
-    mark = F.struct("n", *_PARITY)
+    mark = F.struct("n", *_PARITY, "more")
     classes = rows.where("n > 0").groupBy("class").agg(
         F.min("doc_id").alias("least"), F.min("text_key").alias("text_key"), F.min(mark).alias("mark"), F.max(mark).alias("_other")
     )
@@ -405,14 +430,15 @@ def jaccard_links(docs: DataFrame, how: Jaccard = Jaccard()) -> DataFrame:
     index = _index(texts, how, levels).repartition("token").distinct()
     filed = settled(_with_partner(index, lambda a, b: _alike(a, b, how)), "lists")
     marked = filed.join(classes.drop("least", "text_key", "n"), "class")
-    filed = _with_partner(marked, lambda a, b: _alike(a, b, how) & _near(a, b, how, _PARITY))
+    filed = _with_partner(marked, lambda a, b: _alike(a, b, how) & _near(a, b, how, _PARITY, more=True))
     step = len(_PARITY) // len(_FOLDED)
     folded = [reduce(Column.bitwiseXOR, [F.col(p) for p in _PARITY[k * step : (k + 1) * step]]).alias(f) for k, f in enumerate(_FOLDED)]
     filed = settled(filed.select("token", "class", "n", *folded), "lists")
-    wanted = settled(filed.select("class").distinct().join(classes.select("class", "text_key"), "class").select("text_key"), "wanted")
-    chosen = texts.join(wanted, _text_key() == F.col("text_key"), "left_semi")
-    sets = settled(_sets(chosen, how, levels), "sets")
-    parts = _linked(filed, sets, how)
+    chosen = classes.drop("least").join(filed.select("class").distinct(), "class", "left_semi")
+    chosen = settled(chosen, "classes")
+    wanted = texts.join(chosen.select("text_key"), _text_key() == F.col("text_key"), "left_semi")
+    sets = settled(_sets(wanted, how, levels), "sets")
+    parts = _linked(filed, chosen.drop("text_key"), sets, how)
     roots = classes.select("class", F.col("class").alias("root"), "least")
     if parts is not None:
         roots = classes.join(parts, F.col("class") == F.col("node"), "left").select(
