@@ -249,7 +249,7 @@ def _levels(scanned: DataFrame, how: Jaccard) -> np.ndarray:
 
 
 def _index(docs: DataFrame, how: Jaccard, levels) -> DataFrame:
-    """token, class, n of each document's prefix under the first order; copies in one task at most once."""
+    """token, class, n, place of each document's prefix under the first order; copies in one task at most once."""
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         high = levels.value.astype(np.uint64)
@@ -268,11 +268,14 @@ def _index(docs: DataFrame, how: Jaccard, levels) -> DataFrame:
                 times = [len(f) for f in firsts]
                 numbers, sizes = (np.repeat(np.array(c, np.uint64), times).view(np.int64) for c in zip(*classes, strict=True))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(firsts).view(np.int64)), pa.array(numbers), pa.array(sizes.astype(np.int32))],
-                    names=["token", "class", "n"],
+                    [
+                        pa.array(np.concatenate(firsts).view(np.int64)), pa.array(numbers), pa.array(sizes.astype(np.int32)),
+                        pa.array(np.concatenate([np.arange(k, dtype=np.int32) for k in times])),
+                    ],
+                    names=["token", "class", "n", "place"],
                 )
 
-    return docs.select(F.col("text").cast("binary")).mapInArrow(batches, "token long, class long, n int")
+    return docs.select(F.col("text").cast("binary")).mapInArrow(batches, "token long, class long, n int, place int")
 
 
 def _sets(docs: DataFrame, how: Jaccard, levels) -> DataFrame:
@@ -304,6 +307,13 @@ def _alike(a: str, b: str, how: Jaccard) -> Column:
     return 100 * F.least(n, m) >= how.percent * F.greatest(n, m)
 
 
+def _left(a: str, b: str, how: Jaccard) -> Column:
+    """Whether a token of both sets can be their first common one: enough tokens follow it in either."""
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    follow = F.least(n - F.col(f"{a}.place"), m - F.col(f"{b}.place"))
+    return (100 + how.percent) * follow >= how.percent * (n + m)
+
+
 def _near(a: str, b: str, how: Jaccard, parity: tuple[str, ...], more: bool = False) -> Column:
     """Whether the parity bits of two sets leave a link possible: few tokens are in one set only."""
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
@@ -374,9 +384,9 @@ def _linked(filed: DataFrame, marks: DataFrame, sets: DataFrame, how: Jaccard) -
         named = parts.select(F.col("node").alias("class"), F.col("root").alias("_r"))
         return rows.join(named, "class", "left").withColumn("root", F.coalesce("_r", "class")).drop("_r")
 
-    def links(a: DataFrame, b: DataFrame, apart: Column) -> DataFrame:
+    def links(a: DataFrame, b: DataFrame, met: Column) -> DataFrame:
         a, b = a.alias("a"), b.alias("b")
-        met = (F.col("a.token") == F.col("b.token")) & apart & _alike("a", "b", how) & _near("a", "b", how, _FOLDED)
+        met = (F.col("a.token") == F.col("b.token")) & met & _alike("a", "b", how) & _near("a", "b", how, _FOLDED)
         ends = [F.col(f"{e}.{c}").alias(n) for e, c, n in (("a", "class", "a"), ("b", "class", "b"), ("a", "root", "ra"), ("b", "root", "rb"))]
         pairs = settled(a.join(b, met).select(*ends).distinct(), "pairs")
         found = settled(_verified(pairs, marks, sets, how), "links")
@@ -391,14 +401,14 @@ def _linked(filed: DataFrame, marks: DataFrame, sets: DataFrame, how: Jaccard) -
         hub = F.struct(F.xxhash64("class", F.lit(turn)), "token", "class", "n", "root", *_FOLDED)
         hubs = one.groupBy("token").agg(F.min(hub).alias("hub")).select("hub.*")
         parts = _merged(parts, links(one, hubs, F.col("a.root") != F.col("b.root")))
-    lists = filed.select("token", "class", "n", *_FOLDED)
+    lists = filed
     if parts is not None:
         lists = settled(rooted(lists, parts), "lists")
         several = lists.groupBy("token").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low < _high")
         lists = settled(lists.join(several.select("token"), "token"), "lists")
     else:
         lists = rooted(lists, None)
-    return _merged(parts, links(lists, lists, F.col("a.root") < F.col("b.root")))
+    return _merged(parts, links(lists, lists, (F.col("a.root") < F.col("b.root")) & _left("a", "b", how)))
 
 
 def jaccard_links(docs: DataFrame, how: Jaccard = Jaccard()) -> DataFrame:
@@ -421,19 +431,20 @@ def jaccard_links(docs: DataFrame, how: Jaccard = Jaccard()) -> DataFrame:
         F.min("doc_id").alias("least"), F.min("text_key").alias("text_key"), F.min(mark).alias("mark"), F.max(mark).alias("_other")
     )
     clash = F.raise_error(F.lit("two shingle sets have one hash: choose another seed"))
-    classes = settled(
-        classes.select("class", "least", "text_key", F.when(F.col("mark") != F.col("_other"), clash).otherwise(F.col("mark")).alias("mark"))
-        .select("class", "least", "text_key", "mark.*"),
-        "classes",
-    )
-    # Lists are cut down to classes with a partner by size, then by parity bits, before more is read.
-    index = _index(texts, how, levels).repartition("token").distinct()
-    filed = settled(_with_partner(index, lambda a, b: _alike(a, b, how)), "lists")
-    marked = filed.join(classes.drop("least", "text_key", "n"), "class")
-    filed = _with_partner(marked, lambda a, b: _alike(a, b, how) & _near(a, b, how, _PARITY, more=True))
     step = len(_PARITY) // len(_FOLDED)
     folded = [reduce(Column.bitwiseXOR, [F.col(p) for p in _PARITY[k * step : (k + 1) * step]]).alias(f) for k, f in enumerate(_FOLDED)]
-    filed = settled(filed.select("token", "class", "n", *folded), "lists")
+    checked = F.when(F.col("mark") != F.col("_other"), clash).otherwise(F.col("mark")).alias("mark")
+    classes = classes.select("class", "least", "text_key", checked).select("class", "least", "text_key", "mark.*")
+    classes = settled(classes.select("*", *folded), "classes")
+    # Lists are cut down to classes with a partner by size and place, then by ever more parity bits.
+    index = _index(texts, how, levels).repartition("token").distinct()
+    filed = settled(_with_partner(index, lambda a, b: _alike(a, b, how) & _left(a, b, how)), "lists")
+    for parity, more in ((_FOLDED, False), (_PARITY, True)):
+        marks = classes.select("class", *parity, *(["more"] if more else []))
+        marked = filed.select(*index.columns).join(marks, "class")
+        near = lambda a, b: _alike(a, b, how) & _left(a, b, how) & _near(a, b, how, parity, more)  # noqa: B023, E731
+        filed = settled(_with_partner(marked, near).select(*index.columns), "lists")
+    filed = settled(filed.join(classes.select("class", *_FOLDED), "class"), "lists")
     chosen = classes.drop("least").join(filed.select("class").distinct(), "class", "left_semi")
     chosen = settled(chosen, "classes")
     wanted = texts.join(chosen.select("text_key"), _text_key() == F.col("text_key"), "left_semi")
