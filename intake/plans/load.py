@@ -55,7 +55,7 @@ def load(
 
     ``on_duplicate``: ``skip`` leaves repeated keys out, ``report`` also returns
     them, ``error`` refuses the whole batch. A contract without a key appends
-    every row.
+    every row, once: a batch that a compaction or replacement holds already adds nothing.
 
     ``source`` says where the rows come from (their checksum, if not given). A batch id
     belongs to one source: the same batch may come again and replaces itself, other rows
@@ -64,6 +64,8 @@ def load(
     with target.writing(spark, batch_id):
         if not contract.key:
             target.claim(spark, batch_id, source or _rows_source(Expected.of(batch)))
+            if target.settled(spark, batch_id):
+                return LoadResult(batch.count(), 0)
             n = target.append(batch, batch_id)
             return LoadResult(n, n)
         return _load_keyed(spark, batch, target, contract, batch_id, broadcast_limit, source)

@@ -3,12 +3,15 @@
 All offer the same steps: ``read`` (everything, for a backup), ``rows`` (the declared
 columns), ``append`` one batch, ``replace`` the content, and two guards: ``writing``
 holds the table for one writer, ``claim`` ties a batch id to the source of its rows. An
-append returns the number of rows written.
+append returns the number of rows written. ``settled`` says whether a batch's rows are in the
+table already, under another batch's name.
 """
 
 from __future__ import annotations
 
+import json
 import re
+import threading
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager, nullcontext
@@ -23,6 +26,8 @@ from intake.sources.files import create, delete, exists, names, read_text, size
 from intake.sources.local import rows_frame
 
 BATCH = "batch_id"
+COMPACTED = "compacted"
+REPLACED = "replaced"
 
 
 def batch_path(root: str, batch_id: str) -> str:
@@ -46,22 +51,38 @@ def claim(spark: SparkSession, folder: str, batch_id: str, source: str) -> None:
             raise ValueError(f"batch id {batch_id!r} belongs to another source: {held}, not {source}")
 
 
+# The notes of the writers that are alive in this process.
+_live: set[str] = set()
+_entering = threading.Lock()
+
+
 @contextmanager
 def writing(spark: SparkSession, folder: str, holder: str) -> Iterator[None]:
     """Holds a table for one writer from reading its keys to publishing the rows.
 
-    A second writer is refused and can be run again. A writer that died leaves its
-    note; the same holder may go on, or ``release`` frees the table.
+    Every run has a note of its own, so a second one is refused even under the same name, and no run
+    takes away another's note. It can be run again later. A writer that died leaves its note: in
+    the same application the same holder may go on, otherwise ``release`` frees the table.
     """
-    note = f"{folder}/writer"
-    if not create(spark, note, holder):
-        held = read_text(spark, note)
-        if held != holder:
-            raise RuntimeError(f"{folder}: {held!r} is writing; run {holder!r} again later")
+    note, application = f"{folder}/writer", spark.sparkContext.applicationId
+    mine = f"{holder}\n{application}\n{uuid.uuid4().hex}"
+    with _entering:
+        if not create(spark, note, mine):
+            held = read_text(spark, note) or ""
+            name, *run = held.split("\n")
+            dead = held not in _live and (not run or run[0] == application)
+            if not (name == holder and dead):
+                raise RuntimeError(f"{folder}: {name!r} is writing; run {holder!r} again later")
+            delete(spark, note)
+            if not create(spark, note, mine):
+                raise RuntimeError(f"{folder}: another run is writing; run {holder!r} again later")
+        _live.add(mine)
     try:
         yield
     finally:
-        delete(spark, note)
+        _live.discard(mine)
+        if read_text(spark, note) == mine:
+            delete(spark, note)
 
 
 def release(spark: SparkSession, folder: str) -> None:
@@ -97,35 +118,80 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
 
 
+@dataclass(frozen=True)
+class Listing:
+    """What a table consists of: the folders that count, by batch, below one root.
+
+    ``held`` are the batches whose rows a compaction or replacement has put under another name.
+    """
+
+    root: str
+    folders: Mapping[str, str] = field(default_factory=dict)
+    held: tuple[str, ...] = ()
+
+    def text(self) -> str:
+        # The last line says that the file is whole.
+        return json.dumps({"root": self.root, "folders": dict(self.folders), "held": self.held}) + "\nend"
+
+    @staticmethod
+    def of(text: str | None) -> Listing | None:
+        if not text or not text.endswith("\nend"):
+            return None
+        found = json.loads(text.removesuffix("\nend"))
+        return Listing(found["root"], found["folders"], tuple(found["held"]))
+
+
 @dataclass(frozen=True)
 class ParquetTable:
-    """A folder with one partition per loaded batch.
+    """A folder whose content is what its newest listing names.
+
+    Every append writes a fresh folder and then publishes a listing, in which it stands instead of
+    the batch's earlier one, as one new small file under the next number. A load that dies before that
+    has changed nothing, a reader takes one listing, and of two writers that start from
+    the same listing one is refused. Setting the whole content writes a new root the same way.
+    ``vacuum`` removes what no listing needs any more.
 
-    Writing a batch replaces that batch's partition, so a load that died halfway
-    is repaired by running it again. Setting the whole content writes a new generation
-    beside the old one and switches to it when it is complete, by a new small file: the
-    table is whole at any time. What is not rows (generations, the current one's
-    name, claims, the writer's note) lies in ``<path>.meta``.
+    What is not rows (listings, new roots, claims, the writer's note) lies in ``<path>.meta``.
+    With a ``key`` compaction puts the rows in its order, in files of disjoint ranges.
     """
 
     path: str
     schema: T.StructType
+    key: tuple[str, ...] = ()
 
     @property
     def meta(self) -> str:
         return f"{self.path}.meta"
 
+    def _listing(self, spark: SparkSession) -> tuple[int, Listing]:
+        """The newest whole listing, and the number of the next one."""
+        folder = f"{self.meta}/listings"
+        numbers = names(spark, folder)
+        after = int(numbers[-1]) + 1 if numbers else 0
+        for number in reversed(numbers):
+            if found := Listing.of(read_text(spark, f"{folder}/{number}")):
+                return after, found
+        # A folder of batches without a listing is a table, too.
+        batches = [n for n in names(spark, self.path) if n.startswith(f"{BATCH}=")]
+        return after, Listing(self.path, {n.removeprefix(f"{BATCH}="): n for n in batches})
+
+    def _publish(self, spark: SparkSession, number: int, listing: Listing) -> None:
+        if not create(spark, f"{self.meta}/listings/{number:012d}", listing.text()):
+            raise RuntimeError(f"{self.path}: another writer has published meanwhile; run again")
+
     def root(self, spark: SparkSession) -> str:
-        """Where the current generation lies."""
-        switches = names(spark, f"{self.meta}/current")
-        return read_text(spark, f"{self.meta}/current/{switches[-1]}") if switches else self.path
+        """Where the current content lies."""
+        return self._listing(spark)[1].root
 
-    def read(self, spark: SparkSession) -> DataFrame:
+    def _read(self, spark: SparkSession, listing: Listing) -> DataFrame:
         schema = T.StructType(list(self.schema.fields)).add(BATCH, T.StringType())
-        root = self.root(spark)
-        if not exists(spark, root):
+        if not listing.folders:
             return rows_frame(spark, [], schema)
-        return spark.read.schema(schema).parquet(root)
+        folders = [f"{listing.root}/{f}" for f in listing.folders.values()]
+        return spark.read.schema(schema).option("basePath", listing.root).parquet(*folders)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return self._read(spark, self._listing(spark)[1])
 
     def rows(self, spark: SparkSession, except_batch: str | None = None) -> DataFrame:
         df = self.read(spark)
@@ -134,9 +200,11 @@ class ParquetTable:
         return df.select(*self.schema.fieldNames())
 
     def empty(self, spark: SparkSession, except_batch: str) -> bool:
-        """Whether no other batch is there, by the folders alone."""
-        batches = {n for n in names(spark, self.root(spark)) if n.startswith(f"{BATCH}=")}
-        return batches <= {f"{BATCH}={except_batch}"}
+        """Whether no other batch is there, by the listing alone."""
+        return set(self._listing(spark)[1].folders) <= {except_batch}
+
+    def settled(self, spark: SparkSession, batch_id: str) -> bool:
+        return batch_id in self._listing(spark)[1].held
 
     def claim(self, spark: SparkSession, batch_id: str, source: str) -> None:
         claim(spark, self.meta, batch_id, source)
@@ -145,22 +213,34 @@ class ParquetTable:
         return writing(spark, self.meta, holder)
 
     def append(self, df: DataFrame, batch_id: str) -> int:
+        spark = df.sparkSession
+        number, listing = self._listing(spark)
+        batch = batch_path("", batch_id).lstrip("/")
         rows, seen = _counted(df.select(*self.schema.fieldNames()))
-        rows.write.mode("overwrite").parquet(batch_path(self.root(df.sparkSession), batch_id))
+        folder = f"{batch}/attempt-{uuid.uuid4().hex}"
+        rows.write.parquet(f"{listing.root}/{folder}")
+        self._publish(spark, number, Listing(listing.root, {**listing.folders, batch_id: folder}, listing.held))
         return seen.get["n"]
 
     def replace(self, df: DataFrame, expected: Expected | None = None) -> None:
         """Set the whole content; ``df`` may read from this table.
 
         With ``expected`` rows and checksum are observed in the write, and the old content stays
-        if they are others.
+        if they are others. Without a batch column the batches loaded before count as held by
+        the new content: those without a key add nothing if they come again.
         """
+        number, listing = self._listing(df.sparkSession)
+        self._replace(df, expected, number, listing, REPLACED)
+
+    def _replace(self, df: DataFrame, expected: Expected | None, number: int, listing: Listing, batch: str) -> None:
         spark, seen = df.sparkSession, Observation()
-        rows = df.observe(seen, F.count(F.lit(1)).alias("n"), checksum(df).alias("sum"))
+        held: Sequence[str] = listing.held
+        total = checksum(df)
         if BATCH not in df.columns:
-            rows = rows.withColumn(BATCH, F.lit("replaced"))
+            df = df.withColumn(BATCH, F.lit(batch))
+            held = sorted({*held, *listing.folders} - {COMPACTED, REPLACED})
+        rows = df.observe(seen, F.count(F.lit(1)).alias("n"), total.alias("sum"))
         new = f"{self.meta}/generations/{uuid.uuid4().hex}"
-        switch = len(names(spark, f"{self.meta}/current"))
         rows.select(*self.schema.fieldNames(), BATCH).write.partitionBy(BATCH).parquet(new)
         if expected is not None:
             try:
@@ -168,36 +248,54 @@ class ParquetTable:
             except ValueError:
                 delete(spark, new)
                 raise
-        if not create(spark, f"{self.meta}/current/{switch:012d}", new):
+        folders = {n.removeprefix(f"{BATCH}="): n for n in names(spark, new) if n.startswith(f"{BATCH}=")}
+        kept = tuple(b for b in held if b not in folders)
+        try:
+            self._publish(spark, number, Listing(new, folders, kept))
+        except RuntimeError:
             delete(spark, new)
-            raise RuntimeError(f"{self.path}: another writer has replaced the table meanwhile")
+            raise
 
     def compact(self, spark: SparkSession, n_files: int | None = None, file_bytes: int = 128 << 20) -> None:
         """Rewrite all batches as one, in ``n_files`` files, and check them.
 
         Without ``n_files`` there is a file for each ``file_bytes`` that the table has, measured.
-        A batch that comes again afterwards finds its keys loaded and adds nothing.
+        The table is read behind the lock, from the listing that the new one will follow, so that
+        no load in between can be lost. A batch that comes again afterwards finds its keys loaded,
+        or without a key itself held, and adds nothing. With a key the files hold disjoint ranges of it.
         """
-        before = self.rows(spark)
-        n_files = n_files or max(1, -(-size(spark, self.root(spark)) // file_bytes))
-        whole = before.repartition(n_files).withColumn(BATCH, F.lit("compacted"))
         with self.writing(spark, "compact"):
-            expected = Expected.of(before.withColumn(BATCH, F.lit("compacted")))
-            self.replace(whole, expected)
+            number, listing = self._listing(spark)
+            before = self._read(spark, listing).drop(BATCH)
+            n_bytes = sum(size(spark, f"{listing.root}/{f}") for f in listing.folders.values())
+            n_files = n_files or max(1, -(-n_bytes // file_bytes))
+            if self.key:
+                whole = before.repartitionByRange(n_files, *self.key).sortWithinPartitions(*self.key)
+            else:
+                whole = before.repartition(n_files)
+            self._replace(whole, Expected.of(before), number, listing, COMPACTED)
 
     def vacuum(self, spark: SparkSession) -> list[str]:
-        """Remove all generations but the current one and return their folders.
+        """Remove what the current listing does not need and return its folders.
 
-        A separate step, for a time when no reader is left on an old one.
+        These are earlier roots and attempts that were replaced or never published; earlier listings
+        go as well. A separate step, for a time when no reader is left on an old one.
         """
-        current = self.root(spark)
-        if current == self.path:
-            return []
-        folder = f"{self.meta}/generations"
-        old = [f"{folder}/{n}" for n in names(spark, folder) if f"{folder}/{n}" != current]
-        old += [self.path] if exists(spark, self.path) else []
-        for generation in old:
-            delete(spark, generation)
+        with self.writing(spark, "vacuum"):
+            number, current = self._listing(spark)
+            folder = f"{self.meta}/generations"
+            roots = [f"{folder}/{n}" for n in names(spark, folder)] + [self.path]
+            old = [r for r in roots if r != current.root and exists(spark, r)]
+            used = set(current.folders.values())
+            for batch in names(spark, current.root):
+                if batch.startswith(f"{BATCH}=") and batch not in used:
+                    inside = [f"{batch}/{n}" for n in names(spark, f"{current.root}/{batch}") if n.startswith("attempt-")]
+                    old += [f"{current.root}/{f}" for f in inside if f not in used]
+            for generation in old:
+                delete(spark, generation)
+            for name in names(spark, f"{self.meta}/listings"):
+                if int(name) < number - 1 and Listing.of(read_text(spark, f"{self.meta}/listings/{number - 1:012d}")):
+                    delete(spark, f"{self.meta}/listings/{name}")
         return old
 
 
@@ -209,6 +307,9 @@ class BucketedTable:
     the target. Here the target is already divided by key: only the batch is
     shuffled, to the table's buckets. Choose at least as many ``buckets`` as
     ``spark.sql.shuffle.partitions``, otherwise Spark shuffles the table after all.
+
+    Setting the content writes a table beside this one and then publishes its name, as one new
+    small file: ``current`` is the name that counts, and there is no moment without rows.
     """
 
     name: str
@@ -221,17 +322,32 @@ class BucketedTable:
     def meta(self) -> str:
         return f"{self.path}.meta"
 
+    def _switches(self, spark: SparkSession) -> list[str]:
+        return names(spark, f"{self.meta}/current")
+
+    def current(self, spark: SparkSession) -> tuple[str, str]:
+        """The catalog's name for the table now, and its folder."""
+        for switch in reversed(self._switches(spark)):
+            held = (read_text(spark, f"{self.meta}/current/{switch}") or "").split("\n")
+            if len(held) == 3:
+                return held[0], held[1]
+        return self.name, self.path
+
     def read(self, spark: SparkSession) -> DataFrame:
-        if not spark.catalog.tableExists(self.name):
+        name, _ = self.current(spark)
+        if not spark.catalog.tableExists(name):
             return rows_frame(spark, [], self.schema)
-        return spark.table(self.name).select(*self.schema.fieldNames())
+        return spark.table(name).select(*self.schema.fieldNames())
 
     def rows(self, spark: SparkSession, except_batch: str | None = None) -> DataFrame:
         """Rows already there. They carry no batch id: a repeated load skips them."""
         return self.read(spark)
 
     def empty(self, spark: SparkSession, except_batch: str) -> bool:
-        return not spark.catalog.tableExists(self.name)
+        return not spark.catalog.tableExists(self.current(spark)[0])
+
+    def settled(self, spark: SparkSession, batch_id: str) -> bool:
+        return False
 
     def claim(self, spark: SparkSession, batch_id: str, source: str) -> None:
         claim(spark, self.meta, batch_id, source)
@@ -239,33 +355,57 @@ class BucketedTable:
     def writing(self, spark: SparkSession, holder: str):
         return writing(spark, self.meta, holder)
 
-    def _write(self, df: DataFrame, mode: str, name: str, path: str) -> int:
+    def _write(self, df: DataFrame, mode: str, name: str, path: str, whole: bool = False) -> Expected:
         # One task per bucket, so that a write adds one file to each.
         rows = df.select(*self.schema.fieldNames()).repartition(self.buckets, *self.key)
-        rows, seen = _counted(rows)
+        seen = Observation()
+        sums = [checksum(rows).alias("sum")] if whole else []
+        rows = rows.observe(seen, F.count(F.lit(1)).alias("n"), *sums)
         writer = rows.write.mode(mode).format("parquet").option("path", path)
         writer.bucketBy(self.buckets, *self.key).sortBy(*self.key).saveAsTable(name)
-        return seen.get["n"]
+        return Expected(seen.get["n"], seen.get.get("sum"))
 
     def append(self, df: DataFrame, batch_id: str) -> int:
-        return self._write(df, "append", self.name, self.path)
+        return self._write(df, "append", *self.current(df.sparkSession)).n_rows
 
     def replace(self, df: DataFrame, expected: Expected | None = None) -> None:
-        """Set the whole content: a new table is written, checked and given this one's name."""
+        """Set the whole content: a new table is written, checked in the write, and takes this one's place."""
         spark = df.sparkSession
-        if expected is not None:
-            expected.check(Expected.of(df), f"the copy for {self.name}")
-        number = uuid.uuid4().hex[:12]
-        new = f"{self.name}_{number}"
-        self._write(df, "error", new, f"{self.path}-{number}")
-        spark.sql(f"DROP TABLE IF EXISTS {self.name}")  # its files stay
-        spark.sql(f"ALTER TABLE {new} RENAME TO {self.name}")
+        number, switch = uuid.uuid4().hex[:12], len(self._switches(spark))
+        new, path = f"{self.name}_{number}", f"{self.path}-{number}"
+        found = self._write(df, "error", new, path, whole=True)
+        try:
+            if expected is not None:
+                expected.check(found, f"the copy for {self.name}")
+            if not create(spark, f"{self.meta}/current/{switch:012d}", f"{new}\n{path}\nend"):
+                raise RuntimeError(f"{self.name}: another writer has replaced the table meanwhile")
+        except (RuntimeError, ValueError):
+            self._drop(spark, new, path)
+            raise
+
+    @staticmethod
+    def _drop(spark: SparkSession, name: str, path: str) -> None:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        delete(spark, path)
 
     def compact(self, spark: SparkSession) -> None:
         """Rewrite the table with one file to a bucket; every append has added one to each."""
         with self.writing(spark, "compact"):
             self.replace(self.read(spark), Expected.of(self.read(spark)))
 
+    def vacuum(self, spark: SparkSession) -> list[str]:
+        """Drop the tables that were replaced, with their folders, and return their names."""
+        with self.writing(spark, "vacuum"):
+            now, _ = self.current(spark)
+            every = [(self.name, self.path)]
+            for switch in self._switches(spark):
+                held = (read_text(spark, f"{self.meta}/current/{switch}") or "").split("\n")
+                every += [(held[0], held[1])] if len(held) == 3 else []
+            old = [(n, p) for n, p in every if n != now and (spark.catalog.tableExists(n) or exists(spark, p))]
+            for name, path in old:
+                self._drop(spark, name, path)
+        return [n for n, _ in old]
+
 
 @dataclass(frozen=True)
 class JdbcTable:
@@ -353,6 +493,9 @@ class JdbcTable:
     def empty(self, spark: SparkSession, except_batch: str) -> bool:
         return False
 
+    def settled(self, spark: SparkSession, batch_id: str) -> bool:
+        return False
+
     def claim(self, spark: SparkSession, batch_id: str, source: str) -> None:
         """The database keeps no batches; staging holds the claims of an ingest."""
 

@@ -19,7 +19,7 @@ from intake.operators.dedupe import (
 )
 from intake.operators.rules import NotNull
 from intake.plans.load import load
-from intake.sources import files
+from intake.sources import files, tables
 from intake.sources.files import exists, size
 from intake.sources.tables import (
     BucketedTable,
@@ -469,3 +469,174 @@ def test_jdbc_options(spark):
         JdbcTable("jdbc:x", "t", T2.table_schema, partition_column="id", predicates=("id < 5",))
     with pytest.raises(ValueError, match="plain identifier"):
         JdbcTable("jdbc:x", "t; DROP TABLE t", T2.table_schema)
+
+
+def failing(df, column="id", at=7):
+    """The rows, of which one fails its task."""
+    lost = F.when(F.col(column) == at, F.raise_error(F.lit("lost"))).otherwise(F.col("name"))
+    return df.repartition(3).withColumn("name", lost)
+
+
+def test_a_repeat_that_dies_leaves_the_first_attempt(spark, folder):
+    rows = [(i, "a", 0) for i in range(10)]
+    for contract in (T2, T2.but(key=())):
+        target = ParquetTable(f"{folder}/t-{len(contract.key)}", T2.table_schema)
+        load(spark, frame(spark, rows), target, contract, "b1", source="s")
+        with pytest.raises(Exception, match="lost"):
+            load(spark, failing(frame(spark, rows)), target, contract, "b1", source="s")
+        assert content(spark, target) == rows
+        load(spark, frame(spark, rows), target, contract, "b1", source="s")
+        assert content(spark, target) == rows
+
+
+@pytest.mark.parametrize("step", ["write", "publish", "half a listing"])
+def test_a_load_that_dies_after_any_step_changes_nothing(spark, folder, step, monkeypatch):
+    target = table_at(folder)
+    load(spark, frame(spark, [(1, "a", 0)]), target, T2, "b1")
+    reader = target.rows(spark)
+    with monkeypatch.context() as m:
+        if step == "write":
+            m.setattr(ParquetTable, "_publish", lambda *_: (_ for _ in ()).throw(OSError("died")))
+        else:
+            real = tables.create
+            text = "" if step == "publish" else '{"root": "x'
+
+            def dying(session, path, whole):
+                if "/listings/" in path:
+                    if text:
+                        real(session, path, text)
+                    raise OSError("died")
+                return real(session, path, whole)
+
+            m.setattr(tables, "create", dying)
+        with pytest.raises(OSError, match="died"):
+            load(spark, frame(spark, [(2, "b", 0)]), target, T2, "b2")
+    assert content(spark, target) == [(1, "a", 0)]
+    load(spark, frame(spark, [(2, "b", 0)]), target, T2, "b2")
+    assert content(spark, target) == [(1, "a", 0), (2, "b", 0)]
+    assert reader.count() == 1  # a reader keeps the listing it took
+    old = target.vacuum(spark)
+    assert len(old) == 1 and "attempt-" in old[0]
+    assert content(spark, target) == [(1, "a", 0), (2, "b", 0)]
+
+
+def test_a_load_between_the_steps_of_a_compaction_is_refused_and_comes_later(spark, folder, monkeypatch):
+    target, errors = table_at(folder), []
+    load(spark, frame(spark, [(1, "a", 0)]), target, T2, "b1")
+    real = ParquetTable._replace
+
+    def interrupted(self, *args):
+        try:
+            load(spark, frame(spark, [(2, "b", 0)]), table_at(folder), T2, "b2")
+        except RuntimeError as error:
+            errors.append(str(error))
+        return real(self, *args)
+
+    monkeypatch.setattr(ParquetTable, "_replace", interrupted)
+    target.compact(spark)
+    assert len(errors) == 1 and "'compact' is writing" in errors[0]
+    load(spark, frame(spark, [(2, "b", 0)]), target, T2, "b2")
+    target.vacuum(spark)
+    assert content(spark, target) == [(1, "a", 0), (2, "b", 0)]
+
+
+def test_an_append_past_the_lock_is_not_lost_by_a_compaction(spark, folder, monkeypatch):
+    target = table_at(folder)
+    load(spark, frame(spark, [(1, "a", 0)]), target, T2, "b1")
+    real = ParquetTable._publish
+
+    def late(self, session, number, listing):
+        monkeypatch.setattr(ParquetTable, "_publish", real)
+        table_at(folder).append(frame(spark, [(2, "b", 0)]), "b2")
+        return real(self, session, number, listing)
+
+    monkeypatch.setattr(ParquetTable, "_publish", late)
+    with pytest.raises(RuntimeError, match="another writer has published"):
+        target.compact(spark)
+    assert content(spark, target) == [(1, "a", 0), (2, "b", 0)]
+
+
+def test_two_runs_of_one_id_at_once(spark, folder):
+    """The second one is refused and leaves the first one's note alone."""
+    errors = []
+
+    class Interrupted(ParquetTable):
+        def append(self, df, batch_id):
+            try:
+                load(spark, frame(spark, [(1, "a", 0)]), table_at(folder), T2, "same", source="s")
+            except RuntimeError as error:
+                errors.append(str(error))
+            assert exists(spark, f"{self.meta}/writer")
+            return super().append(df, batch_id)
+
+    load(spark, frame(spark, [(1, "a", 0)]), Interrupted(f"{folder}/t2", T2.table_schema), T2, "same", source="s")
+    assert len(errors) == 1 and "'same' is writing" in errors[0]
+    assert content(spark, table_at(folder)) == [(1, "a", 0)] and not exists(spark, f"{folder}/t2.meta/writer")
+
+
+def test_another_applications_note_is_only_freed_by_release(spark, folder):
+    target = table_at(folder)
+    files.create(spark, f"{target.meta}/writer", "b1\napp-of-another-driver\ntoken")
+    with pytest.raises(RuntimeError, match="'b1' is writing"):
+        load(spark, frame(spark, [(1, "a", 0)]), target, T2, "b1")
+    release(spark, target.meta)
+    files.create(spark, f"{target.meta}/writer", f"b1\n{spark.sparkContext.applicationId}\ntoken")
+    assert load(spark, frame(spark, [(1, "a", 0)]), target, T2, "b1").loaded == 1  # died in this one
+
+
+def test_keyless_batches_do_not_double_after_compaction_and_replacement(spark, folder):
+    contract, target = T2.but(key=()), table_at(folder)
+    rows = frame(spark, [(1, "a", 0), (1, "a", 0)])
+    for _ in range(2):
+        load(spark, rows, target, contract, "b1")
+    target.compact(spark)
+    again = load(spark, rows, target, contract, "b1")
+    assert (again.read, again.loaded) == (2, 0) and len(content(spark, target)) == 2
+    with pytest.raises(ValueError, match="belongs to another source"):
+        load(spark, frame(spark, [(9, "x", 0)]), target, contract, "b1")
+    load(spark, rows, target, contract, "b2")
+    target.replace(target.rows(spark))
+    for batch_id in ("b1", "b2"):
+        assert load(spark, rows, target, contract, batch_id).loaded == 0
+    assert len(content(spark, target)) == 4
+    target.compact(spark)
+    assert load(spark, rows, target, contract, "b2").loaded == 0
+    assert load(spark, rows, target, contract, "b3").loaded == 2
+
+
+def test_compacted_files_hold_disjoint_ranges_and_are_skipped(spark, folder, plan):
+    target = ParquetTable(f"{folder}/t2", T2.table_schema, key=("id",))
+    for i in range(4):
+        load(spark, frame(spark, [(4 * k + i, "n", 0) for k in range(1000)]), target, T2, f"b{i}")
+    before = content(spark, target)
+    target.compact(spark, n_files=4)
+    assert content(spark, target) == before
+    spans = target.read(spark).groupBy(F.input_file_name()).agg(F.min("id").alias("low"), F.max("id").alias("high")).orderBy("low").collect()
+    assert len(spans) == 4 and all(a.high < b.low for a, b in zip(spans, spans[1:], strict=False))
+    held = target.rows(spark).where("id between 5 and 9")
+    assert "GreaterThanOrEqual(id,5)" in plan(held)
+    assert held.count() == 5
+
+
+def test_a_bucketed_table_has_no_moment_without_rows(spark, folder, monkeypatch):
+    name = f"t{uuid.uuid4().hex[:8]}"
+    target = BucketedTable(name, f"{folder}/t2", T2.table_schema, ("id",), 4)
+    old = [(i, "old", 0) for i in range(10)]
+    load(spark, frame(spark, old), target, T2, "b1")
+    new = frame(spark, [(i, "new", 0) for i in range(5)])
+    with pytest.raises(Exception, match="lost"):
+        target.replace(failing(new, at=3))
+    with pytest.raises(ValueError, match="has 5 rows, not 6"):
+        target.replace(new, Expected(6, 0))
+    with monkeypatch.context() as m:
+        m.setattr(tables, "create", lambda *_: (_ for _ in ()).throw(OSError("killed")))
+        with pytest.raises(OSError, match="killed"):
+            target.replace(new)
+    assert content(spark, target) == old and not target.empty(spark, "b2")
+    target.replace(new, Expected.of(new))
+    assert content(spark, target) == [(i, "new", 0) for i in range(5)]
+    assert target.vacuum(spark) == [name] and not exists(spark, target.path)
+    load(spark, frame(spark, [(2, "x", 0), (9, "x", 0)]), target, T2, "b2")
+    assert content(spark, target) == [*[(i, "new", 0) for i in range(5)], (9, "x", 0)]
+    target.compact(spark)
+    assert len(content(spark, target)) == 6
