@@ -21,6 +21,9 @@ LANDING_COLUMNS = ("id", "name", "datetime", "department_id", "job_id")
 LANDING_INT_COLUMNS = ("id", "department_id", "job_id")
 LANDING_TEXT_COLUMNS = ("name", "datetime")
 
+#: Columns that steps add to a table's own; these, and all names that begin with ``_``, are not for contracts.
+RESERVED = ("reasons", "verdict", "raw_line", "batch_id", "n_in_batch", "in_target")
+
 
 @dataclass(frozen=True)
 class Field:
@@ -47,8 +50,11 @@ class TableContract:
         if not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", self.name):
             raise ValueError(f"table name {self.name!r} is not a plain identifier")
         names = self.columns
-        if len(set(names)) != len(names):
+        if len({c.lower() for c in names}) != len(names):
             raise ValueError(f"{self.name}: a column is declared twice")
+        taken = [c for c in names if c.lower() in RESERVED or c.startswith("_")]
+        if taken:
+            raise ValueError(f"{self.name}: the names {taken} are reserved for helper columns")
         unknown = {
             c
             for c in (*self.key, *self.order_by, *(r.column for r in self.rules))

@@ -8,6 +8,8 @@ row. ``int_lenient`` gives the answer of the classic (non-ANSI) cast whatever
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,9 +21,26 @@ INT_DIGITS = rf"^{BLANKS}([+-]?[0-9]+)"
 INT_CONTENT = r"[0-9.]"
 INT_TYPES = ("tinyint", "smallint", "int", "bigint")
 
-# A time of day with a zone behind it, and the zones that are UTC.
-ZONED = r":[0-9.]+\s*[A-Za-z+-]"
-UTC_ZONED = r":[0-9.]+\s*(Z|UTC|GMT|[+-]00:?00)\s*\z"
+# How a value of each type has to look, so that the cast keeps all of it. Blanks around it are no part of it.
+DAY = r"[0-9]{4}-[0-9]{2}-[0-9]{2}"
+TIME = rf"{DAY}[T ][0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}(\.[0-9]{{1,6}})?"
+UTC = r"(Z|UTC|GMT|[+-]00:?00)"
+SHAPES = {
+    "date": DAY,
+    "timestamp_ntz": rf"({DAY}|{TIME}( ?{UTC})?)",
+    # Without an offset the value would depend on the session's time zone.
+    "timestamp": rf"{TIME} ?({UTC}|[+-][0-9]{{2}}:?[0-9]{{2}})",
+    "double": r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?",
+}
+SHAPES["float"] = SHAPES["double"]
+
+
+def _shape(data_type: str) -> str | None:
+    found = re.fullmatch(r"(?:decimal|numeric|dec)(?:\(\s*\d+\s*(?:,\s*(\d+)\s*)?\))?", data_type.lower())
+    if found:
+        # More digits than the scale keeps may only be zeros.
+        return rf"[+-]?([0-9]+(\.[0-9]{{0,{found[1] or 0}}}0*)?|\.[0-9]{{1,{found[1] or 1}}}0*)"
+    return SHAPES.get(data_type.lower())
 
 
 def quoted(column: str) -> str:
@@ -61,16 +80,19 @@ def int_cast(column: str, mode: str = "lenient", data_type: str = "int") -> Colu
 def typed_value(column: str, data_type: str, mode: str = "lenient") -> Column:
     """A landing string as a value of ``data_type``; null where it does not fit.
 
-    All integer types are cast alike, each by its own range. A ``timestamp_ntz`` is a
-    UTC time: an offset from it does not fit, rather than being dropped.
+    All integer types are cast alike, each by its own range. The other types take a text only if
+    nothing of it is lost: a date is a day and no more, a decimal has no digits beyond its scale, a
+    double is finite, a ``timestamp`` names its offset, and a ``timestamp_ntz`` is a UTC time: another
+    offset does not fit. The session's time zone does not matter.
     """
     if data_type == "string":
         return F.col(quoted(column))
     if data_type in INT_TYPES:
         return int_cast(column, mode, data_type)
     c = quoted(column)
-    value = f"try_cast({c} AS {data_type})"
-    if data_type == "timestamp_ntz":
-        offset = f"CAST({c} AS STRING) RLIKE r'{ZONED}' AND NOT CAST({c} AS STRING) RLIKE r'{UTC_ZONED}'"
-        value = f"CASE WHEN NOT ({offset}) THEN {value} END"
+    value, shape = f"try_cast({c} AS {data_type})", _shape(data_type)
+    if shape:
+        value = f"CASE WHEN CAST({c} AS STRING) RLIKE r'^{BLANKS}{shape}{BLANKS}\\z' THEN {value} END"
+    if data_type.lower() in ("double", "float"):
+        value = f"nullif(nullif({value}, CAST('Infinity' AS {data_type})), CAST('-Infinity' AS {data_type}))"
     return F.expr(value)

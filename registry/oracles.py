@@ -109,6 +109,9 @@ def _verdict(type_ok: str) -> str:
     )
 
 
+ALL_ORDERS = """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+  o_orderpriority FROM orders"""
+
 ORACLES: dict[str, str] = {
     "q01_landing_scan": f"WITH {LANDING} SELECT {COLUMNS} FROM landing",
     "q02_not_null": f"WITH {LANDING} SELECT {COLUMNS} FROM landing WHERE {TEXT_PRESENT}",
@@ -290,6 +293,20 @@ SELECT 'orders' AS table_name, loaded, name, type FROM n, (VALUES
         for s in ("s2", "s3")
         for t in TABLES
     ),
-    "q40_compacted": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
-  o_orderpriority FROM orders""",
+    "q40_compacted": ALL_ORDERS,
+    "q41_failed_repeat": ALL_ORDERS,
+    "q42_keyless_repeat": """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity,
+  l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate FROM lineitem""",
+    "q43_bucketed_replace": ALL_ORDERS,
+    "q44_exact_casts": """WITH texts AS (
+  SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day, CAST(o_orderkey AS VARCHAR) AS k,
+    CAST(epoch(date_trunc('day', o_orderdate)) AS BIGINT) + 8 * 3600 AS seconds FROM orders),
+forms AS (SELECT o_orderkey, unnest(range(13)) AS form, day, k, seconds FROM texts)
+SELECT o_orderkey, CAST(form AS INTEGER) AS form, CASE form
+  WHEN 0 THEN day
+  WHEN 4 THEN k || '.25'
+  WHEN 6 THEN k || '.5'
+  WHEN 9 THEN day || ' 10:00:00'
+  WHEN 12 THEN CAST(seconds AS VARCHAR)
+  ELSE 'refused' END AS value FROM forms""",
 }

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from intake.contracts import Field, TableContract, landing_contract
-from intake.functions.casts import int_lenient, int_strict
+from intake.functions.casts import int_lenient, int_strict, typed_value
 from intake.functions.keys import key_verdict, table_name
 from intake.operators.dedupe import duplicate_report, first_per_key, key_stats
 from intake.operators.rules import InSet, IntCastable, NotNull, References, WellFormed
@@ -22,7 +22,7 @@ from intake.plans.load import load
 from intake.plans.requests import handle, route
 from intake.sources.landing import read_landing, write_landing
 from intake.sources.staged import read_quarantine, read_staged
-from intake.sources.tables import BucketedTable, ParquetTable, parquet_tables
+from intake.sources.tables import BucketedTable, Expected, ParquetTable, parquet_tables
 from intake.streaming import ingest_stream
 from intake.workspace import run_dir
 from registry.fixtures import (
@@ -472,7 +472,7 @@ def expired(spark, sf_dir):
 def compacted(spark, sf_dir):
     """Orders loaded in eight batches, then gathered in one file."""
     orders = table(spark, sf_dir, "orders")
-    target = ParquetTable(f"{run_dir(spark, 'compact')}/orders", ORDER_TABLE.table_schema)
+    target = ParquetTable(f"{run_dir(spark, 'compact')}/orders", ORDER_TABLE.table_schema, ORDER_TABLE.key)
     for i in range(8):
         load(spark, orders.where(F.col("o_custkey") % 8 == i), target, ORDER_TABLE, f"b{i}")
     target.compact(spark)
@@ -481,6 +481,73 @@ def compacted(spark, sf_dir):
     return target.rows(spark)
 
 
+def failed_repeat(spark, sf_dir):
+    """All orders are loaded; the same batch comes again and dies in a task: the table as before."""
+    orders = table(spark, sf_dir, "orders")
+    target = ParquetTable(f"{run_dir(spark, 'repeat')}/orders", ORDER_TABLE.table_schema)
+    load(spark, orders, target, ORDER_TABLE, "first", source="orders")
+    lost = F.when(F.col("o_orderkey") % 1000 == 7, F.raise_error(F.lit("lost"))).otherwise(F.col("o_orderpriority"))
+    with suppress(Exception):
+        load(spark, orders.withColumn("o_orderpriority", lost), target, ORDER_TABLE, "first", source="orders")
+    return target.rows(spark)
+
+
+def keyless_repeat(spark, sf_dir):
+    """Lines without a key: loaded, compacted, loaded again under the same id."""
+    lines = table(spark, sf_dir, "lineitem")
+    target = ParquetTable(f"{run_dir(spark, 'keyless')}/lineitem", LINEITEM.table_schema)
+    load(spark, lines, target, LINEITEM, "first")
+    target.compact(spark)
+    load(spark, lines, target, LINEITEM, "first")
+    return target.rows(spark)
+
+
+def bucketed_replace(spark, sf_dir):
+    """A bucketed table refuses a copy that is not as recorded, takes the other orders, and is set anew."""
+    orders = table(spark, sf_dir, "orders").select(*ORDER_TABLE.columns)
+    target = BucketedTable(
+        name=f"orders_{uuid.uuid4().hex[:12]}",
+        path=f"{run_dir(spark, 'bucketed')}/orders",
+        schema=ORDER_TABLE.table_schema,
+        key=ORDER_TABLE.key,
+        buckets=int(spark.conf.get("spark.sql.shuffle.partitions")),
+    )
+    load(spark, orders.where("o_orderstatus = 'F'"), target, ORDER_TABLE, "finished")
+    with suppress(ValueError):
+        target.replace(orders.where("o_orderstatus = 'P'"), Expected.of(orders))
+    load(spark, orders, target, ORDER_TABLE, "all")
+    target.replace(target.rows(spark), Expected.of(orders))
+    target.vacuum(spark)
+    return target.rows(spark)
+
+
+def exact_casts(spark, sf_dir):
+    """Texts of several types for every order, and what the cast takes of them, written out again."""
+    day, key = F.date_format("o_orderdate", "yyyy-MM-dd"), F.col("o_orderkey").cast("string")
+    forms = [
+        ("date", day),
+        ("date", F.concat(day, F.lit(" yesterday"))),
+        ("date", F.concat(day, F.lit("Tjunk"))),
+        ("date", F.left(day, F.lit(4))),
+        ("decimal(12,2)", F.concat(key, F.lit(".25"))),
+        ("decimal(12,2)", F.concat(key, F.lit(".239"))),
+        ("double", F.concat(key, F.lit(".5"))),
+        ("double", F.concat(key, F.lit(".5d"))),
+        ("double", F.concat(key, F.lit("e400"))),
+        ("timestamp_ntz", F.concat(day, F.lit(" 10:00:00"))),
+        ("timestamp", F.concat(F.lit("10:"), F.right(F.concat(F.lit("0"), (F.col("o_orderkey") % 60).cast("string")), F.lit(2)))),
+        ("timestamp", F.concat(day, F.lit("T10:00:00"))),
+        ("timestamp", F.concat(day, F.lit("T10:00:00+02:00"))),
+    ]
+    texts = table(spark, sf_dir, "orders").select("o_orderkey", F.posexplode(F.array(*[t for _, t in forms])).alias("form", "v"))
+    values = F.lit(None).cast("string")
+    for number, (data_type, _) in enumerate(forms):
+        value = typed_value("v", data_type)
+        value = value.cast("long") if data_type == "timestamp" else value
+        values = F.when(F.col("form") == number, value.cast("string")).otherwise(values)
+    return texts.select("o_orderkey", "form", F.coalesce(values, F.lit("refused")).alias("value"))
+
+
 SUPPLIER = TableContract(
     name="supplier",
     fields=(
@@ -562,4 +629,8 @@ QUERIES: dict[str, Query] = {
     "q38_recorded_schema": recorded_schema,
     "q39_expire": expired,
     "q40_compacted": compacted,
+    "q41_failed_repeat": failed_repeat,
+    "q42_keyless_repeat": keyless_repeat,
+    "q43_bucketed_replace": bucketed_replace,
+    "q44_exact_casts": exact_casts,
 }

@@ -92,3 +92,37 @@ def test_typed_value(spark):
 def test_unknown_mode():
     with pytest.raises(ValueError, match="unknown cast mode"):
         int_cast("v", "loose")
+
+
+EXACT = {
+    "date": (["2024-01-01", " 2024-02-29 "], ["2024-01-01 yesterday", "2024-01-01Tjunk", "2024", "2024-1-1", "2024-02-30", "20240101"]),
+    "decimal(5,2)": (["1.23", "-1.2", "1", "1.2300", ".5"], ["1.239", "1e1", "1234.5", "1.2.3", "", "."]),
+    "decimal(4)": (["12", "12.0"], ["12.5", "12345"]),
+    "double": (["1.5", "-1e3", ".5", "5."], ["1.5d", "1e400", "-1e400", "NaN", "Infinity", "1.5f", "0x1p3", "1,5"]),
+    "float": (["1.5"], ["1e39", "1.5d"]),
+    "timestamp": (
+        ["2024-01-01T10:00:00Z", "2024-01-01 10:00:00.123456+05:00", "2024-01-01 10:00:00 UTC"],
+        ["10:00", "2024-01-01 10:00:00", "2024-01-01", "2024-01-01T10:00:00.1234567Z", "2024-01-01T10:00Z"],
+    ),
+    "timestamp_ntz": (
+        ["2024-01-01T10:00:00Z", "2024-01-01 10:00:00", "2024-01-01T10:00:00.5+00:00"],
+        ["10:00", "2024-01-01T10:00:00+05:00", "2024", "2024-01-01T10:00:00 junk"],
+    ),
+}
+
+
+@pytest.mark.parametrize("data_type", EXACT)
+def test_accepted_values_do_not_change(spark, data_type):
+    good, bad = EXACT[data_type]
+    got = run(spark, good + bad, typed_value("v", data_type).isNotNull().alias("ok"))
+    assert [ok for ok, in got] == [True] * len(good) + [False] * len(bad)
+
+
+def test_a_timestamp_does_not_depend_on_the_sessions_zone(spark):
+    session = spark.newSession()
+    seen = set()
+    for zone in ("UTC", "Asia/Tokyo"):
+        session.conf.set("spark.sql.session.timeZone", zone)
+        value = typed_value("v", "timestamp").cast("double")
+        seen.add(session.createDataFrame([("2024-01-01T10:00:00+02:00",)], "v string").select(value).first()[0])
+    assert len(seen) == 1

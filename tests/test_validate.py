@@ -279,3 +279,14 @@ def test_counts_survive_lost_tasks_behind_a_join(spark, scan, folder):
     want = {r.reason: r.n_violations for r in violation_counts(scan, contract).collect()}
     counts = validate(lose_first_attempts(scan.repartition(4)), contract, folder, "b1")
     assert counts.violations == want and counts.scanned == SCANNED
+
+
+@pytest.mark.parametrize("name", ["verdict", "reasons", "Raw_Line", "batch_id", "_rank", "_broken_0", "n_in_batch", "in_target"])
+def test_reserved_names_are_refused(name):
+    with pytest.raises(ValueError, match="reserved"):
+        TableContract("t", (Field("id"), Field(name)))
+
+
+def test_names_that_differ_by_case_only_are_refused():
+    with pytest.raises(ValueError, match="declared twice"):
+        TableContract("t", (Field("id"), Field("ID")))
