@@ -71,21 +71,29 @@ def fingerprint(text: str | None, words: int, seed: int) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, how: SimHash = SimHash()) -> DataFrame:
+def fingerprints(docs: DataFrame, how: SimHash = SimHash(), keyed: bool = False) -> DataFrame:
     """doc_id and ``bits`` (the fingerprint as a signed long) of each row of ``docs``.
 
-    Reads doc_id and text only. Null, empty and blank texts have fingerprint 0.
+    Reads doc_id and text only. Null, empty and blank texts have fingerprint 0. With ``keyed`` also
+    ``text_key``, a digest of the text, in which null and empty ones differ.
     """
     words, seed = how.words, how.seed
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             bits = np.array([fingerprint(t.as_py(), words, seed) for t in part.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(bits.view(np.int64))], names=["doc_id", "bits"])
+            columns = [part.column(0), pa.array(bits.view(np.int64)), *part.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "bits", "text_key"][: len(columns)])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        batches, "doc_id long, bits long"
-    )
+    columns = [F.col("doc_id").cast("long"), F.col("text").cast("string")]
+    schema = "doc_id long, bits long"
+    if keyed:
+        columns, schema = [*columns, _text_key()], f"{schema}, text_key string"
+    return docs.select(*columns).mapInArrow(batches, schema)
+
+
+def _text_key() -> Column:
+    return F.coalesce(F.sha2(F.col("text").cast("string"), 256), F.lit("null"))
 
 
 def _close(a: Column, b: Column, distance: int) -> Column:
@@ -161,14 +169,18 @@ def near_duplicates(docs: DataFrame, how: SimHash = SimHash()) -> DataFrame:
 
 
 def first_of_each(docs: DataFrame, how: SimHash = SimHash()) -> DataFrame:
-    """``docs``, all columns, without near-duplicates: of each component the smallest doc_id stays.
+    """``docs``, all columns, without near-duplicates: of each component one row stays.
 
-    Of rows that repeat that id one stays. Rows without an id cannot be told apart by
-    it and all stay.
+    It is the row with the smallest doc_id and then the least digest of the text, of rows equal in
+    both the one with the least hash of all columns. An id that stands in several components keeps a
+    row in each. Rows without an id all stay.
     """
-    ids = near_duplicates(docs.where("doc_id is not null"), how).where("doc_id = component_id").select("doc_id").distinct()
-    rows = docs.select("doc_id", whole(docs))
-    kept = rows.join(settled(ids, "kept"), "doc_id", "left_semi")
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))
-    kept = kept.withColumn("place", place).where("place = 1")
-    return kept.select("doc.*").unionByName(docs.where("doc_id is null"))
+    rows = settled(fingerprints(docs.where("doc_id is not null"), how, keyed=True), "prints")
+    firsts = settled(rows.groupBy("bits").agg(F.min(F.struct("doc_id", "text_key")).alias("first")), "prints")
+    roots = firsts.join(linked(firsts.select("bits"), how), F.col("bits") == F.col("node"), "left")
+    kept = roots.groupBy(F.coalesce("root", "bits").alias("_r")).agg(F.min("first").alias("first")).select("first.*")
+    one = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_key().alias("text_key"), whole(docs))
+    one = one.join(settled(kept, "kept"), ["doc_id", "text_key"], "left_semi")
+    place = F.row_number().over(Window.partitionBy("doc_id", "text_key").orderBy(F.xxhash64("doc")))
+    one = one.withColumn("place", place).where("place = 1")
+    return one.select("doc.*").unionByName(docs.where("doc_id is null"))

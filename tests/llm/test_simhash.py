@@ -142,3 +142,11 @@ def test_components_of_a_long_chain_and_a_star(spark):
     assert all(got[i] == 0 for i in range(n))
     assert all(got[1000 + i] == 1000 for i in range(200))
     assert len(got) == n + 200
+
+
+def test_first_of_each_keeps_every_text_under_repeated_ids(documents):
+    a, b = "one two three four five six seven", "quite another text with other words in it"
+    cases = [(5, a), (5, b), (9, b)], [(9, b), (5, b), (5, a)], [(5, b), (9, a), (5, a), (5, b)], [(5, None), (5, ""), (5, a)]
+    for rows in cases:
+        got = sorted((r.doc_id, r.text) for r in first_of_each(documents(*rows, extra=True)).collect() if r.text)
+        assert got == sorted({(5, t) for _, t in rows if t})
