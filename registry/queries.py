@@ -533,7 +533,7 @@ def exact_casts(spark, sf_dir):
         ("decimal(12,2)", F.concat(key, F.lit(".239"))),
         ("double", F.concat(key, F.lit(".5"))),
         ("double", F.concat(key, F.lit(".5d"))),
-        ("double", F.concat(key, F.lit("e400"))),
+        ("double", F.concat(F.lit("1"), key, F.lit("e400"))),
         ("timestamp_ntz", F.concat(day, F.lit(" 10:00:00"))),
         ("timestamp", F.concat(F.lit("10:"), F.right(F.concat(F.lit("0"), (F.col("o_orderkey") % 60).cast("string")), F.lit(2)))),
         ("timestamp", F.concat(day, F.lit("T10:00:00"))),
