@@ -10,13 +10,14 @@ from pyspark.sql import types as T
 SUM_TYPE = "decimal(38,0)"
 
 
-def _has_map(data_type: T.DataType) -> bool:
-    if isinstance(data_type, T.MapType):
+def _only_json(data_type: T.DataType) -> bool:
+    """Whether a type holds a map or a variant, which cannot be hashed."""
+    if isinstance(data_type, (T.MapType, T.VariantType)):
         return True
     if isinstance(data_type, T.ArrayType):
-        return _has_map(data_type.elementType)
+        return _only_json(data_type.elementType)
     if isinstance(data_type, T.StructType):
-        return any(_has_map(f.dataType) for f in data_type.fields)
+        return any(_only_json(f.dataType) for f in data_type.fields)
     return False
 
 
@@ -36,13 +37,13 @@ def row_hash(df: DataFrame) -> Column:
     """64-bit hash of a whole row.
 
     ``xxhash64`` skips nulls, so where the nulls are is hashed as well, in nested values
-    too; otherwise (null, 'a') and ('a', null) would look the same. Maps cannot be
-    hashed and go in as JSON, with their nulls.
+    too; otherwise (null, 'a') and ('a', null) would look the same. Maps and variants cannot
+    be hashed and go in as JSON, with their nulls.
     """
     parts = []
     for f in df.schema.fields:
         value = df[f.name]
-        if _has_map(f.dataType):
+        if _only_json(f.dataType):
             parts.append(F.to_json(F.struct(value), {"ignoreNullFields": "false"}))
         else:
             parts += [value, *_null_flags(value, f.dataType)]

@@ -18,7 +18,7 @@ from intake.plans.backup import (
 )
 from intake.plans.requests import handle, route
 from intake.sources.files import exists
-from intake.sources.tables import ParquetTable, parquet_tables
+from intake.sources.tables import Expected, ParquetTable, parquet_tables
 from registry.queries import TABLES
 from tests.conftest import SF_DIR
 
@@ -248,3 +248,13 @@ def test_requests(spark, folder):
     assert content(spark, target) == [(1, "a")]
     with pytest.raises(ValueError, match="neither a backup nor"):
         handle(spark, "/restore/x", {"c": target}, root)
+
+
+def test_a_table_with_variants_is_backed_up_and_told_apart(spark, folder):
+    def rows(text):
+        return spark.createDataFrame([(1, text), (2, None)], "id int, v string").selectExpr("id", "parse_json(v) AS v")
+
+    backup(spark, {"t": rows('{"a": [1, null]}')}, folder, snapshot_id="s")
+    assert verify(spark, folder, "s").first()["verified"]
+    one, other = (Expected.of(rows(t)).checksum for t in ('{"a": [1, null]}', '{"a": [1, 2]}'))
+    assert one != other == Expected.of(rows('{"a":[1,2]}')).checksum
