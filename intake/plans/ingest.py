@@ -22,7 +22,7 @@ from intake.sources.landing import (
     source_of,
 )
 from intake.sources.staged import StageCounts, read_staged, stage
-from intake.sources.tables import Expected, Table, claim
+from intake.sources.tables import Expected, Table, claim, unclaim
 
 
 @dataclass(frozen=True)
@@ -76,23 +76,30 @@ def ingest_batch(
     """Validate, stage and load one batch, and log it. Safe to repeat.
 
     ``source`` says where the rows come from (their checksum, if not given): a batch id
-    that belongs to another source is refused before anything is written.
+    that belongs to another source is refused before anything is written. A batch that is
+    refused itself frees its id, so that the corrected rows can come under it.
     """
     with intake.audit.run(spark, "ingest", contract.name, batch_id) as row:
         row["schema_json"] = contract.table_schema.json()
         if source is None:
             found = Expected.of(landing)
             source = f"rows:{found.n_rows}:{found.checksum}"
-        claim(spark, f"{intake.staged_root}/{contract.name}.meta", batch_id, source)
-        counts = validate(landing, contract, intake.staged_root, batch_id)
-        row |= {
-            "scanned": counts.scanned,
-            "accepted": counts.accepted,
-            "rejected": counts.rejected,
-            "violations": counts.violations,
-        }
-        if require_rows:
-            assert_not_empty(counts.accepted, contract)
+        claims = f"{intake.staged_root}/{contract.name}.meta"
+        new = claim(spark, claims, batch_id, source)
+        try:
+            counts = validate(landing, contract, intake.staged_root, batch_id)
+            row |= {
+                "scanned": counts.scanned,
+                "accepted": counts.accepted,
+                "rejected": counts.rejected,
+                "violations": counts.violations,
+            }
+            if require_rows:
+                assert_not_empty(counts.accepted, contract)
+        except Exception:
+            if new:
+                unclaim(spark, claims, batch_id)
+            raise
         rows = typed(read_staged(spark, intake.staged_root, contract, batch_id), contract)
         done = load(spark, rows, intake.targets[contract.name], contract, batch_id, source=source)
         row |= {"loaded": done.loaded, "skipped": done.skipped}
@@ -127,7 +134,7 @@ def ingest_folder(
     Files that no contract takes are logged as failed runs, one row each. Up to
     ``parallel`` tables are ingested at once; if one fails, the others still finish.
     """
-    no = refused(list_landing(spark, folder), intake.contracts, folder)
+    no = refused(list_landing(spark, folder), intake.contracts)
     if not no.isEmpty():
         intake.audit.refusals(spark, no, batch_id)
 

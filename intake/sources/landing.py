@@ -132,15 +132,19 @@ def source_of(files: DataFrame) -> str:
     return f"files:{n}:{total}"
 
 
-def refused(
-    files: DataFrame, contracts: Mapping[str, TableContract], folder: str, parity: bool = False
-) -> DataFrame:
-    """Of the files below ``folder`` those that no contract takes, with table_name and verdict."""
-    spark = files.sparkSession
-    left = files
+def refused(files: DataFrame, contracts: Mapping[str, TableContract], parity: bool = False) -> DataFrame:
+    """Of the listed files those that no contract takes, with table_name and verdict.
+
+    Decided by the names alone, as the reader's own filter does: a file that has been moved away since
+    it was listed is judged like any other.
+    """
+    pattern = files.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.GlobPattern
+    name = F.element_at(F.split("path", "/"), -1)
+    taken = F.lit(False)
     for contract in contracts.values():
-        left = left.join(list_landing(spark, folder, contract.glob).select("path"), "path", "left_anti")
+        taken = taken | name.rlike(f"^(?:{pattern(contract.glob).compiled().pattern()})\\z")
     verdict = F.when(~file_type_ok(F.col("path"), parity), F.lit(WRONG_TYPE)).otherwise(F.lit(UNKNOWN_TABLE))
+    left = files.where(~taken)
     return left.select("path", table_name(F.col("path")).alias("table_name"), verdict.alias("verdict"))
 
 

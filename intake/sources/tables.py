@@ -36,8 +36,8 @@ def batch_path(root: str, batch_id: str) -> str:
     return f"{root}/{BATCH}={batch_id}"
 
 
-def claim(spark: SparkSession, folder: str, batch_id: str, source: str) -> None:
-    """Ties a batch id to the source of its rows, for good.
+def claim(spark: SparkSession, folder: str, batch_id: str, source: str) -> bool:
+    """Ties a batch id to the source of its rows; says whether it was free.
 
     The same source may come again under its id, after a crash or on purpose, and replaces what it
     wrote. Another one is refused before anything is written: its rows would take the
@@ -45,10 +45,17 @@ def claim(spark: SparkSession, folder: str, batch_id: str, source: str) -> None:
     """
     batch_path("", batch_id)
     note = f"{folder}/batches/{batch_id}"
-    if not create(spark, note, source):
-        held = read_text(spark, note)
-        if held != source:
-            raise ValueError(f"batch id {batch_id!r} belongs to another source: {held}, not {source}")
+    if create(spark, note, source):
+        return True
+    held = read_text(spark, note)
+    if held != source:
+        raise ValueError(f"batch id {batch_id!r} belongs to another source: {held}, not {source}")
+    return False
+
+
+def unclaim(spark: SparkSession, folder: str, batch_id: str) -> None:
+    """Frees a batch id whose rows were refused before any was loaded."""
+    delete(spark, f"{folder}/batches/{batch_id}")
 
 
 # The notes of the writers that are alive in this process.

@@ -67,7 +67,7 @@ def log_refusals(
     """
 
     def run(files: DataFrame, epoch: int) -> None:
-        no = refused(files, intake.contracts, folder)
+        no = refused(files, intake.contracts)
         if not no.isEmpty():
             stream = stream_id(files.sparkSession, checkpoint)
             intake.audit.refusals(files.sparkSession, no, f"gate-{stream}-{epoch:010d}")

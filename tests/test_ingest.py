@@ -7,7 +7,7 @@ from intake.contracts import landing_contract
 from intake.operators.validate import accepted
 from intake.plans.audit import AuditLog, load_report
 from intake.plans.ingest import Intake, ingest_batch, ingest_file, ingest_folder
-from intake.sources.landing import read_landing, write_landing
+from intake.sources.landing import list_landing, read_landing, refused, write_landing
 from intake.sources.staged import read_quarantine
 from intake.sources.tables import ParquetTable
 from intake.streaming import ingest_stream, log_refusals
@@ -242,3 +242,32 @@ def test_runs_write_under_the_shared_folder(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert run_dir(spark, "x").startswith(shared_dir(spark))
     assert run_dir(spark, "x") != run_dir(spark, "x")
+
+
+def test_a_corrected_file_comes_under_the_refused_ones_id(spark, folder, tmp_path):
+    contract = landing_contract("orders", typed=True)
+    intake = intake_at(folder, contract)
+    path = tmp_path / "orders.csv"
+    path.write_text("none;x;2024-01-01T00:00:00Z;1;2\n")
+    with pytest.raises(ValueError, match="no row left"):
+        ingest_file(spark, str(path), intake, "day1")
+    path.write_text("7;x;2024-01-01T00:00:00Z;1;2\n8;y;2024-01-01T00:00:00Z;1;2\n")
+    assert ingest_file(spark, str(path), intake, "day1").load.loaded == 2
+    path.write_text("9;x;2024-01-01T00:00:00Z;1;2\n")
+    with pytest.raises(ValueError, match="belongs to another source"):
+        ingest_file(spark, str(path), intake, "day1")
+
+
+def test_files_are_judged_by_name_wherever_they_are_now(spark, tmp_path):
+    contracts = {c.name: c for c in (landing_contract("orders"), landing_contract("part", file_glob="p-[0-9]*.{csv,txt}"))}
+    names = ["orders.csv", "orders.v1.CSV", "orders.txt", "ordersx.csv", "p-1.csv", "p-12.txt", "p-x.csv", "other.csv"]
+    files = spark.createDataFrame([(f"file:/gone/away/{n}",) for n in names], "path string")
+    left = {r.path.rsplit("/", 1)[-1] for r in refused(files, contracts).collect()}
+    for n in names:
+        (tmp_path / n).write_text("x")
+    seen = {
+        r.path.rsplit("/", 1)[-1]
+        for c in contracts.values()
+        for r in list_landing(spark, str(tmp_path), c.glob).collect()
+    }
+    assert left == set(names) - seen == {"orders.txt", "ordersx.csv", "p-x.csv", "other.csv"}
