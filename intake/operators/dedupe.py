@@ -132,11 +132,26 @@ def duplicate_report(
     has them already.
     """
     counts = batch.groupBy(*key).agg(F.count(F.lit(1)).alias("n_in_batch"))
+    asked = counts if stats is not None and stats.n_bytes <= broadcast_limit else None
+    return counts_report(counts, target, key, stats, asked)
+
+
+def counts_report(
+    counts: DataFrame,
+    target: DataFrame | None,
+    key: Sequence[str],
+    stats: KeyStats | None = None,
+    asked: DataFrame | None = None,
+) -> DataFrame:
+    """The same from a batch's keys and their counts.
+
+    ``asked`` are keys few enough to be broadcast, among them all that the target may hold.
+    """
     if target is None:
         return counts.where("n_in_batch > 1").withColumn("in_target", F.lit(False))
     held = in_range(target.select(*key), key, stats)
-    if stats is not None and stats.n_bytes <= broadcast_limit:
-        held = held.join(F.broadcast(counts.select(*key)), list(key), "left_semi")
+    if asked is not None:
+        held = held.join(F.broadcast(asked.select(*key)), list(key), "left_semi")
     held = held.distinct().withColumn("in_target", F.lit(True))
     return (
         counts.join(held, list(key), "left")

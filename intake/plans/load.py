@@ -16,12 +16,14 @@ from intake.operators.dedupe import (
     BROADCAST_LIMIT,
     Duplicates,
     KeyStats,
+    counts_report,
     duplicate_report,
+    key_bytes,
     key_stats,
     new_rows,
 )
 from intake.sources.files import delete
-from intake.sources.tables import Expected, Table
+from intake.sources.tables import Expected, ParquetTable, Table
 from intake.workspace import run_dir
 
 
@@ -89,6 +91,8 @@ def _load_keyed(
     if target.empty(spark, batch_id):
         # Nothing to compare with: one scan gives the repeated keys and all that is measured.
         stats, duplicates = _store_repeats(spark, batch, key, folder, source is None)
+    elif isinstance(target, ParquetTable) and target.sketched:
+        stats, duplicates = _store_suspected(spark, batch, target, key, batch_id, folder, broadcast_limit, source is None)
     else:
         stats = key_stats(batch, key, identify=source is None)
         existing = target.rows(spark, except_batch=batch_id)
@@ -119,6 +123,44 @@ def _store(
     return Duplicates(spark.read.schema(report.schema).parquet(path), **seen.get)
 
 
+def _store_suspected(
+    spark: SparkSession,
+    batch: DataFrame,
+    target: ParquetTable,
+    key: Sequence[str],
+    batch_id: str,
+    folder: str,
+    limit: int,
+    identify: bool,
+) -> tuple[KeyStats, Duplicates | None]:
+    """The report where the target has sketches: only folders that may hold a key of the batch are opened.
+
+    Keys are counted once and written, next to the report; the sketches are asked for those, and what they cannot
+    rule out is written, too, and counted by folder. In most loads that is nothing.
+    """
+    stats = key_stats(batch, key, identify=identify)
+    if stats.n_null:
+        return stats, None
+    counted = batch.groupBy(*key).agg(F.count(F.lit(1)).alias("n_in_batch"))
+    counted.write.parquet(f"{folder}/keys")
+    counts = spark.read.schema(counted.schema).parquet(f"{folder}/keys")
+    found, unsketched = target.suspects(counts.select(*key), key, batch_id, stats.n_bytes, limit)
+    asked, opened = (counts, stats.n_bytes), list(unsketched)
+    if found is not None:
+        seen = Observation()
+        size = F.coalesce(F.sum(key_bytes(found, key)), F.lit(0)).alias("bytes")
+        # Names of folders, of which the listing has all.
+        names = F.collect_set("_batch").alias("batches")
+        found.observe(seen, size, names).write.parquet(f"{folder}/suspects")
+        opened += seen.get["batches"]
+        if not unsketched:
+            asked = spark.read.schema(found.schema).parquet(f"{folder}/suspects").select(*key).distinct(), seen.get["bytes"]
+    keys, n_bytes = asked
+    existing = target.rows_of(spark, opened) if opened else None
+    report = counts_report(counts, existing, key, stats, keys if n_bytes <= limit else None)
+    return stats, _store(spark, report, key, f"{folder}/report")
+
+
 def _store_repeats(
     spark: SparkSession, batch: DataFrame, key: Sequence[str], path: str, identify: bool
 ) -> tuple[KeyStats, Duplicates]:

@@ -13,15 +13,16 @@ import json
 import re
 import threading
 import uuid
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager, nullcontext
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from intake.functions.checksum import checksum
+from intake.operators.sketch import BLOCK_BYTES, SKETCH_SCHEMA, blocks_for, key_sketch, suspects
 from intake.sources.files import create, delete, exists, names, read_text, size
 from intake.sources.local import rows_frame
 
@@ -129,23 +130,26 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
 class Listing:
     """What a table consists of: the folders that count, by batch, below one root.
 
-    ``held`` are the batches whose rows a compaction or replacement has put under another name.
+    ``held`` are the batches whose rows a compaction or replacement has put under another name,
+    ``sketches`` those whose keys have a sketch, with its folder's name and its number of blocks.
     """
 
     root: str
     folders: Mapping[str, str] = field(default_factory=dict)
     held: tuple[str, ...] = ()
+    sketches: Mapping[str, tuple[str, int]] = field(default_factory=dict)
 
     def text(self) -> str:
         # The last line says that the file is whole.
-        return json.dumps({"root": self.root, "folders": dict(self.folders), "held": self.held}) + "\nend"
+        return json.dumps({**asdict(self), "held": self.held}) + "\nend"
 
     @staticmethod
     def of(text: str | None) -> Listing | None:
         if not text or not text.endswith("\nend"):
             return None
         found = json.loads(text.removesuffix("\nend"))
-        return Listing(found["root"], found["folders"], tuple(found["held"]))
+        sketches = {b: tuple(s) for b, s in found.get("sketches", {}).items()}
+        return Listing(found["root"], found["folders"], tuple(found["held"]), sketches)
 
 
 @dataclass(frozen=True)
@@ -159,12 +163,19 @@ class ParquetTable:
     ``vacuum`` removes what no listing needs any more.
 
     What is not rows (listings, new roots, claims, the writer's note) lies in ``<path>.meta``.
-    With a ``key`` compaction puts the rows in its order, in files of disjoint ranges.
+    With a ``key`` compaction puts the rows in its order, in files of disjoint ranges. With
+    ``sketched`` every batch has a sketch of its keys, and a load opens only the folders that
+    may hold a key of the new batch: for keys that arrive in no order, which ranges cannot tell apart.
     """
 
     path: str
     schema: T.StructType
     key: tuple[str, ...] = ()
+    sketched: bool = False
+
+    def __post_init__(self):
+        if self.sketched and not self.key:
+            raise ValueError(f"{self.path}: a table without a key has no sketches")
 
     @property
     def meta(self) -> str:
@@ -206,6 +217,48 @@ class ParquetTable:
             df = df.where(F.col(BATCH) != except_batch)
         return df.select(*self.schema.fieldNames())
 
+    def rows_of(self, spark: SparkSession, batches: Iterable[str]) -> DataFrame:
+        """The rows of these batches; no other folder is opened."""
+        listing = self._listing(spark)[1]
+        only = replace(listing, folders={b: listing.folders[b] for b in batches})
+        return self._read(spark, only).select(*self.schema.fieldNames())
+
+    def suspects(
+        self, keys: DataFrame, key: Sequence[str], except_batch: str, n_bytes: int, limit: int
+    ) -> tuple[DataFrame | None, list[str]]:
+        """The keys that a batch may hold by its sketch, with its name as ``_batch``, and the batches without one.
+
+        None where nothing is sketched, or where the keys are of another type than the table's, since
+        their hashes would differ. ``n_bytes`` is the measured size of ``keys``: what is under ``limit`` is broadcast.
+        """
+        spark = keys.sparkSession
+        listing = self._listing(spark)[1]
+        others = [b for b in listing.folders if b != except_batch]
+        asked = {b: listing.sketches[b] for b in others if b in listing.sketches}
+        alike = tuple(key) == self.key and all(keys.schema[c].dataType == self.schema[c].dataType for c in key)
+        if not asked or not alike:
+            return None, others
+        sketches = spark.read.schema(SKETCH_SCHEMA).parquet(*[f"{self.meta}/sketches/{name}" for name, _ in asked.values()])
+        sizes = sorted({n for _, n in asked.values()})
+        found = suspects(
+            keys,
+            sketches,
+            key,
+            sizes,
+            broadcast_keys=n_bytes * len(sizes) <= limit,
+            broadcast_sketches=sum(n for _, n in asked.values()) * BLOCK_BYTES <= limit,
+        )
+        return found, [b for b in others if b not in asked]
+
+    def _sketch(self, spark: SparkSession, folder: str, batch: str, n_rows: int) -> dict[str, tuple[str, int]]:
+        """Writes the sketch of a folder that was just written, from its key columns."""
+        if not self.sketched:
+            return {}
+        name, n_blocks = uuid.uuid4().hex, blocks_for(n_rows)
+        keys = spark.read.schema(self.schema).parquet(folder).select(*self.key)
+        key_sketch(keys, self.key, batch, n_blocks).write.parquet(f"{self.meta}/sketches/{name}")
+        return {batch: (name, n_blocks)}
+
     def empty(self, spark: SparkSession, except_batch: str) -> bool:
         """Whether no other batch is there, by the listing alone."""
         return set(self._listing(spark)[1].folders) <= {except_batch}
@@ -226,8 +279,13 @@ class ParquetTable:
         rows, seen = _counted(df.select(*self.schema.fieldNames()))
         folder = f"{batch}/attempt-{uuid.uuid4().hex}"
         rows.write.parquet(f"{listing.root}/{folder}")
-        self._publish(spark, number, Listing(listing.root, {**listing.folders, batch_id: folder}, listing.held))
-        return seen.get["n"]
+        n = seen.get["n"]
+        # An earlier attempt's sketch says nothing about this one.
+        sketches = {b: s for b, s in listing.sketches.items() if b != batch_id}
+        sketches |= self._sketch(spark, f"{listing.root}/{folder}", batch_id, n)
+        folders = {**listing.folders, batch_id: folder}
+        self._publish(spark, number, replace(listing, folders=folders, sketches=sketches))
+        return n
 
     def replace(self, df: DataFrame, expected: Expected | None = None) -> None:
         """Set the whole content; ``df`` may read from this table.
@@ -257,8 +315,10 @@ class ParquetTable:
                 raise
         folders = {n.removeprefix(f"{BATCH}="): n for n in names(spark, new) if n.startswith(f"{BATCH}=")}
         kept = tuple(b for b in held if b not in folders)
+        # Rows that came with their batches' names keep them, and have no sketches until they are compacted.
+        sketches = self._sketch(spark, f"{new}/{folders[batch]}", batch, seen.get["n"]) if set(folders) == {batch} else {}
         try:
-            self._publish(spark, number, Listing(new, folders, kept))
+            self._publish(spark, number, Listing(new, folders, kept, sketches))
         except RuntimeError:
             delete(spark, new)
             raise
@@ -298,6 +358,10 @@ class ParquetTable:
                 if batch.startswith(f"{BATCH}=") and batch not in used:
                     inside = [f"{batch}/{n}" for n in names(spark, f"{current.root}/{batch}") if n.startswith("attempt-")]
                     old += [f"{current.root}/{f}" for f in inside if f not in used]
+            asked = {name for name, _ in current.sketches.values()}
+            for name in names(spark, f"{self.meta}/sketches"):
+                if name not in asked:
+                    delete(spark, f"{self.meta}/sketches/{name}")
             for generation in old:
                 delete(spark, generation)
             for name in names(spark, f"{self.meta}/listings"):

@@ -298,6 +298,7 @@ SELECT 'orders' AS table_name, loaded, name, type FROM n, (VALUES
     "q42_keyless_repeat": """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity,
   l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate FROM lineitem""",
     "q43_bucketed_replace": ALL_ORDERS,
+    "q45_sketched_load": ALL_ORDERS,
     "q44_exact_casts": """WITH texts AS (
   SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day, CAST(o_orderkey AS VARCHAR) AS k,
     CAST(epoch(date_trunc('day', o_orderdate)) AS BIGINT) + 8 * 3600 AS seconds FROM orders),

@@ -548,6 +548,20 @@ def exact_casts(spark, sf_dir):
     return texts.select("o_orderkey", "form", F.coalesce(values, F.lit("refused")).alias("value"))
 
 
+def sketched_load(spark, sf_dir):
+    """Orders in four stored batches in no order of their keys, then all of them again: only that one opens folders."""
+    folder = run_dir(spark, "sketched")
+    part = F.pmod(F.xxhash64("o_orderkey"), F.lit(4)).alias("_part")
+    table(spark, sf_dir, "orders").select("*", part).write.partitionBy("_part").parquet(f"{folder}/batches")
+    batches = spark.read.parquet(f"{folder}/batches")
+    target = ParquetTable(f"{folder}/orders", ORDER_TABLE.table_schema, ORDER_TABLE.key, sketched=True)
+    for i in range(4):
+        load(spark, batches.where(F.col("_part") == i).drop("_part"), target, ORDER_TABLE, f"b{i}", source=f"part {i}")
+    late = batches.drop("_part").withColumn("o_orderpriority", F.lit("late"))
+    load(spark, late, target, ORDER_TABLE, "late", source="late")
+    return target.rows(spark)
+
+
 SUPPLIER = TableContract(
     name="supplier",
     fields=(
@@ -633,4 +647,5 @@ QUERIES: dict[str, Query] = {
     "q42_keyless_repeat": keyless_repeat,
     "q43_bucketed_replace": bucketed_replace,
     "q44_exact_casts": exact_casts,
+    "q45_sketched_load": sketched_load,
 }

@@ -18,6 +18,7 @@ from intake.operators.dedupe import (
     new_rows,
 )
 from intake.operators.rules import NotNull
+from intake.operators.sketch import blocks_for, key_sketch, suspects
 from intake.plans.load import load
 from intake.sources import files, tables
 from intake.sources.files import exists, size
@@ -640,3 +641,112 @@ def test_a_bucketed_table_has_no_moment_without_rows(spark, folder, monkeypatch)
     assert content(spark, target) == [*[(i, "new", 0) for i in range(5)], (9, "x", 0)]
     target.compact(spark)
     assert len(content(spark, target)) == 6
+
+
+# -- sketches of keys ---------------------------------------------------------
+
+
+def sketched_at(folder, contract=T2):
+    return ParquetTable(f"{folder}/s", contract.table_schema, key=contract.key, sketched=True)
+
+
+def opened(monkeypatch):
+    """The batches whose folders loads open from here on."""
+    seen, rows_of = [], ParquetTable.rows_of
+
+    def spy(self, spark, batches):
+        seen.append(sorted(batches))
+        return rows_of(self, spark, batches)
+
+    monkeypatch.setattr(ParquetTable, "rows_of", spy)
+    return seen
+
+
+def test_sketches_name_every_held_key_and_hardly_another(spark):
+    keys = spark.range(40_000).select((F.col("id") * 7).alias("id"), F.col("id").cast("string").alias("block"))
+    key, n = ("id", "block"), blocks_for(20_000)
+    assert n == 256 and blocks_for(0) == 16
+    halves = [keys.where(f"id % 2 = {i}") for i in range(2)]
+    sketches = halves[0].transform(lambda k: key_sketch(k, key, "a", n)).union(key_sketch(halves[1].limit(0), key, "b", 16))
+    for how in ({}, {"broadcast_keys": True}, {"broadcast_sketches": True}):
+        found = suspects(keys, sketches, key, [16, n], **how)
+        assert found.columns == ["id", "block", "_batch"] and {r["_batch"] for r in found.select("_batch").distinct().collect()} == {"a"}
+        assert halves[0].join(found, list(key), "left_anti").count() == 0
+        assert halves[1].join(found, list(key), "left_semi").count() <= 2
+
+
+def test_new_keys_in_random_order_open_no_folder(spark, folder, monkeypatch):
+    rng = random.Random(3)
+    ids = rng.sample(range(10**9), 64 * 50 + 200)
+    target, seen = sketched_at(folder), opened(monkeypatch)
+    for i in range(64):
+        target.append(frame(spark, [(k, f"b{i}", 0) for k in ids[50 * i : 50 * i + 50]]), f"b{i:02d}")
+    fresh = ids[64 * 50 :]
+    done = load(spark, frame(spark, [(k, "new", r) for k in fresh for r in (1, 0)]), target, T2, "new")
+    assert (done.read, done.loaded, seen) == (400, 200, [])
+    again = [*fresh[:3], ids[0], ids[51], 2_000_000_000]
+    done = load(spark, frame(spark, [(k, "later", 0) for k in again]), target, T2, "later")
+    assert (done.loaded, seen) == (1, [["b00", "b01", "new"]])
+    rows = {r["id"]: (r["name"], r["rank"]) for r in target.rows(spark).collect()}
+    assert len(rows) == 64 * 50 + 201 and rows[ids[0]] == ("b0", 0) and rows[fresh[0]] == ("new", 0)
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 25])
+def test_sketched_load_equals_the_plain_one(spark, folder, limit):
+    rows = hot_rows()
+    plain, target = table_at(folder), sketched_at(folder)
+    for i, part in enumerate((rows[:1000], rows[500:2000], rows[:1000], rows[1000:])):
+        results = [load(spark, frame(spark, part), t, T2, f"b{i}", broadcast_limit=limit) for t in (plain, target)]
+        assert results[0] == results[1]
+    assert content(spark, target) == content(spark, plain)
+
+
+def test_sketches_follow_attempts_compaction_and_vacuum(spark, folder, monkeypatch):
+    target = sketched_at(folder)
+    load(spark, frame(spark, [(i, "a", 0) for i in range(100)]), target, T2, "a")
+    load(spark, frame(spark, [(i, "b", 0) for i in range(100, 200)]), target, T2, "b")
+    load(spark, frame(spark, [(i, "b", 0) for i in range(100, 200)]), target, T2, "b")
+    target.compact(spark)
+    target.vacuum(spark)
+    assert len(files.names(spark, f"{target.meta}/sketches")) == 1
+    seen = opened(monkeypatch)
+    assert load(spark, frame(spark, [(i, "c", 0) for i in range(200, 300)]), target, T2, "c").loaded == 100
+    assert seen == []
+    assert load(spark, frame(spark, [(i, "d", 0) for i in range(150, 310)]), target, T2, "d").loaded == 10
+    assert seen == [["c", "compacted"]]
+    # Rows that were put in under their batches' names have no sketches: their folders are opened.
+    target.replace(target.read(spark))
+    assert load(spark, frame(spark, [(i, "e", 0) for i in range(300, 320)]), target, T2, "e").loaded == 10
+    assert seen[1:] == [["c", "compacted", "d"]]
+    assert len(content(spark, target)) == 320
+
+
+def test_sketches_and_other_types_of_keys(spark, folder):
+    with pytest.raises(ValueError, match="no sketches"):
+        ParquetTable(f"{folder}/n", T2.table_schema, sketched=True)
+    contract = TableContract(
+        "s",
+        (Field("day", "date"), Field("amount", "double"), Field("code")),
+        rules=(NotNull("day"), NotNull("amount"), NotNull("code")),
+        key=("day", "amount", "code"),
+    )
+    target = sketched_at(folder, contract)
+    texts = [("2024-01-01", "0.0", "ä"), ("2024-01-01", "NaN", ""), ("1969-12-31", "1.5", "x" * 70_000)]
+
+    def typed(rows):
+        return spark.createDataFrame(rows, "day string, amount string, code string").select(
+            F.col("day").cast("date"), F.col("amount").cast("double"), "code"
+        )
+
+    load(spark, typed(texts), target, contract, "a")
+    again = [("2024-01-01", "-0.0", "ä"), *texts[1:], ("2024-01-02", "0.0", "ä")]
+    assert load(spark, typed(again), target, contract, "b").loaded == 1
+    # Keys of another type are looked for in all folders.
+    plain = sketched_at(f"{folder}/i")
+    load(spark, frame(spark, [(i, "a", 0) for i in range(10)]), plain, T2, "a")
+    wide = spark.range(5, 15).select("id", F.lit("b").alias("name"), F.lit(0).alias("rank"))
+    assert load(spark, wide.withColumn("id", F.col("id").cast("int")), plain, T2, "b").loaded == 5
+    assert load(spark, wide, plain, T2, "c").loaded == 0
+    with pytest.raises(ValueError, match="1 rows without a key"):
+        load(spark, frame(spark, [(None, "x", 0)]), plain, T2, "d")
+    assert load(spark, frame(spark, []), plain, T2, "e").loaded == 0
