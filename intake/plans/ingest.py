@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from intake.contracts import TableContract, by_name, contract_for
 from intake.operators.validate import annotate, assert_clean, assert_not_empty, typed
@@ -20,7 +21,9 @@ from intake.sources.landing import (
     read_landing,
     refused,
     source_of,
+    taken_by,
 )
+from intake.sources.ledger import FileLedger, exactly
 from intake.sources.staged import StageCounts, read_staged, stage
 from intake.sources.tables import Expected, Table, claim, unclaim
 
@@ -153,3 +156,44 @@ def ingest_folder(
         run = inheritable_thread_target(spark)(one)
         runs = {name: pool.submit(run, c) for name, c in intake.contracts.items()}
     return {name: done.result() for name, done in runs.items()}
+
+
+def ingest_new(
+    spark: SparkSession, folder: str, intake: Intake, ledger: FileLedger, batch_id: str, parallel: int = 4
+) -> dict[str, IngestResult]:
+    """Ingest what has arrived below a folder since the ledger's last batch, one batch per table.
+
+    Files are new or uploaded again; the folder is listed once for all tables, and files already taken are
+    not read. Tables without a new file have no run and no result. Files that no contract takes are logged once,
+    when they arrive. Safe to repeat: a batch that has not ended goes on with the files it took, one that has
+    ended takes nothing more. If a table fails the others still finish, the batch stays open, and the error is raised.
+
+    The paths of one batch's files go through the driver, as they do in any read of a folder.
+    """
+    listed = list_landing(spark, folder).withColumn("table_name", taken_by(spark, intake.contracts))
+    files = ledger.take(spark, listed, batch_id)
+    if ledger.ended(spark, batch_id):
+        return {}
+    no = refused(files.where("table_name IS NULL"), intake.contracts)
+    found = files.where("table_name IS NOT NULL").groupBy("table_name").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    paths = {row["table_name"]: [exactly(p) for p in row["paths"]] for row in found.collect()}
+
+    def one(contract: TableContract) -> IngestResult:
+        return ingest_batch(
+            spark,
+            read_landing(spark, paths[contract.name], contract),
+            contract,
+            intake,
+            batch_id,
+            require_rows=False,
+            source=source_of(files.where(F.col("table_name") == contract.name)),
+        )
+
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        run = inheritable_thread_target(spark)(one)
+        runs = {name: pool.submit(run, c) for name, c in intake.contracts.items() if name in paths}
+    results = {name: done.result() for name, done in runs.items()}
+    if not no.isEmpty():
+        intake.audit.refusals(spark, no, batch_id)
+    ledger.end(spark, batch_id)
+    return results

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,9 +35,9 @@ def _options(contract: TableContract) -> dict[str, str]:
 
 
 def read_landing(
-    spark: SparkSession, path: str, contract: TableContract, glob: str | None = None
+    spark: SparkSession, path: str | list[str], contract: TableContract, glob: str | None = None
 ) -> DataFrame:
-    """Read one file, or with ``glob`` the matching files below a folder."""
+    """Read one file or several, or with ``glob`` the matching files below a folder."""
     reader = spark.read.schema(_schema(contract)).options(**_options(contract))
     if glob:
         reader = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
@@ -132,19 +132,24 @@ def source_of(files: DataFrame) -> str:
     return f"files:{n}:{total}"
 
 
+def taken_by(spark: SparkSession, contracts: Mapping[str, TableContract]) -> Column:
+    """The contract that takes a listed file, by its ``path``; null if none does."""
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.GlobPattern
+    name = F.element_at(F.split("path", "/"), -1)
+    fits = [
+        F.when(name.rlike(f"^(?:{pattern(c.glob).compiled().pattern()})\\z"), F.lit(c.name)) for c in contracts.values()
+    ]
+    return F.coalesce(*fits, F.lit(None).cast("string"))
+
+
 def refused(files: DataFrame, contracts: Mapping[str, TableContract], parity: bool = False) -> DataFrame:
     """Of the listed files those that no contract takes, with table_name and verdict.
 
     Decided by the names alone, as the reader's own filter does: a file that has been moved away since
     it was listed is judged like any other.
     """
-    pattern = files.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.GlobPattern
-    name = F.element_at(F.split("path", "/"), -1)
-    taken = F.lit(False)
-    for contract in contracts.values():
-        taken = taken | name.rlike(f"^(?:{pattern(contract.glob).compiled().pattern()})\\z")
     verdict = F.when(~file_type_ok(F.col("path"), parity), F.lit(WRONG_TYPE)).otherwise(F.lit(UNKNOWN_TABLE))
-    left = files.where(~taken)
+    left = files.where(taken_by(files.sparkSession, contracts).isNull())
     return left.select("path", table_name(F.col("path")).alias("table_name"), verdict.alias("verdict"))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from intake.contracts import Field, TableContract, landing_contract
 from intake.operators.rules import IntCastable, NotNull
-from intake.sources.files import names, rename
+from intake.sources.files import delete, names, rename
 from intake.sources.landing import write_landing
 from intake.workspace import run_dir
 
@@ -126,12 +126,15 @@ def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def put_files(
     df: DataFrame, folder: str, contract: TableContract, name: str, n_files: int = 1
 ) -> None:
-    """Writes rows as ``n_files`` files ``<name>`` of a flat folder, ``{}`` in it being the number."""
+    """Writes rows as ``n_files`` files ``<name>`` of a flat folder, ``{}`` in it being the number.
+
+    A file that is there already is uploaded again."""
     spark = df.sparkSession
     made = f"{run_dir(spark, 'files')}/{contract.name}"
     write_landing(df.repartition(n_files), made, contract)
     data = [f for f in names(spark, made) if f.startswith("part-")]
     for i, file in enumerate(data):
+        delete(spark, f"{folder}/{name.format(i)}")
         rename(spark, f"{made}/{file}", f"{folder}/{name.format(i)}")
 
 

@@ -17,10 +17,11 @@ from intake.operators.rules import InSet, IntCastable, NotNull, References, Well
 from intake.operators.validate import accepted, by_reason, rejected, typed, violation_counts
 from intake.plans.audit import AuditLog, load_report
 from intake.plans.backup import backup, expire, read_manifest, restore, verify
-from intake.plans.ingest import Intake, ingest_file, ingest_folder, validate
+from intake.plans.ingest import Intake, ingest_file, ingest_folder, ingest_new, validate
 from intake.plans.load import load
 from intake.plans.requests import handle, route
 from intake.sources.landing import read_landing, write_landing
+from intake.sources.ledger import FileLedger
 from intake.sources.staged import read_quarantine, read_staged
 from intake.sources.tables import BucketedTable, Expected, ParquetTable, parquet_tables
 from intake.streaming import ingest_stream
@@ -379,6 +380,20 @@ def two_files_one_day(spark, sf_dir):
     return intake.targets["orders"].rows(spark)
 
 
+def reupload(spark, sf_dir):
+    """A folder that is ingested daily: a file uploaded again with other rows comes in, one already taken does not."""
+    contract = ORDERS.but(key=())
+    intake, root = _intake(spark, "reupload", contract), run_dir(spark, "reupload-landing")
+    ledger = FileLedger(f"{root}/ledger")
+    first, second = _halves(spark, sf_dir)
+    put_files(first, f"{root}/files", contract, "orders.{}.csv", n_files=3)
+    ingest_new(spark, f"{root}/files", intake, ledger, "day1")
+    put_files(second, f"{root}/files", contract, "orders.0.csv")
+    for day in ("day2", "day2", "day3"):
+        ingest_new(spark, f"{root}/files", intake, ledger, day)
+    return intake.targets["orders"].rows(spark)
+
+
 def two_streams(spark, sf_dir):
     """Two streams, each with a checkpoint of its own, into one table."""
     contract = ORDERS.but(file_glob="*.csv")
@@ -648,4 +663,5 @@ QUERIES: dict[str, Query] = {
     "q43_bucketed_replace": bucketed_replace,
     "q44_exact_casts": exact_casts,
     "q45_sketched_load": sketched_load,
+    "q46_reupload": reupload,
 }

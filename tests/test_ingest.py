@@ -1,13 +1,16 @@
 """Whole runs: file, folder and stream give the same table, and a log."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from intake.contracts import landing_contract
 from intake.operators.validate import accepted
 from intake.plans.audit import AuditLog, load_report
-from intake.plans.ingest import Intake, ingest_batch, ingest_file, ingest_folder
+from intake.plans.ingest import Intake, ingest_batch, ingest_file, ingest_folder, ingest_new
 from intake.sources.landing import list_landing, read_landing, refused, write_landing
+from intake.sources.ledger import FileLedger
 from intake.sources.staged import read_quarantine
 from intake.sources.tables import ParquetTable
 from intake.streaming import ingest_stream, log_refusals
@@ -271,3 +274,110 @@ def test_files_are_judged_by_name_wherever_they_are_now(spark, tmp_path):
         for r in list_landing(spark, str(tmp_path), c.glob).collect()
     }
     assert left == set(names) - seen == {"orders.txt", "ordersx.csv", "p-x.csv", "other.csv"}
+
+
+# -- new files only -----------------------------------------------------------
+
+
+def put(path, *rows, at=None):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text("".join(f"{r}\n" for r in rows))
+    if at:
+        os.utime(path, (at, at))
+
+
+def row(i, name="n"):
+    return f"{i};{name};2021-01-01T00:00:00Z;1;1"
+
+
+def daily(folder):
+    keyless = [landing_contract(n).but(key=()) for n in ("orders", "people")]
+    return intake_at(folder, *keyless), FileLedger(f"{folder}/ledger")
+
+
+def ids(spark, intake, table="orders"):
+    return sorted(r["id"] for r in intake.targets[table].rows(spark).select(F.col("id").cast("int")).collect())
+
+
+def test_daily_folder_takes_each_file_once(spark, folder, tmp_path):
+    intake, ledger = daily(folder)
+    landing = tmp_path / "landing"
+    put(landing / "orders.1.csv", row(1), row(2))
+    put(landing / "a b" / "orders.{x}[1]*.csv", row(3))
+    put(landing / "people.csv", row(1))
+    put(landing / "notes.txt", "hello")
+    run = lambda day: ingest_new(spark, str(landing), intake, ledger, day)
+    assert {n: r.load.loaded for n, r in run("d1").items()} == {"orders": 3, "people": 1}
+    assert run("d1") == {} and run("d2") == {}
+    put(landing / "orders.2.csv", row(4))
+    assert {n: r.load.loaded for n, r in run("d3").items()} == {"orders": 1}
+    assert ids(spark, intake) == [1, 2, 3, 4] and ids(spark, intake, "people") == [1]
+    # Uploaded again: with other rows, and once with the same ones at another time.
+    put(landing / "orders.1.csv", row(5), row(6), row(7))
+    put(landing / "orders.2.csv", row(4), at=1_700_000_000)
+    assert run("d4")["orders"].load.loaded == 4
+    assert ids(spark, intake) == [1, 2, 3, 4, 4, 5, 6, 7]
+    ledger.table.compact(spark)
+    assert run("d5") == {} and ledger.taken(spark).count() == 7
+    # The file of no table is logged once.
+    assert [r.batch_id for r in log(spark, intake) if r.step == "gate"] == ["d1"]
+
+
+def test_a_batch_that_died_goes_on_with_its_files(spark, folder, tmp_path, monkeypatch):
+    intake, ledger = daily(folder)
+    landing = tmp_path / "landing"
+    put(landing / "orders.csv", row(1))
+    put(landing / "people.csv", row(1))
+    run = lambda day: ingest_new(spark, str(landing), intake, ledger, day)
+    append = ParquetTable.append
+
+    def killed(self, df, batch_id):
+        if self.path.endswith("/people"):
+            raise OSError("killed")
+        return append(self, df, batch_id)
+
+    with monkeypatch.context() as m:
+        m.setattr(ParquetTable, "append", killed)
+        with pytest.raises(OSError, match="killed"):
+            run("d1")
+    put(landing / "orders.2.csv", row(2))
+    with pytest.raises(RuntimeError, match="'d1' has not ended"):
+        run("d2")
+    run("d1")
+    assert (ids(spark, intake), ids(spark, intake, "people")) == ([1], [1])
+    run("d2")
+    assert (ids(spark, intake), ids(spark, intake, "people")) == ([1, 2], [1])
+
+
+def test_a_batch_killed_while_taking_files_takes_them_again(spark, folder, tmp_path, monkeypatch):
+    intake, ledger = daily(folder)
+    put(tmp_path / "l" / "orders.csv", row(1))
+    with monkeypatch.context() as m:
+        m.setattr(ParquetTable, "append", lambda *_: (_ for _ in ()).throw(OSError("killed")))
+        with pytest.raises(OSError, match="killed"):
+            ingest_new(spark, str(tmp_path / "l"), intake, ledger, "d1")
+    put(tmp_path / "l" / "orders.2.csv", row(2))
+    assert ingest_new(spark, str(tmp_path / "l"), intake, ledger, "d1")["orders"].load.loaded == 2
+
+
+def test_released_files_are_fresh_again(spark, folder, tmp_path):
+    intake, ledger = daily(folder)
+    put(tmp_path / "l" / "orders.csv", row(1))
+    put(tmp_path / "l" / "people.csv", row(1))
+    listed = list_landing(spark, str(tmp_path / "l")).withColumn("table_name", F.lit("orders"))
+    assert ledger.take(spark, listed, "d0").count() == 2
+    (tmp_path / "l" / "people.csv").unlink()
+    ledger.release(spark, "d0")
+    assert ledger.taken(spark).isEmpty()
+    assert list(ingest_new(spark, str(tmp_path / "l"), intake, ledger, "d1")) == ["orders"]
+    ledger.release(spark, "d1")
+    assert ledger.taken(spark).count() == 1
+    with pytest.raises(ValueError, match="batch id"):
+        ledger.take(spark, listed, "../d2")
+
+
+def test_an_empty_folder_ends_its_batch(spark, folder, tmp_path):
+    intake, ledger = daily(folder)
+    (tmp_path / "l").mkdir()
+    assert ingest_new(spark, str(tmp_path / "l"), intake, ledger, "d1") == {}
+    assert ledger.ended(spark, "d1")
