@@ -24,7 +24,7 @@ from intake.sources.landing import (
     taken_by,
 )
 from intake.sources.ledger import FileLedger, exactly
-from intake.sources.staged import StageCounts, read_staged, stage
+from intake.sources.staged import StageCounts, read_staged, replay_of, stage
 from intake.sources.tables import Expected, Table, claim, unclaim
 
 
@@ -75,15 +75,19 @@ def ingest_batch(
     batch_id: str,
     require_rows: bool = True,
     source: str | None = None,
+    step: str = "ingest",
 ) -> IngestResult:
-    """Validate, stage and load one batch, and log it. Safe to repeat.
+    """Validate, stage and load one batch, and log it as ``step``. Safe to repeat.
 
     ``source`` says where the rows come from (their checksum, if not given): a batch id
     that belongs to another source is refused before anything is written. A batch that is
-    refused itself frees its id, so that the corrected rows can come under it.
+    refused itself frees its id, so that the corrected rows can come under it. Once its rejected
+    rows were replayed a batch does not come again: they would arrive twice under a changed contract.
     """
-    with intake.audit.run(spark, "ingest", contract.name, batch_id) as row:
+    with intake.audit.run(spark, step, contract.name, batch_id) as row:
         row["schema_json"] = contract.table_schema.json()
+        if replay := replay_of(spark, intake.staged_root, contract, batch_id):
+            raise ValueError(f"{contract.name}: the rejected rows of batch {batch_id!r} were replayed by {replay!r}")
         if source is None:
             found = Expected.of(landing)
             source = f"rows:{found.n_rows}:{found.checksum}"

@@ -300,6 +300,7 @@ SELECT 'orders' AS table_name, loaded, name, type FROM n, (VALUES
     "q43_bucketed_replace": ALL_ORDERS,
     "q45_sketched_load": ALL_ORDERS,
     "q46_reupload": VALIDATED,
+    "q47_replayed": VALIDATED,
     "q44_exact_casts": """WITH texts AS (
   SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day, CAST(o_orderkey AS VARCHAR) AS k,
     CAST(epoch(date_trunc('day', o_orderdate)) AS BIGINT) + 8 * 3600 AS seconds FROM orders),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from contextlib import suppress
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from intake.plans.audit import AuditLog, load_report
 from intake.plans.backup import backup, expire, read_manifest, restore, verify
 from intake.plans.ingest import Intake, ingest_file, ingest_folder, ingest_new, validate
 from intake.plans.load import load
+from intake.plans.replay import replay
 from intake.plans.requests import handle, route
 from intake.sources.landing import read_landing, write_landing
 from intake.sources.ledger import FileLedger
@@ -394,6 +396,19 @@ def reupload(spark, sf_dir):
     return intake.targets["orders"].rows(spark)
 
 
+def replayed(spark, sf_dir):
+    """Rows that one rule refused come back when it has gone, once; what breaks the others stays rejected."""
+    strict = ORDERS.but(key=(), rules=(*ORDERS.rules, InSet("name", ("1-URGENT", "2-HIGH"))))
+    intake, root = _intake(spark, "replay", strict), run_dir(spark, "replay-landing")
+    for i, half in enumerate(_halves(spark, sf_dir)):
+        put_files(half, f"{root}/{i}", ORDERS, "orders.csv")
+        ingest_folder(spark, f"{root}/{i}", intake, f"day{i}")
+    now = replace(intake, contracts={"orders": ORDERS.but(key=())})
+    for batch_id in ("again", "again", "once-more"):
+        replay(spark, "orders", now, batch_id)
+    return intake.targets["orders"].rows(spark)
+
+
 def two_streams(spark, sf_dir):
     """Two streams, each with a checkpoint of its own, into one table."""
     contract = ORDERS.but(file_glob="*.csv")
@@ -664,4 +679,5 @@ QUERIES: dict[str, Query] = {
     "q44_exact_casts": exact_casts,
     "q45_sketched_load": sketched_load,
     "q46_reupload": reupload,
+    "q47_replayed": replayed,
 }

@@ -1,14 +1,17 @@
 """Whole runs: file, folder and stream give the same table, and a log."""
 
 import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from intake.contracts import landing_contract
+from intake.operators.rules import InSet
 from intake.operators.validate import accepted
 from intake.plans.audit import AuditLog, load_report
 from intake.plans.ingest import Intake, ingest_batch, ingest_file, ingest_folder, ingest_new
+from intake.plans.replay import replay
 from intake.sources.landing import list_landing, read_landing, refused, write_landing
 from intake.sources.ledger import FileLedger
 from intake.sources.staged import read_quarantine
@@ -381,3 +384,68 @@ def test_an_empty_folder_ends_its_batch(spark, folder, tmp_path):
     (tmp_path / "l").mkdir()
     assert ingest_new(spark, str(tmp_path / "l"), intake, ledger, "d1") == {}
     assert ledger.ended(spark, "d1")
+
+
+# -- replay of the quarantine -------------------------------------------------
+
+
+def changing(folder):
+    """A contract that wants ids in a list, its places, and the same with the list grown."""
+    base = landing_contract("orders").but(key=())
+    short, grown = (base.but(rules=(*base.rules, InSet("name", names))) for names in (("a",), ("a", "b")))
+    intake = intake_at(folder, short)
+    return intake, replace(intake, contracts={"orders": grown})
+
+
+def quarantined(spark, intake):
+    rows = read_quarantine(spark, intake.staged_root, intake.contracts["orders"])
+    return sorted((r["id"], r["name"]) for r in rows.select("id", "name").collect())
+
+
+def test_rows_that_fit_now_arrive_once_and_the_rest_stay(spark, folder, tmp_path):
+    intake, grown = changing(folder)
+    put(tmp_path / "1" / "orders.csv", row(1, "a"), row(2, "b"), row(3, "c"), row("x", "b"))
+    put(tmp_path / "2" / "orders.csv", row(2, "b"), "4;b", row(5, "a"))
+    for day in ("1", "2"):
+        ingest_file(spark, str(tmp_path / day / "orders.csv"), intake, f"d{day}")
+    before = quarantined(spark, intake)
+    assert ids(spark, intake) == [1, 5] and len(before) == 5
+    # Under the old contract nothing fits: all rows stay, once each.
+    assert replay(spark, "orders", intake, "r0").staged.accepted == 0
+    assert quarantined(spark, intake) == before
+    done = replay(spark, "orders", grown, "r1")
+    assert (done.staged.scanned, done.staged.accepted, done.load.loaded) == (5, 2, 2)
+    assert ids(spark, intake) == [1, 2, 2, 5]
+    assert quarantined(spark, grown) == [("3", "c"), ("4", "b"), ("x", "b")]
+    # Again under the same id, and under another one: no row arrives twice.
+    replay(spark, "orders", grown, "r1")
+    assert replay(spark, "orders", grown, "r2").load.loaded == 0
+    assert ids(spark, intake) == [1, 2, 2, 5] and len(quarantined(spark, grown)) == 3
+    with pytest.raises(ValueError, match="were replayed by 'r0'"):
+        ingest_file(spark, str(tmp_path / "1" / "orders.csv"), grown, "d1")
+    steps = [(r.step, r.batch_id, r.status, r.loaded) for r in log(spark, intake)]
+    assert ("replay", "r0", "ok", 0) in steps and ("replay", "r1", "ok", 2) in steps
+    assert steps[-1] == ("ingest", "d1", "failed", None)
+
+
+def test_a_replay_that_died_goes_on(spark, folder, tmp_path, monkeypatch):
+    intake, grown = changing(folder)
+    assert replay(spark, "orders", grown, "r0") is None
+    put(tmp_path / "orders.csv", row(1, "a"), row(2, "b"), row(3, "c"))
+    ingest_file(spark, str(tmp_path / "orders.csv"), intake, "d1")
+    with monkeypatch.context() as m:
+        m.setattr(ParquetTable, "append", lambda *_: (_ for _ in ()).throw(OSError("killed")))
+        with pytest.raises(OSError, match="killed"):
+            replay(spark, "orders", grown, "r1")
+    assert ids(spark, intake) == [1] and quarantined(spark, grown) == [("2", "b"), ("3", "c")]
+    # What it has claimed is no other one's.
+    assert replay(spark, "orders", grown, "r2") is None
+    assert replay(spark, "orders", grown, "r1").load.loaded == 1
+    assert ids(spark, intake) == [1, 2] and quarantined(spark, grown) == [("3", "c")]
+    # A batch that came later is the next replay's, also if the first one is run again.
+    put(tmp_path / "orders.csv", row(4, "b"), row(5, "c"), row(6, "a"))
+    ingest_file(spark, str(tmp_path / "orders.csv"), intake, "d2")
+    assert replay(spark, "orders", grown, "r1").load.loaded == 1
+    assert quarantined(spark, grown) == [("3", "c"), ("4", "b"), ("5", "c")]
+    assert replay(spark, "orders", grown, "r2").load.loaded == 1
+    assert ids(spark, intake) == [1, 2, 4, 6] and quarantined(spark, grown) == [("3", "c"), ("5", "c")]
