@@ -301,6 +301,9 @@ SELECT 'orders' AS table_name, loaded, name, type FROM n, (VALUES
     "q45_sketched_load": ALL_ORDERS,
     "q46_reupload": VALIDATED,
     "q47_replayed": VALIDATED,
+    "q48_parted_backup": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+  CASE WHEN o_orderkey = (SELECT max(o_orderkey) FROM orders) THEN 'late' ELSE o_orderpriority END AS o_orderpriority,
+  1 AS parts_written, 0 AS parts_wrong FROM orders""",
     "q44_exact_casts": """WITH texts AS (
   SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day, CAST(o_orderkey AS VARCHAR) AS k,
     CAST(epoch(date_trunc('day', o_orderdate)) AS BIGINT) + 8 * 3600 AS seconds FROM orders),

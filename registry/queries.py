@@ -17,7 +17,7 @@ from intake.operators.dedupe import duplicate_report, first_per_key, key_stats
 from intake.operators.rules import InSet, IntCastable, NotNull, References, WellFormed
 from intake.operators.validate import accepted, by_reason, rejected, typed, violation_counts
 from intake.plans.audit import AuditLog, load_report
-from intake.plans.backup import backup, expire, read_manifest, restore, verify
+from intake.plans.backup import backup, expire, read_manifest, read_snapshot, restore, verify
 from intake.plans.ingest import Intake, ingest_file, ingest_folder, ingest_new, validate
 from intake.plans.load import load
 from intake.plans.replay import replay
@@ -578,6 +578,24 @@ def exact_casts(spark, sf_dir):
     return texts.select("o_orderkey", "form", F.coalesce(values, F.lit("refused")).alias("value"))
 
 
+def parted_backup(spark, sf_dir):
+    """Orders in parts by key, twice, one row changed between: the second snapshot alone, its parts written and wrong."""
+    root = run_dir(spark, "parted")
+    orders = table(spark, sf_dir, "orders")
+    highest = orders.agg(F.max("o_orderkey").alias("k")).first()["k"]
+    late = F.when(F.col("o_orderkey") == highest, F.lit("late")).otherwise(F.col("o_orderpriority"))
+    for snapshot, rows in (("s1", orders), ("s2", orders.withColumn("o_orderpriority", late))):
+        backup(spark, {"orders": rows}, root, snapshot_id=snapshot, keys={"orders": ("o_orderkey",)}, parts=16)
+    parts = read_manifest(spark, root).select("snapshot_id", F.explode("parts.path").alias("path"))
+    snapshots = parts.groupBy("path").agg(F.min("snapshot_id").alias("first"))
+    written = snapshots.where("first = 's2'").count()
+    expire(spark, root, keep=1)
+    wrong = verify(spark, root, "s2").first()["wrong_parts"]
+    return read_snapshot(spark, root, "orders").select(
+        "*", F.lit(written).alias("parts_written"), F.lit(len(wrong)).alias("parts_wrong")
+    )
+
+
 def sketched_load(spark, sf_dir):
     """Orders in four stored batches in no order of their keys, then all of them again: only that one opens folders."""
     folder = run_dir(spark, "sketched")
@@ -680,4 +698,5 @@ QUERIES: dict[str, Query] = {
     "q45_sketched_load": sketched_load,
     "q46_reupload": reupload,
     "q47_replayed": replayed,
+    "q48_parted_backup": parted_backup,
 }

@@ -16,8 +16,9 @@ from intake.plans.backup import (
     restore,
     verify,
 )
+from intake.plans.load import load
 from intake.plans.requests import handle, route
-from intake.sources.files import exists
+from intake.sources.files import delete, exists, names
 from intake.sources.tables import Expected, ParquetTable, parquet_tables
 from registry.queries import TABLES
 from tests.conftest import SF_DIR
@@ -258,3 +259,102 @@ def test_a_table_with_variants_is_backed_up_and_told_apart(spark, folder):
     assert verify(spark, folder, "s").first()["verified"]
     one, other = (Expected.of(rows(t)).checksum for t in ('{"a": [1, null]}', '{"a": [1, 2]}'))
     assert one != other == Expected.of(rows('{"a":[1,2]}')).checksum
+
+
+def paths_of(spark, root, snapshot):
+    parts = read_manifest(spark, root).where(F.col("snapshot_id") == snapshot).first()["parts"]
+    return {p["path"] for p in parts}
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_one_changed_row_writes_one_part(spark, folder):
+    first = [(i, f"v{i}") for i in range(200)] + [(7, "v7"), (None, "x"), (None, None)]
+    second = [(i, "new" if i == 11 else v) for i, v in first]
+    args = {"keys": {"c": ("id",)}, "parts": 8}
+    backup(spark, {"c": frame(spark, first)}, folder, snapshot_id="s1", **args)
+    backup(spark, {"c": frame(spark, first[::-1])}, folder, snapshot_id="s2", **args)
+    backup(spark, {"c": frame(spark, second)}, folder, snapshot_id="s3", **args)
+    one, two, three = (paths_of(spark, folder, s) for s in ("s1", "s2", "s3"))
+    assert len(one) == 8 and one == two and len(three - one) == 1
+    for snapshot, want in (("s1", first), ("s2", first), ("s3", second)):
+        assert rows_of(read_snapshot(spark, folder, "c", snapshot)) == sorted(want, key=repr)
+    # What the newest names stays, what only the older ones named goes.
+    assert expire(spark, folder, keep=1) == ["s2", "s1"]
+    assert all(exists(spark, p) for p in three) and not any(exists(spark, p) for p in one - three)
+    got = verify(spark, folder, "s3").first()
+    assert got["verified"] and got["rows_found"] == len(second) and got["wrong_parts"] == []
+    target = table_at(folder)
+    assert restore(spark, folder, "c", target) == len(second)
+    assert rows_of(target.rows(spark)) == sorted(second, key=repr)
+
+
+def test_parts_of_another_cut_are_written_anew(spark, folder):
+    df = frame(spark, [(i, f"v{i}") for i in range(50)])
+    cuts = [({"c": ("id",)}, 4), ({"c": ("id",)}, 5), ({"c": ("id", "v")}, 5), (None, 5), ({"c": ("id", "v")}, 5)]
+    for i, (keys, parts) in enumerate(cuts):
+        backup(spark, {"c": df}, folder, snapshot_id=f"s{i}", keys=keys, parts=parts)
+    wider = df.withColumn("id", F.col("id").cast("long"))
+    backup(spark, {"c": wider}, folder, snapshot_id="s5", keys=cuts[-1][0], parts=5)
+    named = [paths_of(spark, folder, f"s{i}") for i in (0, 1, 2, 4, 5)]
+    assert sum(map(len, named)) == len(set().union(*named))
+    for i in range(6):
+        assert verify(spark, folder, f"s{i}").first()["verified"]
+        assert read_snapshot(spark, folder, "c", f"s{i}").count() == 50
+
+
+def test_verify_names_the_wrong_part(spark, folder):
+    df = frame(spark, [(i, f"v{i}") for i in range(100)])
+    backup(spark, {"c": df, "d": df}, folder, snapshot_id="s", keys={"c": ("id",)}, parts=6)
+    parts = {p["part"]: p["path"] for p in read_manifest(spark, folder).where("table_name = 'c'").first()["parts"]}
+    damaged = spark.read.schema(C.table_schema).parquet(parts[2]).withColumn("v", F.lit("bad")).collect()
+    frame(spark, damaged).write.mode("overwrite").parquet(parts[2])
+    delete(spark, parts[5])
+    got = {r.table_name: r for r in verify(spark, folder, "s").collect()}
+    assert got["c"].wrong_parts == [2, 5] and not got["c"].verified
+    assert got["d"].wrong_parts == [] and got["d"].verified
+    target = table_at(folder)
+    load(spark, df, target, C, "b")
+    with pytest.raises(Exception):
+        restore(spark, folder, "c", target)
+    assert target.rows(spark).count() == 100
+    # The next backup writes what is gone, and what differs from the table only if the manifest says so.
+    backup(spark, {"c": df}, folder, snapshot_id="s2", keys={"c": ("id",)}, parts=6)
+    assert paths_of(spark, folder, "s2") - set(parts.values()) and verify(spark, folder, "s2").first()["wrong_parts"] == [2]
+
+
+def test_parts_of_odd_tables(spark, folder):
+    keys = {"c": ("id",)}
+    backup(spark, {"c": frame(spark, [])}, folder, snapshot_id="none", keys=keys)
+    got = verify(spark, folder, "none").first()
+    assert got["verified"] and got["n_rows"] == 0 and read_snapshot(spark, folder, "c").collect() == []
+    schema = "id int, _part int, m map<string,int>, a array<int>"
+    odd = spark.createDataFrame([(1, 5, {"k": 1}, [1, None]), (1, 5, {"k": 1}, [1, None]), (None, None, None, None)], schema)
+    backup(spark, {"c": odd}, folder, snapshot_id="odd", keys=keys, parts=3)
+    assert rows_of(read_snapshot(spark, folder, "c")) == rows_of(odd)
+    assert verify(spark, folder, "odd").first()["verified"]
+    for bad in ({"keys": {"x": ("id",)}}, {"keys": {"c": ()}}, {"keys": keys, "parts": 0}):
+        with pytest.raises(ValueError):
+            backup(spark, {"c": odd}, folder, **bad)
+
+
+def test_parts_of_a_backup_that_died_are_swept(spark, folder):
+    keys = {"c": ("id",)}
+    good = frame(spark, [(i, "v") for i in range(20)])
+    backup(spark, {"c": good}, folder, snapshot_id="s1", keys=keys, parts=2)
+    failing = good.withColumn("v", F.lit("w")).withColumn(
+        "v", F.when(F.col("id") == 19, F.raise_error(F.lit("gone"))).otherwise(F.col("v"))
+    )
+    other = frame(spark, [(i, "w") for i in range(20)])
+    with pytest.raises(Exception):
+        backup(spark, {"c": other, "d": failing}, folder, snapshot_id="s2", keys=keys | {"d": ("id",)}, parts=2)
+    assert [r.snapshot_id for r in read_manifest(spark, folder).collect()] == ["s1"]
+    stored = names(spark, f"{folder}/parts/c")
+    assert len(stored) == 2
+    expire(spark, folder, keep=1, unpublished=True)
+    assert len(names(spark, f"{folder}/parts/c")) == 1 and verify(spark, folder, "s1").first()["verified"]
+    # The same id may be used again, and shares with what was published only.
+    backup(spark, {"c": good}, folder, snapshot_id="s2", keys=keys, parts=2)
+    assert paths_of(spark, folder, "s2") == paths_of(spark, folder, "s1")
