@@ -1,7 +1,7 @@
 """Quality rules: figures of each text, and lines that many documents of a host share.
 
-Lines are normalised and hashed; the documents of a host with such a line are counted, a text
-that occurs more than once counting once. Lines above the host's limit are taken out, and a document
+Lines are normalised and hashed; the distinct documents of a host with such a line are counted, copies
+of one text each on its own. Lines above the host's limit are taken out, and a document
 that loses too many of its words is rejected. All of it is DataFrame expressions.
 """
 
@@ -23,15 +23,17 @@ SYMBOLS = "#*$%&|<>"
 class Rules:
     """A text needs ``least_words``; at most ``most_repeated`` percent of its words may be in repeated windows.
 
-    A line is removed if more documents of its host have it than ``line_floor`` and than
-    ``line_share`` of the host's. A document is depleted if less than ``least_left``
-    of its words remain.
+    A line is removed if more documents of its host have it than ``line_share`` of the host's, but
+    at least ``line_floor`` and at most ``line_ceiling``: a small host can lose a line, and a large
+    one does not keep what hundreds of its documents share. A document is depleted if less
+    than ``least_left`` of its words remain.
     """
 
     least_words: int = 50
     most_repeated: int = 50
-    line_floor: int = 20
+    line_floor: int = 10
     line_share: float = 0.02
+    line_ceiling: int = 100
     least_left: float = 0.3
 
 
@@ -41,7 +43,7 @@ def _without(text: Column, characters: str) -> Column:
 
 def figures(docs: DataFrame) -> DataFrame:
     """``docs`` columns doc_id and source with n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, ``text_key`` and ``lines`` (hash and words of each line that has any).
+    n_repeat_words and ``lines`` (hash and words of each line that has any).
 
     Null texts are empty. Only doc_id, source and text are read.
     """
@@ -86,7 +88,6 @@ def figures(docs: DataFrame) -> DataFrame:
         (F.length("text") - _without(F.col("text"), SYMBOLS)).cast("long").alias("n_symbols"),
         (F.size("full_lines") - F.size(F.array_distinct("full_lines"))).cast("long").alias("n_dup_lines"),
         F.aggregate(covered, F.lit(0).cast("long"), lambda a, n: a + n).alias("n_repeat_words"),
-        F.xxhash64("text").alias("text_key"),
         F.transform("full_lines", line).alias("lines"),
     )
 
@@ -96,23 +97,25 @@ def ruled(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     removed_words and kept of each row of ``docs``; the host of a document is its source.
 
     Null and empty texts have no words, and fail. Sources that are null are one host.
-    Rows that repeat are judged alike. Other columns are not read.
+    Rows of one doc_id are one document in the counts, rows without an id one each; every
+    row is judged by its own text. Other columns are not read.
     """
     base = figures(docs).withColumn("_row", F.monotonically_increasing_id())
     base = settled(base, "figures")
     host = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("~"))
-    texts = base.groupBy(host.alias("host"), "text_key").agg(F.count("*").alias("_n"))
-    limits = texts.groupBy("host").agg(F.count("*").alias("texts"))
-    limit = F.greatest(F.lit(float(rules.line_floor)), F.lit(rules.line_share) * F.col("texts"))
-    limits = limits.select(F.col("host"), limit.alias("limit"))
-    lines = base.select("_row", host.alias("host"), "text_key", F.explode("lines").alias("l")).select(
-        "_row", "host", "text_key", F.col("l.line").alias("line"), F.col("l.n").alias("n")
+    document = F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit("row"), "_row")).otherwise(F.xxhash64("doc_id"))
+    lines = base.select("_row", host.alias("host"), document.alias("document"), "lines")
+    limits = lines.groupBy("host").agg(F.count_distinct("document").alias("documents"))
+    limit = F.greatest(F.lit(float(rules.line_floor)), F.lit(rules.line_share) * F.col("documents"))
+    limits = limits.select(F.col("host"), F.least(limit, F.lit(float(rules.line_ceiling))).alias("limit"))
+    lines = lines.select("_row", "host", "document", F.explode("lines").alias("l")).select(
+        "_row", "host", "document", F.col("l.line").alias("line"), F.col("l.n").alias("n")
     )
     common = (
-        lines.select("host", "line", "text_key").distinct()
-        .groupBy("host", "line").agg(F.count("*").alias("texts"))
+        lines.select("host", "line", "document").distinct()
+        .groupBy("host", "line").agg(F.count("*").alias("documents"))
         .join(limits, "host")
-        .where("texts > limit")
+        .where("documents > limit")
         .select("host", "line")
     )
     common = settled(common, "lines")

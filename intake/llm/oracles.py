@@ -3,8 +3,9 @@
 # Words and blanks as in the operators; chr(31) stands between the words of a window.
 QUALITY_RULES = r"""
 WITH docs AS (
-  SELECT row_number() OVER () AS r, doc_id, coalesce('s' || source, '~') AS host, coalesce(text, '') AS text
-  FROM documents
+  SELECT r, doc_id, coalesce('d' || doc_id, 'r' || r) AS document, host, text FROM (
+    SELECT row_number() OVER () AS r, doc_id, coalesce('s' || source, '~') AS host, coalesce(text, '') AS text
+    FROM documents)
 ),
 word AS (
   SELECT r, unnest(w) AS w, generate_subscripts(w, 1) AS i
@@ -28,15 +29,15 @@ line AS (
 ),
 doubled AS (SELECT r, count(*) - count(DISTINCT l) AS n FROM line GROUP BY r),
 plain AS (
-  SELECT r, host, text,
+  SELECT r, host, document,
     translate(trim(regexp_replace(l, '[\x20\x09-\x0D]+', ' ', 'g')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS l,
     len(list_filter(regexp_split_to_array(l, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS n
   FROM line JOIN docs USING (r)
 ),
-host AS (SELECT host, greatest(20, 0.02 * count(DISTINCT text)) AS most FROM docs GROUP BY host),
+host AS (SELECT host, least(100, greatest(10, 0.02 * count(DISTINCT document))) AS most FROM docs GROUP BY host),
 common AS (
   SELECT host, l FROM plain JOIN host USING (host)
-  GROUP BY host, l, most HAVING count(DISTINCT text) > most
+  GROUP BY host, l, most HAVING count(DISTINCT document) > most
 ),
 removed AS (SELECT r, sum(n) AS n FROM plain JOIN common USING (host, l) GROUP BY r),
 figures AS (
