@@ -21,6 +21,10 @@ LANDING_COLUMNS = ("id", "name", "datetime", "department_id", "job_id")
 LANDING_INT_COLUMNS = ("id", "department_id", "job_id")
 LANDING_TEXT_COLUMNS = ("name", "datetime")
 
+#: Encodings that Spark's reader takes; those with several bytes for a line end need the whole file at once.
+ENCODINGS = ("UTF-8", "US-ASCII", "ISO-8859-1")
+WIDE_ENCODINGS = ("UTF-16", "UTF-16BE", "UTF-16LE", "UTF-32")
+
 #: Columns that steps add to a table's own; these, and all names that begin with ``_``, are not for contracts.
 RESERVED = ("reasons", "verdict", "raw_line", "batch_id", "n_in_batch", "in_target")
 
@@ -35,6 +39,14 @@ class Field:
 
 @dataclass(frozen=True)
 class TableContract:
+    """Columns, rules and key of a table, and how its landing files are written.
+
+    With ``multi_line`` a quoted value may hold line ends; such a file is one task's work, so land
+    large ones in parts. ``line_sep`` is the one character that ends a line there; without
+    it the first line end found in a file is taken for the file's own. ``escape`` stands before a quote in a
+    quoted value; a quote itself doubles it.
+    """
+
     name: str
     fields: tuple[Field, ...]
     rules: tuple[Rule, ...] = ()
@@ -45,6 +57,10 @@ class TableContract:
     delimiter: str = DELIMITER
     file_glob: str | None = None
     max_records_per_file: int = 0
+    encoding: str = "UTF-8"
+    multi_line: bool = False
+    line_sep: str | None = None
+    escape: str = "\\"
 
     def __post_init__(self):
         if not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", self.name):
@@ -62,6 +78,12 @@ class TableContract:
         }
         if unknown:
             raise ValueError(f"{self.name}: undeclared columns {sorted(unknown)}")
+        if self.encoding not in ENCODINGS + WIDE_ENCODINGS:
+            raise ValueError(f"{self.name}: encoding must be one of {ENCODINGS + WIDE_ENCODINGS}")
+        if self.encoding in WIDE_ENCODINGS and not self.multi_line:
+            raise ValueError(f"{self.name}: {self.encoding} is read with multi_line only")
+        if self.line_sep is not None and len(self.line_sep) != 1 or len(self.escape) != 1:
+            raise ValueError(f"{self.name}: line_sep and escape are one character each")
         if self.on_violation not in ON_VIOLATION:
             raise ValueError(f"{self.name}: on_violation must be one of {ON_VIOLATION}")
         if self.on_duplicate not in ON_DUPLICATE:

@@ -104,6 +104,16 @@ class WellFormed(Rule):
         return F.col(CORRUPT).isNotNull()
 
 
+@dataclass(frozen=True)
+class Decoded(Rule):
+    """A present value must not hold U+FFFD, which stands for bytes that the contract's encoding does not know."""
+
+    kind = "undecoded"
+
+    def violated(self, slot: int = 0) -> Column:
+        return F.coalesce(F.col(self.column).contains("\ufffd"), F.lit(False))
+
+
 @dataclass(frozen=True, eq=False)
 class References(Rule):
     """A present value must exist as ``key`` in the ``dimension`` table.

@@ -26,8 +26,15 @@ def _schema(contract: TableContract) -> T.StructType:
     return schema.add(CORRUPT, T.StringType()) if contract.wants_raw_line else schema
 
 
+def _format(contract: TableContract) -> dict[str, str]:
+    """How the files of a contract are written, for reader and writer alike."""
+    form = {"sep": contract.delimiter, "encoding": contract.encoding, "escape": contract.escape}
+    return form | ({"lineSep": contract.line_sep} if contract.line_sep else {})
+
+
 def _options(contract: TableContract) -> dict[str, str]:
-    options = {"sep": contract.delimiter, "header": "false", "mode": "PERMISSIVE"}
+    options = _format(contract) | {"header": "false", "mode": "PERMISSIVE"}
+    options["multiLine"] = str(contract.multi_line).lower()
     if contract.wants_raw_line:
         # A pruned scan cannot see that a line is short or long.
         options |= {"columnNameOfCorruptRecord": CORRUPT, "columnPruning": "false"}
@@ -74,7 +81,7 @@ def write_landing(df: DataFrame, path: str, contract: TableContract, mode: str =
     (
         df.select(*contract.columns)
         .write.mode(mode)
-        .option("sep", contract.delimiter)
+        .options(**_format(contract))
         .option("ignoreLeadingWhiteSpace", "false")
         .option("ignoreTrailingWhiteSpace", "false")
         .csv(path)
@@ -86,7 +93,8 @@ def check_width(spark: SparkSession, path: str, contract: TableContract) -> None
 
     An empty file has no first line and is refused too.
     """
-    found = len(spark.read.option("sep", contract.delimiter).csv(path).columns)
+    reader = spark.read.options(**_format(contract)).option("multiLine", contract.multi_line)
+    found = len(reader.csv(path).columns)
     if found != len(contract.columns):
         raise ValueError(
             f"{contract.name}: {path} has {found} columns, "

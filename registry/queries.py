@@ -14,7 +14,7 @@ from intake.contracts import Field, TableContract, landing_contract
 from intake.functions.casts import int_lenient, int_strict, typed_value
 from intake.functions.keys import key_verdict, table_name
 from intake.operators.dedupe import duplicate_report, first_per_key, key_stats
-from intake.operators.rules import InSet, IntCastable, NotNull, References, WellFormed
+from intake.operators.rules import Decoded, InSet, IntCastable, NotNull, References, WellFormed
 from intake.operators.validate import accepted, by_reason, rejected, typed, violation_counts
 from intake.plans.audit import AuditLog, load_report
 from intake.plans.backup import backup, expire, read_manifest, read_snapshot, restore, verify
@@ -578,6 +578,23 @@ def exact_casts(spark, sf_dir):
     return texts.select("o_orderkey", "form", F.coalesce(values, F.lit("refused")).alias("value"))
 
 
+def quoted_names(spark, sf_dir):
+    """Customers with line ends, quotes and accents in their names, in Latin-1 files; and how many names UTF-8 would spoil."""
+    key = F.col("c_custkey")
+    line_end = F.when(key % 2 == 0, F.lit("\r\n")).otherwise(F.lit("\n"))
+    accent = F.when(key % 3 == 0, F.lit('"é"; ü')).otherwise(F.lit('"e"; u'))
+    rows = customers(spark, sf_dir).withColumn("c_name", F.concat("c_name", line_end, accent))
+    rules = (IntCastable("c_custkey"), NotNull("c_nationkey"), Decoded("c_name"))
+    contract = CUSTOMER.but(rules=rules, encoding="ISO-8859-1", multi_line=True, line_sep="\n", escape='"')
+    path = f"{run_dir(spark, 'quoted')}/ingestion/{contract.name}.csv"
+    write_landing(rows, path, contract)
+    intake = _intake(spark, "quoted", contract)
+    ingest_file(spark, path, intake, "first")
+    spoiled = rejected(read_landing(spark, path, contract.but(encoding="UTF-8")), contract)
+    n = spoiled.where(F.array_contains("reasons", "undecoded:c_name")).count()
+    return intake.targets[contract.name].rows(spark).withColumn("spoiled", F.lit(n))
+
+
 def parted_backup(spark, sf_dir):
     """Orders in parts by key, twice, one row changed between: the second snapshot alone, its parts written and wrong."""
     root = run_dir(spark, "parted")
@@ -699,4 +716,5 @@ QUERIES: dict[str, Query] = {
     "q46_reupload": reupload,
     "q47_replayed": replayed,
     "q48_parted_backup": parted_backup,
+    "q49_quoted_names": quoted_names,
 }

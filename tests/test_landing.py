@@ -5,8 +5,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from intake.contracts import landing_contract
-from intake.operators.rules import WellFormed
+from intake.contracts import Field, TableContract, landing_contract
+from intake.operators.rules import Decoded, WellFormed
 from intake.operators.validate import accepted, annotate, rejected
 from intake.sources.landing import (
     check_key,
@@ -158,3 +158,54 @@ def test_listing_and_glob(spark, folder):
     }
     # The glob of a contract takes exactly the files the gate passes.
     assert read_landing(spark, folder, ORDERS, ORDERS.glob).count() == 2
+
+
+QUOTED = TableContract("q", (Field("id"), Field("v"), Field("w")), multi_line=True, line_sep="\n", escape='"')
+ODD = [
+    ("1", "two\nlines", "é ü ß"), ("2", "one\r\ntwo\r\n\r\n", "x"), ("3", 'say "no"; or', '"'), ("4", '""', "a;b"),
+    ("5", "back\\", '\\"'), ("6", None, " blanks "), ("7", "\n", "\n\n"), ("8", "lone\rreturn", "end"),
+]
+
+
+@pytest.mark.parametrize("encoding", ["UTF-8", "ISO-8859-1", "UTF-16", "UTF-16LE", "UTF-32"])
+def test_values_over_several_lines_come_back(spark, folder, encoding):
+    contract = QUOTED.but(encoding=encoding)
+    df = spark.createDataFrame(ODD, contract.landing_schema).coalesce(1)
+    write_landing(df, f"{folder}/q.csv", contract)
+    assert sorted(rows(read_landing(spark, f"{folder}/q.csv", contract))) == ODD
+    check_width(spark, f"{folder}/q.csv", contract)
+
+
+def test_line_ends_of_the_file_are_found(spark, folder):
+    contract = QUOTED.but(line_sep=None)
+    for name, end in (("unix", "\n"), ("windows", "\r\n")):
+        path = put(folder, end.join(["1;a;b", '2;"x\ny";c', "3;d;e", ""]), f"{name}.csv")
+        assert rows(read_landing(spark, path, contract)) == [("1", "a", "b"), ("2", "x\ny", "c"), ("3", "d", "e")]
+
+
+def test_records_of_another_width_over_several_lines(spark, folder):
+    contract = QUOTED.but(rules=(WellFormed(),))
+    path = put(folder, '1;a;b\n2;"x\ny"\n3;"d\ne";f;g\n4;"h;\ni";j\n')
+    df = read_landing(spark, path, contract)
+    assert [r.id for r in accepted(df, contract).collect()] == ["1", "4"]
+    assert [r.id for r in rejected(df, contract).collect()] == ["2", "3"]
+    with pytest.raises(ValueError):
+        check_width(spark, put(folder, '"a\nb";c\n', "short.csv"), contract)
+
+
+def test_bytes_of_another_encoding_are_refused(spark, folder):
+    contract = QUOTED.but(rules=(Decoded("v"),), multi_line=False, line_sep=None)
+    path = put(folder, "1;caf\u00e9;x\n2;cafe;x\n3;;x\n".encode("latin-1"))
+    for c in (contract, contract.but(multi_line=True), contract.but(encoding="US-ASCII")):
+        bad = rejected(read_landing(spark, path, c), c).collect()
+        assert [(r.id, r.reasons) for r in bad] == [("1", ["undecoded:v"])]
+    latin = contract.but(encoding="ISO-8859-1")
+    assert [r.v for r in accepted(read_landing(spark, path, latin), latin).collect()] == ["caf\u00e9", "cafe", None]
+
+
+@pytest.mark.parametrize(
+    "form", [{"encoding": "EBCDIC"}, {"encoding": "UTF-16", "multi_line": False}, {"line_sep": "\r\n"}, {"escape": ""}]
+)
+def test_forms_that_cannot_be_read_are_refused(form):
+    with pytest.raises(ValueError):
+        QUOTED.but(**form)
