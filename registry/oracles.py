@@ -304,6 +304,8 @@ SELECT 'orders' AS table_name, loaded, name, type FROM n, (VALUES
     "q49_quoted_names": """SELECT c_custkey, c_name || CASE WHEN c_custkey % 2 = 0 THEN chr(13) || chr(10) ELSE chr(10) END
   || CASE WHEN c_custkey % 3 = 0 THEN '"é"; ü' ELSE '"e"; u' END AS c_name, c_nationkey, c_mktsegment,
   (SELECT count(*) FROM customer WHERE c_custkey % 3 = 0) AS spoiled FROM customer WHERE c_custkey % 29 <> 0""",
+    "q50_merged_measures": """SELECT 'b' || (o_orderkey % 4) AS batch_id, 1 AS batches, count(*) AS n_rows,
+  count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS nulls, true AS keys_close FROM orders GROUP BY ALL""",
     "q48_parted_backup": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
   CASE WHEN o_orderkey = (SELECT max(o_orderkey) FROM orders) THEN 'late' ELSE o_orderpriority END AS o_orderpriority,
   1 AS parts_written, 0 AS parts_wrong FROM orders""",

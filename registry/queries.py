@@ -20,6 +20,7 @@ from intake.plans.audit import AuditLog, load_report
 from intake.plans.backup import backup, expire, read_manifest, read_snapshot, restore, verify
 from intake.plans.ingest import Intake, ingest_file, ingest_folder, ingest_new, validate
 from intake.plans.load import load
+from intake.plans.measures import batch_measures, null_totals, totals
 from intake.plans.replay import replay
 from intake.plans.requests import handle, route
 from intake.sources.landing import read_landing, write_landing
@@ -595,6 +596,24 @@ def quoted_names(spark, sf_dir):
     return intake.targets[contract.name].rows(spark).withColumn("spoiled", F.lit(n))
 
 
+def merged_measures(spark, sf_dir):
+    """Orders in four batches, one of them twice, by priority: rows, keys and null priorities from the batches' measures."""
+    target = ParquetTable(f"{run_dir(spark, 'measured')}/orders", ORDER_TABLE.table_schema, ORDER_TABLE.key)
+    orders = table(spark, sf_dir, "orders")
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    orders = orders.withColumn("o_orderpriority", F.when(~urgent, F.col("o_orderpriority")))
+    for i in (0, 1, 2, 3, 2):
+        batch = orders.where(F.col("o_orderkey") % 4 == i)
+        load(spark, batch, target, ORDER_TABLE, f"b{i}", source=f"part {i}")
+        batch_measures(spark, {"orders": target})
+    measures = batch_measures(spark, {"orders": target})
+    nulls = null_totals(measures, "batch_id").where("column = 'o_orderpriority'").drop("column")
+    close = F.abs(F.col("distinct_keys") / F.col("n_rows") - 1) < 0.1
+    return totals(measures, "batch_id").join(nulls, ["table_name", "batch_id"]).select(
+        "batch_id", "batches", "n_rows", "nulls", close.alias("keys_close")
+    )
+
+
 def parted_backup(spark, sf_dir):
     """Orders in parts by key, twice, one row changed between: the second snapshot alone, its parts written and wrong."""
     root = run_dir(spark, "parted")
@@ -717,4 +736,5 @@ QUERIES: dict[str, Query] = {
     "q47_replayed": replayed,
     "q48_parted_backup": parted_backup,
     "q49_quoted_names": quoted_names,
+    "q50_merged_measures": merged_measures,
 }
