@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from intake.functions.checksum import checksum
+from intake.operators.dedupe import key_bytes
 from intake.operators.sketch import BLOCK_BYTES, SKETCH_SCHEMA, blocks_for, key_sketch, suspects
 from intake.sources.files import create, delete, exists, names, read_text, size
 from intake.sources.local import rows_frame
@@ -323,10 +324,13 @@ class ParquetTable:
             delete(spark, new)
             raise
 
-    def compact(self, spark: SparkSession, n_files: int | None = None, file_bytes: int = 128 << 20) -> None:
+    def compact(
+        self, spark: SparkSession, n_files: int | None = None, file_bytes: int = 128 << 20, task_bytes: int = 256 << 20
+    ) -> None:
         """Rewrite all batches as one, in ``n_files`` files, and check them.
 
-        Without ``n_files`` there is a file for each ``file_bytes`` that the table has, measured.
+        Without ``n_files`` there is a file for each ``file_bytes`` that the table has, measured, or more: a
+        file's rows are sorted in one task, so they take at most about ``task_bytes`` of memory, measured, too.
         The table is read behind the lock, from the listing that the new one will follow, so that
         no load in between can be lost. A batch that comes again afterwards finds its keys loaded,
         or without a key itself held, and adds nothing. With a key the files hold disjoint ranges of it.
@@ -335,12 +339,15 @@ class ParquetTable:
             number, listing = self._listing(spark)
             before = self._read(spark, listing).drop(BATCH)
             n_bytes = sum(size(spark, f"{listing.root}/{f}") for f in listing.folders.values())
-            n_files = n_files or max(1, -(-n_bytes // file_bytes))
+            # In a sort a row has a word more for each column, and its place and prefix twice.
+            row_bytes = key_bytes(before, before.columns) + F.lit(8 * len(before.columns) + 32)
+            n_rows, total, held = before.agg(F.count(F.lit(1)), checksum(before), F.coalesce(F.sum(row_bytes), F.lit(0))).first()
+            n_files = n_files or max(1, -(-n_bytes // file_bytes), -(-held // task_bytes))
             if self.key:
                 whole = before.repartitionByRange(n_files, *self.key).sortWithinPartitions(*self.key)
             else:
                 whole = before.repartition(n_files)
-            self._replace(whole, Expected.of(before), number, listing, COMPACTED)
+            self._replace(whole, Expected(n_rows, total), number, listing, COMPACTED)
 
     def vacuum(self, spark: SparkSession) -> list[str]:
         """Remove what the current listing does not need and return its folders.

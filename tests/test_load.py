@@ -324,6 +324,27 @@ def test_compacted_in_files_by_the_tables_size(spark, folder):
     assert len(target.read(spark).inputFiles()) in (3, 4)
 
 
+@pytest.mark.parametrize("key", [(), ("id",)])
+def test_a_compaction_holds_few_rows_in_a_task_however_small_they_are_on_disk(spark, folder, key):
+    target = ParquetTable(f"{folder}/t2", T2.table_schema, key)
+    for i in range(4):
+        load(spark, frame(spark, [(1000 * i + k, "same " * 100, 0) for k in range(500)]), target, T2, f"b{i}")
+    before, n_bytes = content(spark, target), size(spark, target.path)
+    n_held = 2000 * 500
+    assert n_bytes < n_held // 8
+    target.compact(spark, task_bytes=n_held // 8)
+    assert content(spark, target) == before
+    files = target.read(spark).groupBy(F.input_file_name()).count().collect()
+    assert 8 <= len(files) <= 10 and max(r["count"] for r in files) <= 2 * 2000 // 8
+
+
+def test_an_empty_table_is_compacted(spark, folder):
+    target = ParquetTable(f"{folder}/t2", T2.table_schema, ("id",))
+    target.append(frame(spark, []), "b1")
+    target.compact(spark)
+    assert content(spark, target) == []
+
+
 def test_bounds_of_composite_keys_reach_the_target_scan(spark, folder, plan):
     contract = T2.but(key=("id", "rank"), rules=(NotNull("id"), NotNull("rank")))
     target = table_at(folder)
