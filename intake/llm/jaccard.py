@@ -5,18 +5,24 @@ all tokens stand in. So a pair is a candidate only if its prefixes meet under *e
 several orders. The orders put widespread tokens last (by a counting sketch over all
 documents, a fixed number of counters) and are seeded hashes otherwise.
 
-The first order's prefixes are an index by token; sets without a partner in any list whose size and
-parity bits allow a link are done. For the others, prefixes under the further orders and the sets
-themselves are stored, and a pair must meet under the other orders before its sets are intersected.
+Single tokens make poor lists: the more texts there are, the more of them stand in several by chance,
+in any order. So sets of about one size are cut by the value of their tokens into more parts than two
+linked ones can differ in, and the index has a list for the whole content of each part; sets that link
+have one alike. Sets alone in their lists, or without a partner whose size and parity bits allow a
+link, are done. For the others, the prefixes under all orders and the sets themselves are stored, and
+a pair must meet under every order before its sets are intersected.
 
 Equal sets are one class throughout, and no pairs within a list are written out: each class is
 first compared with one other of a list or two, lists that are left in one component are then
-done, and only what remains in several is compared in full, between components.
+done, the others are compared with one class of each list, and only what remains in several
+components even so is compared in full, between components.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -35,6 +41,7 @@ _PARITY = tuple(f"p{k}" for k in range(_BITS // 64))
 _FOLDED = tuple(f"f{k}" for k in range(4))
 _CHUNK = 4096
 _HELD = 1 << 16
+_KEYS = 1 << 25
 _CUT = re.compile(rb"[\x20\x09-\x0D]")
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
@@ -43,9 +50,9 @@ _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(
 class Jaccard:
     """Sets of ``words``-word shingles; links from ``percent`` per cent of the union on.
 
-    ``orders`` global orders are used, the first for the index. ``counters`` (a power of two) counts
+    ``orders`` global orders are used. ``counters`` (a power of two) counts
     how widespread tokens are, in 8 bytes each. ``hubs`` rounds compare each class with a single one
-    of a list before the rest is compared in full.
+    of a list, and as many more with one of each list left, before the rest is compared in full.
     """
 
     words: int = 3
@@ -59,6 +66,24 @@ class Jaccard:
         """How many first tokens of a set meet those of any similar one."""
         return size - -(-self.percent * size // 100) + 1 if size else 0
 
+    def bands(self) -> list[tuple[int, int, int]]:
+        """Bands of sizes: the least size, the number of parts, and how many may be empty in a set.
+
+        Linked sets are of one band or of two that follow each other. Parts are one and the empty ones more
+        than the tokens by which two linked sets of the band differ, so that a part with tokens is alike in both
+        if either has no more empty ones than that. No parts where linked sets are equal.
+        """
+        found, low = [], 1
+        while low < 1 << 40 and self.percent < 100:
+            after = max(low + 1, -(-low * 100**3 // self.percent**3))
+            differ = (100 - self.percent) * 2 * (after - 1) // (100 + self.percent)
+            # As many as random values leave empty in the smallest sets, and three deviations.
+            empty = (differ + 1) * math.exp(-low * self.percent / 100 / (differ + 1))
+            spare = int(empty + 3 * math.sqrt(empty))
+            found.append((low, differ + 1 + spare if differ else 0, spare))
+            low = after
+        return found
+
 
 def _mixed(values: np.ndarray) -> np.ndarray:
     values = (values ^ (values >> np.uint64(32))) * _MIX[0]
@@ -248,56 +273,93 @@ def _levels(scanned: DataFrame, how: Jaccard) -> np.ndarray:
     return np.floor(np.log2(np.maximum(ratio, 1))).astype(np.uint8)
 
 
+def _salted(values: np.ndarray, salt: int) -> np.ndarray:
+    return _mixed(values + np.uint64(salt * int(_MIX[2]) % (1 << 64)))
+
+
+def _lists(tokens: np.ndarray, how: Jaccard, levels: np.ndarray, bands: list[tuple[int, int, int]]) -> np.ndarray:
+    """The lists a set stands in: one for each part with tokens, in its band and in the next if links reach it.
+
+    Where more parts are empty than the band allows, its prefix under the first order stands in for those.
+    """
+    n, found = len(tokens), [tokens[:0]]
+    own = bisect_right(bands, n, key=lambda band: band[0]) - 1
+    for k, (low, parts, spare) in enumerate(bands[own : own + 2], own):
+        if not parts or 100 * n < how.percent * low:
+            continue
+        place = ((tokens >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+        heads = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
+        found.append(_salted(np.add.reduceat(tokens, heads), 2 * k + 1))
+        if parts - len(heads) > spare:
+            found.append(_salted(_ordered(tokens, how, levels, 0), 2 * k + 2))
+    return np.concatenate(found)
+
+
 def _index(docs: DataFrame, how: Jaccard, levels) -> DataFrame:
-    """token, class, n, place of each document's prefix under the first order; copies in one task at most once."""
+    """token, class of each document's lists; copies in one task at most once."""
+    bands = how.bands()
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         high = levels.value.astype(np.uint64)
         seen: set[int] = set()
         for part in parts:
-            firsts, classes = [], []
+            lists, classes = [], []
             for tokens in shingle_sets(part.column(0), how):
                 number = _class_of(tokens, how)
                 if len(tokens) and number not in seen:
                     if len(seen) >= 1 << 18:
                         seen.clear()
                     seen.add(number)
-                    firsts.append(_ordered(tokens, how, high, 0))
-                    classes.append((number, len(tokens)))
-            if firsts:
-                times = [len(f) for f in firsts]
-                numbers, sizes = (np.repeat(np.array(c, np.uint64), times).view(np.int64) for c in zip(*classes, strict=True))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate(firsts).view(np.int64)), pa.array(numbers), pa.array(sizes.astype(np.int32)),
-                        pa.array(np.concatenate([np.arange(k, dtype=np.int32) for k in times])),
-                    ],
-                    names=["token", "class", "n", "place"],
-                )
-
-    return docs.select(F.col("text").cast("binary")).mapInArrow(batches, "token long, class long, n int, place int")
-
-
-def _sets(docs: DataFrame, how: Jaccard, levels) -> DataFrame:
-    """class, tokens (ascending) and the prefixes o1, o2 ... under the further orders."""
-    others = range(1, how.orders)
+                    lists.append(_lists(tokens, how, high, bands))
+                    classes.append(number)
+            if lists:
+                numbers = np.repeat(np.array(classes, np.uint64), [len(each) for each in lists]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(lists).view(np.int64)), pa.array(numbers)], names=["token", "class"])
+
+    return docs.select(F.col("text").cast("binary")).mapInArrow(batches, "token long, class long")
+
+
+def _wanted(chosen: DataFrame) -> np.ndarray:
+    """Bits by text key, set for those of the chosen classes: 4 MB however many there are."""
+    place = (F.col("text_key").bitwiseAND(F.lit(_KEYS - 1)) + 1).alias("place")
+    chunk, bit = F.bitmap_bucket_number("place"), F.bitmap_bit_position("place")
+    found = chosen.select(place).groupBy((chunk - 1).alias("chunk")).agg(F.bitmap_construct_agg(bit).alias("bits"))
+    bits = np.zeros((_KEYS >> 15, 1 << 12), np.uint8)
+    for row in found.collect():
+        bits[row.chunk] = np.frombuffer(row.bits, np.uint8)
+    return bits.reshape(-1)
+
+
+def _sets(docs: DataFrame, chosen: DataFrame, how: Jaccard, levels) -> DataFrame:
+    """class, tokens (ascending) and the prefixes o0, o1 ... under the orders, of the chosen classes.
+
+    Texts whose key has no bit are left where they are; the few others with one go by their class.
+    """
+    orders = range(how.orders)
+    wanted = docs.sparkSession.sparkContext.broadcast(_wanted(chosen))
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        high = levels.value.astype(np.uint64)
+        high, bits = levels.value.astype(np.uint64), wanted.value
+        seen: set[int] = set()
         for part in parts:
+            keys = part.column(0).to_numpy() & (_KEYS - 1)
             rows: dict[int, list[np.ndarray]] = {}
-            for tokens in shingle_sets(part.column(0), how):
+            for tokens in shingle_sets(part.column(1).filter(pa.array((bits[keys >> 3] >> (keys & 7) & 1).astype(bool))), how):
                 number = _class_of(tokens, how)
-                if number not in rows:
-                    rows[number] = [tokens, *[_ordered(tokens, how, high, k) for k in others]]
-            columns = zip(*rows.values(), strict=True) if rows else [()] * how.orders
+                if number not in seen:
+                    if len(seen) >= 1 << 18:
+                        seen.clear()
+                    seen.add(number)
+                    rows[number] = [tokens, *[_ordered(tokens, how, high, k) for k in orders]]
+            columns = zip(*rows.values(), strict=True) if rows else [()] * (how.orders + 1)
             lists = [pa.array([a.view(np.int64) for a in c], pa.list_(pa.int64())) for c in columns]
             numbers = pa.array(np.array(list(rows), np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([numbers, *lists], names=["class", "tokens", *[f"o{k}" for k in others]])
+            yield pa.RecordBatch.from_arrays([numbers, *lists], names=["class", "tokens", *[f"o{k}" for k in orders]])
 
-    schema = "class long, tokens array<long>" + "".join(f", o{k} array<long>" for k in others)
-    found = docs.select(F.col("text").cast("binary")).mapInArrow(batches, schema)
-    columns = ["tokens", *[f"o{k}" for k in others]]
+    schema = "class long, tokens array<long>" + "".join(f", o{k} array<long>" for k in orders)
+    found = docs.select(_text_key().alias("text_key"), F.col("text").cast("binary")).mapInArrow(batches, schema)
+    found = found.join(chosen.select("class"), "class", "left_semi")
+    columns = ["tokens", *[f"o{k}" for k in orders]]
     return found.groupBy("class").agg(*[F.first(c).alias(c) for c in columns])
 
 
@@ -307,13 +369,6 @@ def _alike(a: str, b: str, how: Jaccard) -> Column:
     return 100 * F.least(n, m) >= how.percent * F.greatest(n, m)
 
 
-def _left(a: str, b: str, how: Jaccard) -> Column:
-    """Whether a token of both sets can be their first common one: enough tokens follow it in either."""
-    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    follow = F.least(n - F.col(f"{a}.place"), m - F.col(f"{b}.place"))
-    return (100 + how.percent) * follow >= how.percent * (n + m)
-
-
 def _near(a: str, b: str, how: Jaccard, parity: tuple[str, ...], more: bool = False) -> Column:
     """Whether the parity bits of two sets leave a link possible: few tokens are in one set only."""
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
@@ -352,11 +407,11 @@ def _beside(pairs: DataFrame, table: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, marks: DataFrame, sets: DataFrame, how: Jaccard) -> DataFrame:
     """Of the pairs (a, b, ra, rb) those that are links.
 
-    Parity bits first, then prefixes must meet under every further order, then the sets are intersected.
+    Parity bits first, then prefixes must meet under every order, then the sets are intersected.
     """
     near = _beside(pairs, marks).where(_near("x", "y", how, _PARITY, more=True)).select("a", "b", "ra", "rb")
     held = _beside(settled(near, "pairs"), sets)
-    for k in range(1, how.orders):
+    for k in range(how.orders):
         held = held.where(F.arrays_overlap(f"x.o{k}", f"y.o{k}"))
     common = F.size(F.array_intersect("x.tokens", "y.tokens"))
     union = F.size("x.tokens") + F.size("y.tokens") - common
@@ -392,23 +447,31 @@ def _linked(filed: DataFrame, marks: DataFrame, sets: DataFrame, how: Jaccard) -
         found = settled(_verified(pairs, marks, sets, how), "links")
         return found.select(F.col("ra").alias("u"), F.col("rb").alias("v"))
 
+    def several(lists: DataFrame, parts: DataFrame | None) -> DataFrame:
+        """The lists that are left in several components."""
+        lists = settled(rooted(lists.select(*filed.columns), parts), "lists")
+        left = lists.groupBy("token").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low < _high")
+        return settled(lists.join(left.select("token"), "token"), "lists")
+
+    def to_hubs(rows: DataFrame, turn: int) -> DataFrame:
+        hub = F.struct(F.xxhash64("class", F.lit(turn)), "token", "class", "n", "root", *_FOLDED)
+        hubs = rows.groupBy("token").agg(F.min(hub).alias("hub")).select("hub.*")
+        return links(rows, hubs, F.col("a.root") != F.col("b.root"))
+
     parts = None
     row = F.struct("token", "class", "n", *_FOLDED)
     for turn in range(how.hubs):
         # One list of each class, and of each list one class that all others are compared with.
         one = filed.groupBy("class").agg((F.min(row) if turn % 2 == 0 else F.max(row)).alias("r")).select("r.*")
-        one = settled(rooted(one, parts), "lists")
-        hub = F.struct(F.xxhash64("class", F.lit(turn)), "token", "class", "n", "root", *_FOLDED)
-        hubs = one.groupBy("token").agg(F.min(hub).alias("hub")).select("hub.*")
-        parts = _merged(parts, links(one, hubs, F.col("a.root") != F.col("b.root")))
-    lists = filed
-    if parts is not None:
-        lists = settled(rooted(lists, parts), "lists")
-        several = lists.groupBy("token").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low < _high")
-        lists = settled(lists.join(several.select("token"), "token"), "lists")
-    else:
-        lists = rooted(lists, None)
-    return _merged(parts, links(lists, lists, (F.col("a.root") < F.col("b.root")) & _left("a", "b", how)))
+        parts = _merged(parts, to_hubs(settled(rooted(one, parts), "lists"), turn))
+    lists = several(filed, parts)
+    for turn in range(how.hubs, 2 * how.hubs):
+        # All lists that are left, in the same way.
+        if lists.isEmpty():
+            return parts
+        parts = _merged(parts, to_hubs(lists, turn))
+        lists = several(lists, parts)
+    return _merged(parts, links(lists, lists, (F.col("a.root") < F.col("b.root"))))
 
 
 def jaccard_links(docs: DataFrame, how: Jaccard = Jaccard()) -> DataFrame:
@@ -436,19 +499,15 @@ def jaccard_links(docs: DataFrame, how: Jaccard = Jaccard()) -> DataFrame:
     checked = F.when(F.col("mark") != F.col("_other"), clash).otherwise(F.col("mark")).alias("mark")
     classes = classes.select("class", "least", "text_key", checked).select("class", "least", "text_key", "mark.*")
     classes = settled(classes.select("*", *folded), "classes")
-    # Lists are cut down to classes with a partner by size and place, then by ever more parity bits.
+    # Lists are cut down to classes with a partner, then with one by size and parity bits.
     index = _index(texts, how, levels).repartition("token").distinct()
-    filed = settled(_with_partner(index, lambda a, b: _alike(a, b, how) & _left(a, b, how)), "lists")
-    for parity, more in ((_FOLDED, False), (_PARITY, True)):
-        marks = classes.select("class", *parity, *(["more"] if more else []))
-        marked = filed.select(*index.columns).join(marks, "class")
-        near = lambda a, b: _alike(a, b, how) & _left(a, b, how) & _near(a, b, how, parity, more)  # noqa: B023, E731
-        filed = settled(_with_partner(marked, near).select(*index.columns), "lists")
-    filed = settled(filed.join(classes.select("class", *_FOLDED), "class"), "lists")
+    filed = settled(_with_partner(index, lambda a, b: F.lit(True)), "lists")
+    marked = filed.join(classes.select("class", "n", *_FOLDED), "class")
+    near = lambda a, b: _alike(a, b, how) & _near(a, b, how, _FOLDED)
+    filed = settled(_with_partner(marked, near), "lists")
     chosen = classes.drop("least").join(filed.select("class").distinct(), "class", "left_semi")
     chosen = settled(chosen, "classes")
-    wanted = texts.join(chosen.select("text_key"), _text_key() == F.col("text_key"), "left_semi")
-    sets = settled(_sets(wanted, how, levels), "sets")
+    sets = settled(_sets(texts, chosen, how, levels), "sets")
     parts = _linked(filed, chosen.drop("text_key"), sets, how)
     roots = classes.select("class", F.col("class").alias("root"), "least")
     if parts is not None:

@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 
 from intake.llm import jaccard
-from intake.llm.jaccard import Jaccard, _ordered, jaccard_links, shingle_sets
+from intake.llm.jaccard import Jaccard, _index, _lists, _ordered, _texts, jaccard_links, shingle_sets
 from tests.llm.conftest import by_id
 
 
@@ -132,3 +132,49 @@ def test_large_sets_that_differ_go_by_their_parity(spark, documents):
     large = [prose(rng, n) for n in (1200, 1250, 4050, 4100, 5000, 5100, 18_000, 18_500)]
     rows = list(enumerate(large + [t + " and a tail" for t in large[::2]] + variants(rng, large[-1], 3, (200, 900))))
     assert by_id(jaccard_links(documents(*rows)), "n_shingles", "component_id") == slow(rows)
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90, 97])
+def test_similar_sets_share_a_list(percent):
+    rng = random.Random(11)
+    how = Jaccard(percent=percent, counters=64)
+    levels, bands = np.zeros(how.counters, np.uint64), how.bands()
+    numbers = np.random.default_rng(11)
+    linked = 0
+    for _ in range(4000):
+        n = rng.choice([rng.randint(1, 60), rng.randint(60, 500), rng.randint(500, 3000)])
+        # From equal sizes to one set within the other, as far apart as links reach, and one token more.
+        few = (100 - percent) * 2 * n // (100 + percent) + 1
+        less, more = sorted(rng.randint(0, few + 1) for _ in range(2))
+        x = numbers.integers(0, 1 << 64, n, np.uint64)
+        y = np.concatenate([x[min(less, n - 1) :], numbers.integers(0, 1 << 64, more - less, np.uint64)])
+        x, y = np.unique(x), np.unique(y)
+        both = len(np.intersect1d(x, y))
+        if not np.array_equal(x, y) and 100 * both >= percent * (len(x) + len(y) - both):
+            linked += 1
+            a, b = (_lists(tokens, how, levels, bands) for tokens in (x, y))
+            assert len(np.intersect1d(a, b)), (len(x), len(y), both)
+    assert linked > 500
+
+
+def test_lists_do_not_fill_with_texts_that_share_shingles_by_chance(spark, documents):
+    # Of some 8,000 shingles, each stands in many of the texts: so did those of the prefixes.
+    rng = random.Random(12)
+    texts = [prose(rng, 200, 20) for _ in range(400)]
+    rows = list(enumerate(texts + variants(rng, texts[0], 3, (1, 1))))
+    how = Jaccard()
+    levels = spark.sparkContext.broadcast(np.zeros(how.counters, np.uint8))
+    index = _index(_texts(documents(*rows)), how, levels).distinct()
+    met = index.groupBy("token").count().where("count > 1")
+    assert 0 < met.count() < 200 and met.agg({"count": "max"}).first()[0] <= 4
+    assert by_id(jaccard_links(documents(*rows), how), "n_shingles", "component_id") == slow(rows)
+
+
+def test_texts_whose_key_shares_a_bit_are_no_sets_of_the_chosen(spark, documents, monkeypatch):
+    monkeypatch.setattr(jaccard, "_KEYS", 1 << 15)
+    rng = random.Random(13)
+    base = prose(rng, 80)
+    rows = list(enumerate(variants(rng, base, 30, (0, 4)) + [prose(rng, 12) for _ in range(2000)]))
+    got = by_id(jaccard_links(documents(*rows)), "n_shingles", "component_id")
+    want = slow(rows[:30])
+    assert {i: got[i] for i in want} == want and all(got[i][1] == i for i in range(30, len(rows)))
